@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinetrace.llm import langid, pieces
+from kinetrace.llm import decontam, langid, neardup, pieces
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,11 @@ def tokenizer_path(name: str = "piece_bpe_32k.model") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_texts(table(spark, sf_dir, "documents"), tokenizer_path(), digests=True)
 
@@ -45,9 +50,16 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.coalesce(crc_part(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four words a shingle, as this query's contract says; the operator's default is five."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), k=4)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_language_id": op4_language_id,
+    "op5_near_duplicates": op5_near_duplicates,
 }
 
 ORACLES: dict[str, str] = {}

@@ -1,0 +1,27 @@
+"""Tables that operators write between steps, in the folder all machines share."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder name under ``spark.checkpoint.dir``; under a temporary folder where that is unset, as in tests."""
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or f"file://{tempfile.gettempdir()}/kinetrace-scratch"
+    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, folder: str, name: str) -> DataFrame:
+    """Writes ``df`` and reads it back, so that a lost executor costs no earlier step."""
+    df.write.mode("overwrite").parquet(f"{folder}/{name}")
+    return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
+
+
+def drop(spark: SparkSession, path: str) -> None:
+    """Deletes a folder through Spark's own file systems."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)

@@ -94,6 +94,11 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def salt(i: int) -> np.uint64:
+    """The i-th of a fixed run of 64-bit constants."""
+    return np.uint64(0xA0761D6478BD642F * i & 0xFFFFFFFFFFFFFFFF)
+
+
 def _grow(n: int) -> None:
     global _powers, _inverses
     if len(_powers) < n:
@@ -115,6 +120,20 @@ def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
     return mix((total[ends] - total[starts]) * _inverses[starts])
 
 
+def hashed_words(data: np.ndarray, offsets: np.ndarray, table: np.ndarray, size: int = 1 << 19) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """:func:`words` and their :func:`hashes`, worked out in slices of ``size`` bytes."""
+    starts, ends, counts, codes = [], [], [], []
+    for i, j in slices(offsets, size):
+        part = data[offsets[i] : offsets[j]]
+        s, e, c = words(part, offsets[i : j + 1] - offsets[i], table)
+        codes.append(hashes(part, s, e))
+        starts.append(s + offsets[i])
+        ends.append(e + offsets[i])
+        counts.append(c)
+    join = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
+    return join(starts, np.int64), join(ends, np.int64), join(counts, np.int64), join(codes, np.uint64)
+
+
 def shingles(word_hashes: np.ndarray, counts: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all runs of k words inside each row, and the row of each.
 
@@ -130,7 +149,7 @@ def shingles(word_hashes: np.ndarray, counts: np.ndarray, k: int) -> tuple[np.nd
     multiplier = np.uint64(_BASE)
     for j in range(k):
         shifted = np.zeros(n, np.uint64)
-        shifted[: n - j] = word_hashes[j:] if j else word_hashes
+        shifted[: max(0, n - j)] = word_hashes[j:]
         total = total * multiplier + np.where(left > j, shifted, np.uint64(j + 1))
     starts = (left >= k) | (np.arange(n) == np.repeat(first, counts))
     return mix(total[starts]), rows[starts]
