@@ -204,16 +204,18 @@ def identify(df: DataFrame, model: ByteCNN | None, id_col: str = "doc_id", text_
     text if there is no model. One row out for each row in, null ids too.
     """
     shipped = df.sparkSession.sparkContext.broadcast(model)
-    columns = [F.col(id_col).alias("c0"), *[F.col(c).alias(f"c{k}") for k, c in enumerate(keep, 1)], F.col(text_col).cast("string").alias("t")]
-    narrow = df.select(*columns)
-    kinds = [narrow.schema[f"c{k}"].dataType.simpleString() for k in range(len(keep) + 1)]
+    others = [c for c in keep if c != text_col]
+    narrow = df.select(F.col(id_col).alias("c0"), *[F.col(c).alias(f"c{k}") for k, c in enumerate(others, 1)], F.col(text_col).cast("string").alias("t"))
+    passed = [f"c{k}" for k in range(len(others) + 1)] + ["t"] * (text_col in keep)
+    schema = ", ".join([f"{c} {narrow.schema[c].dataType.simpleString()}" for c in passed] + ["lang_pred string, score double"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = shipped.value
         tables = net.pair_tables() if net else None
         for b in batches:
             langs, scores = predict(net, b.column(b.num_columns - 1), tables)
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [*b.schema.names[:-1], "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(passed)], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [*passed, "lang_pred", "score"])
 
-    schema = ", ".join([f"c{k} {kind}" for k, kind in enumerate(kinds)] + ["lang_pred string, score double"])
-    return narrow.mapInArrow(run, schema).toDF(id_col, *keep, "lang_pred", "score")
+    place = {c: f"c{k}" for k, c in enumerate(others, 1)} | {text_col: "t"}
+    out = narrow.mapInArrow(run, schema)
+    return out.select(F.col("c0").alias(id_col), *[F.col(place[c]).alias(c) for c in keep], "lang_pred", "score")

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from kinetrace.llm.graph import components
 from kinetrace.llm.scratch import shared_folder, stored
+from kinetrace.llm.sieve import bit_table, split
 from kinetrace.llm.textcore import byte_table, hashed_words, lower_ascii, mix, salt, shingles, slices, utf8
 
 BANDS, ROWS = 32, 4
@@ -245,7 +246,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             at = link_block(t.column("t").combine_chunks(), k, threshold, t.column("root").to_pylist(), t.column("block").to_pylist())
             yield pa.RecordBatch.from_arrays([ids, ids.take(pa.array(at))], ["u", "v"])
 
-    texts = docs.where("id is not null").join(members, "id")
+    # Only rows that may be candidates are shuffled; the join decides.
+    near, _ = split(docs, stored(bit_table(members, "id"), folder, "bits"), F.col("id"))
+    texts = near.join(members, "id")
     dealt = texts.select("group", "block", "id", "t").repartition("group", "block").sortWithinPartitions("group", "block", "id")
     links = stored(dealt.mapInArrow(first_pass, f"u {id_type}, v {id_type}"), folder, "links")
     large = members.where("blocks > 1")
@@ -253,7 +256,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         joined = links.select(F.col("u").alias("id"), F.col("v").alias("root")).distinct()
     else:
         local = stored(components(links, f"{folder}/local"), folder, "local_roots")
-        rows = docs.where("id is not null").join(large, "id").join(local.withColumnRenamed("root", "known"), "id", "left").select("group", "block", "blocks", "id", "t", F.coalesce("known", "id").alias("root"))
+        rows = near.join(large, "id").join(local.withColumnRenamed("root", "known"), "id", "left").select("group", "block", "blocks", "id", "t", F.coalesce("known", "id").alias("root"))
         pairs = rows.withColumn("other", F.explode(F.expr("filter(sequence(0, blocks - 1), x -> x <> block)")))
         pairs = pairs.select("group", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "id", "t", "root", "block")
         dealt = pairs.repartition("group", "a", "b").sortWithinPartitions("group", "a", "b", "id")

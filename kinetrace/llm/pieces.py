@@ -20,14 +20,19 @@ import hashlib
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kinetrace.llm.textcore import slices, utf8
+
 MARK = "▁"
 #: Chunks up to this length are remembered; entries of the table before it is emptied.
 MEMO_CHARS, MEMO_ENTRIES = 48, 400_000
 PAIR_ENTRIES = 400_000
+#: Bytes of text whose ids are held at once.
+BATCH_BYTES = 1 << 20
 
 
 class PieceTokenizer:
@@ -215,30 +220,20 @@ def encode_texts(df: DataFrame, model_path: str, id_col: str = "doc_id", text_co
     with open(model_path, "rb") as f:
         model = df.sparkSession.sparkContext.broadcast(f.read())
     id_type = df.schema[id_col].dataType.simpleString()
-    rest = "ids_sha256 string, decoded_sha256 string" if digests else "ids array<int>, decoded string"
+    kind = "ids_sha256 string, decoded_sha256 string" if digests else "ids array<int>, decoded string"
+    names = [id_col, "n_tokens", *(x.split()[0] for x in kind.split(", "))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = tokenizer(model.value)
-        for batch in batches:
-            counts, first, second = [], [], []
-            for value in batch.column(1):
-                n, ids, decoded = t.summary(value.as_py() or "")
-                counts.append(n)
+        for whole in batches:
+            for i, j in slices(utf8(whole.column(1))[1], BATCH_BYTES):
+                counts, ids, decoded = zip(*[t.summary(v or "") for v in whole.column(1).slice(i, j - i).to_pylist()], strict=True)
                 if digests:
-                    first.append(hashlib.sha256(ids.encode()).hexdigest())
-                    second.append(hashlib.sha256(decoded.encode()).hexdigest())
+                    pair = [pa.array([hashlib.sha256(x.encode()).hexdigest() for x in column], pa.string()) for column in (ids, decoded)]
                 else:
-                    first.append([int(x) for x in ids.split(",")] if ids else [])
-                    second.append(decoded)
-            kind = pa.string() if digests else pa.list_(pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(first, kind), pa.array(second, pa.string())], ["id", "n_tokens", "a", "b"])
+                    flat = np.array(",".join(x for x in ids if x).split(","), np.int32) if any(ids) else np.zeros(0, np.int32)
+                    pair = [pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(flat)), pa.array(decoded, pa.string())]
+                yield pa.RecordBatch.from_arrays([whole.column(0).slice(i, j - i), pa.array(counts, pa.int64()), *pair], ["id", *names[1:]])
 
-    schema = f"id {id_type}, n_tokens bigint, " + rest
-    names = [id_col, "n_tokens"] + [x.split()[0] for x in rest.split(", ")]
     narrow = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-
-    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in run(batches):
-            yield pa.RecordBatch.from_arrays(b.columns, ["id", *names[1:]])
-
-    return narrow.mapInArrow(named, schema).toDF(*names)
+    return narrow.mapInArrow(run, f"id {id_type}, n_tokens bigint, {kind}").toDF(*names)

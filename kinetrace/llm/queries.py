@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinetrace.llm import decontam, langid, neardup, pieces
+from kinetrace.llm import decontam, fingerprint, langid, neardup, pieces, secrets
+from kinetrace.llm.scratch import shared_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,11 +56,27 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), k=4)
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One version of each document, against a new ledger."""
+    docs = table(spark, sf_dir, "documents")
+    found = secrets.scan_history(docs, f"{shared_folder(spark)}/ledger")
+    base = F.filter("spans", lambda s: s["kind"].isin([r.kind for r in secrets.BASE]))
+    kinds = F.transform("spans", lambda s: s["kind"])
+    counts = [F.size(F.filter(kinds, lambda x: x == F.lit(kind))).cast("long").alias(f"n_{kind}") for kind in ("assign", "access", "hex")]  # noqa: B023
+    return found.select("doc_id", *counts, F.sha2(secrets.joined(base).cast("binary"), 256).alias("base_sha256"), secrets.joined(F.col("spans")).alias("spans"))
+
+
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_language_id": op4_language_id,
     "op5_near_duplicates": op5_near_duplicates,
+    "op7_secret_scan": op7_secret_scan,
+    "op10_fingerprints": op10_fingerprints,
 }
 
 ORACLES: dict[str, str] = {}
