@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinetrace.llm import decontam, fingerprint, langid, neardup, pieces, secrets
+from kinetrace.llm import decontam, fingerprint, langid, neardup, pieces, secrets, urlfilter
 from kinetrace.llm.scratch import shared_folder
 
 
@@ -31,6 +31,11 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    weights, bias = urlfilter.train(urlfilter.labelled())
+    return urlfilter.judge(table(spark, sf_dir, "pages"), weights, bias)
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_texts(table(spark, sf_dir, "documents"), tokenizer_path(), digests=True)
 
@@ -72,6 +77,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
+    "op2_url_filter": op2_url_filter,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_language_id": op4_language_id,
     "op5_near_duplicates": op5_near_duplicates,
@@ -79,4 +85,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_fingerprints": op10_fingerprints,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op2_url_filter": urlfilter.oracle(*urlfilter.train(urlfilter.labelled()))}
