@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinetrace.llm import decontam, fingerprint, langid, neardup, pieces, secrets, urlfilter
+from kinetrace.llm import decontam, fingerprint, langid, neardup, pieces, secrets, toxicity, urlfilter
 from kinetrace.llm.scratch import shared_folder
 
 
@@ -71,6 +71,15 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(secrets.joined(base).cast("binary"), 256).alias("base_sha256"), secrets.joined(F.col("spans")).alias("spans"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows with remainder 0 are held out; a null id is in neither part."""
+    docs = table(spark, sf_dir, "documents")
+    field = toxicity.fit(docs, table(spark, sf_dir, "labels"), crc_part(5) != 0)
+    out = toxicity.tag_texts(docs, field)
+    offsets = F.concat_ws(",", F.transform("spans", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))))
+    return out.select("doc_id", F.coalesce(crc_part(5) == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), offsets.alias("offending"))
+
+
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edited_fingerprints(table(spark, sf_dir, "documents"))
 
@@ -82,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language_id": op4_language_id,
     "op5_near_duplicates": op5_near_duplicates,
     "op7_secret_scan": op7_secret_scan,
+    "op9_toxicity": op9_toxicity,
     "op10_fingerprints": op10_fingerprints,
 }
 

@@ -109,15 +109,21 @@ def _grow(n: int) -> None:
             globals()[name] = np.multiply.accumulate(grown)
 
 
+class RangeHash:
+    """64-bit hashes of byte ranges of one buffer; equal bytes have equal hashes wherever they stand."""
+
+    def __init__(self, data: np.ndarray):
+        n = len(data)
+        _grow(n + 1)
+        self.total = np.zeros(n + 1, np.uint64)
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers[:n], out=self.total[1:])
+
+    def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return mix((self.total[ends] - self.total[starts]) * _inverses[starts])
+
+
 def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte range; equal bytes have equal hashes wherever they stand."""
-    if len(starts) == 0:
-        return np.zeros(0, np.uint64)
-    n = len(data)
-    _grow(n + 1)
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers[:n], out=total[1:])
-    return mix((total[ends] - total[starts]) * _inverses[starts])
+    return RangeHash(data)(starts, ends) if len(starts) else np.zeros(0, np.uint64)
 
 
 def hashed_words(data: np.ndarray, offsets: np.ndarray, table: np.ndarray, size: int = 1 << 19) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
