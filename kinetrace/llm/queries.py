@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinetrace.llm import decontam, fingerprint, langid, neardup, pieces, secrets, toxicity, urlfilter
+from kinetrace.llm import decontam, fingerprint, langid, neardup, pieces, preference, secrets, toxicity, urlfilter
 from kinetrace.llm.scratch import shared_folder
 
 
@@ -71,6 +71,10 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(secrets.joined(base).cast("binary"), 256).alias("base_sha256"), secrets.joined(F.col("spans")).alias("spans"))
 
 
+def op8_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return preference.format_pairs(preference.neighbours(table(spark, sf_dir, "conversations")))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows with remainder 0 are held out; a null id is in neither part."""
     docs = table(spark, sf_dir, "documents")
@@ -91,8 +95,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language_id": op4_language_id,
     "op5_near_duplicates": op5_near_duplicates,
     "op7_secret_scan": op7_secret_scan,
+    "op8_preference_format": op8_preference_format,
     "op9_toxicity": op9_toxicity,
     "op10_fingerprints": op10_fingerprints,
 }
 
-ORACLES: dict[str, str] = {"op2_url_filter": urlfilter.oracle(*urlfilter.train(urlfilter.labelled()))}
+ORACLES: dict[str, str] = {
+    "op2_url_filter": urlfilter.oracle(*urlfilter.train(urlfilter.labelled())),
+    "op8_preference_format": preference.ORACLE,
+}
