@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinetrace.llm import decontam, fingerprint, langid, neardup, pieces, preference, secrets, toxicity, urlfilter
+from kinetrace.llm import decontam, fingerprint, langid, neardup, pieces, preference, secrets, toxicity, urlfilter, warc
 from kinetrace.llm.scratch import shared_folder
 
 
@@ -61,6 +61,16 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), k=4)
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses are read with their payloads, revisits by their headers alone."""
+    path = f"{shared_folder(spark)}/archive"
+    warc.archive(table(spark, sf_dir, "pages"), path)
+    full = warc.read(spark, path).where(F.col("record_type") == "response")
+    bare = warc.read(spark, path, payload=False).where(F.col("record_type") == "revisit")
+    responses = full.select("page_id", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha1("payload").alias("payload_digest"), "record_type", "refers_to")
+    return responses.unionByName(bare.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One version of each document, against a new ledger."""
     docs = table(spark, sf_dir, "documents")
@@ -94,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sentencepiece": op3_sentencepiece,
     "op4_language_id": op4_language_id,
     "op5_near_duplicates": op5_near_duplicates,
+    "op6_warc": op6_warc,
     "op7_secret_scan": op7_secret_scan,
     "op8_preference_format": op8_preference_format,
     "op9_toxicity": op9_toxicity,
@@ -102,5 +113,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op2_url_filter": urlfilter.oracle(*urlfilter.train(urlfilter.labelled())),
+    "op6_warc": """
+WITH p AS (SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN payload_bytes >= 1000 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> first THEN first END AS refers_to FROM m
+""",
     "op8_preference_format": preference.ORACLE,
 }
