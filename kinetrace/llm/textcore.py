@@ -161,8 +161,22 @@ def shingles(word_hashes: np.ndarray, counts: np.ndarray, k: int) -> tuple[np.nd
     return mix(total[starts]), rows[starts]
 
 
-def crc32_text(values) -> list[int | None]:
-    """CRC-32 of the decimal text of each id."""
-    import zlib
+def trimmed(run):
+    """A partition function that gives freed memory back to the system at its end: workers serve many tasks."""
 
-    return [None if v is None else zlib.crc32(str(v).encode()) for v in values]
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return wrapped
+
+
+def release() -> None:
+    import ctypes
+
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library, which trims by its own rules

@@ -26,10 +26,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinetrace.llm.textcore import RangeHash, byte_table, lower_ascii, mix, salt, slices, utf8, words
+from kinetrace.llm.textcore import RangeHash, byte_table, lower_ascii, mix, release, salt, slices, trimmed, utf8, words
 
 #: Labelled documents of each class, and characters of each, that training reads at most.
-TRAIN_ROWS, TRAIN_CHARS = 1500, 20_000
+TRAIN_ROWS, TRAIN_CHARS = 800, 8_000
 #: Size of the weight table; tokens in a segment.
 BITS, SEGMENT = 18, 64
 _WORD = byte_table(lambda b: 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80)
@@ -41,7 +41,7 @@ def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     low = lower_ascii(data)
     starts, ends, counts = words(low, offsets, _WORD)
     n = len(starts)
-    out = np.zeros((n, len(FEATURES)), np.int64)
+    out = np.zeros((n, len(FEATURES)), np.int32)
     if n:
         hasher = RangeHash(low)
         word = hasher(starts, ends)
@@ -54,7 +54,7 @@ def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
         after[np.append(np.flatnonzero(edge)[1:] - 1, n - 1)] = 2
         kinds = [word, hasher(starts, np.minimum(ends, starts + 4)), hasher(starts, np.minimum(ends, starts + 6)), hasher(np.maximum(starts, ends - 4), ends), before, after]
         for k, h in enumerate(kinds):
-            out[:, k] = (mix(h + salt(k + 1)) >> np.uint64(64 - BITS)).astype(np.int64)
+            out[:, k] = (mix(h + salt(k + 1)) >> np.uint64(64 - BITS)).astype(np.int32)
     return starts, ends, counts, out
 
 
@@ -159,7 +159,7 @@ def _labelled_tokens(features: np.ndarray, counts: np.ndarray, toxic: np.ndarray
     base = max(toxic.mean(), 1e-6)
     out = np.zeros(len(features), bool)
     for k in range(4):
-        pairs = np.unique(features[:, k] << 32 | row)
+        pairs = np.unique(features[:, k].astype(np.int64) << 32 | row)
         f, r = pairs >> 32, pairs & 0xFFFFFFFF
         n = np.bincount(f, minlength=1 << BITS)
         t = np.bincount(f, toxic[r], minlength=1 << BITS)
@@ -297,7 +297,9 @@ def fit(docs: DataFrame, labels: DataFrame, where: Column, id_col: str = "doc_id
     text = F.substring(F.col(text_col).cast("string"), 1, TRAIN_CHARS)
     got = docs.select(F.col(id_col).alias("i"), text.alias("t")).where(F.col("t").isNotNull()).join(F.broadcast(chosen), "i").limit(3 * rows).collect()
     got.sort(key=lambda r: (str(r.i), r.t))
-    return train([r.t for r in got], [r.y for r in got])
+    field = train([r.t for r in got], [r.y for r in got])
+    release()
+    return field
 
 
 def tag_texts(df: DataFrame, field: Field | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -316,4 +318,4 @@ def tag_texts(df: DataFrame, field: Field | None, id_col: str = "doc_id", text_c
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(scores), pa.array(spans, kind)], ["id", "score", "spans"])
 
     schema = f"id {narrow.schema['id'].dataType.simpleString()}, score double, spans array<struct<start:int,end:int,p:double>>"
-    return narrow.mapInArrow(run, schema).toDF(id_col, "score", "spans")
+    return narrow.mapInArrow(trimmed(run), schema).toDF(id_col, "score", "spans")
