@@ -100,7 +100,7 @@ def exchanged(df: DataFrame, track: Track, parts: Sequence[str] = BODY_PARTS, fl
     return df.withColumns(first | second).withColumnRenamed("_flip", "flipped")
 
 
-def clean_paired(pose: DataFrame, keys: Sequence[str], parts: Sequence[str] = BODY_PARTS, limit: int = FILL_LIMIT) -> DataFrame:
+def clean_paired(pose: DataFrame, keys: Sequence[str], parts: Sequence[str] = BODY_PARTS, limit: int = FILL_LIMIT, apart: float = APART_PX, jump: float = JUMP_PX) -> DataFrame:
     """The whole repair of sessions with two tracks: one row per frame, ``{part}_{axis}_{animal}``.
 
     Adds ``drop_1``, ``drop_2``, ``swap_here`` and ``flipped``, from which
@@ -109,7 +109,7 @@ def clean_paired(pose: DataFrame, keys: Sequence[str], parts: Sequence[str] = BO
     values = [f"{p}_{a}" for p in parts for a in AXES]
     track = Track(tuple(keys))
     wide = densify(widen(pose, keys, values, 2), track)
-    wide = exchanged(gap_swaps(without_collisions(collisions(wide, track, parts), parts), track, parts), track, parts)
+    wide = exchanged(gap_swaps(without_collisions(collisions(wide, track, parts, apart, jump=jump), parts), track, parts), track, parts)
     wide = wide.withColumn("missing_1", F.col(f"{parts[0]}_x_1").isNull()).withColumn("missing_2", F.col(f"{parts[0]}_x_2").isNull())
     return wide.withColumns({f"{v}_{i}": track.filled(f"{v}_{i}", limit) for v in values for i in (1, 2)})
 

@@ -66,7 +66,7 @@ def pose(spark: SparkSession, sf_dir: str, animals: int = 2) -> DataFrame:
     for i in range(1, animals + 1):
         for p in BODY_PARTS:
             k = _XY[p, i]
-            columns += [(200 + 100 * v(k)).alias(f"{p}_{i}_x"), (200 + 100 * v(k + 1)).alias(f"{p}_{i}_y"), F.least(F.lit(1.0), F.abs(v(_P[p, i]))).alias(f"{p}_{i}_p")]
+            columns += [(200 + 600 * v(k)).alias(f"{p}_{i}_x"), (200 + 600 * v(k + 1)).alias(f"{p}_{i}_y"), F.least(F.lit(1.0), F.abs(v(_P[p, i]))).alias(f"{p}_{i}_p")]
     return e.select(F.col("label").alias("session"), "frame_idx", *columns)
 
 
@@ -76,7 +76,7 @@ def _pose_sql() -> str:
     for i in (1, 2):
         for p in BODY_PARTS:
             k = _XY[p, i]
-            columns += [f"200 + 100 * {v(k)} AS {p}_{i}_x", f"200 + 100 * {v(k + 1)} AS {p}_{i}_y", f"least(1.0, abs({v(_P[p, i])})) AS {p}_{i}_p"]
+            columns += [f"200 + 600 * {v(k)} AS {p}_{i}_x", f"200 + 600 * {v(k + 1)} AS {p}_{i}_y", f"least(1.0, abs({v(_P[p, i])})) AS {p}_{i}_p"]
     return f"pose AS (SELECT label AS session, CAST(row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS BIGINT) AS frame_idx, {', '.join(columns)} FROM embeddings)"
 
 
