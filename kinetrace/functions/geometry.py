@@ -71,7 +71,7 @@ def facing(nose: Point, body: Point, target: Point, limit: float = 45.0) -> Colu
     ux, uy, vx, vy = col(nose[0]) - col(body[0]), col(nose[1]) - col(body[1]), col(target[0]) - col(nose[0]), col(target[1]) - col(nose[1])
     cosine = F.try_divide(ux * vx + uy * vy, F.sqrt(ux * ux + uy * uy) * F.sqrt(vx * vx + vy * vy))
     angle = F.degrees(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cosine))))
-    return F.coalesce((angle <= limit).cast("int"), F.lit(0))
+    return F.when(cosine.isNotNull() & (angle <= limit), 1).otherwise(0)  # bounds pass over a null cosine
 
 
 def in_polygon(p: Point, corners: Sequence[Point]) -> Column:

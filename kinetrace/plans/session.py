@@ -11,6 +11,7 @@ from kinetrace.functions import geometry as G
 from kinetrace.operators import features, metrics, zones
 from kinetrace.operators.track import Track
 from kinetrace.schema import BODY_PARTS, DEFAULT_FPS, FAST, SLOW
+from kinetrace.sources.stage import shared_folder, stored
 
 
 def animal_frames(table: DataFrame, area: zones.Zones, keys: Sequence[str], animals: int, fps: float = DEFAULT_FPS, px_per_cm: float = 1.0) -> DataFrame:
@@ -45,11 +46,13 @@ def analyse(pose: DataFrame, events: DataFrame, area: zones.Zones, keys: Sequenc
     """Metrics of every animal and event from wide poses, converted events and zones.
 
     Results are null where they are missing; latencies and durations are in
-    seconds.
+    seconds. Features, frames by animal and time points are written to the
+    shared folder, since several steps read each.
     """
-    table = features.extract(pose, keys, animals)
-    rows = animal_frames(table, area, keys, animals, fps, px_per_cm)
-    points = metrics.time_points(rows, metrics.loom_events(events, keys), keys)
+    folder = shared_folder(pose.sparkSession)
+    table = stored(features.extract(pose, keys, animals), folder, "features")
+    rows = stored(animal_frames(table, area, keys, animals, fps, px_per_cm), folder, "frames")
+    points = stored(metrics.time_points(rows, metrics.loom_events(events, keys), keys), folder, "points")
     wanted = [metrics.Metric(m.name, m.kind, "calm_flag" if m.column == "calm" else m.column, m.span, m.smooth, m.post) for m in metrics.catalogue(fps, px_per_cm, animals == 2)]
     measured = metrics.measure(rows, points, keys, wanted)
     who = [*keys, "animal", "loom"]
