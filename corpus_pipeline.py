@@ -52,12 +52,16 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced by a mark; no document goes."""
-    found = secrets.update(docs, f"{shared_folder(spark)}/ledger")
-    text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.withColumn("blob_id", F.unhex(F.sha2(text.cast("binary"), 256))).join(found, "blob_id", "left")
+    folder = shared_folder(spark)
+    found = stored(secrets.update(docs, f"{folder}/ledger"), folder, "found")
+    named = docs.select(*COLUMNS).withColumn("blob_id", F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)))
+    # Most texts hold no secret; a bit table of bounded size lets these pass without a shuffle.
+    maybe, clear = split(named, stored(bit_table(found, "blob_id"), folder, "bits"), F.col("blob_id"))
+    met = maybe.join(found, "blob_id", "left")
     new = F.when(F.size("spans") > 0, secrets.redacted(F.col("text"), F.col("spans"))).otherwise(F.col("text"))
     n_chars = F.when(F.size("spans") > 0, F.length(new).cast("long")).otherwise(F.col("n_chars").cast("long"))
-    return rows.select("doc_id", new.alias("text"), "lang", "source", n_chars.alias("n_chars"))
+    changed = met.select("doc_id", new.alias("text"), "lang", "source", n_chars.alias("n_chars"))
+    return clear.select(*COLUMNS[:4], F.col("n_chars").cast("long").alias("n_chars")).unionByName(changed)
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

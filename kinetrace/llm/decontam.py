@@ -20,10 +20,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinetrace.llm.textcore import byte_table, hashed_words, lower_ascii, slices, utf8
+from kinetrace.llm.textcore import bounded, byte_table, hashed_words, lower_ascii, slices, trimmed, utf8
 
 #: Words in a window; bytes of a shard; bytes of test phrases held at once; distance of sampled suffix positions.
-WINDOW, SHARD_BYTES, BLOCK_BYTES, SAMPLE = 10, 4 << 20, 16 << 20, 16
+WINDOW, SHARD_BYTES, BLOCK_BYTES, SAMPLE = 10, 3 << 20, 16 << 20, 16
 #: Word bytes once A-Z are lower-cased: 0-9, a-z, and all bytes of characters outside ASCII.
 WORD = byte_table(lambda b: 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80)
 
@@ -251,6 +251,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     A document longer than a shard is a shard by itself, so memory follows the
     longest document.
     """
+    bounded(docs.sparkSession)
     blocks = phrase_blocks(benchmark, item_col, item_text_col, window, block_bytes)
     narrow = docs.select(F.col(id_col).alias("c0"), *[F.col(c).alias(f"c{k}") for k, c in enumerate(keep, 1)], F.col(text_col).cast("string").alias("t"))
     kinds = [narrow.schema[f"c{k}"].dataType.simpleString() for k in range(len(keep) + 1)]
@@ -290,4 +291,4 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
                 )
 
     schema = ", ".join([f"c{k} {kind}" for k, kind in enumerate(kinds)] + ["n_words bigint, n_hit bigint, items array<string>, spans array<struct<start:int,end:int,start_byte:int,end_byte:int>>, clean_text string"])
-    return narrow.mapInArrow(run, schema).toDF(id_col, *keep, "n_words", "n_hit", "items", "spans", "clean_text")
+    return narrow.mapInArrow(trimmed(run), schema).toDF(id_col, *keep, "n_words", "n_hit", "items", "spans", "clean_text")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinetrace.llm.textcore import byte_table, hashed_words, mix, salt, shingles, slices, utf8
+from kinetrace.llm.textcore import bounded, byte_table, hashed_words, mix, salt, shingles, slices, trimmed, utf8
 
 #: 16-bit lanes for equality and for likeness (a multiple of 64); words in a run that the latter count.
 EQUAL, ALIKE, RUN = 64, 128, 2
@@ -100,13 +100,14 @@ def from_text(value: str) -> np.ndarray:
 
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col`` and ``fingerprint`` (base64) of each row, in a narrow pass."""
+    bounded(df.sparkSession)
     narrow = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(as_text(vectors(b.column(1))), pa.string())], ["id", "fingerprint"])
 
-    return narrow.mapInArrow(run, f"id {narrow.schema['id'].dataType.simpleString()}, fingerprint string").toDF(id_col, "fingerprint")
+    return narrow.mapInArrow(trimmed(run), f"id {narrow.schema['id'].dataType.simpleString()}, fingerprint string").toDF(id_col, "fingerprint")
 
 
 def in_order(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int]:
@@ -119,7 +120,8 @@ def in_order(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int]
     spark = df.sparkSession
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"))
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    bounds = rows.agg(F.percentile_approx("id", [k / parts for k in range(1, parts)] or [0.5], 10_000).alias("q")).first()[0] or []
+    runs = 4 * parts  # several to a partition, which evens them out
+    bounds = rows.agg(F.percentile_approx("id", [k / runs for k in range(1, runs)], 10_000).alias("q")).first()[0] or []
     bounds = sorted(set(bounds))
     literal = F.array(*[F.lit(int(b)) for b in bounds]) if bounds else F.array().cast("array<bigint>")
     placed = rows.withColumn("run", F.coalesce(F.size(F.filter(literal, lambda b: b < F.col("id"))), F.lit(0)))
@@ -142,6 +144,7 @@ def edited_fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "
     ``id_col``, ``n_chars``, ``edited_sha256``, ``fingerprint``,
     ``edited_fingerprint``, ``near_edited``, ``near_next``.
     """
+    bounded(df.sparkSession)
     dealt, _ = in_order(df, id_col, text_col)
     names = [id_col, "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 
@@ -185,4 +188,4 @@ def edited_fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "
                 ids.append(i)
 
     schema = "id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    return dealt.mapInArrow(run, schema).toDF(*names)
+    return dealt.mapInArrow(trimmed(run), schema).toDF(*names)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinetrace.llm.textcore import slices, utf8
+from kinetrace.llm.textcore import bounded, slices, trimmed, utf8
 
 #: Bytes in a window, filter widths (2 to 4), filters of each width.
 WINDOW, WIDTHS, FILTERS = 256, (2, 3, 4), 16
@@ -203,6 +203,7 @@ def identify(df: DataFrame, model: ByteCNN | None, id_col: str = "doc_id", text_
     A null text or one without letters is ``und`` with score 0; so is every
     text if there is no model. One row out for each row in, null ids too.
     """
+    bounded(df.sparkSession)
     shipped = df.sparkSession.sparkContext.broadcast(model)
     others = [c for c in keep if c != text_col]
     narrow = df.select(F.col(id_col).alias("c0"), *[F.col(c).alias(f"c{k}") for k, c in enumerate(others, 1)], F.col(text_col).cast("string").alias("t"))
@@ -217,5 +218,5 @@ def identify(df: DataFrame, model: ByteCNN | None, id_col: str = "doc_id", text_
             yield pa.RecordBatch.from_arrays([*b.columns[: len(passed)], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [*passed, "lang_pred", "score"])
 
     place = {c: f"c{k}" for k, c in enumerate(others, 1)} | {text_col: "t"}
-    out = narrow.mapInArrow(run, schema)
+    out = narrow.mapInArrow(trimmed(run), schema)
     return out.select(F.col("c0").alias(id_col), *[F.col(place[c]).alias(c) for c in keep], "lang_pred", "score")

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from kinetrace.llm.graph import components
 from kinetrace.llm.scratch import shared_folder, stored
 from kinetrace.llm.sieve import bit_table, split
-from kinetrace.llm.textcore import byte_table, hashed_words, lower_ascii, mix, salt, shingles, slices, utf8
+from kinetrace.llm.textcore import bounded, byte_table, hashed_words, lower_ascii, mix, salt, shingles, slices, trimmed, utf8
 
 BANDS, ROWS = 32, 4
 REGISTERS = BANDS * ROWS
@@ -126,7 +126,7 @@ def sketch(df: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(at), pa.array(np.ascontiguousarray(bands).reshape(-1)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(sizes, pa.int64()), pa.array(sums[0]), pa.array(sums[1]), lists], ["id", "n_shingles", "d1", "d2", "bands"])
 
-    return narrow.mapInArrow(run, f"id {narrow.schema['id'].dataType.simpleString()}, n_shingles bigint, d1 bigint, d2 bigint, bands array<bigint>")
+    return narrow.mapInArrow(trimmed(run), f"id {narrow.schema['id'].dataType.simpleString()}, n_shingles bigint, d1 bigint, d2 bigint, bands array<bigint>")
 
 
 def link_block(texts: pa.Array, k: int, threshold: int, roots: list | None = None, side: list | None = None) -> list[int]:
@@ -219,6 +219,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     candidates' texts are shuffled.
     """
     spark = df.sparkSession
+    bounded(spark)
     folder = shared_folder(spark)
     docs = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t"))
     id_type = docs.schema["id"].dataType.simpleString()
@@ -250,7 +251,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     near, _ = split(docs, stored(bit_table(members, "id"), folder, "bits"), F.col("id"))
     texts = near.join(members, "id")
     dealt = texts.select("group", "block", "id", "t").repartition("group", "block").sortWithinPartitions("group", "block", "id")
-    links = stored(dealt.mapInArrow(first_pass, f"u {id_type}, v {id_type}"), folder, "links")
+    links = stored(dealt.mapInArrow(trimmed(first_pass), f"u {id_type}, v {id_type}"), folder, "links")
     large = members.where("blocks > 1")
     if large.isEmpty():
         joined = links.select(F.col("u").alias("id"), F.col("v").alias("root")).distinct()
@@ -260,7 +261,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         pairs = rows.withColumn("other", F.explode(F.expr("filter(sequence(0, blocks - 1), x -> x <> block)")))
         pairs = pairs.select("group", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "id", "t", "root", "block")
         dealt = pairs.repartition("group", "a", "b").sortWithinPartitions("group", "a", "b", "id")
-        more = stored(dealt.mapInArrow(second_pass, f"u {id_type}, v {id_type}"), folder, "more_links")
+        more = stored(dealt.mapInArrow(trimmed(second_pass), f"u {id_type}, v {id_type}"), folder, "more_links")
         joined = components(links.union(more), f"{folder}/joined")
     roots = joined.select(F.col("id").alias("rep"), "root")
     # An id with several sets may stand in several rows here; the smallest root holds.

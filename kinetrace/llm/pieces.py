@@ -25,12 +25,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinetrace.llm.textcore import slices, utf8
+from kinetrace.llm.textcore import bounded, slices, trimmed, utf8
 
 MARK = "▁"
-#: Chunks up to this length are remembered; entries of the table before it is emptied.
-MEMO_CHARS, MEMO_ENTRIES = 48, 400_000
-PAIR_ENTRIES = 400_000
+#: Chunks up to this length are remembered, in a younger and an older table of so many entries at most: when
+#: the younger is full it becomes the older, and what is asked for again moves over. Remembered pairs.
+MEMO_CHARS, MEMO_ENTRIES, PAIR_ENTRIES = 48, 120_000, 150_000
 #: Bytes of text whose ids are held at once.
 BATCH_BYTES = 1 << 20
 
@@ -82,7 +82,8 @@ class PieceTokenizer:
         known = set(usable)
         self.shorter: dict[str, str | None] = {p: next((p[:n] for n in range(len(p) - 1, 0, -1) if p[:n] in known), p[0] if len(p) > 1 else None) for p in usable}
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.memo: dict[str, tuple[int, str, str]] = {}
+        self.young: dict[str, tuple[int, str, str]] = {}
+        self.old: dict[str, tuple[int, str, str]] = {}
         whole = any(MARK in p.lstrip(MARK) for p in self.ids)
         self.chunks = re.compile("(?s).+" if whole else f"{MARK}*[^{MARK}]+|{MARK}+")
 
@@ -174,23 +175,27 @@ class PieceTokenizer:
 
     def chunk(self, chunk: str) -> tuple[int, str, str]:
         """Number of ids, ids joined by commas, and decoded text of a chunk."""
-        known = self.memo.get(chunk)
+        known = self.young.get(chunk) or self.old.get(chunk)
         if known is None:
             ids = self.chunk_ids(chunk)
             known = len(ids), ",".join(map(str, ids)), self._joined(ids)
-            if len(chunk) <= MEMO_CHARS:
-                if len(self.memo) >= MEMO_ENTRIES:
-                    self.memo.clear()
-                self.memo[chunk] = known
+        if len(chunk) <= MEMO_CHARS:
+            if len(self.young) >= MEMO_ENTRIES:
+                self.young, self.old = {}, self.young
+            self.young[chunk] = known
         return known
 
+    def forget(self) -> None:
+        """Empties the tables of chunks, so that an idle worker holds little."""
+        self.young, self.old = {}, {}
+
     def summary(self, text: str) -> tuple[int, str, str]:
         """As :meth:`chunk`, for a whole text, with the leading space taken off the decoded text."""
         chunks = self.chunked(text)
         if not chunks:
             return 0, "", ""
-        memo, chunk = self.memo, self.chunk
-        counts, ids, decoded = zip(*[memo.get(c) or chunk(c) for c in chunks], strict=True)
+        chunk = self.chunk
+        counts, ids, decoded = zip(*[self.young.get(c) or chunk(c) for c in chunks], strict=True)
         whole = "".join(decoded)
         return sum(counts), ",".join(ids), whole[1:] if self.prefix and whole.startswith(" ") else whole
 
@@ -217,6 +222,7 @@ def encode_texts(df: DataFrame, model_path: str, id_col: str = "doc_id", text_co
     and repeated rows pass through, one row out for each row in; other columns
     are not read.
     """
+    bounded(df.sparkSession)
     with open(model_path, "rb") as f:
         model = df.sparkSession.sparkContext.broadcast(f.read())
     id_type = df.schema[id_col].dataType.simpleString()
@@ -234,6 +240,7 @@ def encode_texts(df: DataFrame, model_path: str, id_col: str = "doc_id", text_co
                     flat = np.array(",".join(x for x in ids if x).split(","), np.int32) if any(ids) else np.zeros(0, np.int32)
                     pair = [pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(flat)), pa.array(decoded, pa.string())]
                 yield pa.RecordBatch.from_arrays([whole.column(0).slice(i, j - i), pa.array(counts, pa.int64()), *pair], ["id", *names[1:]])
+        t.forget()
 
     narrow = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return narrow.mapInArrow(run, f"id {id_type}, n_tokens bigint, {kind}").toDF(*names)
+    return narrow.mapInArrow(trimmed(run), f"id {id_type}, n_tokens bigint, {kind}").toDF(*names)

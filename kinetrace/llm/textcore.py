@@ -11,30 +11,42 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
 #: Odd multiplier of the polynomial word hash, and its inverse modulo 2**64.
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 #: Bytes of text that one vector step works on; bounds the temporary arrays.
 SLICE_BYTES = 2 << 20
+#: Bytes of an Arrow batch between the JVM and a worker; both sides hold a few.
+BATCH_BYTES = 8 << 20
 
 _powers = np.ones(1, np.uint64)
 _inverses = np.ones(1, np.uint64)
 
 
+def bounded(spark: SparkSession) -> None:
+    """Lowers the session's limit on the bytes of an Arrow batch, which counts rows alone otherwise."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key).rstrip("b")
+    if not now.isdigit() or not 0 < int(now) <= BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets (one more than rows) of a string column; null reads as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    if not pa.types.is_large_string(column.type):
+    if not (pa.types.is_string(column.type) or pa.types.is_large_string(column.type)):
         column = column.cast(pa.large_string())
-    if column.null_count:
-        column = column.fill_null("")
     n = len(column)
     if n == 0:
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
-    _, offsets, data = column.buffers()
-    at = np.frombuffer(offsets, np.int64)[column.offset : column.offset + n + 1]
+    valid, offsets, data = column.buffers()
+    wide = pa.types.is_large_string(column.type)
+    at = np.frombuffer(offsets, np.int64 if wide else np.int32)[column.offset : column.offset + n + 1].astype(np.int64)
+    if valid is not None and column.null_count and np.diff(at)[column.is_null().to_numpy(zero_copy_only=False)].any():
+        return utf8(column.fill_null(""))  # bytes below a null
     if data is None:
         return np.zeros(0, np.uint8), np.zeros(n + 1, np.int64)
     return np.frombuffer(data, np.uint8)[at[0] : at[-1]], at - at[0]
@@ -162,11 +174,14 @@ def shingles(word_hashes: np.ndarray, counts: np.ndarray, k: int) -> tuple[np.nd
 
 
 def trimmed(run):
-    """A partition function that gives freed memory back to the system at its end: workers serve many tasks."""
+    """A partition function that gives freed memory back to the system after each batch: workers serve many tasks."""
 
     def wrapped(batches):
         try:
-            yield from run(batches)
+            for batch in run(batches):
+                yield batch
+                del batch
+                release()
         finally:
             release()
 
@@ -174,8 +189,10 @@ def trimmed(run):
 
 
 def release() -> None:
+    """Returns memory that Arrow's pool and the C library keep for later."""
     import ctypes
 
+    pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
     except (OSError, AttributeError):

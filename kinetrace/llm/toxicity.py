@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinetrace.llm.textcore import RangeHash, byte_table, lower_ascii, mix, release, salt, slices, trimmed, utf8, words
+from kinetrace.llm.textcore import RangeHash, bounded, byte_table, lower_ascii, mix, release, salt, slices, trimmed, utf8, words
 
 #: Labelled documents of each class, and characters of each, that training reads at most.
 TRAIN_ROWS, TRAIN_CHARS = 800, 8_000
@@ -308,6 +308,7 @@ def tag_texts(df: DataFrame, field: Field | None, id_col: str = "doc_id", text_c
     Null and empty texts have no token; their score is the fitted one for no
     evidence. Without a model every score is 0. One row out for each row in.
     """
+    bounded(df.sparkSession)
     shipped = df.sparkSession.sparkContext.broadcast(field)
     narrow = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t"))
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("p", pa.float64())]))
