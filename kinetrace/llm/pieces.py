@@ -9,9 +9,9 @@ piece fits at a position, the position is marked in a bitfield of failed
 positions and the walk goes back to a shorter piece. The sequence found is the
 one that the merge loop yields.
 
-Pieces never hold a word mark behind another character in vocabularies whose
-merges stay inside words; texts then fall into chunks that cannot influence one
-another, and the results of short chunks are remembered in a bounded table.
+Where no piece of the vocabulary holds two characters side by side, no merge
+can join them; texts fall into chunks at such borders, and the results of short
+chunks are remembered in a bounded table.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from kinetrace.llm.textcore import bounded, slices, trimmed, utf8
 MARK = "▁"
 #: Chunks up to this length are remembered, in a younger and an older table of so many entries at most: when
 #: the younger is full it becomes the older, and what is asked for again moves over. Remembered pairs.
-MEMO_CHARS, MEMO_ENTRIES, PAIR_ENTRIES = 48, 120_000, 150_000
+MEMO_CHARS, MEMO_ENTRIES, PAIR_ENTRIES = 48, 120_000, 120_000
 #: Bytes of text whose ids are held at once.
 BATCH_BYTES = 1 << 20
 
@@ -82,10 +82,30 @@ class PieceTokenizer:
         known = set(usable)
         self.shorter: dict[str, str | None] = {p: next((p[:n] for n in range(len(p) - 1, 0, -1) if p[:n] in known), p[0] if len(p) > 1 else None) for p in usable}
         self.pairs: dict[tuple[str, str], bool] = {}
+        self.old_pairs: dict[tuple[str, str], bool] = {}
+        self.known = {p: (str(i), self.surface[i]) for p, i in self.ids.items()}
         self.young: dict[str, tuple[int, str, str]] = {}
         self.old: dict[str, tuple[int, str, str]] = {}
-        whole = any(MARK in p.lstrip(MARK) for p in self.ids)
-        self.chunks = re.compile("(?s).+" if whole else f"{MARK}*[^{MARK}]+|{MARK}+")
+        self.chunks = self._boundaries()
+
+    def _boundaries(self) -> re.Pattern:
+        """A pattern of chunks whose borders no piece crosses, so that no merge does.
+
+        Chunks end before a word mark; between a letter and an ASCII mark, where
+        no piece holds the two side by side; and around line ends, if no piece
+        holds one.
+        """
+        beside = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
+        if any(b[1] == MARK != b[0] for b in beside):
+            return re.compile("(?s).+")
+        letters = [chr(c) for c in range(0x41, 0x250) if chr(c).isalpha()]
+        after = [chr(c) for c in range(0x21, 0x7F) if not chr(c).isalnum() and not any(x + chr(c) in beside for x in letters)]
+        own = "" if any("\n" in p for p in self.ids) else "\n"
+        line = f"{own}+|" if own else ""
+        if not after:
+            return re.compile(f"{line}{MARK}*[^{MARK}{own}]+|{MARK}+")
+        marks, alphabet = re.escape("".join(after)), "".join(letters)
+        return re.compile(f"{line}{MARK}*[^{MARK}{own}{marks}]*[{alphabet}](?=[{marks}])|{MARK}*[^{MARK}{own}]+|{MARK}+")
 
     def merge(self, text: str) -> list[str]:
         """What the merge loop makes of a short text: best score first, then leftmost."""
@@ -104,36 +124,70 @@ class PieceTokenizer:
         """Whether b may follow a: merging both again yields the two."""
         known = self.pairs.get((a, b))
         if known is None:
+            known = self.old_pairs.get((a, b))
+            if known is None:
+                known = self.stay_apart(a, b)
             if len(self.pairs) >= PAIR_ENTRIES:
-                self.pairs.clear()
-            known = self.pairs[a, b] = self.merge(a + b) == [a, b]
+                self.pairs, self.old_pairs = {}, self.pairs
+            self.pairs[a, b] = known
         return known
 
+    def stay_apart(self, a: str, b: str) -> bool:
+        """Whether merging the joined text of two pieces yields the two: given up at the first merge over their border."""
+        parts, border, score = list(a + b), len(a), self.score
+        found = [score.get(parts[i] + parts[i + 1]) for i in range(len(parts) - 1)]
+        while len(parts) > 2:
+            best, at = None, -1
+            for i, v in enumerate(found):
+                if v is not None and (best is None or v > best):
+                    best, at = v, i
+            if at < 0 or at + 1 == border:
+                return False
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del found[at]
+            if at:
+                found[at - 1] = score.get(parts[at - 1] + parts[at])
+            if at < len(found):
+                found[at] = score.get(parts[at] + parts[at + 1])
+            if at < border:
+                border -= 1
+        return border == 1 and found[0] is None
+
     def walk(self, chunk: str) -> list[str]:
         """The pieces of one chunk, by backtracking."""
         n = len(chunk)
         longest: list[str] = list(chunk)  # a character that no piece holds stands for itself
+        seen = -1
         for end, piece in self.matcher.iter(chunk[::-1]):
-            start = n - 1 - end
-            if len(piece) > len(longest[start]):
-                longest[start] = piece
-        failed = bytearray((n >> 3) + 1)
-        out: list[str] = []
+            if end != seen:  # the first match at an end is the longest
+                longest[n - 1 - end] = piece
+                seen = end
+        failed: bytearray | None = None  # a bit for each position from which nothing fits
+        pairs, out, before = self.pairs, [], None
         at, piece = 0, longest[0]
         while at < n:
             end = at + len(piece)
-            if not failed[end >> 3] >> (end & 7) & 1 and (not out or self.fits(out[-1], piece)):
-                out.append(piece)
-                at = end
-                if at < n:
-                    piece = longest[at]
-                continue
+            if failed is None or not failed[end >> 3] >> (end & 7) & 1:
+                if before is None:
+                    good = True
+                elif (good := pairs.get((before, piece))) is None:
+                    good = self.fits(before, piece)
+                    pairs = self.pairs
+                if good:
+                    out.append(piece)
+                    before, at = piece, end
+                    if at < n:
+                        piece = longest[at]
+                    continue
             less = self.shorter.get(piece)
             if less is not None:
                 piece = less
                 continue
+            if failed is None:
+                failed = bytearray((n >> 3) + 1)
             failed[at >> 3] |= 1 << (at & 7)
             piece = out.pop()
+            before = out[-1] if out else None
             at -= len(piece)
         return out
 
@@ -177,8 +231,12 @@ class PieceTokenizer:
         """Number of ids, ids joined by commas, and decoded text of a chunk."""
         known = self.young.get(chunk) or self.old.get(chunk)
         if known is None:
-            ids = self.chunk_ids(chunk)
-            known = len(ids), ",".join(map(str, ids)), self._joined(ids)
+            try:
+                ids, surfaces = zip(*[self.known[p] for p in self.walk(chunk)], strict=True)
+                known = len(ids), ",".join(ids), "".join(surfaces)
+            except KeyError:  # characters that become bytes
+                ids = self.chunk_ids(chunk)
+                known = len(ids), ",".join(map(str, ids)), self._joined(ids)
         if len(chunk) <= MEMO_CHARS:
             if len(self.young) >= MEMO_ENTRIES:
                 self.young, self.old = {}, self.young
