@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinetrace.llm import decontam, fingerprint, langid, neardup, pieces, preference, secrets, toxicity, urlfilter, warc
+from kinetrace.llm import decontam, fingerprint, langid, neardup, oracles, pieces, preference, secrets, toxicity, urlfilter, warc
 from kinetrace.llm.scratch import shared_folder
 
 
@@ -112,12 +112,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_decontamination": oracles.decontamination(),
     "op2_url_filter": urlfilter.oracle(*urlfilter.train(urlfilter.labelled())),
+    "op5_near_duplicates": oracles.near_duplicates(),
     "op6_warc": """
 WITH p AS (SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
 m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
 SELECT page_id, payload_bytes, payload_digest, CASE WHEN payload_bytes >= 1000 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN payload_bytes >= 1000 AND page_id <> first THEN first END AS refers_to FROM m
 """,
+    "op7_secret_scan": secrets.oracle(),
     "op8_preference_format": preference.ORACLE,
 }

@@ -148,3 +148,22 @@ def redacted(text: Column, spans: Column, mark: str = "[secret]") -> Column:
 
     done = F.aggregate(spans, empty, step, lambda acc: F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.length(text))))
     return F.when(F.size(spans) > 0, done).otherwise(text)
+
+
+def oracle(rules: tuple[Rule, ...] = RULES) -> str:
+    """DuckDB SQL for the query over ``documents``."""
+    found = []
+    for k, r in enumerate(rules):
+        p = r.pattern.replace("'", "''")
+        found.append(f"SELECT doc_id, {k} AS k, '{r.kind}' AS kind, {r.least} AS least, regexp_extract_all(t, '{p}', 0) AS m, regexp_extract_all(t, '{p}', {r.group}) AS g, regexp_split_to_array(t, '{p}') AS s FROM d")
+    base = ", ".join(f"'{r.kind}'" for r in BASE)
+    counts = ", ".join(f"CAST(count(*) FILTER (kind = '{r.kind}') AS BIGINT) AS n_{r.kind}" for r in BASE)
+    text = "coalesce(string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, k){}, '')"
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), f AS ({" UNION ALL ".join(found)}),
+i AS (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM f),
+p AS (SELECT doc_id, k, kind, CAST(coalesce(list_sum(list_transform(s[1:i], lambda x: length(x))), 0) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS a, length(m[i]) AS n FROM i WHERE length(g[i]) >= least),
+q AS (SELECT doc_id, k, kind, a, a + n AS b FROM p),
+r AS (SELECT doc_id, {counts}, sha256({text.format(f" FILTER (kind IN ({base}))")}) AS base_sha256, {text.format("")} AS spans FROM q GROUP BY doc_id)
+SELECT d.doc_id, {", ".join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in BASE)}, coalesce(base_sha256, sha256('')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN r USING (doc_id)
+"""
