@@ -198,7 +198,7 @@ def path_distances(frames: DataFrame, points: DataFrame, keys: Sequence[str], sp
 
 
 def catalogue(fps: float = DEFAULT_FPS, px_per_cm: float = 1.0, paired: bool = True) -> list[Metric]:
-    """The declared metrics over standard columns of an animal's frames.
+    """The declared metrics over standard columns of an animal's frames; their names are fixed values.
 
     Columns: ``calm`` (below the high speed threshold), ``angle_to_loom``, ``facing_loom``, ``speed``
     (mean step of nose, tail base and ears), ``nest_speed`` (mean change of the parts' distance to the nest),
@@ -213,19 +213,19 @@ def catalogue(fps: float = DEFAULT_FPS, px_per_cm: float = 1.0, paired: bool = T
     out = [
         Metric("Freeze Percent (2s window starting at loom)", "percent", "calm", Span(end_offset=f(2))),
         Metric("Freeze Percent (window over whole loom)", "percent", "calm", during),
-        Metric("Angle to loom (during loom)", "mean", "angle_to_loom", during),
-        Metric("Angle to loom (0.2s after loom)", "mean", "angle_to_loom", blink),
-        Metric("Angle to loom (10s before loom)", "mean", "angle_to_loom", before),
+        Metric("Angle to loom(during loom)", "mean", "angle_to_loom", during),
+        Metric("Angle to loom(0.2 seconds after loom)", "mean", "angle_to_loom", blink),
+        Metric("Angle to loom(10s before loom)", "mean", "angle_to_loom", before),
         Metric("Facing loom percent", "percent", "facing_loom", during),
-        Metric("Max velocity (start loom - nest entry)", "max_smoothed", "speed", entry, 5, speed),
-        Metric("Max velocity (10s before loom)", "max_smoothed", "speed", lead_up, 5, speed),
-        Metric("Max velocity to nest (start loom - nest entry)", "max_smoothed", "nest_speed", entry, 3, speed),
-        Metric("Max velocity to nest (10s before loom)", "max_smoothed", "nest_speed", lead_up, 3, speed),
+        Metric("Max velocity(start loom - nest entry)", "max_smoothed", "speed", entry, 5, speed),
+        Metric("Max velocity(10s before loom)", "max_smoothed", "speed", lead_up, 5, speed),
+        Metric("Max velocity to nest(start loom - nest entry)", "max_smoothed", "nest_speed", entry, 3, speed),
+        Metric("Max velocity to nest(10s before loom)", "max_smoothed", "nest_speed", lead_up, 3, speed),
     ]
     if paired:
         both = lambda s: Span(s.start, s.end, s.start_offset, s.end_offset, s.most, True)
         to_nest, after = Span(end="latency"), Span("latency", "latency", 0, f(10))
-        four = (("during loom", both(during)), ("loom to nest", both(to_nest)), ("10s before loom", before), ("10s after nest entry", after))
+        four = (("during loom", both(during)), ("start loom - nest entry", both(to_nest)), ("10s before loom", before), ("10s after nest entry", after))
         for title, column, post in (
             ("Midline angle average", "relative_midline_angle", None),
             ("Nose to nose average", "nose_to_nose_distance", cm),
@@ -233,7 +233,7 @@ def catalogue(fps: float = DEFAULT_FPS, px_per_cm: float = 1.0, paired: bool = T
             ("Nose2 to tail1 average", "nose_2_to_tail_1_distance", cm),
         ):
             out += [Metric(f"{title} ({where})", "mean", column, span, 1, post) for where, span in four]
-        out.append(Metric("Midline angle average (0.2s after loom)", "mean", "relative_midline_angle", both(blink)))
+        out.append(Metric("Midline angle average (0.2 seconds after loom)", "mean", "relative_midline_angle", both(blink)))
     titles = {"nose": "Nose", "ear_left": "Left Ear", "ear_right": "Right Ear", "head": "Head", "body_center": "Body Center", "tail_base": "Tail Base"}
     out += [Metric(f"Missing {titles[p]} Frames", "sum", f"still_{p}", around) for p in sorted(BODY_PARTS)]
     return [*out, Metric("Missing Identity Frames", "sum", "still_all", around)]

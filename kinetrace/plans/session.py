@@ -58,8 +58,8 @@ def analyse(pose: DataFrame, events: DataFrame, area: zones.Zones, keys: Sequenc
     who = [*keys, "animal", "loom"]
     out = points.select(*who, (F.col("freeze_start") / fps).alias("Freeze start"), (F.col("freeze_length") / fps).alias("Freeze length"), (F.col("latency") / fps).alias("Latency to nest"), (F.col("stay") / fps).alias("Time in nest")).join(measured, who)
     if animals == 2:
-        for title, part in (("body center", "body_center"), ("head", "head")):
-            for where, span in (("loom to nest", metrics.Span(end="latency")), ("10s before loom", metrics.Span(start_offset=-int(10 * fps)))):
-                d = metrics.path_distances(rows, points, keys, span, part).withColumnRenamed("frechet", f"Frechet Distance {title} ({where})")
+        for part in ("body_center", "head"):
+            for where, span in (("start loom - nest entry", metrics.Span(end="latency")), ("10s before loom - loom", metrics.Span(start_offset=-int(10 * fps)))):
+                d = metrics.path_distances(rows, points, keys, span, part).withColumnRenamed("frechet", f"Frechet Distance {part} ({where})")
                 out = out.join(d, [*keys, "loom"], "left")
     return out
