@@ -101,17 +101,21 @@ def read_sheet(spark: SparkSession, path: str, loom_session: str = "L1", animal_
     return sheet_events(sheets(spark, path), loom_session, animal_ids)
 
 
-def log_events(df: DataFrame, event_type_column: str = "event_type", time_column: str = "timestamp", end_time_column: str | None = None, row: str | None = None) -> DataFrame:
-    """Events of a log in its order (``row``, or time): ids ``bonsai_1`` and on; a missing type column means ``unknown``."""
+def log_events(df: DataFrame, event_type_column: str = "event_type", time_column: str = "timestamp", end_time_column: str | None = None, row: str | None = None, keys: Sequence[str] = ()) -> DataFrame:
+    """Events of logs in their order (``row``, or time): ids ``bonsai_1`` and on; a missing type column means ``unknown``.
+
+    ``keys`` tell logs apart and stay in the result; without any the table is
+    one session's log.
+    """
     kind = F.col(event_type_column).cast("string") if event_type_column in df.columns else F.lit("unknown")
     end = F.col(end_time_column).try_cast("double") if end_time_column and end_time_column in df.columns else F.lit(None).cast("double")
-    order = Window.orderBy(row or F.col(time_column).try_cast("double"))  # one session's log, a few hundred rows
-    return df.select(F.concat(F.lit("bonsai_"), F.row_number().over(order)).alias("event_id"), kind.alias("event_type"), F.col(time_column).try_cast("double").alias("time_start"), end.alias("time_end"))
+    order = Window.partitionBy(*keys).orderBy(row or F.col(time_column).try_cast("double"))
+    return df.select(*keys, F.concat(F.lit("bonsai_"), F.row_number().over(order)).alias("event_id"), kind.alias("event_type"), F.col(time_column).try_cast("double").alias("time_start"), end.alias("time_end"))
 
 
 def read_log(spark: SparkSession, path: str, event_type_column: str = "event_type", time_column: str = "timestamp", end_time_column: str | None = None, **_) -> DataFrame:
-    df = spark.read.option("header", "true").csv(path).withColumn("_row", F.monotonically_increasing_id())
-    return log_events(df, event_type_column, time_column, end_time_column, "_row")
+    df = spark.read.option("header", "true").csv(path).withColumns({"_row": F.monotonically_increasing_id(), "_source": F.input_file_name()})
+    return log_events(df, event_type_column, time_column, end_time_column, "_row", ["_source"]).drop("_source")
 
 
 #: Readers by the type that a configuration names; more may be registered.
@@ -119,11 +123,17 @@ READERS: dict[str, Callable[..., DataFrame]] = {"master_scoring_sheet": read_she
 
 
 def collect(spark: SparkSession, sources: Sequence[dict], **context) -> DataFrame:
-    """Events of all configured sources; unknown types are passed over, and no source means no rows."""
+    """Events of all configured sources; unknown types are passed over, and no source means no rows.
+
+    A source's ``session`` (names and values) becomes columns, so that the
+    sources of many sessions make one table.
+    """
     out = spark.createDataFrame([], _EVENT)
     for s in sources:
         if reader := READERS.get(s["type"]):
-            out = out.unionByName(reader(spark, s["path"], **context, **{k: v for k, v in s.items() if k not in ("type", "path")}))
+            found = reader(spark, s["path"], **context, **{k: v for k, v in s.items() if k not in ("type", "path", "session")})
+            found = found.withColumns({k: F.lit(v) for k, v in s.get("session", {}).items()})
+            out = out.unionByName(found, allowMissingColumns=True)
     return out
 
 

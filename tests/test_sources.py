@@ -35,6 +35,8 @@ def test_frame_times_and_events(spark, tmp_path):
     done = {r.event_id: r for r in events.with_frames(found, pts).collect()}
     assert (done["bonsai_1"].frame_start, done["bonsai_1"].frame_end, done["bonsai_2"].frame_start, done["bonsai_2"].frame_end) == (1, 3, 3, None)
     assert events.collect(spark, []).count() == 0
+    two = events.collect(spark, [{**sources[0], "session": {"day": d}} for d in ("D1", "D2")])
+    assert sorted((r.day, r.event_id) for r in two.collect()) == [("D1", "bonsai_1"), ("D1", "bonsai_2"), ("D2", "bonsai_1"), ("D2", "bonsai_2")]
     out = str(tmp_path / "events")
     sinks.write_events(events.with_frames(found, pts), out)
     text = "".join(open(f"{out}/{f}").read() for f in sorted(os.listdir(out)) if f.startswith("part"))
