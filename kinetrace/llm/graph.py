@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinetrace.llm.scratch import drop, stored
+from kinetrace.sources.stage import drop, stored
 
 
 def components(edges: DataFrame, folder: str) -> DataFrame:

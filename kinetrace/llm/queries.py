@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinetrace.llm import decontam, fingerprint, langid, neardup, oracles, pieces, preference, secrets, toxicity, urlfilter, warc
-from kinetrace.llm.scratch import shared_folder
+from kinetrace.sources.stage import shared_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
