@@ -174,7 +174,7 @@ def low_probability(spark, sf_dir):
     return pose(spark, sf_dir).select("session", "frame_idx", *[stats.in_range([F.col(p) for p in _PS], 0.0, b).alias(f"low_{n}") for n, b in (("10", 0.1), ("50", 0.5), ("75", 0.75))])
 
 
-def _frechet_sql(n: int, m: int) -> str:
+def _frechet_sql(n: int, m: int) -> tuple[str, str, str]:
     """The table of coupled distances, an antidiagonal a step."""
     d = lambda i, j: f"sqrt((p[{i + 1}].x - q[{j + 1}].x) * (p[{i + 1}].x - q[{j + 1}].x) + (p[{i + 1}].y - q[{j + 1}].y) * (p[{i + 1}].y - q[{j + 1}].y))"
     steps = []

@@ -11,7 +11,7 @@ from kinetrace.functions import geometry as G
 from kinetrace.operators import clean, correct, features, metrics, zones
 from kinetrace.operators.track import Track
 from kinetrace.plans.base import FRAMES, POSE, SESSION, frames, pose, query, r, rounded, sql_angle, sql_between, sql_distance, sql_facing, sql_in_polygon, sql_point, sql_segment
-from kinetrace.plans.geometry_queries import LOOM, NEST, RADIUS, _hull_sql
+from kinetrace.plans.geometry_queries import LOOM, NEST, RADIUS, _frechet_sql, _hull_sql
 from kinetrace.schema import BODY_PARTS, ROLLING, wide_columns
 
 _W = "PARTITION BY session ORDER BY frame_idx"
@@ -95,11 +95,12 @@ def step_swaps(spark, sf_dir):
 # Features
 
 
-def _features_sql() -> str:
+def _features_sql(animals: int) -> str:
+    every, pair = range(1, animals + 1), animals == 2
     pts = lambda i: [sql_point(f"{q}_{i}") for q in BODY_PARTS]
     at = lambda q, i: sql_point(f"{q}_{i}")
     one: dict[str, str] = {}
-    for i in (1, 2):
+    for i in every:
         one[f"poly_area_{i}"] = _hull_sql(pts(i), "perimeter")
         one[f"nose_to_tail_{i}"] = sql_distance(at("nose", i), at("tail_base", i))
         one[f"ear_distance_{i}"] = sql_distance(at("ear_left", i), at("ear_right", i))
@@ -107,69 +108,77 @@ def _features_sql() -> str:
         turn = sql_angle(at("ear_left", i), at("nose", i), at("ear_right", i))
         one[f"nose_angle_{i}"] = f"CASE WHEN {turn} > 180 THEN {turn} - 360 ELSE {turn} END"
         one[f"d{i}"] = "[" + ", ".join(sql_distance(a, b) for a, b in combinations(pts(i), 2)) + "]"
-    for n, q in (("nose_to_nose", "nose"), ("body_to_body", "body_center"), ("tail_to_tail", "tail_base")):
-        one[f"{n}_distance"] = sql_distance(at(q, 1), at(q, 2))
-    one["nose_1_to_tail_2_distance"] = sql_distance(at("nose", 1), at("tail_base", 2))
-    one["nose_2_to_tail_1_distance"] = sql_distance(at("nose", 2), at("tail_base", 1))
-    one["relative_midline_angle"] = sql_between(at("nose", 1), at("tail_base", 1), at("nose", 2), at("tail_base", 2))
-    one["relative_nose_head_angle"] = sql_between(at("nose", 1), at("head", 1), at("nose", 2), at("head", 2))
-    ps = [f"{q}_{i}_p" for i in (2, 1) for q in BODY_PARTS]
+    if pair:
+        for n, q in (("nose_to_nose", "nose"), ("body_to_body", "body_center"), ("tail_to_tail", "tail_base")):
+            one[f"{n}_distance"] = sql_distance(at(q, 1), at(q, 2))
+        one["nose_1_to_tail_2_distance"] = sql_distance(at("nose", 1), at("tail_base", 2))
+        one["nose_2_to_tail_1_distance"] = sql_distance(at("nose", 2), at("tail_base", 1))
+        one["relative_midline_angle"] = sql_between(at("nose", 1), at("tail_base", 1), at("nose", 2), at("tail_base", 2))
+        one["relative_nose_head_angle"] = sql_between(at("nose", 1), at("head", 1), at("nose", 2), at("head", 2))
+    ps = [f"{q}_{i}_p" for i in reversed(every) for q in BODY_PARTS]
     one["sum_probabilities"] = " + ".join(ps)
     for b in ("0.1", "0.5", "0.75"):
         one[f"low_prob_detections_{b}"] = " + ".join(f"CASE WHEN {p} BETWEEN 0 AND {b} THEN 1 ELSE 0 END" for p in ps)
-    two = {f"m{i}_hull_{n}_euclidean": e.format(d=f"d{i}") for i in (1, 2) for n, e in (("large", "list_max({d})"), ("small", "list_min({d})"), ("mean", "list_avg({d})"), ("sum", "2 * list_sum({d})"))}
+    two = {f"m{i}_hull_{n}_euclidean": e.format(d=f"d{i}") for i in every for n, e in (("large", "list_max({d})"), ("small", "list_min({d})"), ("mean", "list_avg({d})"), ("sum", "2 * list_sum({d})"))}
     was = lambda c: f"coalesce(lag({c}) OVER w, {c})"
-    three = {"sum_euclidean_distance_hull": "m1_hull_sum_euclidean + m2_hull_sum_euclidean"}
-    for i in (1, 2):
+    three = {"sum_euclidean_distance_hull": "m1_hull_sum_euclidean + m2_hull_sum_euclidean"} if pair else {}
+    for i in every:
         for q in BODY_PARTS:
             x, y = at(q, i)
             three[f"movement_mouse_{i}_{q}"] = sql_distance((was(x), was(y)), (x, y))
         for c in ("poly_area", "nose_to_tail", "ear_distance", "body_center_angle", "nose_angle"):
             three[f"movement_mouse_{i}_{c}"] = f"{was(f'{c}_{i}')} - {c}_{i}"
-    for c in ("nose_to_nose_distance", "tail_to_tail_distance", "relative_midline_angle", "relative_nose_head_angle"):
+    for c in ("nose_to_nose_distance", "tail_to_tail_distance", "relative_midline_angle", "relative_nose_head_angle") if pair else ():
         three[f"movement_{c}"] = f"{was(c)} - {c}"
     total = lambda i: " + ".join(f"movement_mouse_{i}_{q}" for q in BODY_PARTS)
-    four = {f"total_movement_all_bodyparts_m{i}": total(i) for i in (1, 2)} | {
-        "total_movement_all_bodyparts_both_mice": f"{total(1)} + {total(2)}",
-        "total_movement_nose": "movement_mouse_1_nose + movement_mouse_2_nose",
-        "total_movement_tail_base": "movement_mouse_1_tail_base + movement_mouse_2_tail_base",
-    }
+    four = {f"total_movement_all_bodyparts_m{i}": total(i) for i in every}
+    if pair:
+        four |= {
+            "total_movement_all_bodyparts_both_mice": f"{total(1)} + {total(2)}",
+            "total_movement_nose": "movement_mouse_1_nose + movement_mouse_2_nose",
+            "total_movement_tail_base": "movement_mouse_1_tail_base + movement_mouse_2_tail_base",
+        }
     rolled = (
         "sum_euclidean_distance_hull total_movement_all_bodyparts_both_mice nose_to_nose_distance tail_to_tail_distance m1_hull_mean_euclidean m2_hull_mean_euclidean m1_hull_small_euclidean m2_hull_small_euclidean "
         "m1_hull_large_euclidean m2_hull_large_euclidean movement_mouse_1_tail_base movement_mouse_2_tail_base movement_mouse_1_nose movement_nose_to_nose_distance"
     ).split()
+    hulls = [f"m{i}_hull_{k}_euclidean" for i in every for k in ("small", "large", "mean")]
+    both = ("total_movement_all_bodyparts_both_mice", "sum_euclidean_distance_hull") if pair else ()
+    if not pair:
+        rolled = [*hulls, "movement_mouse_1_tail_base", "movement_mouse_1_nose"]
     five = {f"{c}_{h}_{n}": f"{f}({c}) OVER (w ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)" for c in rolled for n in ROLLING for h, f in (("median", "median"), ("mean", "avg"))}
     gap = lambda c: f"avg({c}) OVER s - {c}"
-    hulls = [f"m{i}_hull_{k}_euclidean" for i in (1, 2) for k in ("small", "large", "mean")]
-    six = {f"{c}_deviation": gap(c) for c in ("total_movement_all_bodyparts_both_mice", "sum_euclidean_distance_hull", *hulls[:3], "movement_mouse_1_nose", "movement_mouse_2_nose", "poly_area_1", "poly_area_2", "sum_probabilities")}
+    six = {f"{c}_deviation": gap(c) for c in (*both, *hulls[:3], *[f"movement_mouse_{i}_nose" for i in every], *[f"poly_area_{i}" for i in every], "sum_probabilities")}
     for n in ROLLING:
-        for c in ("total_movement_all_bodyparts_both_mice", "sum_euclidean_distance_hull", *hulls, "movement_nose_to_nose_distance"):
+        for c in (*both, *hulls, *(["movement_nose_to_nose_distance"] if pair else [])):
             six[f"{c}_mean_deviation_{n}"] = gap(f"{c}_mean_{n}")
-        for c in ("total_movement_all_bodyparts_both_mice", "sum_euclidean_distance_hull", *hulls, "nose_to_nose_distance"):
+        for c in (*both, *hulls, *(["nose_to_nose_distance"] if pair else [])):
             six[f"{c}_mean_{n}_percentile_rank"] = gap(f"{c}_mean_{n}")
     rank = lambda c: f"(rank() OVER (PARTITION BY session ORDER BY {c}) + (count(*) OVER (PARTITION BY session, {c}) - 1) / 2.0) / count(*) OVER s"
-    seven = {f"movement_mouse_{i}_percentile_rank": rank(f"movement_mouse_{i}_nose") for i in (1, 2)} | {f"movement_mouse_{i}_deviation_percentile_rank": rank(f"movement_mouse_{i}_nose_deviation") for i in (1, 2)}
-    seven |= {"movement_percentile_rank": rank("total_movement_nose"), "distance_percentile_rank": rank("nose_to_nose_distance"), "sum_probabilities_deviation_percentile_rank": rank("sum_probabilities_deviation")}
+    seven = {f"movement_mouse_{i}_percentile_rank": rank(f"movement_mouse_{i}_nose") for i in every} | {f"movement_mouse_{i}_deviation_percentile_rank": rank(f"movement_mouse_{i}_nose_deviation") for i in every}
+    if pair:
+        seven |= {"movement_percentile_rank": rank("total_movement_nose"), "distance_percentile_rank": rank("nose_to_nose_distance")}
+    seven["sum_probabilities_deviation_percentile_rank"] = rank("sum_probabilities_deviation")
     eight = {"sum_probabilities_percentile_rank": rank("sum_probabilities_deviation_percentile_rank")}
     steps, last = [POSE], "pose"
     for k, made in enumerate((one, two, three, four, five, six, seven, eight)):
         steps.append(f"f{k} AS (SELECT *, " + ", ".join(f'{e} AS "{n}"' for n, e in made.items()) + f" FROM {last} WINDOW w AS ({_W}), s AS (PARTITION BY session))")
         last = f"f{k}"
     names = [n for made in (one, two, three, four, five, six, seven, eight) for n in made if n not in ("d1", "d2")]
-    shown = ", ".join(f'round("{n}", 3) AS "{n}"' if "low_prob" not in n else f'CAST("{n}" AS INT) AS "{n}"' for n in [*wide_columns(2), *names])
+    shown = ", ".join(f'round("{n}", 3) AS "{n}"' if "low_prob" not in n else f'CAST("{n}" AS INT) AS "{n}"' for n in [*wide_columns(animals), *names])
     return f"WITH {', '.join(steps)} SELECT session, frame_idx, {shown} FROM {last}"
 
 
-@query(_features_sql())
+@query(_features_sql(2))
 def features_paired(spark, sf_dir):
     """All 299 columns of two animals."""
     return rounded(features.extract(pose(spark, sf_dir), ["session"], 2), 3)
 
 
-@query()
+@query(_features_sql(1))
 def features_single(spark, sf_dir):
-    """All 117 columns of one animal; its families are those of two."""
-    return features.narrowed(features.extract(pose(spark, sf_dir, 1), ["session"], 1), ["session", "frame_idx"])
+    """All 117 columns of one animal."""
+    return rounded(features.extract(pose(spark, sf_dir, 1), ["session"], 1), 3)
 
 
 # Zones
@@ -290,12 +299,19 @@ def event_metrics(spark, sf_dir):
     return rounded(metrics.measure(p, points, ["session"], _METRICS))
 
 
-@query()
+_STEPS, _LAST, _CELL = _frechet_sql(12, 12)
+_PATH = "list({{'x': body_center_{i}_x, 'y': body_center_{i}_y}} ORDER BY frame_idx)"
+
+
+@query(
+    f"""WITH {POSE}, paths AS (SELECT session, CASE WHEN frame_idx < 17 THEN 1 ELSE 2 END AS loom, {_PATH.format(i=1)} AS p, {_PATH.format(i=2)} AS q
+FROM pose WHERE frame_idx BETWEEN 5 AND 16 OR frame_idx BETWEEN 30 AND 41 GROUP BY ALL HAVING count(*) = 12), {_STEPS} SELECT session, loom, round({_CELL}, 4) AS frechet FROM {_LAST}"""
+)
 def loom_paths(spark, sf_dir):
     """Frechet distance of both animals' paths over the windows they share."""
     wide = pose(spark, sf_dir)
     rows = metrics.stacked(wide, ["session"], {"body_center_x": lambda i: F.col(f"body_center_{i}_x"), "body_center_y": lambda i: F.col(f"body_center_{i}_y")}, 2)
-    looms = wide.where("frame_idx % 25 = 5").select("session", F.lit("loom").alias("event_type"), F.col("frame_idx").cast("double").alias("time_start"), F.col("frame_idx").alias("frame_start"))
+    looms = wide.where("frame_idx in (5, 30)").select("session", F.lit("loom").alias("event_type"), F.col("frame_idx").cast("double").alias("time_start"), F.col("frame_idx").alias("frame_start"))
     looms = metrics.loom_events(looms, ["session"])
     points = rows.select("session", "animal").distinct().join(looms, "session").select("session", "animal", "loom", F.col("at").alias("loom_frame"), F.lit(None).cast("long").alias("entry_frame"))
     return rounded(metrics.path_distances(rows, points, ["session"], metrics.Span(end_offset=12), "body_center"))
