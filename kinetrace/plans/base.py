@@ -46,7 +46,8 @@ def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     pts = F.expr("timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', ts)") / 1e6
     hole = (F.col("event_id") % 7).isin(1, 2, 3) | (F.col("event_id") % 11 == 0)
     e = e.withColumn("value", F.round(F.col("value") * 100))  # whole numbers: sums do not depend on their order
-    return e.select(F.col("user_id").alias("track"), (F.row_number().over(order) - 1).cast("long").alias("frame_idx"), pts.alias("pts"), "event_id", F.col("event_type").alias("kind"), "value", F.when(~hole, F.col("value")).alias("gappy"))
+    e = e.withColumn("frame_idx", (F.row_number().over(order) - 1).cast("long"))  # before the new name, so that later windows reuse its shuffle
+    return e.select(F.col("user_id").alias("track"), "frame_idx", pts.alias("pts"), "event_id", F.col("event_type").alias("kind"), "value", F.when(~hole, F.col("value")).alias("gappy"))
 
 
 FRAMES = """fr AS (SELECT user_id AS track, CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS BIGINT) AS frame_idx,

@@ -12,11 +12,20 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_made: list[str] = []
+
 
 def shared_folder(spark: SparkSession) -> str:
     """A new folder name under ``spark.checkpoint.dir``; under a temporary folder where that is unset, as in tests."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or f"file://{tempfile.gettempdir()}/kinetrace-stages"
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+    _made.append(f"{base.rstrip('/')}/{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+def release(spark: SparkSession) -> None:
+    """Deletes all stage folders of this process; results that read them have to be written before."""
+    while _made:
+        drop(spark, _made.pop())
 
 
 def stored(df: DataFrame, folder: str, name: str) -> DataFrame:

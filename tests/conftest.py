@@ -21,4 +21,7 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    from kinetrace.sources import stage
+
+    stage.release(session)
     session.stop()
