@@ -26,7 +26,7 @@ from kinetrace.llm.textcore import bounded, slices, trimmed, utf8
 
 #: Bytes in a window, filter widths (2 to 4), filters of each width.
 WINDOW, WIDTHS, FILTERS = 256, (2, 3, 4), 16
-#: Labelled rows, and windows of each, that training reads at most.
+#: Labelled rows that training reads (about), and windows of each.
 TRAIN_ROWS, TRAIN_WINDOWS = 3000, 4
 _LETTER = re.compile(r"[^\W\d_]")
 _CLASSES = 128
@@ -182,17 +182,17 @@ def predict(model: ByteCNN | None, column: pa.Array, tables: dict[int, list[np.n
 
 
 def fit(df: DataFrame, where: Column, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", rows: int = TRAIN_ROWS) -> ByteCNN | None:
-    """Trains on at most ``rows`` rows of ``df`` that hold ``where`` and have a language, chosen by a hash of their id.
+    """Trains on about ``rows`` rows of ``df`` that hold ``where`` and have a language, chosen by a hash of their id, twice as many at most.
 
-    Null ids, texts or languages are left out; without a row the model is None.
+    The same rows are chosen in every run. Null ids, texts or languages are left out; without a row the model is None.
     """
     pool = df.where(where & F.col(id_col).isNotNull() & F.col(lang_col).isNotNull())
     n = pool.count()
     if n == 0:
         return None
     key = F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 20))
-    chosen = pool.where(key <= int((1 << 20) * min(1.0, 1.3 * rows / n))) if n > rows else pool
-    got = chosen.where(F.col(text_col).isNotNull()).select(F.substring(text_col, 1 + F.pmod(F.xxhash64(id_col, text_col), F.greatest(F.lit(1), F.length(text_col) - 4 * WINDOW)).cast("int"), 8 * WINDOW).alias("t"), F.col(lang_col).alias("l"), F.col(id_col).cast("string").alias("i")).limit(rows).collect()
+    chosen = pool.where(key < int((1 << 20) * rows / n)) if n > rows else pool
+    got = chosen.where(F.col(text_col).isNotNull()).select(F.substring(text_col, 1 + F.pmod(F.xxhash64(id_col, text_col), F.greatest(F.lit(1), F.length(text_col) - 4 * WINDOW)).cast("int"), 8 * WINDOW).alias("t"), F.col(lang_col).alias("l"), F.col(id_col).cast("string").alias("i")).limit(2 * rows).collect()
     got.sort(key=lambda r: (r.i, r.t))
     return train([r.t for r in got], [r.l for r in got])
 

@@ -29,8 +29,9 @@ from kinetrace.llm.textcore import bounded, slices, trimmed, utf8
 
 MARK = "▁"
 #: Chunks up to this length are remembered, in a younger and an older table of so many entries at most: when
-#: the younger is full it becomes the older, and what is asked for again moves over. Remembered pairs.
-MEMO_CHARS, MEMO_ENTRIES, PAIR_ENTRIES = 48, 120_000, 120_000
+#: the younger is full it becomes the older, and what is asked for again moves to a table of frequent ones,
+#: as far as that has room, or back to the younger. Remembered pairs.
+MEMO_CHARS, MEMO_ENTRIES, FREQUENT, PAIR_ENTRIES = 48, 110_000, 100_000, 120_000
 #: Bytes of text whose ids are held at once.
 BATCH_BYTES = 1 << 20
 
@@ -84,8 +85,9 @@ class PieceTokenizer:
         self.pairs: dict[tuple[str, str], bool] = {}
         self.old_pairs: dict[tuple[str, str], bool] = {}
         self.known = {p: (str(i), self.surface[i]) for p, i in self.ids.items()}
-        self.young: dict[str, tuple[int, str, str]] = {}
-        self.old: dict[str, tuple[int, str, str]] = {}
+        self.frequent: dict[str, tuple[int, str, str | None]] = {}
+        self.young: dict[str, tuple[int, str, str | None]] = {}
+        self.old: dict[str, tuple[int, str, str | None]] = {}
         self.chunks = self._boundaries()
 
     def _boundaries(self) -> re.Pattern:
@@ -227,16 +229,23 @@ class PieceTokenizer:
         text = self._joined(ids)
         return text[1:] if self.prefix and text.startswith(" ") and ids[0] not in self.byte_of else text
 
-    def chunk(self, chunk: str) -> tuple[int, str, str]:
-        """Number of ids, ids joined by commas, and decoded text of a chunk."""
-        known = self.young.get(chunk) or self.old.get(chunk)
+    def chunk(self, chunk: str) -> tuple[int, str, str | None]:
+        """Number of ids, ids joined by commas, and decoded text of a chunk; None if that is the chunk with spaces for marks."""
+        known = self.young.get(chunk)
+        if known is not None:
+            return known
+        known = self.old.get(chunk)
+        if known is not None and len(self.frequent) < FREQUENT:
+            self.frequent[chunk] = known
+            return known
         if known is None:
             try:
                 ids, surfaces = zip(*[self.known[p] for p in self.walk(chunk)], strict=True)
-                known = len(ids), ",".join(ids), "".join(surfaces)
+                decoded = "".join(surfaces)
             except KeyError:  # characters that become bytes
-                ids = self.chunk_ids(chunk)
-                known = len(ids), ",".join(map(str, ids)), self._joined(ids)
+                numbers = self.chunk_ids(chunk)
+                ids, decoded = [str(i) for i in numbers], self._joined(numbers)
+            known = len(ids), ",".join(ids), None if decoded == chunk.replace(MARK, " ") else decoded
         if len(chunk) <= MEMO_CHARS:
             if len(self.young) >= MEMO_ENTRIES:
                 self.young, self.old = {}, self.young
@@ -244,17 +253,20 @@ class PieceTokenizer:
         return known
 
     def forget(self) -> None:
-        """Empties the tables of chunks, so that an idle worker holds little."""
+        """Empties the tables of chunks but for the frequent ones, so that an idle worker holds little."""
         self.young, self.old = {}, {}
 
     def summary(self, text: str) -> tuple[int, str, str]:
-        """As :meth:`chunk`, for a whole text, with the leading space taken off the decoded text."""
+        """Number of ids, ids joined by commas, and decoded text of a whole text."""
         chunks = self.chunked(text)
         if not chunks:
             return 0, "", ""
-        chunk = self.chunk
-        counts, ids, decoded = zip(*[self.young.get(c) or chunk(c) for c in chunks], strict=True)
-        whole = "".join(decoded)
+        frequent, chunk = self.frequent, self.chunk
+        counts, ids, decoded = zip(*[frequent.get(c) or chunk(c) for c in chunks], strict=True)
+        if any(decoded) or "" in decoded:
+            whole = "".join([c.replace(MARK, " ") if d is None else d for c, d in zip(chunks, decoded, strict=True)])
+        else:
+            whole = "".join(chunks).replace(MARK, " ")
         return sum(counts), ",".join(ids), whole[1:] if self.prefix and whole.startswith(" ") else whole
 
 
