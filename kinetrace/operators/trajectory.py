@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kinetrace.workers import reachable
+
 
 def frechet(p: Column, q: Column) -> Column:
     """Discrete Frechet distance of two arrays of (x, y) structs, in the JVM.
@@ -51,6 +53,7 @@ def coupled(px, py, qx, qy) -> float:
 
 def frechet_groups(df: DataFrame, p: str, q: str, into: str = "frechet") -> DataFrame:
     """Adds the distance of two array columns by an Arrow batch function, for long windows."""
+    reachable(df.sparkSession)
 
     @F.pandas_udf("double")
     def measure(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:

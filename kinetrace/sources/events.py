@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kinetrace.operators.align import nearest
+from kinetrace.workers import reachable
 
 _EVENT = "event_id string, event_type string, time_start double, time_end double"
 
@@ -46,6 +47,7 @@ def workbook(data: bytes) -> Iterator[tuple[str, int, int, str]]:
 
 def sheets(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Rows of all sheets: source, sheet, row, cells (map of column to text); a file is read in one task."""
+    reachable(spark)
     files = spark.read.format("binaryFile").load(path).select("path", "content")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

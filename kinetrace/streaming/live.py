@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from kinetrace.workers import reachable
+
 
 def tumbling(df: DataFrame, keys: Sequence[str], time: str, value: str, size: str = "1 day", late: str = "1 day") -> DataFrame:
     """Count, sum and mean of a value in tumbling windows, with late rows up to the watermark."""
@@ -34,6 +36,7 @@ def rolling_steps(df: DataFrame, key: str, frame: str, x: str, y: str, size: int
     The state of a track is its last position and ``size`` - 1 steps. Frames
     that come after a later one of their track are counted from where it is.
     """
+    reachable(df.sparkSession)
 
     def run(keys: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         px, py, past = state.get if state.exists else (None, None, [])
