@@ -13,6 +13,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import SparkSession
 
+from kinetrace.workers import reachable
+
 #: Odd multiplier of the polynomial word hash, and its inverse modulo 2**64.
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -26,7 +28,8 @@ _inverses = np.ones(1, np.uint64)
 
 
 def bounded(spark: SparkSession) -> None:
-    """Lowers the session's limit on the bytes of an Arrow batch, which counts rows alone otherwise."""
+    """Lowers the session's limit on the bytes of an Arrow batch, and lets workers find this package."""
+    reachable(spark)
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     now = spark.conf.get(key).rstrip("b")
     if not now.isdigit() or not 0 < int(now) <= BATCH_BYTES:

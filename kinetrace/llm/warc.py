@@ -30,6 +30,7 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSource
 
 from kinetrace.llm.sieve import bit_table, split
 from kinetrace.sources.stage import shared_folder, stored
+from kinetrace.workers import reachable
 
 SCHEMA = "record_id string, record_type string, target_uri string, date string, page_id bigint, refers_to bigint, payload_digest string, payload_bytes bigint, payload binary"
 #: Fixed values of the format.
@@ -319,6 +320,7 @@ class WarcDataSource(DataSource):
 
 def register(spark: SparkSession) -> None:
     """Makes the format known to a session and lets its predicates be pushed down."""
+    reachable(spark)
     spark.dataSource.register(WarcDataSource)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
 
