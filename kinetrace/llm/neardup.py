@@ -9,11 +9,12 @@ the next step.
 Documents with equal shingle sets are put together first. Bands of registers
 then give candidates: each document is tied to the smallest of each bucket it
 is in, and what hangs together is a candidate group. A group's texts meet in one
-task (a large group's in tasks of bounded blocks and pairs of blocks), where
-documents that share a bucket and are not linked yet are compared on their full
-shingle sets, likeliest first, and linked in a union-find. So no list of all
-pairs is made, no bucket is capped, and no link that would join two groups is
-left out.
+task, where documents that share a bucket and are not linked yet are compared
+on their full shingle sets, likeliest first, and linked in a union-find. A
+large group's meet in bounded blocks; a few members of each part then join the
+blocks' parts, and whatever still shares a bucket with another part is compared
+by pairs of blocks. So no list of all pairs is made, no bucket is capped, and no
+link that would join two groups is left out.
 
 At a likeness of 0.8, 32 bands of 4 registers miss a pair with a probability of
 about 5e-8, and the estimate of 128 registers that orders comparisons falls
@@ -204,6 +205,56 @@ def _in_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Tabl
         yield pa.Table.from_batches(waiting)
 
 
+def _join_blocks(big: DataFrame, near: DataFrame, bands: DataFrame, folder: str, k: int, threshold: int, block: int) -> DataFrame:
+    """Links the parts (``root``) of groups that were dealt into several blocks: group, id and final root.
+
+    First up to three members of each part meet in blocks, a few times over:
+    that joins the parts of a large group of copies with little work. Then only
+    documents that share a bucket with another part are left to compare, all of
+    them, by pairs of blocks.
+    """
+    kind = big.schema["id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _in_groups(batches, 3):
+            roots, side = t.column("root").to_pylist(), t.column("block").to_pylist()
+            pair = t.column("a")[0].as_py() != t.column("b")[0].as_py()
+            at = link_block(t.column("t").combine_chunks(), k, threshold, roots, side if pair else None)
+            edges = sorted({(roots[x], roots[y]) for x, y in enumerate(at) if roots[x] != roots[y]})
+            yield pa.RecordBatch.from_arrays([pa.array([e[0] for e in edges], t.schema.field("root").type), pa.array([e[1] for e in edges], t.schema.field("root").type)], ["u", "v"])
+
+    def linked(rows: DataFrame, name: str) -> DataFrame:
+        """New roots of parts, from rows (group, a, b, block, id, root)."""
+        dealt = near.join(rows, "id").select("group", "a", "b", "id", "t", "root", "block").repartition("group", "a", "b").sortWithinPartitions("group", "a", "b", "id")
+        found = stored(dealt.mapInArrow(trimmed(run), f"u {kind}, v {kind}"), folder, name)
+        return components(found, f"{folder}/{name}_parts").withColumnRenamed("id", "part").withColumnRenamed("root", "into")
+
+    def moved(rows: DataFrame, turn: DataFrame, name: str) -> DataFrame:
+        met = rows.join(turn, rows["root"] == turn["part"], "left")
+        return stored(met.select("group", "id", F.coalesce("into", "root").alias("root")), folder, name)
+
+    def in_blocks(rows: DataFrame, salted: int) -> DataFrame:
+        sizes = rows.groupBy("group").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+        return rows.join(sizes, "group").withColumn("block", F.pmod(F.xxhash64("id", F.lit(salted)), F.col("blocks")).cast("int"))
+
+    for turn in range(1, 4):
+        heads = big.groupBy("group", "root").agg(F.array_distinct(F.array(F.min("id"), F.max("id"), F.min_by("id", F.xxhash64("id")))).alias("ids"))
+        open_groups = heads.groupBy("group").agg(F.count("*").alias("parts")).where("parts > 1").select("group")
+        few = heads.join(open_groups, "group").select("group", "root", F.explode("ids").alias("id"))
+        turned = stored(linked(in_blocks(few, turn).withColumns({"a": F.col("block"), "b": F.col("block")}), f"heads{turn}"), folder, f"turned{turn}")
+        if turned.isEmpty():
+            break
+        big = moved(big, turned, f"big{turn}")
+    entries = big.join(bands, "id").select("group", "root", "id", F.explode("bands").alias("band"))
+    mixed = entries.groupBy("group", "band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("group", "band")
+    left = stored(entries.join(mixed, ["group", "band"]).select("group", "id", "root").distinct(), folder, "left")
+    if left.isEmpty():
+        return big
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    pairs = in_blocks(left, 0).withColumn("other", other).withColumns({"a": F.least("block", "other"), "b": F.greatest("block", "other")})
+    return moved(big, linked(pairs, "pairs"), "final")
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, threshold: int = 80, block: int = BLOCK) -> DataFrame:
     """Links documents whose sets of k-word shingles have 100 * common >= threshold * union.
 
@@ -241,12 +292,6 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             at = link_block(t.column("t").combine_chunks(), k, threshold)
             yield pa.RecordBatch.from_arrays([ids, ids.take(pa.array(at))], ["u", "v"])
 
-    def second_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in _in_groups(batches, 3):
-            ids = t.column("id").combine_chunks()
-            at = link_block(t.column("t").combine_chunks(), k, threshold, t.column("root").to_pylist(), t.column("block").to_pylist())
-            yield pa.RecordBatch.from_arrays([ids, ids.take(pa.array(at))], ["u", "v"])
-
     # Only rows that may be candidates are shuffled; the join decides.
     near, _ = split(docs, stored(bit_table(members, "id"), folder, "bits"), F.col("id"))
     texts = near.join(members, "id")
@@ -256,13 +301,10 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     if large.isEmpty():
         joined = links.select(F.col("u").alias("id"), F.col("v").alias("root")).distinct()
     else:
-        local = stored(components(links, f"{folder}/local"), folder, "local_roots")
-        rows = near.join(large, "id").join(local.withColumnRenamed("root", "known"), "id", "left").select("group", "block", "blocks", "id", "t", F.coalesce("known", "id").alias("root"))
-        pairs = rows.withColumn("other", F.explode(F.expr("filter(sequence(0, blocks - 1), x -> x <> block)")))
-        pairs = pairs.select("group", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "id", "t", "root", "block")
-        dealt = pairs.repartition("group", "a", "b").sortWithinPartitions("group", "a", "b", "id")
-        more = stored(dealt.mapInArrow(trimmed(second_pass), f"u {id_type}, v {id_type}"), folder, "more_links")
-        joined = components(links.union(more), f"{folder}/joined")
+        local = components(links, f"{folder}/local")
+        whole_groups = stored(members.join(local, "id", "left").select("group", "blocks", "id", F.coalesce("root", "id").alias("root")), folder, "local_roots")
+        done = _join_blocks(whole_groups.where("blocks > 1").select("group", "id", "root"), near, chosen.select("id", "bands"), folder, k, threshold, block)
+        joined = whole_groups.where("blocks = 1").select("id", "root").union(done.select("id", "root"))
     roots = joined.select(F.col("id").alias("rep"), "root")
     # An id with several sets may stand in several rows here; the smallest root holds.
     roots = roots.groupBy("rep").agg(F.min("root").alias("root"))
