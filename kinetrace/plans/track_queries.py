@@ -69,12 +69,12 @@ def densify_frames(spark, sf_dir):
 @query(
     """WITH days AS (SELECT event_type AS kind, CAST(ts AS DATE) AS day, count(*) AS n FROM events WHERE event_type <> 'view' OR event_id % 3 = 0 GROUP BY ALL),
 b AS (SELECT min(day) AS lo, max(day) AS hi FROM days), g AS (SELECT kind, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS day FROM (SELECT DISTINCT kind FROM days), b)
-SELECT g.kind, g.day, coalesce(n, 0) AS n FROM g LEFT JOIN days USING (kind, day)"""
+SELECT g.kind, CAST(g.day AS VARCHAR) AS day, coalesce(n, 0) AS n FROM g LEFT JOIN days USING (kind, day)"""
 )
 def densify_days(spark, sf_dir):
     e = table(spark, sf_dir, "events").where("event_type <> 'view' or event_id % 3 = 0")
     days = e.groupBy(F.col("event_type").alias("kind"), F.col("ts").cast("date").alias("day")).agg(F.count(F.lit(1)).alias("n"))
-    return densify(days, Track(("kind",), "day"), whole=()).na.fill(0)
+    return densify(days, Track(("kind",), "day"), whole=()).na.fill(0).withColumn("day", F.col("day").cast("string"))
 
 
 def _fill_sql(limit: int | None, both: bool) -> str:
