@@ -266,8 +266,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     kept. Rows that repeat an id with the same text share everything; an id
     with several texts counts as one document with several sets.
 
-    Texts are read twice (once for sketches, once for candidates), and only
-    candidates' texts are shuffled.
+    Texts are read twice (once for sketches, once for candidates); only
+    candidates' texts are shuffled, and written once for the steps that compare.
     """
     spark = df.sparkSession
     bounded(spark)
@@ -294,7 +294,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     # Only rows that may be candidates are shuffled; the join decides.
     near, _ = split(docs, stored(bit_table(members, "id"), folder, "bits"), F.col("id"))
-    texts = near.join(members, "id")
+    texts = stored(near.join(members, "id").select("group", "block", "blocks", "id", "t"), folder, "texts")
     dealt = texts.select("group", "block", "id", "t").repartition("group", "block").sortWithinPartitions("group", "block", "id")
     links = stored(dealt.mapInArrow(trimmed(first_pass), f"u {id_type}, v {id_type}"), folder, "links")
     large = members.where("blocks > 1")
@@ -303,7 +303,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     else:
         local = components(links, f"{folder}/local")
         whole_groups = stored(members.join(local, "id", "left").select("group", "blocks", "id", F.coalesce("root", "id").alias("root")), folder, "local_roots")
-        done = _join_blocks(whole_groups.where("blocks > 1").select("group", "id", "root"), near, chosen.select("id", "bands"), folder, k, threshold, block)
+        again = texts.where("blocks > 1").select("id", "t")
+        done = _join_blocks(whole_groups.where("blocks > 1").select("group", "id", "root"), again, chosen.select("id", "bands"), folder, k, threshold, block)
         joined = whole_groups.where("blocks = 1").select("id", "root").union(done.select("id", "root"))
     roots = joined.select(F.col("id").alias("rep"), "root")
     # An id with several sets may stand in several rows here; the smallest root holds.
