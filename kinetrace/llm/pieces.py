@@ -31,7 +31,7 @@ MARK = "▁"
 #: Chunks up to this length are remembered, in a younger and an older table of so many entries at most: when
 #: the younger is full it becomes the older, and what is asked for again moves to a table of frequent ones,
 #: as far as that has room, or back to the younger. Remembered pairs.
-MEMO_CHARS, MEMO_ENTRIES, FREQUENT, PAIR_ENTRIES = 48, 110_000, 100_000, 120_000
+MEMO_CHARS, MEMO_ENTRIES, FREQUENT, PAIR_ENTRIES = 48, 70_000, 60_000, 80_000
 #: Bytes of text whose ids are held at once.
 BATCH_BYTES = 1 << 20
 
