@@ -219,8 +219,8 @@ def event_window_mean(spark, sf_dir):
 SELECT pair, event, CASE WHEN count(*) >= 2 AND max(s) < min(e) THEN max(s) END AS start, CASE WHEN count(*) >= 2 AND max(s) < min(e) THEN min(e) END AS "end" FROM w GROUP BY pair, event"""
 )
 def shared_windows(spark, sf_dir):
-    w = _errors(frames(spark, sf_dir)).where("track % 10 < 5 and track < 20")
-    w = w.select((F.col("track") % 10).alias("pair"), "event", F.col("at").alias("start"), F.least(F.col("at") + 12, F.coalesce("until", F.col("at") + 12)).alias("end"))
+    w = _errors(frames(spark, sf_dir))
+    w = w.select(F.floor(F.col("track") / 2).cast("long").alias("pair"), "event", F.col("at").alias("start"), F.least(F.col("at") + 12, F.coalesce("until", F.col("at") + 12)).alias("end"))
     return align.shared_window(w, ["pair", "event"], 2)
 
 
@@ -257,8 +257,8 @@ def animals_by_looms(spark, sf_dir):
 SELECT frame_idx, max(value) FILTER (track = 0) AS value_1, max(value) FILTER (track = 1) AS value_2 FROM k GROUP BY frame_idx"""
 )
 def widen_tracks(spark, sf_dir):
-    f = frames(spark, sf_dir).where("track < 30").withColumn("track", F.col("track") % 2).withColumn("one", F.lit(1))
-    return reshape.widen(f, ["one"], ["value"], 2, row="event_id").drop("one")
+    f = frames(spark, sf_dir).withColumn("session", F.floor(F.col("track") / 2).cast("long"))
+    return reshape.widen(f, ["session"], ["value"], 2, row="event_id")
 
 
 @query(
@@ -266,9 +266,9 @@ def widen_tracks(spark, sf_dir):
 AND frame_idx NOT IN (SELECT frame_idx FROM fr WHERE track = 2 AND gappy IS NOT NULL)"""
 )
 def missing_in_both(spark, sf_dir):
-    f = frames(spark, sf_dir)
-    valid = f.where("track in (1, 2) and gappy is not null").select("frame_idx")
-    return f.select("frame_idx").distinct().join(valid, "frame_idx", "left_anti")
+    f = frames(spark, sf_dir).withColumn("session", F.floor(F.col("track") / 2).cast("long"))
+    valid = f.where("gappy is not null").select("session", "frame_idx")
+    return f.select("session", "frame_idx").distinct().join(valid, ["session", "frame_idx"], "left_anti")
 
 
 @query(

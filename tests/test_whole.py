@@ -3,8 +3,11 @@
 Where a query's registered SQL keeps a cut, the SQL here is that text without it.
 """
 
+from pyspark.sql import functions as F
+
+from kinetrace.plans.base import FRAMES
 from kinetrace.plans.queries import ORACLES, QUERIES
-from tests.compare import DATA, connection, plain, rows_of, same
+from tests.compare import DATA, connection, same
 
 SF = f"{DATA}/sf0.01"
 
@@ -25,3 +28,23 @@ def test_event_metrics_of_all_tracks(spark):
     for name in ("loom_time_points", "event_metrics"):
         same(spark, QUERIES[name], without(name, (" WHERE track < 120", "")), SF)
         assert QUERIES[name](spark, SF).select("session").distinct().count() == sessions
+
+
+def test_shared_windows_of_all_pairs(spark):
+    sql = without("shared_windows", ("SELECT track % 10 AS pair", "SELECT track // 2 AS pair"), (" WHERE track % 10 < 5 AND track < 20", ""))
+    same(spark, QUERIES["shared_windows"], sql, SF)
+    assert QUERIES["shared_windows"](spark, SF).select("pair").distinct().count() == one("SELECT count(DISTINCT user_id // 2) FROM events WHERE event_type = 'error'")
+
+
+def test_widen_tracks_of_all_pairs(spark):
+    """Slots are numbered by the tracks that a session has."""
+    sql = f"""WITH {FRAMES}, k AS (SELECT track // 2 AS session, dense_rank() OVER (PARTITION BY track // 2 ORDER BY track) AS slot, frame_idx, value FROM fr)
+SELECT session, frame_idx, max(value) FILTER (slot = 1) AS value_1, max(value) FILTER (slot = 2) AS value_2 FROM k GROUP BY ALL"""
+    same(spark, QUERIES["widen_tracks"], sql, SF)
+    got = QUERIES["widen_tracks"](spark, SF).select(F.sum(F.col("value_1").isNotNull().cast("int") + F.col("value_2").isNotNull().cast("int"))).first()[0]
+    assert got == one("SELECT count(value) FROM events")
+
+
+def test_missing_in_both_of_all_pairs(spark):
+    sql = f"WITH {FRAMES} SELECT track // 2 AS session, frame_idx FROM fr GROUP BY ALL HAVING count(gappy) = 0"
+    same(spark, QUERIES["missing_in_both"], sql, SF)
