@@ -295,5 +295,5 @@ def zone_files(spark, sf_dir):
 
 @query("SELECT 'bonsai_' || row_number() OVER (ORDER BY event_id) AS event_id, event_type, CAST(value AS DOUBLE) AS time_start, CASE WHEN event_type = 'view' THEN NULL ELSE value + 1 END AS time_end FROM events WHERE user_id = 7")
 def event_log(spark, sf_dir):
-    e = table(spark, sf_dir, "events").where("user_id = 7").select("event_id", F.col("event_type").alias("what"), F.col("value").cast("string").alias("timestamp"), F.when(F.col("event_type") != "view", F.col("value") + 1).cast("string").alias("until"))
-    return event_sources.log_events(e, "what", "timestamp", "until", "event_id")
+    e = table(spark, sf_dir, "events").select("user_id", "event_id", F.col("event_type").alias("what"), F.col("value").cast("string").alias("timestamp"), F.when(F.col("event_type") != "view", F.col("value") + 1).cast("string").alias("until"))
+    return event_sources.log_events(e, "what", "timestamp", "until", "event_id", ["user_id"])

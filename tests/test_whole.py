@@ -48,3 +48,8 @@ SELECT session, frame_idx, max(value) FILTER (slot = 1) AS value_1, max(value) F
 def test_missing_in_both_of_all_pairs(spark):
     sql = f"WITH {FRAMES} SELECT track // 2 AS session, frame_idx FROM fr GROUP BY ALL HAVING count(gappy) = 0"
     same(spark, QUERIES["missing_in_both"], sql, SF)
+
+
+def test_event_log_of_all_users(spark):
+    sql = without("event_log", ("SELECT 'bonsai_' || row_number() OVER (ORDER BY event_id)", "SELECT user_id, 'bonsai_' || row_number() OVER (PARTITION BY user_id ORDER BY event_id)"), (" WHERE user_id = 7", ""))
+    assert same(spark, QUERIES["event_log"], sql, SF) == one("SELECT count(*) FROM events")
