@@ -162,8 +162,8 @@ _C1, _C2 = f"({_FLOOR[0][0]} * {_FLOOR[1][1]} - {_FLOOR[0][1]} * {_FLOOR[1][0]})
 @query(f"{WITH} SELECT session, frame_idx, {r(f'({_C1} * ({_FLOOR[2][0]} - {_FLOOR[3][0]}) - ({_FLOOR[0][0]} - {_FLOOR[1][0]}) * {_C2}) / {_D}', 'x', 1)} FROM pose WHERE abs({_D}) > 5000")
 def line_crossing(spark, sf_dir):
     a, b, c, d = [_point(f"{p}_1") for p in ("nose", "ear_left", "ear_right", "head")]
-    scale = (a[0] - b[0]) * (c[1] - d[1]) - (a[1] - b[1]) * (c[0] - d[0])
-    return rounded(pose(spark, sf_dir).where(F.abs(scale) > 5000).select("session", "frame_idx", G.line_crossing(a, b, c, d)[0].alias("x")), 1)
+    x, y = G.line_crossing(a, b, c, d)
+    return rounded(pose(spark, sf_dir).select("session", "frame_idx", x.alias("x"), y.alias("y")), 1)
 
 
 _PS = [f"{p}_{i}_p" for i in (2, 1) for p in BODY_PARTS]

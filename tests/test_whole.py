@@ -3,9 +3,12 @@
 Where a query's registered SQL keeps a cut, the SQL here is that text without it.
 """
 
+from fractions import Fraction
+
+import pytest
 from pyspark.sql import functions as F
 
-from kinetrace.plans.base import FRAMES
+from kinetrace.plans.base import FRAMES, pose
 from kinetrace.plans.queries import ORACLES, QUERIES
 from tests.compare import DATA, connection, same
 
@@ -53,3 +56,23 @@ def test_missing_in_both_of_all_pairs(spark):
 def test_event_log_of_all_users(spark):
     sql = without("event_log", ("SELECT 'bonsai_' || row_number() OVER (ORDER BY event_id)", "SELECT user_id, 'bonsai_' || row_number() OVER (PARTITION BY user_id ORDER BY event_id)"), (" WHERE user_id = 7", ""))
     assert same(spark, QUERIES["event_log"], sql, SF) == one("SELECT count(*) FROM events")
+
+
+def test_line_crossing_of_all_frames(spark):
+    """Near-parallel lines meet far away, so numbers are compared relative to their size."""
+    got = {(r.session, r.frame_idx): (r.x, r.y) for r in QUERIES["line_crossing"](spark, SF).collect()}
+    rows = pose(spark, SF).select("session", "frame_idx", *[f"{p}_1_{a}" for p in ("nose", "ear_left", "ear_right", "head") for a in "xy"]).collect()
+    assert len(rows) == len(got) == one("SELECT count(*) FROM embeddings")
+    for session, frame, *v in rows:
+        (ax, ay), (bx, by), (cx, cy), (dx, dy) = (map(Fraction, v[k : k + 2]) for k in (0, 2, 4, 6))
+        t = ((ax - cx) * (cy - dy) - (ay - cy) * (cx - dx)) / ((ax - bx) * (cy - dy) - (ay - by) * (cx - dx))
+        assert got[session, frame] == pytest.approx((float(ax + t * (bx - ax)), float(ay + t * (by - ay))), rel=1e-6, abs=0.051)
+
+
+def test_line_crossing_of_parallel_lines(spark, tmp_path):
+    apart = [0.0, 0.0, 1.0, 1.0, 0.0, 1.0, 1.0, 0.0]
+    vectors = [apart + [0.0] * 28, [0.0] * 36]
+    spark.createDataFrame([(1, k, v) for k, v in enumerate(vectors)], "label int, vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = {r.frame_idx: r for r in QUERIES["line_crossing"](spark, str(tmp_path)).collect()}
+    assert len(got) == 2 and got[0].x is not None
+    assert (got[1].x, got[1].y) == (None, None)
