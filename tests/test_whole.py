@@ -76,3 +76,17 @@ def test_line_crossing_of_parallel_lines(spark, tmp_path):
     got = {r.frame_idx: r for r in QUERIES["line_crossing"](spark, str(tmp_path)).collect()}
     assert len(got) == 2 and got[0].x is not None
     assert (got[1].x, got[1].y) == (None, None)
+
+
+def test_densify_days_counts_all_events(spark):
+    same(spark, QUERIES["densify_days"], without("densify_days", (" WHERE event_type <> 'view' OR event_id % 3 = 0", "")), SF)
+    assert QUERIES["densify_days"](spark, SF).agg(F.sum("n")).first()[0] == one("SELECT count(*) FROM events")
+
+
+def test_densify_days_fills_days_without_events(spark, tmp_path):
+    rows = [(1, "view", "2024-01-01"), (2, "view", "2024-01-01"), (4, "click", "2024-01-03")]
+    df = spark.createDataFrame(rows, "event_id long, event_type string, ts string")
+    df.withColumn("ts", F.col("ts").cast("timestamp_ntz")).write.parquet(f"{tmp_path}/events.parquet")
+    got = {(r.kind, r.day): r.n for r in QUERIES["densify_days"](spark, str(tmp_path)).collect()}
+    days = ["2024-01-01", "2024-01-02", "2024-01-03"]
+    assert got == {("view", d): n for d, n in zip(days, (2, 0, 0), strict=True)} | {("click", d): n for d, n in zip(days, (0, 0, 1), strict=True)}
