@@ -3,6 +3,7 @@
 Where a query's registered SQL keeps a cut, the SQL here is that text without it.
 """
 
+import math
 from fractions import Fraction
 
 import pytest
@@ -90,3 +91,28 @@ def test_densify_days_fills_days_without_events(spark, tmp_path):
     got = {(r.kind, r.day): r.n for r in QUERIES["densify_days"](spark, str(tmp_path)).collect()}
     days = ["2024-01-01", "2024-01-02", "2024-01-03"]
     assert got == {("view", d): n for d, n in zip(days, (2, 0, 0), strict=True)} | {("click", d): n for d, n in zip(days, (0, 0, 1), strict=True)}
+
+
+def frechet(p, q):
+    table = {}
+    for i, a in enumerate(p):
+        for j, b in enumerate(q):
+            past = [table[c] for c in ((i - 1, j), (i, j - 1), (i - 1, j - 1)) if c in table]
+            table[i, j] = max(math.dist(a, b), min(past)) if past else math.dist(a, b)
+    return table[len(p) - 1, len(q) - 1]
+
+
+def test_loom_paths_of_whole_sessions(spark):
+    """A window that the session's end cuts is compared as far as it goes."""
+    sessions = {}
+    for r in pose(spark, SF).select("session", "frame_idx", *[f"body_center_{i}_{a}" for i in (1, 2) for a in "xy"]).orderBy("session", "frame_idx").collect():
+        sessions.setdefault(r.session, []).append(((r[2], r[3]), (r[4], r[5])))
+    expected = {}
+    for session, rows in sessions.items():
+        for loom, at in enumerate(range(5, len(rows), 25), 1):
+            window = rows[at : at + 12]
+            if len(window) > 1:
+                expected[session, loom] = frechet([w[0] for w in window], [w[1] for w in window])
+    got = {(r.session, r.loom): r.frechet for r in QUERIES["loom_paths"](spark, SF).collect()}
+    assert max(loom for _, loom in got) > 2
+    assert got == pytest.approx(expected, abs=1e-4)
