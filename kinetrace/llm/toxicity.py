@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 
 from kinetrace.llm.textcore import RangeHash, bounded, byte_table, lower_ascii, mix, release, salt, slices, trimmed, utf8, words
 
-#: Labelled documents of each class that training reads (about), and characters of each at most.
-TRAIN_ROWS, TRAIN_CHARS = 800, 8_000
+#: Labelled documents of each class that training reads (about).
+TRAIN_ROWS = 800
 #: Size of the weight table; tokens in a segment.
 BITS, SEGMENT = 18, 64
 _WORD = byte_table(lambda b: 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80)
@@ -287,15 +287,14 @@ def tag(field: Field | None, column: pa.Array, least: float = 0.5) -> tuple[np.n
 
 
 def fit(docs: DataFrame, labels: DataFrame, where: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", rows: int = TRAIN_ROWS) -> Field | None:
-    """Trains on about ``rows`` labelled documents of each class that hold ``where`` (on ``id_col``), the same in every run, chosen by a hash of the id."""
+    """Trains on the whole texts of about ``rows`` labelled documents of each class that hold ``where`` (on ``id_col``), the same in every run, chosen by a hash of the id."""
     pool = labels.where(where & F.col(label_col).isNotNull()).select(F.col(id_col).alias("i"), (F.col(label_col) > 0).cast("int").alias("y")).groupBy("i").agg(F.max("y").alias("y"))
     sizes = dict(pool.groupBy("y").count().collect())
     if len(sizes) < 2:
         return None
     key = F.pmod(F.xxhash64(F.col("i").cast("string")), F.lit(1 << 20)) / float(1 << 20)
     chosen = pool.where(F.when(F.col("y") == 1, key < rows / sizes[1]).otherwise(key < rows / sizes[0])).limit(3 * rows)
-    text = F.substring(F.col(text_col).cast("string"), 1, TRAIN_CHARS)
-    got = docs.select(F.col(id_col).alias("i"), text.alias("t")).where(F.col("t").isNotNull()).join(F.broadcast(chosen), "i").limit(3 * rows).collect()
+    got = docs.select(F.col(id_col).alias("i"), F.col(text_col).cast("string").alias("t")).where(F.col("t").isNotNull()).join(F.broadcast(chosen), "i").limit(3 * rows).collect()
     got.sort(key=lambda r: (str(r.i), r.t))
     field = train([r.t for r in got], [r.y for r in got])
     release()

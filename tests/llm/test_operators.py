@@ -418,3 +418,13 @@ def test_words_and_hashes():
     assert rows.tolist() == [1, 1, 3, 4]
     sliced = pa.array(["xx", None, "yy"]).slice(1)
     assert textcore.utf8(sliced)[0].tobytes() == b"yy" and textcore.utf8(sliced)[1].tolist() == [0, 0, 2]
+
+
+def test_toxicity_trains_on_whole_texts(spark, monkeypatch):
+    texts = {k: "calm word " * 900 + ("what an idiot" if k % 2 else "what a day") for k in range(20)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in texts], "doc_id long, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity, "train", lambda t, y: seen.extend(zip(t, y, strict=True)))
+    toxicity.fit(docs, labels, F.lit(True))
+    assert sorted(seen) == sorted((t, k % 2) for k, t in texts.items())
