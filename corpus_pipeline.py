@@ -6,7 +6,7 @@ kept; all but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinetrace.llm import decontam, langid, neardup, pieces, queries, secrets
@@ -25,21 +25,32 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
 
 
+def _row_key(docs: DataFrame) -> Column:
+    """What tells documents apart: the id, or where an id has several texts, the id and the text's hash, sorted as the ids are."""
+    text = F.xxhash64("text")
+    several = docs.where("doc_id is not null").groupBy("doc_id").agg(F.min(text).alias("a"), F.max(text).alias("b")).where("a <> b")
+    if several.isEmpty():
+        return F.col("doc_id")
+    digits = F.hex(F.col("doc_id").cast("long").bitwiseXOR(F.lit(-(1 << 63))))  # negative ids first
+    return F.concat(F.lpad(digits, 16, "0"), F.lpad(F.hex(text), 16, "0"))
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays: that with the smallest id.
 
-    Of rows that repeat an id, the one with the smallest text stays. Rows with a
-    null id stay.
+    Rows that share an id but not the text are documents of their own; of rows
+    that repeat id and text one stays. Rows with a null id stay.
     """
     folder = shared_folder(spark)
-    found = stored(neardup.near_duplicates(docs), folder, "found")
-    gone = found.where("not kept").select("doc_id").distinct()
-    repeated = found.where("doc_id is not null and kept").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    keyed = docs.select(*COLUMNS, _row_key(docs).alias("key"))
+    found = stored(neardup.near_duplicates(keyed, "key"), folder, "found")
+    gone = found.where("not kept").select("key").distinct()
+    repeated = found.where("key is not null and kept").groupBy("key").count().where("count > 1").select("key")
     # Most rows are neither; a bit table of bounded size lets these pass without a shuffle.
-    maybe, clear = split(docs.select(*COLUMNS), stored(bit_table(gone.union(repeated), "doc_id"), folder, "bits"), F.col("doc_id"))
-    left = maybe.join(gone, "doc_id", "left_anti")
-    once = left.groupBy("doc_id").agg(F.min_by(F.struct(*COLUMNS), F.coalesce("text", F.lit(""))).alias("r")).select("r.*")
-    return clear.unionByName(once.select(*COLUMNS))
+    maybe, clear = split(keyed, stored(bit_table(gone.union(repeated), "key"), folder, "bits"), F.col("key"))
+    left = maybe.join(gone, "key", "left_anti")
+    once = left.groupBy("key").agg(F.min_by(F.struct(*COLUMNS), F.coalesce("text", F.lit(""))).alias("r")).select("r.*")
+    return clear.select(*COLUMNS).unionByName(once.select(*COLUMNS))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

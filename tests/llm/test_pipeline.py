@@ -61,3 +61,12 @@ def test_odd_rows_and_empty_tables(spark):
 
 def test_run(spark):
     assert corpus_pipeline.run(spark, SF).select("doc_id", "n_tokens").count() > 0
+
+
+def test_near_dedup_of_ids_with_several_texts(spark):
+    """Only the linked or exactly repeated text of an id goes, and an id's texts do not link others."""
+    a, b, c, d = (" ".join(f"{w}{k}" for k in range(60)) for w in ("sun", "moon", "star", "rain"))
+    rows = [(-3, d), (1, a), (5, a + " end"), (5, b), (7, c), (7, c), (7, ""), (9, b + " end"), (-2, d + " end"), (None, a)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.near_dedup(spark, docs, SF).collect()]
+    assert sorted(got, key=str) == sorted([(-3, d), (1, a), (5, b), (7, c), (7, ""), (None, a)], key=str)
