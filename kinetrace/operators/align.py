@@ -15,16 +15,19 @@ def nearest(events: DataFrame, frames: DataFrame, keys: Sequence[str], time: str
     """Adds to each event its nearest frame by time and the error (frame's time minus event's).
 
     Of two equally near frames the earlier holds; events before the first or
-    after the last frame take that one. Both sides meet in one sort by time;
+    after the last frame take that one. Both sides meet in one shuffle and are
+    sorted by time, forward and backward;
     events of a key without frames, or with a null time, get nulls.
     """
     columns = events.columns
     whole = F.struct(*[F.col(c) for c in columns])
     e = events.select(*keys, F.col(time).cast("double").alias("_t"), F.lit(1).alias("_kind"), F.lit(None).cast(frames.schema[frame].dataType).alias("_frame"), whole.alias("_event"))
     f = frames.where(F.col(pts).isNotNull()).select(*keys, F.col(pts).cast("double").alias("_t"), F.lit(0).alias("_kind"), F.col(frame).alias("_frame"), F.lit(None).cast(e.schema["_event"].dataType).alias("_event"))
-    order = Window.partitionBy(*keys).orderBy("_t", "_kind", "_frame")
+    order = ("_t", "_kind", "_frame")
     known = F.when(F.col("_kind") == 0, F.struct("_t", "_frame"))
-    met = f.unionByName(e).withColumns({"_before": F.last(known, True).over(order.rowsBetween(Window.unboundedPreceding, 0)), "_after": F.first(known, True).over(order.rowsBetween(0, Window.unboundedFollowing))})
+    # The next frame is the last one met on the way back from the end, which takes one step a row.
+    seen = {name: F.last(known, True).over(Window.partitionBy(*keys).orderBy(*by).rowsBetween(Window.unboundedPreceding, 0)) for name, by in (("_before", order), ("_after", [F.col(c).desc() for c in order]))}
+    met = f.unionByName(e).withColumns(seen)
     t = F.col("_t")
     earlier = F.col("_after").isNull() | (t - F.col("_before._t") <= F.col("_after._t") - t)
     best = F.when(t.isNotNull(), F.when(earlier, F.col("_before")).otherwise(F.col("_after")))

@@ -95,15 +95,15 @@ def sum_names(made: dict[str, Column], *names: str) -> Column:
 
 
 def movements(track: Track, animals: int) -> dict[str, Column]:
-    """Steps of each part, and changes of shapes against the frame before (previous minus this)."""
+    """Steps of each part, and changes of shapes against the frame before (previous minus this); no value is missing here."""
     out = {}
     for i in range(1, animals + 1):
         for p in BODY_PARTS:
-            out[f"movement_mouse_{i}_{p}"] = track.step(f"{p}_{i}_x", f"{p}_{i}_y")
+            out[f"movement_mouse_{i}_{p}"] = track.step(f"{p}_{i}_x", f"{p}_{i}_y", known=True)
         for c in CHANGES:
-            out[f"movement_mouse_{i}_{c}"] = track.change(f"{c}_{i}")
+            out[f"movement_mouse_{i}_{c}"] = track.change(f"{c}_{i}", known=True)
     for c in PAIR_CHANGES if animals == 2 else ():
-        out[f"movement_{c}"] = track.change(c)
+        out[f"movement_{c}"] = track.change(c, known=True)
     return out
 
 

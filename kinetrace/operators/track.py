@@ -34,22 +34,34 @@ class Track:
         return self.window.rowsBetween(Window.unboundedPreceding, 0)
 
     @property
-    def after(self) -> WindowSpec:
-        return self.window.rowsBetween(0, Window.unboundedFollowing)
+    def backward(self) -> WindowSpec:
+        """The track from its end. What lies ahead is looked up here: a frame that ends at the partition's end
+        would be gone through again for every row, one that begins there grows by a row at a time."""
+        return Window.partitionBy(*self.keys).orderBy(F.col(self.order).desc())
+
+    def ahead(self, c: Column | str, since: int = 0) -> Column:
+        """The first known value from ``since`` rows back on."""
+        return F.last(c, True).over(self.backward.rowsBetween(Window.unboundedPreceding, since))
 
     # Neighbours
 
-    def previous(self, c: str, by: int = 1) -> Column:
-        """The value ``by`` rows back; missing ones take the next known value, so the first row takes its own."""
-        return F.coalesce(F.lag(c, by).over(self.window), F.first(c, True).over(self.after))
+    def previous(self, c: str, by: int = 1, known: bool = False) -> Column:
+        """The value ``by`` rows back; missing ones take the next known value, so the first row takes its own.
+
+        ``known``: no value is missing, so only the first rows need another
+        and the track is not sorted backward (for ``by`` = 1).
+        """
+        if known and by == 1:
+            return F.coalesce(F.lag(c, 1).over(self.window), F.col(c))
+        return self.ahead(c, by)
 
-    def change(self, c: str) -> Column:
+    def change(self, c: str, known: bool = False) -> Column:
         """Previous value minus this one; 0 in the first row."""
-        return self.previous(c) - F.col(c)
+        return self.previous(c, 1, known) - F.col(c)
 
-    def step(self, x: str, y: str) -> Column:
+    def step(self, x: str, y: str, known: bool = False) -> Column:
         """Distance from the previous position; 0 in the first row."""
-        dx, dy = self.change(x), self.change(y)
+        dx, dy = self.change(x, known), self.change(y, known)
         return F.sqrt(dx * dx + dy * dy)
 
     def difference(self, c: str) -> Column:
@@ -117,7 +129,7 @@ class Track:
         """
         known = F.struct(F.col(self.order).alias("t"), F.col(c).alias("v"))
         at = F.when(F.col(c).isNotNull(), known)
-        left, right = F.last(at, True).over(self.before), F.first(at, True).over(self.after)
+        left, right = F.last(at, True).over(self.before), self.ahead(at)
         here = F.col(self.order)
         line = left["v"] + (right["v"] - left["v"]) * (here - left["t"]) / (right["t"] - left["t"])
         value = F.when(right.isNull(), left["v"]).otherwise(line)
