@@ -117,13 +117,14 @@ _SX, _SY = f"(({_FLOOR[2][0]} - {_FLOOR[3][0]}) / nullif({_SIDE}, 0))", f"(({_FL
 
 @query(
     f"{WITH} SELECT session, frame_idx, {r(f'CASE WHEN abs({_LEAN}) < 5 THEN 0.0 ELSE {_LEAN} END', 'angle')}, "
-    f"CAST(ceil(round(640 * abs(cos(radians(30))) + 480 * abs(sin(radians(30))), 6)) AS BIGINT) AS canvas, "
+    f"CAST(ceil(round(640 * abs(cos(radians(30))) + 480 * abs(sin(radians(30))), 6)) AS BIGINT) AS canvas_w, CAST(ceil(round(640 * abs(sin(radians(30))) + 480 * abs(cos(radians(30))), 6)) AS BIGINT) AS canvas_h, "
     f"{r('320 + (nose_1_x - 320) * cos(radians(30)) + (nose_1_y - 240) * sin(radians(30)) + 5 - 11', 'x')}, {r('240 + (nose_1_y - 240) * cos(radians(30)) - (nose_1_x - 320) * sin(radians(30)) + 7 - 13', 'y')} FROM pose"
 )
 def rotate_transform(spark, sf_dir):
     floor = [_point(f"{p}_1") for p in ("nose", "ear_left", "ear_right", "head")]
     x, y = G.into_crop(_point("nose_1"), (640, 480), 30, (5, 7), (11, 13))
-    out = pose(spark, sf_dir).select("session", "frame_idx", G.rotation_angle(floor[0], floor[3], 5.0).alias("angle"), G.expanded_canvas(640, 480, 30)[0].alias("canvas"), x.alias("x"), y.alias("y"))
+    w, h = G.expanded_canvas(640, 480, 30)
+    out = pose(spark, sf_dir).select("session", "frame_idx", G.rotation_angle(floor[0], floor[3], 5.0).alias("angle"), w.alias("canvas_w"), h.alias("canvas_h"), x.alias("x"), y.alias("y"))
     return rounded(out)
 
 
@@ -159,11 +160,18 @@ _D = f"(({_FLOOR[0][0]} - {_FLOOR[1][0]}) * ({_FLOOR[2][1]} - {_FLOOR[3][1]}) -
 _C1, _C2 = f"({_FLOOR[0][0]} * {_FLOOR[1][1]} - {_FLOOR[0][1]} * {_FLOOR[1][0]})", f"({_FLOOR[2][0]} * {_FLOOR[3][1]} - {_FLOOR[2][1]} * {_FLOOR[3][0]})"
 
 
-@query(f"{WITH} SELECT session, frame_idx, {r(f'({_C1} * ({_FLOOR[2][0]} - {_FLOOR[3][0]}) - ({_FLOOR[0][0]} - {_FLOOR[1][0]}) * {_C2}) / {_D}', 'x', 1)} FROM pose WHERE abs({_D}) > 5000")
+_SCALE = f"CASE WHEN abs({_D}) >= 1e-10 THEN {_D} END"
+
+
+@query(
+    f"{WITH} SELECT session, frame_idx, ({_C1} * ({_FLOOR[2][0]} - {_FLOOR[3][0]}) - ({_FLOOR[0][0]} - {_FLOOR[1][0]}) * {_C2}) / ({_SCALE}) AS x, "
+    f"({_C1} * ({_FLOOR[2][1]} - {_FLOOR[3][1]}) - ({_FLOOR[0][1]} - {_FLOOR[1][1]}) * {_C2}) / ({_SCALE}) AS y FROM pose"
+)
 def line_crossing(spark, sf_dir):
+    """Not rounded: lines that are nearly parallel meet far away, and the same operations give the same bits."""
     a, b, c, d = [_point(f"{p}_1") for p in ("nose", "ear_left", "ear_right", "head")]
     x, y = G.line_crossing(a, b, c, d)
-    return rounded(pose(spark, sf_dir).select("session", "frame_idx", x.alias("x"), y.alias("y")), 1)
+    return pose(spark, sf_dir).select("session", "frame_idx", x.alias("x"), y.alias("y"))
 
 
 _PS = [f"{p}_{i}_p" for i in (2, 1) for p in BODY_PARTS]
@@ -293,7 +301,7 @@ def zone_files(spark, sf_dir):
     return t.select("n_nationkey", *[made[n].alias(n) for n in ("floor_x1", "nest_y4", "loom_x", "loom_y", "loom_radius")])
 
 
-@query("SELECT 'bonsai_' || row_number() OVER (ORDER BY event_id) AS event_id, event_type, CAST(value AS DOUBLE) AS time_start, CASE WHEN event_type = 'view' THEN NULL ELSE value + 1 END AS time_end FROM events WHERE user_id = 7")
+@query("SELECT user_id, 'bonsai_' || row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS event_id, event_type, CAST(value AS DOUBLE) AS time_start, CASE WHEN event_type = 'view' THEN NULL ELSE value + 1 END AS time_end FROM events")
 def event_log(spark, sf_dir):
     e = table(spark, sf_dir, "events").select("user_id", "event_id", F.col("event_type").alias("what"), F.col("value").cast("string").alias("timestamp"), F.when(F.col("event_type") != "view", F.col("value") + 1).cast("string").alias("until"))
     return event_sources.log_events(e, "what", "timestamp", "until", "event_id", ["user_id"])

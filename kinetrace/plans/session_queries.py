@@ -12,7 +12,7 @@ from kinetrace.operators import clean, correct, features, metrics, zones
 from kinetrace.operators.track import Track
 from kinetrace.plans.base import FRAMES, POSE, SESSION, frames, pose, query, r, rounded, sql_angle, sql_between, sql_distance, sql_facing, sql_in_polygon, sql_point, sql_segment
 from kinetrace.plans.geometry_queries import LOOM, NEST, RADIUS, _frechet_sql, _hull_sql
-from kinetrace.schema import BODY_PARTS, ROLLING, wide_columns
+from kinetrace.schema import BODY_PARTS, FILL_LIMIT, ROLLING, wide_columns
 
 _W = "PARTITION BY session ORDER BY frame_idx"
 _VALUES = [f"{p}_{a}" for p in BODY_PARTS for a in ("x", "y", "score")]
@@ -45,7 +45,7 @@ def _clean_sql() -> str:
         right = f"first_value(CASE WHEN {c} IS NOT NULL THEN {{'t': frame_idx, 'v': {c}}} END IGNORE NULLS) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"
         return f"{left} AS l_{c}, {right} AS r_{c}"
 
-    shown = ["nose_x_1", "nose_y_2", "tail_base_score_1", "head_x_2"]
+    shown = values
     lerp = lambda c: f"round(coalesce({c}, CASE WHEN frame_idx - l_{c}.t <= {_LIMIT} THEN CASE WHEN r_{c} IS NULL THEN l_{c}.v ELSE l_{c}.v + (r_{c}.v - l_{c}.v) * (frame_idx - l_{c}.t) / nullif(r_{c}.t - l_{c}.t, 0) END END), 4) AS {c}"
     return f"""WITH {POSE}, raw AS (SELECT session, frame_idx, {raw} FROM pose),
 kept AS (SELECT * FROM (SELECT *, min(CASE WHEN nose_x_1 IS NOT NULL OR nose_x_2 IS NOT NULL THEN frame_idx END) OVER (PARTITION BY session) AS lo, max(CASE WHEN nose_x_1 IS NOT NULL OR nose_x_2 IS NOT NULL THEN frame_idx END) OVER (PARTITION BY session) AS hi FROM raw) WHERE frame_idx BETWEEN lo AND hi),
@@ -58,26 +58,29 @@ swaps AS (SELECT *, gap AND NOT coalesce(next_gap, true) AND coalesce({cost(2, 1
 flips AS (SELECT *, sum(CASE WHEN swap_here THEN 1 ELSE 0 END) OVER ({_W}) % 2 = 1 AS flipped FROM swaps),
 crossed AS (SELECT session, frame_idx, drop_1, drop_2, swap_here, flipped, {swapped} FROM flips),
 filled AS (SELECT *, {', '.join(fill(c) for c in shown)} FROM crossed WINDOW w AS ({_W}))
-SELECT session, frame_idx, drop_1, drop_2, swap_here, flipped, {', '.join(lerp(c) for c in shown)} FROM filled"""
+SELECT session, frame_idx, drop_1, drop_2, swap_here, flipped, nose_x_1 IS NULL AS missing_1, nose_x_2 IS NULL AS missing_2, {', '.join(lerp(c) for c in shown)} FROM filled"""
 
 
 @query(_clean_sql())
 def clean_paired(spark, sf_dir):
-    out = clean.clean_paired(_raw(spark, sf_dir), ["session"], limit=_LIMIT, apart=_APART, jump=_JUMP)
-    return rounded(out.select("session", "frame_idx", "drop_1", "drop_2", "swap_here", "flipped", "nose_x_1", "nose_y_2", "tail_base_score_1", "head_x_2"))
+    """All 36 repaired columns, and what was dropped, exchanged and missing."""
+    return rounded(clean.clean_paired(_raw(spark, sf_dir), ["session"], limit=_LIMIT, apart=_APART, jump=_JUMP))
 
 
-_SINGLE = f"""WITH {POSE}, d AS (SELECT session, frame_idx, CASE WHEN {_KEEP[1]} THEN head_1_x END AS v FROM pose),
-k AS (SELECT * FROM (SELECT *, min(CASE WHEN v IS NOT NULL THEN frame_idx END) OVER (PARTITION BY session) AS lo, max(CASE WHEN v IS NOT NULL THEN frame_idx END) OVER (PARTITION BY session) AS hi FROM d) WHERE frame_idx BETWEEN lo AND hi),
-n AS (SELECT *, last_value(CASE WHEN v IS NOT NULL THEN {{'t': frame_idx, 'v': v}} END IGNORE NULLS) OVER ({_W} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS l,
-first_value(CASE WHEN v IS NOT NULL THEN {{'t': frame_idx, 'v': v}} END IGNORE NULLS) OVER ({_W} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS r FROM k)
-SELECT session, frame_idx, 0 AS track, v IS NULL AS missing_1, round(coalesce(v, l.v + (r.v - l.v) * (frame_idx - l.t) / nullif(r.t - l.t, 0)), 4) AS head_x FROM n"""
+def _single_sql() -> str:
+    raw = ", ".join(f"CASE WHEN {_KEEP[1]} THEN {q}_1_{'p' if a == 'score' else a} END AS {q}_{a}" for q in BODY_PARTS for a in ("x", "y", "score"))
+    known = lambda c: f"CASE WHEN {c} IS NOT NULL THEN {{'t': frame_idx, 'v': {c}}} END IGNORE NULLS"
+    sides = ", ".join(f"last_value({known(c)}) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS l_{c}, first_value({known(c)}) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS r_{c}" for c in _VALUES)
+    shown = ", ".join(f"round(coalesce({c}, CASE WHEN frame_idx - l_{c}.t <= {FILL_LIMIT} THEN l_{c}.v + (r_{c}.v - l_{c}.v) * (frame_idx - l_{c}.t) / nullif(r_{c}.t - l_{c}.t, 0) END), 4) AS {c}" for c in _VALUES)
+    return f"""WITH {POSE}, d AS (SELECT session, frame_idx, {raw} FROM pose),
+k AS (SELECT * FROM (SELECT *, min(CASE WHEN nose_x IS NOT NULL THEN frame_idx END) OVER (PARTITION BY session) AS lo, max(CASE WHEN nose_x IS NOT NULL THEN frame_idx END) OVER (PARTITION BY session) AS hi FROM d) WHERE frame_idx BETWEEN lo AND hi),
+n AS (SELECT *, {sides} FROM k WINDOW w AS ({_W})) SELECT session, frame_idx, 0 AS track, nose_x IS NULL AS missing_1, {shown} FROM n"""
 
 
-@query(_SINGLE)
+@query(_single_sql())
 def clean_single(spark, sf_dir):
-    out = clean.clean_single(_raw(spark, sf_dir).where("track = 0"), ["session"])
-    return rounded(out.select("session", "frame_idx", "track", "missing_1", "head_x"))
+    """All 18 columns of one animal."""
+    return rounded(clean.clean_single(_raw(spark, sf_dir).where("track = 0"), ["session"]))
 
 
 def _steps_sql() -> str:
@@ -210,19 +213,31 @@ def zone_features(spark, sf_dir):
     return rounded(df.select("session", "frame_idx", *[c for c in df.columns if c.startswith(("Nest", "Loom"))]))
 
 
-_AWAY = f"CASE WHEN {sql_in_polygon(sql_point('nose_1'), _NEST)} = 1 THEN 0.0 ELSE least({', '.join(sql_segment(sql_point('nose_1'), a, b) for a, b in zip(_NEST, [*_NEST[1:], _NEST[0]], strict=True))}) END"
+def _approach_sql() -> str:
+    points = [(q, i) for i in (1, 2) for q in BODY_PARTS]
 
+    def away(q: str, i: int) -> str:
+        at = sql_point(f"{q}_{i}")
+        edges = ", ".join(sql_segment(at, a, b) for a, b in zip(_NEST, [*_NEST[1:], _NEST[0]], strict=True))
+        return f"CASE WHEN {sql_in_polygon(at, _NEST)} = 1 THEN 0.0 ELSE least({edges}) END AS d_{q}_{i}"
 
-@query(f"WITH {POSE}, d AS (SELECT session, frame_idx, {_AWAY} AS d FROM pose) SELECT session, frame_idx, round(d, 4) AS distance, round(coalesce(d - lag(d) OVER ({_W}), lead(d) OVER ({_W}) - d), 4) AS velocity FROM d")
+    made = ", ".join(f"{r(f'd_{q}_{i}', f'roi_distance_{q}_animal_{i}')}, {r(f'coalesce(d_{q}_{i} - lag(d_{q}_{i}) OVER w, lead(d_{q}_{i}) OVER w - d_{q}_{i})', f'roi_velocity_{q}_animal_{i}')}" for q, i in points)
+    return f"WITH {POSE}, d AS (SELECT session, frame_idx, {', '.join(away(q, i) for q, i in points)} FROM pose) SELECT session, frame_idx, {made} FROM d WINDOW w AS ({_W})"
+
+
+@query(_approach_sql())
 def nest_approach(spark, sf_dir):
-    df = zones.approach(pose(spark, sf_dir), SESSION, zones.Zones(NEST), 1)
-    return rounded(df.select("session", "frame_idx", F.col("roi_distance_nose_animal_1").alias("distance"), F.col("roi_velocity_nose_animal_1").alias("velocity")))
+    """Distance to the nest and its change, of all twelve points."""
+    df = pose(spark, sf_dir)
+    for i in (1, 2):
+        df = zones.approach(df, SESSION, zones.Zones(NEST), i)
+    return rounded(df.select("session", "frame_idx", *[c for c in df.columns if c.startswith("roi_")]))
 
 
 # Event metrics, over tracks of the event table: pairs of users are sessions, their frames the session's.
 
 _PAIR = f"""WITH {FRAMES}, p AS (SELECT track // 2 AS session, CAST(track % 2 + 1 AS INT) AS animal, frame_idx, kind, value,
-kind IN ('view', 'click') AS slow, kind <> 'error' AS calm, kind = 'view' AS inside, kind IN ('view', 'click', 'scroll') AS near FROM fr WHERE track < 120),
+kind IN ('view', 'click') AS slow, kind <> 'error' AS calm, kind = 'view' AS inside, kind IN ('view', 'click', 'scroll') AS near FROM fr),
 ends AS (SELECT session, max(frame_idx) + 1 AS e FROM p GROUP BY session),
 lo AS (SELECT session, CAST(row_number() OVER (PARTITION BY session ORDER BY frame_idx) AS INT) AS loom, frame_idx AS at_, lead(frame_idx) OVER (PARTITION BY session ORDER BY frame_idx) AS until FROM (SELECT DISTINCT session, frame_idx FROM p WHERE frame_idx % 25 = 5)),
 who AS (SELECT a.session, a.animal, loom, at_, until, ends.e, least(coalesce(until, ends.e), ends.e) AS nxt FROM (SELECT DISTINCT session, animal FROM p) a JOIN lo USING (session) JOIN ends USING (session)),
@@ -299,16 +314,19 @@ def event_metrics(spark, sf_dir):
     return rounded(metrics.measure(p, points, ["session"], _METRICS))
 
 
-_STEPS, _LAST, _CELL = _frechet_sql(12, 12)
+_STEPS, _LAST, _ = _frechet_sql(12, 12)
 _PATH = "list({{'x': body_center_{i}_x, 'y': body_center_{i}_y}} ORDER BY frame_idx)"
 
 
+_WHOLE = " ".join(f"WHEN {n} THEN c_{n - 1}_{n - 1}" for n in range(2, 13))
+
+
 @query(
-    f"""WITH {POSE}, paths AS (SELECT session, CASE WHEN frame_idx < 17 THEN 1 ELSE 2 END AS loom, {_PATH.format(i=1)} AS p, {_PATH.format(i=2)} AS q
-FROM pose WHERE frame_idx BETWEEN 5 AND 16 OR frame_idx BETWEEN 30 AND 41 GROUP BY ALL HAVING count(*) = 12), {_STEPS} SELECT session, loom, round({_CELL}, 4) AS frechet FROM {_LAST}"""
+    f"""WITH {POSE}, paths AS (SELECT session, CAST((frame_idx - 5) // 25 + 1 AS INT) AS loom, {_PATH.format(i=1)} AS p, {_PATH.format(i=2)} AS q
+FROM pose WHERE frame_idx >= 5 AND (frame_idx - 5) % 25 < 12 GROUP BY ALL HAVING count(*) > 1), {_STEPS} SELECT session, loom, round(CASE len(p) {_WHOLE} END, 4) AS frechet FROM {_LAST}"""
 )
 def loom_paths(spark, sf_dir):
-    """Frechet distance of both animals' paths over the windows they share."""
+    """Frechet distance of both animals' paths over the windows they share, which the session's end may cut."""
     wide = pose(spark, sf_dir)
     rows = metrics.stacked(wide, ["session"], {"body_center_x": lambda i: F.col(f"body_center_{i}_x"), "body_center_y": lambda i: F.col(f"body_center_{i}_y")}, 2)
     looms = wide.where("frame_idx % 25 = 5").select("session", F.lit("loom").alias("event_type"), F.col("frame_idx").cast("double").alias("time_start"), F.col("frame_idx").alias("frame_start"))

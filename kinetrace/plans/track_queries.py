@@ -67,7 +67,7 @@ def densify_frames(spark, sf_dir):
 
 
 @query(
-    """WITH days AS (SELECT event_type AS kind, CAST(ts AS DATE) AS day, count(*) AS n FROM events WHERE event_type <> 'view' OR event_id % 3 = 0 GROUP BY ALL),
+    """WITH days AS (SELECT event_type AS kind, CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY ALL),
 b AS (SELECT min(day) AS lo, max(day) AS hi FROM days), g AS (SELECT kind, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS day FROM (SELECT DISTINCT kind FROM days), b)
 SELECT g.kind, CAST(g.day AS VARCHAR) AS day, coalesce(n, 0) AS n FROM g LEFT JOIN days USING (kind, day)"""
 )
@@ -215,7 +215,7 @@ def event_window_mean(spark, sf_dir):
 
 
 @query(
-    f"""{WITH}, {_ERRORS}, w AS (SELECT track % 10 AS pair, event, fa AS s, least(fa + 12, coalesce(until, fa + 12)) AS e FROM ev WHERE track % 10 < 5 AND track < 20)
+    f"""{WITH}, {_ERRORS}, w AS (SELECT track // 2 AS pair, event, fa AS s, least(fa + 12, coalesce(until, fa + 12)) AS e FROM ev)
 SELECT pair, event, CASE WHEN count(*) >= 2 AND max(s) < min(e) THEN max(s) END AS start, CASE WHEN count(*) >= 2 AND max(s) < min(e) THEN min(e) END AS "end" FROM w GROUP BY pair, event"""
 )
 def shared_windows(spark, sf_dir):
@@ -253,18 +253,15 @@ def animals_by_looms(spark, sf_dir):
 
 
 @query(
-    f"""{WITH}, k AS (SELECT track, frame_idx, first(value ORDER BY event_id) AS value FROM (SELECT track % 2 AS track, frame_idx, event_id, value FROM fr WHERE track < 30) GROUP BY ALL)
-SELECT frame_idx, max(value) FILTER (track = 0) AS value_1, max(value) FILTER (track = 1) AS value_2 FROM k GROUP BY frame_idx"""
+    f"""{WITH}, k AS (SELECT track // 2 AS session, dense_rank() OVER (PARTITION BY track // 2 ORDER BY track) AS slot, frame_idx, value FROM fr)
+SELECT session, frame_idx, max(value) FILTER (slot = 1) AS value_1, max(value) FILTER (slot = 2) AS value_2 FROM k GROUP BY ALL"""
 )
 def widen_tracks(spark, sf_dir):
     f = frames(spark, sf_dir).withColumn("session", F.floor(F.col("track") / 2).cast("long"))
     return reshape.widen(f, ["session"], ["value"], 2, row="event_id")
 
 
-@query(
-    f"""{WITH} SELECT DISTINCT frame_idx FROM fr WHERE frame_idx NOT IN (SELECT frame_idx FROM fr WHERE track = 1 AND gappy IS NOT NULL)
-AND frame_idx NOT IN (SELECT frame_idx FROM fr WHERE track = 2 AND gappy IS NOT NULL)"""
-)
+@query(f"{WITH} SELECT track // 2 AS session, frame_idx FROM fr GROUP BY ALL HAVING count(gappy) = 0")
 def missing_in_both(spark, sf_dir):
     f = frames(spark, sf_dir).withColumn("session", F.floor(F.col("track") / 2).cast("long"))
     valid = f.where("gappy is not null").select("session", "frame_idx")
