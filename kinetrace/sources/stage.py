@@ -16,15 +16,31 @@ _made: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder name under ``spark.checkpoint.dir``; under a temporary folder where that is unset, as in tests."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or f"file://{tempfile.gettempdir()}/kinetrace-stages"
+    """A new folder name under ``spark.checkpoint.dir``.
+
+    Where that is unset, a local master uses a temporary folder, as tests do; a
+    cluster's machines do not share one, so there it is an error.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = f"file://{tempfile.gettempdir()}/kinetrace-stages"
     _made.append(f"{base.rstrip('/')}/{uuid.uuid4().hex}")
     return _made[-1]
 
 
-def release(spark: SparkSession) -> None:
-    """Deletes all stage folders of this process; results that read them have to be written before."""
-    while _made:
+def mark() -> int:
+    """Where the list of stage folders stands, for :func:`release`."""
+    return len(_made)
+
+
+def release(spark: SparkSession, since: int = 0) -> None:
+    """Deletes the stage folders made by this process, or those made after :func:`mark` gave ``since``.
+
+    Results that read them have to be written before.
+    """
+    while len(_made) > since:
         drop(spark, _made.pop())
 
 
