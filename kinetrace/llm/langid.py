@@ -3,7 +3,8 @@
 Training (numpy, on the driver): filters of several widths over byte classes,
 max pooling over a fixed-length window, then a softmax. Only the position that
 won the pooling gets a gradient, so a step touches few weights. Training reads
-a bounded sample of labelled rows; the bound is a parameter.
+all windows of the whole texts of a bounded sample of labelled rows; the bound
+is a parameter.
 
 Prediction: every byte of every text falls into one fixed-length window (the
 last is padded), windows of many documents form one batch, and a document's
@@ -13,7 +14,6 @@ to 4 are tables over byte pairs, so a position costs one or two lookups.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,9 +26,8 @@ from kinetrace.llm.textcore import bounded, slices, trimmed, utf8
 
 #: Bytes in a window, filter widths (2 to 4), filters of each width.
 WINDOW, WIDTHS, FILTERS = 256, (2, 3, 4), 16
-#: Labelled rows that training reads (about), and windows of each.
-TRAIN_ROWS, TRAIN_WINDOWS = 3000, 4
-_LETTER = re.compile(r"[^\W\d_]")
+#: Most labelled rows that training reads.
+TRAIN_ROWS = 2000
 _CLASSES = 128
 
 
@@ -102,21 +101,22 @@ def cut(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return out.reshape(-1, WINDOW), rows, lengths
 
 
-def train(texts: list[str], labels: list[str], seed: int = 7, epochs: int = 8, rate: float = 0.01, batch: int = 64, window_cap: int = TRAIN_WINDOWS) -> ByteCNN | None:
-    """Fits the network; None without a labelled text that is not blank."""
+def train(texts: list[str], labels: list[str], seed: int = 7, epochs: int = 4, rate: float = 0.01, batch: int = 64, steps: int = 400) -> ByteCNN | None:
+    """Fits the network to all windows of the texts, in ``epochs`` passes or ``steps`` steps, what is more; None without a labelled text."""
     kept = [(t, y) for t, y in zip(texts, labels, strict=True) if t and y is not None]
     if not kept:
         return None
     langs = sorted({y for _, y in kept})
     rng = np.random.default_rng(seed)
-    xs, ys = [], []
-    for text, y in kept:
-        raw = np.frombuffer(text.encode("utf-8", "replace"), np.uint8)
-        for k in rng.permutation(-(-len(raw) // WINDOW))[:window_cap]:
-            part = raw[k * WINDOW : (k + 1) * WINDOW]
-            xs.append(np.pad(_TABLE[part], (0, WINDOW - len(part))))
-            ys.append(langs.index(y))
-    x, y = np.stack(xs), np.array(ys)
+    data, offsets = utf8(pa.array([t for t, _ in kept], pa.large_string()))
+    parts, ys, place = [], [], {y: k for k, y in enumerate(langs)}
+    of = np.array([place[y] for _, y in kept])
+    for i, j in slices(offsets):
+        classes, rows, _ = cut(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+        parts.append(classes.astype(np.uint8))
+        ys.append(of[rows + i])
+    x, y = np.concatenate(parts), np.concatenate(ys)
+    epochs = max(epochs, -(-steps * batch // len(y)))
     weight = len(y) / (len(langs) * np.maximum(1, np.bincount(y, minlength=len(langs))))
     weight = np.minimum(weight, 4.0)
     model = ByteCNN({w: rng.normal(0, 0.3, (w, _CLASSES, FILTERS)) for w in WIDTHS}, np.zeros(FILTERS * len(WIDTHS)), rng.normal(0, 0.2, (FILTERS * len(WIDTHS), len(langs))), np.zeros(len(langs)), langs)
@@ -127,7 +127,7 @@ def train(texts: list[str], labels: list[str], seed: int = 7, epochs: int = 8, r
         order = rng.permutation(len(y))
         for b in range(0, len(y), batch):
             part = order[b : b + batch]
-            xb, yb, n = x[part], y[part], len(part)
+            xb, yb, n = x[part].astype(np.int64), y[part], len(part)
             tables, pairs = model.pair_tables(), xb[:, :-1] * _CLASSES + xb[:, 1:]
             pooled, won = [], []
             for w in WIDTHS:
@@ -175,25 +175,27 @@ def predict(model: ByteCNN | None, column: pa.Array, tables: dict[int, list[np.n
         for k in range(0, len(rows), 128):
             p = model.windows(classes[k : k + 128], tables)
             np.add.at(total, rows[k : k + 128] + i, p * lengths[k : k + 128, None])
-    letter = np.array([_LETTER.search(v.as_py() or "") is not None for v in column], bool) if n else np.zeros(0, bool)
+    letter = np.array([any(map(str.isalpha, v.as_py() or "")) for v in column], bool)
     share = total / np.maximum(total.sum(axis=1, keepdims=True), 1e-9)
     best = share.argmax(axis=1) if n else np.zeros(0, int)
     return [model.langs[b] if ok else "und" for b, ok in zip(best, letter, strict=True)], [float(min(1.0, share[r, b])) if ok else 0.0 for r, (b, ok) in enumerate(zip(best, letter, strict=True))]
 
 
 def fit(df: DataFrame, where: Column, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", rows: int = TRAIN_ROWS) -> ByteCNN | None:
-    """Trains on about ``rows`` rows of ``df`` that hold ``where`` and have a language, chosen by a hash of their id, twice as many at most.
+    """Trains on the whole texts of at most ``rows`` rows of ``df`` that hold ``where`` and have a language.
 
-    The same rows are chosen in every run. Null ids, texts or languages are left out; without a row the model is None.
+    They are those with the least hashes of id, text and language, the same in
+    every run; of rows that repeat all three one counts. Null ids, texts or
+    languages are left out; without a row the model is None.
     """
     pool = df.where(where & F.col(id_col).isNotNull() & F.col(lang_col).isNotNull())
     n = pool.count()
-    if n == 0:
-        return None
-    key = F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 20))
-    chosen = pool.where(key < int((1 << 20) * rows / n)) if n > rows else pool
-    got = chosen.where(F.col(text_col).isNotNull()).select(F.substring(text_col, 1 + F.pmod(F.xxhash64(id_col, text_col), F.greatest(F.lit(1), F.length(text_col) - 4 * WINDOW)).cast("int"), 8 * WINDOW).alias("t"), F.col(lang_col).alias("l"), F.col(id_col).cast("string").alias("i")).limit(2 * rows).collect()
-    got.sort(key=lambda r: (r.i, r.t))
+    pool = pool.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).cast("string").alias("t"), F.col(lang_col).cast("string").alias("l")).where("t is not null")
+    key = F.xxhash64("i", "t", "l")
+    # About twice the wanted rows get through, so that no task sends many to the final choice.
+    few = pool.where(F.pmod(key, F.lit(1 << 30)) < int((1 << 30) * min(1.0, 2 * rows / max(n, 1)))).distinct()
+    got = few.orderBy(F.pmod(key, F.lit(1 << 30)), "i", "t", "l").limit(rows).collect()
+    got.sort(key=lambda r: (r.i, r.t, r.l))
     return train([r.t for r in got], [r.l for r in got])
 
 

@@ -170,6 +170,36 @@ def test_languages_of_odd_rows(spark, odd):
     assert langid.fit(odd.limit(0), F.lit(True), lang_col="score") is None and langid.train(["", None], ["a", "b"]) is None
 
 
+def test_languages_read_whole_texts_of_a_stated_number_of_rows(spark, monkeypatch):
+    texts = {k: "a" * 5000 + f" the end {k}" for k in range(40)}
+    df = spark.createDataFrame([(k, t, "en" if k % 2 else "de") for k, t in texts.items()] + [(3, texts[3], "en")] * 50 + [(None, "x", "en"), (99, None, "en"), (98, "x", None)], "doc_id long, text string, lang string")
+    seen = []
+    monkeypatch.setattr(langid, "train", lambda t, y: seen.append(list(zip(t, y, strict=True))))
+    for n, rows in ((5, 60), (2, 60), (3, 7)):
+        langid.fit(df.repartition(n), F.lit(True), rows=rows)
+    assert seen[0] == seen[1] and sorted(seen[0]) == sorted((t, "en" if k % 2 else "de") for k, t in texts.items())
+    assert len(seen[2]) <= 7 and set(seen[2]) < set(seen[0])
+
+
+def test_network_equals_a_plain_convolution():
+    model = langid.train(["the cat and the dog " * 30, "der hund und die katze " * 30, "ürgê ½ x " * 9], ["en", "de", "fr"], epochs=1, steps=20)
+    texts = ["the dog", "", None, "½ ² ① Ⅷ 12", "katze " * 100, "é", "a b"]
+    langs, scores = langid.predict(model, pa.array(texts))
+    for text, lang, score in zip(texts, langs, scores, strict=True):
+        if not any(c.isalpha() for c in text or ""):
+            assert (lang, score) == ("und", 0.0)
+            continue
+        raw, total = text.encode(), np.zeros(3)
+        for at in range(0, len(raw), langid.WINDOW):
+            part = raw[at : at + langid.WINDOW]
+            x = [int(langid.byte_classes()[b]) for b in part] + [0] * (langid.WINDOW - len(part))
+            pooled = [max(sum(bank[j, x[i + j], f] for j in range(w)) for i in range(len(x) - w + 1)) for w, bank in model.filters.items() for f in range(langid.FILTERS)]
+            z = np.maximum(np.array(pooled) + model.bias, 0) @ model.out + model.out_bias
+            total += np.exp(z) / np.exp(z).sum() * len(part)
+        share = total / total.sum()
+        assert model.langs[int(share.argmax())] == lang and share.max() == pytest.approx(score, abs=1e-4)
+
+
 def test_windows_cover_every_byte():
     data, offsets = textcore.utf8(pa.array(["a" * 600, "", None, "b" * 256, "c"]))
     windows, rows, lengths = langid.cut(data, offsets)
@@ -358,6 +388,73 @@ def test_toxicity_on_held_out_rows(spark):
     assert sum(got[i].predicted for i in bad) >= 0.8 * len(bad)
 
 
+def plain_chain(e, moves):
+    """Log of the probability that all tokens are clean, and the toxic marginals, token by token."""
+    n = len(e)
+    ahead, back = [[0.0, e[0]]], [[0.0, 0.0]]
+    for t in range(1, n):
+        ahead.append([np.logaddexp(ahead[-1][0] + moves[0][j], ahead[-1][1] + moves[1][j]) + j * e[t] for j in (0, 1)])
+        back.append([np.logaddexp(moves[i][0] + back[-1][0], moves[i][1] + e[n - t] + back[-1][1]) for i in (0, 1)])
+    total = np.logaddexp(*ahead[-1])
+    return (n - 1) * moves[0][0] - total, [float(np.exp(f[1] + b[1] - total)) for f, b in zip(ahead, back[::-1], strict=True)]
+
+
+def test_toxicity_query_equals_plain_recursions(spark, docs, monkeypatch):
+    fitted = []
+    fit = toxicity.fit
+    monkeypatch.setattr(toxicity, "fit", lambda *a: fitted.append(fit(*a)) or fitted[-1])
+    got = {r.doc_id: r for r in queries.op9_toxicity(spark, SF).collect()}
+    field, total = fitted[0], 0
+    for i, t in docs:
+        raw = (t or "").encode()
+        starts, ends, _, features = toxicity.tokens(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+        e = np.clip(field.weights[features].sum(axis=1) + field.bias, -30, 30)
+        clean, p = plain_chain(e, field.moves.tolist()) if len(e) else (0.0, [])
+        label = 0.02 + 0.96 * (1 - np.exp(clean))
+        assert got[i].score == pytest.approx(1 / (1 + np.exp(field.shift) * (1 - label) / label), abs=1e-6) and got[i].predicted == (got[i].score >= 0.5)
+        spans = []
+        for k in [k for k in range(len(p)) if p[k] >= 0.5]:
+            a, b = len(raw[: starts[k]].decode()), len(raw[: ends[k]].decode())
+            spans = [*spans[:-1], (spans[-1][0], b)] if k and p[k - 1] >= 0.5 else [*spans, (a, b)]
+        total += len(spans)
+        assert got[i].offending == ",".join(f"{a}:{b}" for a, b in spans)
+    assert total
+
+
+def test_gradient_of_the_likelihood_of_labels():
+    """A token's share in the slope is minus its marginal; a move's is the pairs' expectation."""
+    rng = np.random.default_rng(1)
+    counts = np.array([1, 5, 90])
+    e, moves = rng.normal(-2, 1, 96), rng.normal(0, 0.5, (2, 2))
+    value = lambda e, m: toxicity.all_clean(toxicity.marginals(e, counts, m), counts, m)[0]
+    p = toxicity.marginals(e, counts, moves)
+    base, row, follows, pairs = toxicity.all_clean(p, counts, moves)
+    at = 0
+    for r, c in enumerate(counts):
+        assert base[r] == pytest.approx(plain_chain(e[at : at + c].tolist(), moves.tolist())[0])
+        at += c
+    for k in (0, 3, 40):
+        up = e.copy()
+        up[k] += 1e-5
+        assert (value(up, moves) - base)[row[k]] / 1e-5 == pytest.approx(-p[k], abs=1e-4)
+    for i, j in ((0, 0), (0, 1), (1, 1)):
+        up = moves.copy()
+        up[i, j] += 1e-5
+        expected = -np.bincount(row[follows], pairs[2 * i + j] - (i == j == 0), 3)
+        assert (value(e, up) - base) / 1e-5 == pytest.approx(expected, abs=1e-3)
+
+
+def test_toxicity_reads_a_stated_number_of_rows(spark, monkeypatch):
+    docs = spark.createDataFrame([(k // 2, f"text {k}") for k in range(80)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k % 4 == 0)) for k in range(40)] + [(None, 1), (3, None)], "doc_id long, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity, "train", lambda t, y: seen.append((t, y)) or toxicity.Field(np.zeros(4), 0.0, np.zeros((2, 2))))
+    for _ in range(2):
+        field = toxicity.fit(docs.repartition(3), labels.repartition(3), F.lit(True), rows=6)
+    assert seen[0] == seen[1] and sorted(seen[0][1]) == [0] * 6 + [1] * 6 and len(set(seen[0][0])) == 12
+    assert field.shift == pytest.approx(np.log(30 / 10))
+
+
 def test_toxicity_of_odd_rows(spark, odd):
     rng = random.Random(4)
     words = ["".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(200)]
