@@ -8,8 +8,11 @@ writer are compressed record by record and say in each gzip header how long the
 record is, so its payload is not even inflated. Other archives, compressed or
 plain, are read too.
 
-Writing is committed by a list of finished files, so files of tasks that were
-lost or ran twice are never read.
+Each write is committed by a list of its finished files, and a folder's records
+are those of all its lists: an append adds a list, an overwrite puts one in
+place of the others. So files of tasks that were lost or ran twice, and of
+writes that broke off, are never read. An archive file is read by one task;
+the writer makes one for each of its own tasks.
 """
 
 from __future__ import annotations
@@ -35,7 +38,7 @@ from kinetrace.workers import reachable
 SCHEMA = "record_id string, record_type string, target_uri string, date string, page_id bigint, refers_to bigint, payload_digest string, payload_bytes bigint, payload binary"
 #: Fixed values of the format.
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-MANIFEST = "_files.json"
+MANIFEST = "_files-"
 _GZIP = struct.Struct("<2sBBIBBHccHII")  # magic, method, flags, time, two bytes, extra length, "sl", its length, record's and header's length
 _LIST = ("record_id", "record_type", "target_uri", "date", "payload_digest")
 BATCH_BYTES = 8 << 20
@@ -47,7 +50,7 @@ def _split_uri(path: str) -> tuple[fs.FileSystem, str]:
     return fs.LocalFileSystem(), path
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, date: str, refers_uri: str | None = None) -> bytes:
+def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, date: str) -> bytes:
     """One record as a gzip member: a response, or a revisit if ``refers_to`` is given."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http if refers_to is not None else http + payload
@@ -233,15 +236,13 @@ class WarcReader(DataSourceReader):
                 yield f
 
     def partitions(self) -> list[InputPartition]:
-        """A partition for each file: those of the manifest, or all in a folder without one."""
+        """A partition for each file: those of the folder's lists, or all in a folder without one."""
         system, path = _split_uri(self.path)
         info = system.get_file_info(path)
         if info.type == fs.FileType.File:
             return [_File(path, info.size)]
-        manifest = f"{path}/{MANIFEST}"
-        if system.get_file_info(manifest).type == fs.FileType.File:
-            with system.open_input_stream(manifest) as f:
-                found = [(f"{path}/{n}", s) for n, s in json.loads(f.read())]
+        if lists := manifests(system, path):
+            found = [(f"{path}/{n}", s) for m in lists for n, s in listed(system, m)]
         else:
             found = [(i.path, i.size) for i in system.get_file_info(fs.FileSelector(path, recursive=True)) if i.type == fs.FileType.File and i.base_name.endswith((".warc", ".warc.gz"))]
         return [_File(p, s) for p, s in sorted(found)] or [_File("", 0)]
@@ -263,6 +264,18 @@ class WarcReader(DataSourceReader):
             yield pa.RecordBatch.from_pylist(rows, schema)
 
 
+def manifests(system: fs.FileSystem, path: str) -> list[str]:
+    """The lists of finished files in a folder."""
+    found = system.get_file_info(fs.FileSelector(path, allow_not_found=True))
+    return sorted(i.path for i in found if i.type == fs.FileType.File and i.base_name.startswith(MANIFEST) and i.base_name.endswith(".json"))
+
+
+def listed(system: fs.FileSystem, manifest: str) -> list[tuple[str, int]]:
+    """Names and sizes of the files in a list."""
+    with system.open_input_stream(manifest) as f:
+        return [(name, size) for name, size in json.loads(f.read())]
+
+
 @dataclass
 class _Written(WriterCommitMessage):
     files: list
@@ -271,8 +284,8 @@ class _Written(WriterCommitMessage):
 class WarcWriter(DataSourceArrowWriter):
     """Rows need page_id, url, payload (binary), payload_digest (hexadecimal SHA-1), refers_to and date."""
 
-    def __init__(self, path: str):
-        self.path = path
+    def __init__(self, path: str, overwrite: bool = False):
+        self.path, self.overwrite = path, overwrite
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> _Written:
         system, path = _split_uri(self.path)
@@ -291,10 +304,21 @@ class WarcWriter(DataSourceArrowWriter):
         return _Written([(name, total)] if total else [])
 
     def commit(self, messages: list[_Written | None]) -> None:
+        """Adds this write's list under a name of its own. An overwrite then drops the older lists, and their files last,
+        so that the folder always reads as a whole, either old or new or, if it breaks off here, both."""
         system, path = _split_uri(self.path)
         system.create_dir(path, recursive=True)
-        with system.open_output_stream(f"{path}/{MANIFEST}") as f:
+        older = manifests(system, path) if self.overwrite else []
+        name = uuid.uuid4().hex
+        with system.open_output_stream(f"{path}/.{name}.tmp", compression=None) as f:
             f.write(json.dumps([x for m in messages if m for x in m.files]).encode())
+        system.move(f"{path}/.{name}.tmp", f"{path}/{MANIFEST}{name}.json")
+        stale = [n for m in older for n, _ in listed(system, m)]
+        for m in older:
+            system.delete_file(m)
+        for n in stale:
+            if system.get_file_info(f"{path}/{n}").type == fs.FileType.File:
+                system.delete_file(f"{path}/{n}")
 
     def abort(self, messages: list[_Written | None]) -> None:
         system, path = _split_uri(self.path)
@@ -315,7 +339,7 @@ class WarcDataSource(DataSource):
         return WarcReader(self.options["path"], self.options.get("payload", "true").lower() != "false")
 
     def writer(self, schema, overwrite: bool) -> WarcWriter:
-        return WarcWriter(self.options["path"])
+        return WarcWriter(self.options["path"], overwrite)
 
 
 def register(spark: SparkSession) -> None:
@@ -343,10 +367,14 @@ def to_records(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
     return met.select(*columns).unionByName(clear.withColumn("refers_to", F.lit(None).cast("long")).select(*columns)).withColumn("date", F.lit(date))
 
 
-def archive(pages: DataFrame, path: str, **names) -> None:
-    """Writes a record for each page to a new folder."""
+def archive(pages: DataFrame, path: str, mode: str = "append", **names) -> None:
+    """Writes a record for each page, beside the folder's records (``append``) or in their place (``overwrite``).
+
+    References are found among the pages of one call; records of earlier calls
+    are not looked at.
+    """
     register(pages.sparkSession)
-    to_records(pages, shared_folder(pages.sparkSession), **names).write.format("warc").mode("append").save(path)
+    to_records(pages, shared_folder(pages.sparkSession), **names).write.format("warc").mode(mode).save(path)
 
 
 def read(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:

@@ -287,6 +287,45 @@ def test_predicates_are_pushed_down(spark, tmp_path):
     assert "Filter (" not in df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_appends_and_overwrites(spark, tmp_path):
+    path = f"file://{tmp_path}/w"
+    pages = lambda *ids: spark.createDataFrame([(i, "u", f"page {i}") for i in ids], "page_id long, url string, html string")
+    ids = lambda: sorted(r.page_id for r in warc.read(spark, path).collect())
+    warc.archive(pages(1, 2), path)
+    warc.archive(pages(3, 4), path)
+    warc.archive(pages(4).limit(0), path)
+    assert ids() == [1, 2, 3, 4]
+    warc.archive(pages(7), path, mode="overwrite")
+    assert ids() == [7] and len(list(tmp_path.glob("w/*.warc.gz"))) == 1
+    warc.archive(pages(8), path)
+    assert ids() == [7, 8]
+    warc.archive(pages(9).limit(0), path, mode="overwrite")
+    assert ids() == []
+
+
+def test_lost_and_repeated_tasks_leave_nothing_behind(tmp_path):
+    rows = pa.RecordBatch.from_pylist([{"page_id": 1, "url": "u", "payload": b"x", "payload_digest": "00" * 20, "refers_to": None, "date": "d"}])
+    writer = warc.WarcWriter(str(tmp_path))
+    writer.write(iter([rows]))  # lost before it was committed
+    done = writer.write(iter([rows]))
+    writer.commit([done, None])
+    broken = warc.WarcWriter(str(tmp_path))
+    broken.abort([broken.write(iter([rows])), None])
+    reader = warc.WarcReader(str(tmp_path), True)
+    assert [r["page_id"] for p in reader.partitions() for b in reader.read(p) for r in b.to_pylist()] == [1]
+    assert len(list(tmp_path.glob("*.warc.gz"))) == 2
+
+
+def test_large_payloads_and_clashing_names(spark, tmp_path):
+    names = ("record_id", "target_uri", "payload", "payload_digest", "payload_bytes", "refers_to", "date", "first", "last")
+    long = "<p>é" * 1_500_000
+    df = spark.createDataFrame([(1, "u", long, *"abcdefghi"), (2, "u", long, *"abcdefghi"), (3, "u" * 5000, "z", *"abcdefghi")], "page_id long, url string, html string, " + ", ".join(f"{n} string" for n in names))
+    warc.archive(df, f"file://{tmp_path}/w")
+    got = {r.page_id: r for r in warc.read(spark, f"file://{tmp_path}/w").collect()}
+    assert got[2].payload == long.encode() and (got[1].record_type, got[1].refers_to, got[1].payload_bytes) == ("revisit", 2, len(long.encode()))
+    assert got[3].target_uri == "u" * 5000
+
+
 def test_reading_other_archives():
     import gzip
 
