@@ -4,16 +4,23 @@ Each shingle of a document draws one random permutation of the registers, step
 by step; its value in the register of step j lies in [j, j + 1), so registers
 of a document correlate, the estimate varies less than with independent hash
 functions, and a document is done as soon as all registers hold values below
-the next step.
+the next step. Sixteen bits of each register are kept.
 
-Documents with equal shingle sets are put together first. Bands of registers
-then give candidates: each document is tied to the smallest of each bucket it
-is in, and what hangs together is a candidate group. A group's texts meet in one
-task (a large group's in tasks of bounded blocks and pairs of blocks), where
-documents that share a bucket and are not linked yet are compared on their full
-shingle sets, likeliest first, and linked in a union-find. So no list of all
-pairs is made, no bucket is capped, and no link that would join two groups is
-left out.
+Documents with equal shingle sets (by a 256-bit digest of the sorted set) are
+put together first. Bands of registers give buckets. Links are then found in
+two passes, both on full sets:
+
+1. Each document of a bucket is compared with the bucket's smallest one. This
+   joins most copies. A comparison is a row that streams past its bucket's
+   smallest document, so a bucket may have any size.
+2. A bucket whose documents do not all hang together yet is open. Documents of
+   open buckets are dealt into blocks of bounded size, by the largest open
+   bucket of each; two blocks meet in a task if some open bucket has documents
+   in both. There documents that share a bucket and are not linked yet are
+   compared, likeliest first, and linked in a union-find.
+
+So no list of all pairs is made, no bucket is capped, and no link that would
+join two groups is left out.
 
 At a likeness of 0.8, 32 bands of 4 registers miss a pair with a probability of
 about 5e-8, and the estimate of 128 registers that orders comparisons falls
@@ -22,6 +29,7 @@ below its cut of 0.55 with one of about 1e-9.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,8 +44,9 @@ from kinetrace.sources.stage import shared_folder, stored
 
 BANDS, ROWS = 32, 4
 REGISTERS = BANDS * ROWS
-#: Documents of a candidate group that one task compares; what the estimate must reach for a comparison on full sets.
-BLOCK, CUT = 500, 0.55
+#: Documents and shingles of a block (about); documents that share a copy of their bucket's smallest one; what the
+#: estimate must reach for a comparison on full sets in the second pass.
+BLOCK, BLOCK_SHINGLES, SPAN, CUT = 256, 1 << 20, 32, 0.55
 #: Word bytes: all but blanks (0x20, 0x09-0x0D).
 WORD = byte_table(lambda b: not (b == 0x20 or 0x09 <= b <= 0x0D))
 
@@ -98,17 +107,24 @@ def super_minhash(sets: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out.reshape(n, m)
 
 
-def band_hashes(registers: np.ndarray) -> np.ndarray:
-    """A hash of each band's registers and number, shape (rows, BANDS)."""
-    parts = registers.view(np.uint64).reshape(len(registers), BANDS, ROWS)
-    total = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64) * salt(1), parts.shape[:2])
-    for r in range(ROWS):
-        total = mix(total + parts[:, :, r])
-    return total
+def signatures(registers: np.ndarray) -> np.ndarray:
+    """Sixteen bits of each register, four registers (a band) to a number: shape (rows, BANDS)."""
+    return (mix(registers.view(np.uint64)) >> np.uint64(48)).astype("<u2").view("<i8").reshape(len(registers), BANDS)
+
+
+def digests(sets: np.ndarray, sizes: np.ndarray) -> list[bytes | None]:
+    """A 256-bit digest of each row's sorted set; null for an empty one."""
+    raw, ends = sets.astype("<u8").tobytes(), 8 * np.cumsum(sizes)
+    return [hashlib.blake2b(raw[e - 8 * n : e], digest_size=32).digest() if n else None for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)]
+
+
+def short(digest: bytes) -> int:
+    """64 bits of a digest, which tell the sets of one id apart."""
+    return int.from_bytes(digest[:8], "big", signed=True)
 
 
 def sketch(df: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
-    """For each row: id, n_shingles, two sums over the set that stand for it, and its band hashes (null for an empty set)."""
+    """For each row: id, n_shingles, digest and signature of its set; the last two are null for an empty set."""
     narrow = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,34 +132,51 @@ def sketch(df: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
             data, offsets = utf8(batch.column(1))
             for i, j in slices(offsets):
                 sets, sizes = shingle_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], k)
-                bands = band_hashes(super_minhash(sets, sizes)).view(np.int64)
-                ends = np.concatenate([[0], np.cumsum(sizes)])
-                sums = []
-                for which in (1, 2):
-                    run_sum = np.concatenate([[np.uint64(0)], np.cumsum(mix(sets + salt(1000 + which)))])
-                    sums.append((run_sum[ends[1:]] - run_sum[ends[:-1]]).view(np.int64))
-                at = np.arange(0, len(sizes) * BANDS + 1, BANDS, dtype=np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(at), pa.array(np.ascontiguousarray(bands).reshape(-1)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(sizes, pa.int64()), pa.array(sums[0]), pa.array(sums[1]), lists], ["id", "n_shingles", "d1", "d2", "bands"])
+                flat = pa.array(signatures(super_minhash(sets, sizes)).reshape(-1))
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(sizes) * BANDS + 1, BANDS, dtype=np.int32)), flat, mask=pa.array(sizes == 0))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(sizes, pa.int64()), pa.array(digests(sets, sizes), pa.binary()), lists], ["id", "n_shingles", "digest", "sig"])
+
+    return narrow.mapInArrow(trimmed(run), f"id {narrow.schema['id'].dataType.simpleString()}, n_shingles bigint, digest binary, sig array<bigint>")
+
+
+def full_sets(texts: DataFrame, k: int) -> DataFrame:
+    """The sets of rows (id, t) as sorted 64-bit numbers, with the short digest ``d``; a task gives repeated rows once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given: set = set()
+        for batch in batches:
+            data, offsets = utf8(batch.column(1))
+            for i, j in slices(offsets):
+                sets, sizes = shingle_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], k)
+                raw, ends = sets.astype("<u8").tobytes(), 8 * np.cumsum(sizes)
+                rows = []
+                for id_, digest, n, end in zip(batch.column(0).slice(i, j - i).to_pylist(), digests(sets, sizes), sizes.tolist(), ends.tolist(), strict=True):
+                    if n and (id_, digest) not in given:
+                        given.add((id_, digest))
+                        rows.append((id_, short(digest), raw[end - 8 * n : end]))
+                if rows:
+                    a, b, c = zip(*rows, strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(a, batch.schema.field(0).type), pa.array(b, pa.int64()), pa.array(c, pa.binary())], ["id", "d", "set"])
+
+    return texts.mapInArrow(trimmed(run), f"id {texts.schema['id'].dataType.simpleString()}, d bigint, set binary")
+
 
-    return narrow.mapInArrow(trimmed(run), f"id {narrow.schema['id'].dataType.simpleString()}, n_shingles bigint, d1 bigint, d2 bigint, bands array<bigint>")
+def alike(a: np.ndarray, b: np.ndarray, threshold: int) -> bool:
+    """Whether two sorted sets have 100 * common >= threshold * union."""
+    if 100 * min(len(a), len(b)) < threshold * max(len(a), len(b)):
+        return False
+    merged = np.sort(np.concatenate([a, b]))
+    both = int(np.count_nonzero(merged[1:] == merged[:-1]))
+    return 100 * both >= threshold * (len(merged) - both)
 
 
-def link_block(texts: pa.Array, k: int, threshold: int, roots: list | None = None, side: list | None = None) -> list[int]:
+def link_block(sets: list[np.ndarray], threshold: int, roots: list, side: list) -> list[int]:
     """Links documents of one task; returns for each the position of the first one it hangs together with.
 
-    ``roots``: equal values are linked already. ``side``: only documents of
-    different sides are compared.
+    Equal ``roots`` are linked already. Where there are two sides, only
+    documents of different sides are compared.
     """
-    n = len(texts)
-    data, offsets = utf8(texts)
-    sets: list[np.ndarray] = []
-    registers = np.empty((n, REGISTERS), np.int64)
-    for i, j in slices(offsets):
-        flat, sizes = shingle_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], k)
-        sets += np.split(flat, np.cumsum(sizes)[:-1])
-        registers[i:j] = super_minhash(flat, sizes)
-    bands, size = band_hashes(registers), np.array([len(s) for s in sets])
+    n = len(sets)
     parent = list(range(n))
 
     def find(x: int) -> int:
@@ -156,29 +189,31 @@ def link_block(texts: pa.Array, k: int, threshold: int, roots: list | None = Non
         a, b = find(a), find(b)
         parent[max(a, b)] = min(a, b)
 
-    if roots is not None:
-        seen: dict = {}
-        for x, r in enumerate(roots):
-            join(x, seen.setdefault(r, x))
-    buckets: dict[int, list[int]] = {}
+    seen: dict = {}
+    for x, r in enumerate(roots):
+        join(x, seen.setdefault(r, x))
+    if len(seen) < 2:
+        return [find(x) for x in range(n)]
+    size = np.array([len(s) for s in sets])
+    bands = signatures(super_minhash(np.concatenate(sets), size))
+    registers = bands.view("<u2").reshape(n, REGISTERS)
+    across = len(set(side)) > 1
+    buckets: dict[tuple[int, int], list[int]] = {}
     for x in range(n):
         mates: set[int] = set()
-        for b in bands[x].tolist():
-            own = buckets.setdefault(b, [])
+        for key in enumerate(bands[x].tolist()):
+            own = buckets.setdefault(key, [])
             mates.update(own)
             own.append(x)
         if not mates:
             continue
         c = np.fromiter(mates, np.int64, len(mates))
-        low, high = np.minimum(size[c], size[x]), np.maximum(size[c], size[x])
         likeness = (registers[c] == registers[x]).mean(axis=1)
-        fit = (100 * low >= threshold * high) & (likeness >= CUT)
+        fit = likeness >= CUT
         for y in c[fit][np.lexsort((c[fit], -likeness[fit]))].tolist():
-            if find(x) == find(y) or side is not None and side[x] == side[y]:
+            if across and side[x] == side[y] or find(x) == find(y):
                 continue
-            merged = np.sort(np.concatenate([sets[x], sets[y]]))
-            both = int(np.count_nonzero(merged[1:] == merged[:-1]))
-            if 100 * both >= threshold * (len(merged) - both):
+            if alike(sets[x], sets[y], threshold):
                 join(x, y)
     return [find(x) for x in range(n)]
 
@@ -204,8 +239,62 @@ def _in_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Tabl
         yield pa.Table.from_batches(waiting)
 
 
+def first_links(ties: DataFrame, sets: DataFrame, threshold: int, id_type: str) -> DataFrame:
+    """Links (u, v) among ties of a document (id, d) to the smallest one of its bucket (first, first_d).
+
+    ``SPAN`` ties of one smallest document make a run, each with a copy of that
+    document's set ahead of its members, so tasks hold one set and read the
+    others one by one.
+    """
+    runs = ties.groupBy("first", "first_d").agg(F.ceil(F.count("*") / SPAN).cast("int").alias("runs"))
+    dealt = ties.join(runs, ["first", "first_d"]).withColumn("run", F.pmod(F.xxhash64("id", "d"), F.col("runs")).cast("int"))
+    members = dealt.join(sets, ["id", "d"]).select("first", "first_d", "run", F.lit(1).alias("member"), "id", "set")
+    heads = dealt.select("first", "first_d", "run").distinct().join(sets.withColumnsRenamed({"id": "first", "d": "first_d"}), ["first", "first_d"])
+    heads = heads.select("first", "first_d", "run", F.lit(0).alias("member"), F.col("first").alias("id"), "set")
+    rows = heads.unionByName(members).repartition("first", "first_d", "run").sortWithinPartitions("first", "first_d", "run", "member", "id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head, own = None, np.zeros(0, np.uint64)
+        for batch in batches:
+            found: list[tuple] = []
+            for first, _, _, member, id_, raw in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                numbers = np.frombuffer(raw, "<u8")
+                if not member:
+                    head, own = first, numbers
+                elif alike(own, numbers, threshold):
+                    found.append((head, id_))
+            kind = batch.schema.field("id").type
+            yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], kind) for k in (0, 1)], ["u", "v"])
+
+    return rows.mapInArrow(trimmed(run), f"u {id_type}, v {id_type}")
+
+
+def further_links(open_: DataFrame, sets: DataFrame, threshold: int, id_type: str, block: int, folder: str) -> DataFrame:
+    """Links (u, v) that open buckets (rows band, id, d, n, root) still hide."""
+    sizes = open_.groupBy("band").agg(F.count("*").alias("docs"))
+    homes = open_.join(sizes, "band").groupBy("id", "d", "n", "root").agg(F.max(F.struct("docs", "band"))["band"].alias("home"))
+    parts = homes.groupBy("home").agg(F.greatest(F.ceil(F.count("*") / block), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("parts"))
+    block_of = F.xxhash64("home", F.pmod(F.xxhash64("id", "d"), F.col("parts")))
+    placed = stored(homes.join(parts, "home").select("id", "d", "root", block_of.alias("block")), folder, "placed")
+    met = open_.join(placed.select("id", "d", "block"), ["id", "d"]).select("band", "block").distinct()
+    pairs = stored(met.select("band", F.col("block").alias("a")).join(met.select("band", F.col("block").alias("b")), "band").where("a <= b").select("a", "b").distinct(), folder, "pairs")
+    visits = pairs.select("a", "b", F.col("a").alias("block")).unionByName(pairs.where("a <> b").select("a", "b", F.col("b").alias("block")))
+    rows = placed.join(sets, ["id", "d"]).join(visits, "block").select("a", "b", "block", "id", "root", "set")
+    dealt = rows.repartition("a", "b").sortWithinPartitions("a", "b", "id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _in_groups(batches, 2):
+            own = [np.frombuffer(v, "<u8") for v in t.column("set").to_pylist()]
+            at = link_block(own, threshold, t.column("root").to_pylist(), t.column("block").to_pylist())
+            ids = t.column("id").combine_chunks()
+            linked = [x for x, y in enumerate(at) if x != y]
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array(linked, pa.int64())), ids.take(pa.array([at[x] for x in linked], pa.int64()))], ["u", "v"])
+
+    return dealt.mapInArrow(trimmed(run), f"u {id_type}, v {id_type}")
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, threshold: int = 80, block: int = BLOCK) -> DataFrame:
-    """Links documents whose sets of k-word shingles have 100 * common >= threshold * union.
+    """Links documents whose sets of k-word shingles have 100 * common >= threshold * union (threshold of 80 or more).
 
     Returns one row for each row of ``df``: ``id_col``, ``n_shingles``,
     ``component_id`` (the smallest id that can be reached by links, its own
@@ -215,8 +304,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     kept. Rows that repeat an id with the same text share everything; an id
     with several texts counts as one document with several sets.
 
-    Texts are read twice (once for sketches, once for candidates), and only
-    candidates' texts are shuffled.
+    Texts are read twice (once for sketches, once for candidates); only
+    candidates' texts are shuffled, once, and from then on their sets.
     """
     spark = df.sparkSession
     bounded(spark)
@@ -225,48 +314,33 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     id_type = docs.schema["id"].dataType.simpleString()
     whole = stored(sketch(docs, "id", "t", k), folder, "sketch")
     usable = whole.where("n_shingles > 0 and id is not null")
-    reps = stored(usable.groupBy("d1", "d2", "n_shingles").agg(F.min("id").alias("rep")), folder, "reps")
-    chosen = usable.join(reps.select(F.col("rep").alias("id"), "d1", "d2", "n_shingles"), ["id", "d1", "d2", "n_shingles"], "left_semi")
-    entries = chosen.select("id", F.explode("bands").alias("band"))
-    shared = entries.groupBy("band").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first <> last").select("band", "first")
-    ties = entries.join(shared, "band").where("id <> first").select(F.col("id").alias("u"), F.col("first").alias("v"))
-    groups = stored(components(ties, f"{folder}/candidates"), folder, "groups")
-    sizes = groups.groupBy(F.col("root").alias("group")).agg(F.count("*").alias("n"))
-    members = groups.join(sizes, groups["root"] == sizes["group"]).select("group", "id", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
-    members = stored(members.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")), folder, "members")
-
-    def first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in _in_groups(batches, 2):
-            ids = t.column("id").combine_chunks()
-            at = link_block(t.column("t").combine_chunks(), k, threshold)
-            yield pa.RecordBatch.from_arrays([ids, ids.take(pa.array(at))], ["u", "v"])
-
-    def second_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in _in_groups(batches, 3):
-            ids = t.column("id").combine_chunks()
-            at = link_block(t.column("t").combine_chunks(), k, threshold, t.column("root").to_pylist(), t.column("block").to_pylist())
-            yield pa.RecordBatch.from_arrays([ids, ids.take(pa.array(at))], ["u", "v"])
-
-    # Only rows that may be candidates are shuffled; the join decides.
-    near, _ = split(docs, stored(bit_table(members, "id"), folder, "bits"), F.col("id"))
-    texts = near.join(members, "id")
-    dealt = texts.select("group", "block", "id", "t").repartition("group", "block").sortWithinPartitions("group", "block", "id")
-    links = stored(dealt.mapInArrow(trimmed(first_pass), f"u {id_type}, v {id_type}"), folder, "links")
-    large = members.where("blocks > 1")
-    if large.isEmpty():
-        joined = links.select(F.col("u").alias("id"), F.col("v").alias("root")).distinct()
+    reps = stored(usable.groupBy("digest").agg(F.min("id").alias("rep")), folder, "reps")
+    chosen = usable.join(reps.select(F.col("rep").alias("id"), "digest"), ["id", "digest"], "left_semi")
+    d = F.conv(F.substring(F.hex("digest"), 1, 16), 16, -10).cast("bigint")
+    entries = chosen.select("id", d.alias("d"), F.col("n_shingles").alias("n"), F.posexplode("sig").alias("place", "value")).select(F.xxhash64("place", "value").alias("band"), "id", "d", "n")
+    key = F.struct("id", "d")
+    shared = entries.groupBy("band").agg(F.min(key).alias("first"), F.max(key).alias("last")).where("first <> last").select("band", F.col("first.id").alias("first"), F.col("first.d").alias("first_d"))
+    members = stored(entries.join(shared, "band").distinct(), folder, "members")
+    if members.isEmpty():
+        joined = reps.select(F.col("rep").alias("id"), F.col("rep").alias("root")).limit(0)
     else:
+        candidates = stored(members.select("id").distinct(), folder, "candidates")
+        # Only rows that may be candidates are shuffled; the join decides.
+        near, _ = split(docs, stored(bit_table(candidates, "id"), folder, "bits"), F.col("id"))
+        sets = stored(full_sets(near.join(candidates, "id"), k).groupBy("id", "d").agg(F.first("set").alias("set")), folder, "sets")
+        ties = members.where("id <> first or d <> first_d").select("first", "first_d", "id", "d").distinct()
+        links = stored(first_links(ties, sets, threshold, id_type), folder, "links")
         local = stored(components(links, f"{folder}/local"), folder, "local_roots")
-        rows = near.join(large, "id").join(local.withColumnRenamed("root", "known"), "id", "left").select("group", "block", "blocks", "id", "t", F.coalesce("known", "id").alias("root"))
-        pairs = rows.withColumn("other", F.explode(F.expr("filter(sequence(0, blocks - 1), x -> x <> block)")))
-        pairs = pairs.select("group", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "id", "t", "root", "block")
-        dealt = pairs.repartition("group", "a", "b").sortWithinPartitions("group", "a", "b", "id")
-        more = stored(dealt.mapInArrow(trimmed(second_pass), f"u {id_type}, v {id_type}"), folder, "more_links")
-        joined = components(links.union(more), f"{folder}/joined")
-    roots = joined.select(F.col("id").alias("rep"), "root")
+        rooted = members.join(local.withColumnRenamed("root", "known"), "id", "left").select("band", "id", "d", "n", F.coalesce("known", "id").alias("root"))
+        unsettled = rooted.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("band")
+        open_ = stored(rooted.join(unsettled, "band"), folder, "open")
+        joined = local
+        if not open_.isEmpty():
+            more = stored(further_links(open_, sets, threshold, id_type, block, folder), folder, "more_links")
+            joined = components(links.union(more), f"{folder}/joined")
     # An id with several sets may stand in several rows here; the smallest root holds.
-    roots = roots.groupBy("rep").agg(F.min("root").alias("root"))
-    by_set = stored(reps.join(roots, "rep", "left").select("d1", "d2", "n_shingles", F.coalesce("root", "rep").alias("component_id")), folder, "by_set")
-    out = whole.select("id", "n_shingles", "d1", "d2").join(by_set, ["d1", "d2", "n_shingles"], "left")
+    roots = joined.select(F.col("id").alias("rep"), "root").groupBy("rep").agg(F.min("root").alias("root"))
+    by_set = stored(reps.join(roots, "rep", "left").select("digest", F.coalesce("root", "rep").alias("component_id")), folder, "by_set")
+    out = whole.select("id", "n_shingles", "digest").join(by_set, "digest", "left")
     component = F.when(F.col("n_shingles") > 0, F.when(F.col("id").isNotNull(), F.col("component_id"))).otherwise(F.col("id"))
     return out.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), (F.coalesce(F.col("id") == component, F.lit(True))).alias("kept"))

@@ -228,6 +228,43 @@ def test_near_duplicates_of_odd_rows(spark, odd):
     assert neardup.near_duplicates(odd.limit(0)).count() == 0
 
 
+def test_unlike_copies_of_one_page_hang_together(spark):
+    """A page whose copies are no near copies of each other, with a larger id than theirs, beside pages that share half of it."""
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(300)]
+    rows = [(900, " ".join(base)), (901, " ".join(base)), (None, " ".join(base))]
+    for k in range(60):
+        at = sorted(rng.sample(range(20, 300, 12), 6))
+        rows.append((k, " ".join([w if i not in at else f"x{k}" for i, w in enumerate(base)])))
+    rows += [(200 + k, " ".join(base[: 150 + k] + [f"y{k}_{i}" for i in range(150 - k)])) for k in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in neardup.near_duplicates(df, block=7).collect() if r.doc_id is not None}
+    assert got == brute.groups(rows[:2] + rows[3:], 5)
+
+
+def test_ids_of_any_type_and_with_several_texts(spark):
+    a, b, c = (" ".join(f"{w}{k}" for k in range(60)) for w in ("sun", "moon", "star"))
+    rows = [("p", a), ("q", a + " end"), ("q", b), ("r", b + " end"), ("s", c), ("s", c)]
+    got = [(r.doc_id, r.component_id, r.kept) for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id string, text string")).collect()]
+    assert sorted(got) == [("p", "p", True), ("q", "p", False), ("q", "p", False), ("r", "p", False), ("s", "s", True), ("s", "s", True)]
+
+
+def test_a_large_group_is_not_shipped_once_for_each_block(spark):
+    """The second pass reads only documents of open buckets, and pairs only blocks that share one."""
+    base = [f"w{i}" for i in range(200)]
+    rows = [(k, " ".join([*base[:198], f"x{k}", f"y{k}"])) for k in range(600)]
+    import kinetrace.llm.neardup as module
+
+    seen = []
+    further = module.further_links
+    module.further_links = lambda open_, *a: seen.append(open_.count()) or further(open_, *a)
+    try:
+        got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), block=20).where("component_id = 0").count()
+    finally:
+        module.further_links = further
+    assert got == 600 and not seen
+
+
 def test_signatures_estimate_likeness():
     rng = np.random.default_rng(1)
     for share in (0.5, 0.8, 0.95):
@@ -543,6 +580,21 @@ def test_fingerprints_of_odd_rows(spark, odd):
 # Text kernels
 
 
+def test_word_hashes_mix_every_byte():
+    """Words of one length that differ in one place, and those that collide under any polynomial modulo 2 ** 64."""
+    def twins(n):
+        a = [bin(i).count("1") % 2 for i in range(1 << n)]
+        return bytes(97 + v for v in a), bytes(98 - v for v in a)
+
+    words = [b"a" * n for n in (1, 7, 8, 9, 16, 17, 255, 256, 257, 3000)] + [b"a" * 20 + bytes([98]) + b"a" * n for n in (0, 5, 300)] + [w for n in (5, 8, 11) for w in twins(n)]
+    data = np.frombuffer(b" ".join(words), np.uint8)
+    ends = np.cumsum([len(w) + 1 for w in words]) - 1
+    codes = textcore.hashes(data, ends - np.array([len(w) for w in words]), ends)
+    assert len(set(codes.tolist())) == len(words)
+    shifted = np.frombuffer(b"xyz " + b" ".join(words), np.uint8)
+    assert (textcore.hashes(shifted, ends + 4 - np.array([len(w) for w in words]), ends + 4) == codes).all()
+
+
 def test_words_and_hashes():
     texts = ["", "a bb a", None, "Zé zé!", " x "]
     data, offsets = textcore.utf8(pa.array(texts))
