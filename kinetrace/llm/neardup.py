@@ -15,16 +15,14 @@ two passes, both on full sets:
    smallest document, so a bucket may have any size.
 2. A bucket whose documents do not all hang together yet is open. Documents of
    open buckets are dealt into blocks of bounded size, by the largest open
-   bucket of each; two blocks meet in a task if some open bucket has documents
-   in both. There documents that share a bucket and are not linked yet are
-   compared, likeliest first, and linked in a union-find.
+   bucket of each and by whether they belong to what most of it hangs together
+   with; two blocks meet in a task if some open bucket has documents in both
+   that are not linked yet. What two documents have in common is counted for
+   all pairs of the task at once, and links go into a union-find.
 
 So no list of all pairs is made, no bucket is capped, and no link that would
-join two groups is left out.
-
-At a likeness of 0.8, 32 bands of 4 registers miss a pair with a probability of
-about 5e-8, and the estimate of 128 registers that orders comparisons falls
-below its cut of 0.55 with one of about 1e-9.
+join two groups is left out. At a likeness of 0.8, 32 bands of 4 registers miss
+a pair with a probability of about 5e-8.
 """
 
 from __future__ import annotations
@@ -44,9 +42,9 @@ from kinetrace.sources.stage import shared_folder, stored
 
 BANDS, ROWS = 32, 4
 REGISTERS = BANDS * ROWS
-#: Documents and shingles of a block (about); documents that share a copy of their bucket's smallest one; what the
-#: estimate must reach for a comparison on full sets in the second pass.
-BLOCK, BLOCK_SHINGLES, SPAN, CUT = 256, 1 << 20, 32, 0.55
+#: Documents and shingles of a block (about); documents that share a copy of their bucket's smallest one; cells of a
+#: table that tells which document has which shingle.
+BLOCK, BLOCK_SHINGLES, SPAN, CELLS = 1024, 1 << 20, 32, 1 << 23
 #: Word bytes: all but blanks (0x20, 0x09-0x0D).
 WORD = byte_table(lambda b: not (b == 0x20 or 0x09 <= b <= 0x0D))
 
@@ -170,6 +168,27 @@ def alike(a: np.ndarray, b: np.ndarray, threshold: int) -> bool:
     return 100 * both >= threshold * (len(merged) - both)
 
 
+def in_common(sets: list[np.ndarray], split: int) -> np.ndarray:
+    """How many elements each of the first ``split`` sets has in common with each of the others (if these are all sets, with each one but itself)."""
+    n = len(sets)
+    _, code, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(n), [len(s) for s in sets])
+    place = np.cumsum(times > 1) - 1  # elements of one set only do not count
+    use = times[code] > 1
+    row, column = row[use], place[code[use]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    begin = 0 if split == n else split
+    out = np.zeros((split, n - begin), np.float32)
+    width = max(64, CELLS // n)
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        i, j = np.searchsorted(column, [low, low + width])
+        table = np.zeros((n, width), np.float32)
+        table[row[i:j], column[i:j] - low] = 1
+        out += table[:split] @ table[begin:].T
+    return out
+
+
 def link_block(sets: list[np.ndarray], threshold: int, roots: list, side: list) -> list[int]:
     """Links documents of one task; returns for each the position of the first one it hangs together with.
 
@@ -185,37 +204,21 @@ def link_block(sets: list[np.ndarray], threshold: int, roots: list, side: list)
             x = parent[x]
         return x
 
-    def join(a: int, b: int) -> None:
-        a, b = find(a), find(b)
-        parent[max(a, b)] = min(a, b)
-
-    seen: dict = {}
-    for x, r in enumerate(roots):
-        join(x, seen.setdefault(r, x))
-    if len(seen) < 2:
-        return [find(x) for x in range(n)]
-    size = np.array([len(s) for s in sets])
-    bands = signatures(super_minhash(np.concatenate(sets), size))
-    registers = bands.view("<u2").reshape(n, REGISTERS)
-    across = len(set(side)) > 1
-    buckets: dict[tuple[int, int], list[int]] = {}
-    for x in range(n):
-        mates: set[int] = set()
-        for key in enumerate(bands[x].tolist()):
-            own = buckets.setdefault(key, [])
-            mates.update(own)
-            own.append(x)
-        if not mates:
-            continue
-        c = np.fromiter(mates, np.int64, len(mates))
-        likeness = (registers[c] == registers[x]).mean(axis=1)
-        fit = likeness >= CUT
-        for y in c[fit][np.lexsort((c[fit], -likeness[fit]))].tolist():
-            if across and side[x] == side[y] or find(x) == find(y):
-                continue
-            if alike(sets[x], sets[y], threshold):
-                join(x, y)
-    return [find(x) for x in range(n)]
+    place: dict = {}
+    root = np.array([place.setdefault(r, x) for x, r in enumerate(roots)])
+    if len(place) > 1:
+        order = np.array(sorted(range(n), key=lambda x: side[x] != side[0]))
+        split = sum(s == side[0] for s in side)
+        common = in_common([sets[x] for x in order], split)
+        size = np.array([len(sets[x]) for x in order], np.float32)
+        first, second = order[:split], order if split == n else order[split:]
+        both = size[:split, None] + (size if split == n else size[split:])[None, :]
+        linked = (100 * common >= threshold * (both - common)) & (root[first][:, None] != root[second][None, :])
+        pairs = np.argwhere(linked)
+        for a, b in np.unique(np.stack([root[first[pairs[:, 0]]], root[second[pairs[:, 1]]]], axis=1), axis=0).tolist():
+            a, b = find(a), find(b)
+            parent[max(a, b)] = min(a, b)
+    return [find(x) for x in root.tolist()]
 
 
 def _in_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
@@ -270,14 +273,18 @@ def first_links(ties: DataFrame, sets: DataFrame, threshold: int, id_type: str)
 
 
 def further_links(open_: DataFrame, sets: DataFrame, threshold: int, id_type: str, block: int, folder: str) -> DataFrame:
-    """Links (u, v) that open buckets (rows band, id, d, n, root) still hide."""
+    """Links (u, v) that open buckets (rows band, id, d, root) still hide."""
     sizes = open_.groupBy("band").agg(F.count("*").alias("docs"))
-    homes = open_.join(sizes, "band").groupBy("id", "d", "n", "root").agg(F.max(F.struct("docs", "band"))["band"].alias("home"))
-    parts = homes.groupBy("home").agg(F.greatest(F.ceil(F.count("*") / block), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("parts"))
-    block_of = F.xxhash64("home", F.pmod(F.xxhash64("id", "d"), F.col("parts")))
-    placed = stored(homes.join(parts, "home").select("id", "d", "root", block_of.alias("block")), folder, "placed")
-    met = open_.join(placed.select("id", "d", "block"), ["id", "d"]).select("band", "block").distinct()
-    pairs = stored(met.select("band", F.col("block").alias("a")).join(met.select("band", F.col("block").alias("b")), "band").where("a <= b").select("a", "b").distinct(), folder, "pairs")
+    homes = stored(open_.join(sizes, "band").groupBy("id", "d", "root").agg(F.max(F.struct("docs", "band"))["band"].alias("home")), folder, "homes")
+    most = homes.groupBy("home", "root").agg(F.count("*").alias("docs")).groupBy("home").agg(F.max(F.struct("docs", "root"))["root"].alias("most"))
+    weighed = homes.join(sets.select("id", "d", (F.octet_length("set") / 8).alias("n")), ["id", "d"]).join(most, "home").withColumn("minor", F.col("root") != F.col("most"))
+    parts = weighed.groupBy("home", "minor").agg(F.greatest(F.ceil(F.count("*") / block), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("parts"))
+    block_of = F.xxhash64("home", "minor", F.pmod(F.xxhash64("id", "d"), F.col("parts")))
+    placed = stored(weighed.join(parts, ["home", "minor"]).select("id", "d", "root", block_of.alias("block")), folder, "placed")
+    met = open_.join(placed.select("id", "d", "block"), ["id", "d"]).groupBy("band", "block").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    side = lambda name: met.select("band", F.col("block").alias(name), F.col("low").alias(f"low_{name}"), F.col("high").alias(f"high_{name}"))
+    unlike = F.least("low_a", "low_b") < F.greatest("high_a", "high_b")
+    pairs = stored(side("a").join(side("b"), "band").where((F.col("a") <= F.col("b")) & unlike).select("a", "b").distinct(), folder, "pairs")
     visits = pairs.select("a", "b", F.col("a").alias("block")).unionByName(pairs.where("a <> b").select("a", "b", F.col("b").alias("block")))
     rows = placed.join(sets, ["id", "d"]).join(visits, "block").select("a", "b", "block", "id", "root", "set")
     dealt = rows.repartition("a", "b").sortWithinPartitions("a", "b", "id")
@@ -317,9 +324,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     reps = stored(usable.groupBy("digest").agg(F.min("id").alias("rep")), folder, "reps")
     chosen = usable.join(reps.select(F.col("rep").alias("id"), "digest"), ["id", "digest"], "left_semi")
     d = F.conv(F.substring(F.hex("digest"), 1, 16), 16, -10).cast("bigint")
-    entries = chosen.select("id", d.alias("d"), F.col("n_shingles").alias("n"), F.posexplode("sig").alias("place", "value")).select(F.xxhash64("place", "value").alias("band"), "id", "d", "n")
-    key = F.struct("id", "d")
-    shared = entries.groupBy("band").agg(F.min(key).alias("first"), F.max(key).alias("last")).where("first <> last").select("band", F.col("first.id").alias("first"), F.col("first.d").alias("first_d"))
+    entries = chosen.select("id", d.alias("d"), F.posexplode("sig").alias("place", "value")).select(F.xxhash64("place", "value").alias("band"), "id", "d")
+    # Several sets of one id hang together as they are, so buckets of one id need no look.
+    shared = entries.groupBy("band").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.min_by("d", "id").alias("first_d")).where("first <> last").select("band", "first", "first_d")
     members = stored(entries.join(shared, "band").distinct(), folder, "members")
     if members.isEmpty():
         joined = reps.select(F.col("rep").alias("id"), F.col("rep").alias("root")).limit(0)
@@ -331,7 +338,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         ties = members.where("id <> first or d <> first_d").select("first", "first_d", "id", "d").distinct()
         links = stored(first_links(ties, sets, threshold, id_type), folder, "links")
         local = stored(components(links, f"{folder}/local"), folder, "local_roots")
-        rooted = members.join(local.withColumnRenamed("root", "known"), "id", "left").select("band", "id", "d", "n", F.coalesce("known", "id").alias("root"))
+        rooted = members.join(local.withColumnRenamed("root", "known"), "id", "left").select("band", "id", "d", F.coalesce("known", "id").alias("root"))
         unsettled = rooted.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("band")
         open_ = stored(rooted.join(unsettled, "band"), folder, "open")
         joined = local

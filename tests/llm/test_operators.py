@@ -265,6 +265,16 @@ def test_a_large_group_is_not_shipped_once_for_each_block(spark):
     assert got == 600 and not seen
 
 
+def test_common_elements_of_all_pairs(monkeypatch):
+    rng = np.random.default_rng(2)
+    sets = [np.unique(rng.integers(0, 60, n).astype(np.uint64)) for n in (1, 9, 40, 40, 7, 100)]
+    monkeypatch.setattr(neardup, "CELLS", 1)
+    for split in (6, 2):
+        others = sets if split == 6 else sets[split:]
+        got = [(i, j, c) for i, row in enumerate(neardup.in_common(sets, split).tolist()) for j, c in enumerate(row) if split < 6 or i != j]
+        assert got == [(i, j, len(np.intersect1d(a, b))) for i, a in enumerate(sets[:split]) for j, b in enumerate(others) if split < 6 or i != j]
+
+
 def test_signatures_estimate_likeness():
     rng = np.random.default_rng(1)
     for share in (0.5, 0.8, 0.95):
