@@ -13,12 +13,11 @@ two passes, both on full sets:
 1. Each document of a bucket is compared with the bucket's smallest one. This
    joins most copies. A comparison is a row that streams past its bucket's
    smallest document, so a bucket may have any size.
-2. A bucket whose documents do not all hang together yet is open. Documents of
-   open buckets are dealt into blocks of bounded size, by the largest open
-   bucket of each and by whether they belong to what most of it hangs together
-   with; two blocks meet in a task if some open bucket has documents in both
-   that are not linked yet. What two documents have in common is counted for
-   all pairs of the task at once, and links go into a union-find.
+2. A bucket whose documents do not all hang together yet is open. The sets of
+   an open bucket meet in a task (those of a larger one in tasks of two blocks
+   of bounded size each), and what they have in common is counted for all pairs
+   of the task at once; links go into a union-find. Of open buckets with the
+   same documents one is looked at.
 
 So no list of all pairs is made, no bucket is capped, and no link that would
 join two groups is left out. At a likeness of 0.8, 32 bands of 4 registers miss
@@ -44,7 +43,7 @@ BANDS, ROWS = 32, 4
 REGISTERS = BANDS * ROWS
 #: Documents and shingles of a block (about); documents that share a copy of their bucket's smallest one; cells of a
 #: table that tells which document has which shingle.
-BLOCK, BLOCK_SHINGLES, SPAN, CELLS = 1024, 1 << 20, 32, 1 << 23
+BLOCK, BLOCK_SHINGLES, SPAN, CELLS = 2048, 1 << 20, 32, 1 << 22
 #: Word bytes: all but blanks (0x20, 0x09-0x0D).
 WORD = byte_table(lambda b: not (b == 0x20 or 0x09 <= b <= 0x0D))
 
@@ -169,23 +168,51 @@ def alike(a: np.ndarray, b: np.ndarray, threshold: int) -> bool:
 
 
 def in_common(sets: list[np.ndarray], split: int) -> np.ndarray:
-    """How many elements each of the first ``split`` sets has in common with each of the others (if these are all sets, with each one but itself)."""
+    """How many elements each of the first ``split`` sets has in common with each of the others (if these are all sets, with each one but itself).
+
+    Elements that many sets have are counted by products of 0/1 tables, the
+    others by going through the pairs of sets that have them.
+    """
     n = len(sets)
-    _, code, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    row = np.repeat(np.arange(n), [len(s) for s in sets])
-    place = np.cumsum(times > 1) - 1  # elements of one set only do not count
-    use = times[code] > 1
-    row, column = row[use], place[code[use]]
-    order = np.argsort(column, kind="stable")
-    row, column = row[order], column[order]
     begin = 0 if split == n else split
     out = np.zeros((split, n - begin), np.float32)
-    width = max(64, CELLS // n)
-    for low in range(0, int(column[-1]) + 1 if len(column) else 0, width):
-        i, j = np.searchsorted(column, [low, low + width])
-        table = np.zeros((n, width), np.float32)
-        table[row[i:j], column[i:j] - low] = 1
-        out += table[:split] @ table[begin:].T
+    _, code, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(n), [len(s) for s in sets])
+    for dense in (False, True):
+        wanted = (times > max(16, n // 16)) if dense else (times > 1) & (times <= max(16, n // 16))
+        place = np.cumsum(wanted) - 1
+        use = wanted[code]
+        column = place[code[use]]
+        order = np.argsort(column, kind="stable")
+        own, column = row[use][order], column[order]
+        if not len(column):
+            continue
+        if dense:
+            width = max(64, CELLS // n)
+            for low in range(0, int(column[-1]) + 1, width):
+                i, j = np.searchsorted(column, [low, low + width])
+                table = np.zeros((n, width), np.float32)
+                table[own[i:j], column[i:j] - low] = 1
+                out += table[:split] @ table[begin:].T
+            continue
+        ends = np.searchsorted(column, column, "right")  # each holder of an element meets those after it
+        left = ends - np.arange(len(column)) - 1
+        total = np.cumsum(left)
+        for low in range(0, int(total[-1]), CELLS):
+            i, j = np.searchsorted(total, [low, low + CELLS], "right")
+            j = min(j + 1, len(left))
+            first = np.repeat(np.arange(i, j), left[i:j])
+            at = np.arange(len(first)) + (total[i] - left[i])
+            keep = (at >= low) & (at < low + CELLS)
+            second = first + 1 + at - (total - left)[first]
+            a, b = own[first[keep]], own[second[keep]]
+            if split < n:
+                a, b = np.minimum(a, b), np.maximum(a, b)
+                across = (a < split) & (b >= split)
+                a, b = a[across], b[across] - split
+            else:
+                a, b = np.concatenate([a, b]), np.concatenate([b, a])
+            out += np.bincount(a * out.shape[1] + b, minlength=out.size).reshape(out.shape)
     return out
 
 
@@ -242,15 +269,16 @@ def _in_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Tabl
         yield pa.Table.from_batches(waiting)
 
 
-def first_links(ties: DataFrame, sets: DataFrame, threshold: int, id_type: str) -> DataFrame:
-    """Links (u, v) among ties of a document (id, d) to the smallest one of its bucket (first, first_d).
+def first_links(members: DataFrame, sets: DataFrame, threshold: int, id_type: str) -> DataFrame:
+    """Links (u, v) between the documents (id, d) of a bucket and its smallest one (first, first_d).
 
-    ``SPAN`` ties of one smallest document make a run, each with a copy of that
-    document's set ahead of its members, so tasks hold one set and read the
-    others one by one.
+    About ``SPAN`` documents of a smallest one make a run, with a copy of that
+    one's set ahead of their own, so tasks hold one set and read the others one
+    by one.
     """
-    runs = ties.groupBy("first", "first_d").agg(F.ceil(F.count("*") / SPAN).cast("int").alias("runs"))
-    dealt = ties.join(runs, ["first", "first_d"]).withColumn("run", F.pmod(F.xxhash64("id", "d"), F.col("runs")).cast("int"))
+    runs = F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(F.lit(1.0), F.col("docs") / SPAN)))).cast("int")
+    ties = members.where("id <> first").groupBy("first", "first_d", "id", "d").agg(F.max("docs").alias("docs"))
+    dealt = ties.withColumn("run", F.pmod(F.xxhash64("id", "d"), runs).cast("int"))
     members = dealt.join(sets, ["id", "d"]).select("first", "first_d", "run", F.lit(1).alias("member"), "id", "set")
     heads = dealt.select("first", "first_d", "run").distinct().join(sets.withColumnsRenamed({"id": "first", "d": "first_d"}), ["first", "first_d"])
     heads = heads.select("first", "first_d", "run", F.lit(0).alias("member"), F.col("first").alias("id"), "set")
@@ -272,27 +300,21 @@ def first_links(ties: DataFrame, sets: DataFrame, threshold: int, id_type: str)
     return rows.mapInArrow(trimmed(run), f"u {id_type}, v {id_type}")
 
 
-def further_links(open_: DataFrame, sets: DataFrame, threshold: int, id_type: str, block: int, folder: str) -> DataFrame:
+def further_links(open_: DataFrame, sets: DataFrame, threshold: int, id_type: str, block: int) -> DataFrame:
     """Links (u, v) that open buckets (rows band, id, d, root) still hide."""
-    sizes = open_.groupBy("band").agg(F.count("*").alias("docs"))
-    homes = stored(open_.join(sizes, "band").groupBy("id", "d", "root").agg(F.max(F.struct("docs", "band"))["band"].alias("home")), folder, "homes")
-    most = homes.groupBy("home", "root").agg(F.count("*").alias("docs")).groupBy("home").agg(F.max(F.struct("docs", "root"))["root"].alias("most"))
-    weighed = homes.join(sets.select("id", "d", (F.octet_length("set") / 8).alias("n")), ["id", "d"]).join(most, "home").withColumn("minor", F.col("root") != F.col("most"))
-    parts = weighed.groupBy("home", "minor").agg(F.greatest(F.ceil(F.count("*") / block), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("parts"))
-    block_of = F.xxhash64("home", "minor", F.pmod(F.xxhash64("id", "d"), F.col("parts")))
-    placed = stored(weighed.join(parts, ["home", "minor"]).select("id", "d", "root", block_of.alias("block")), folder, "placed")
-    met = open_.join(placed.select("id", "d", "block"), ["id", "d"]).groupBy("band", "block").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    side = lambda name: met.select("band", F.col("block").alias(name), F.col("low").alias(f"low_{name}"), F.col("high").alias(f"high_{name}"))
-    unlike = F.least("low_a", "low_b") < F.greatest("high_a", "high_b")
-    pairs = stored(side("a").join(side("b"), "band").where((F.col("a") <= F.col("b")) & unlike).select("a", "b").distinct(), folder, "pairs")
-    visits = pairs.select("a", "b", F.col("a").alias("block")).unionByName(pairs.where("a <> b").select("a", "b", F.col("b").alias("block")))
-    rows = placed.join(sets, ["id", "d"]).join(visits, "block").select("a", "b", "block", "id", "root", "set")
-    dealt = rows.repartition("a", "b").sortWithinPartitions("a", "b", "id")
+    of = F.xxhash64("id", "d")
+    bands = open_.join(sets.select("id", "d", (F.octet_length("set") / 8).alias("n")), ["id", "d"]).groupBy("band").agg(F.count("*").alias("docs"), F.sum("n").alias("n"), F.bit_xor(of).alias("x"), F.bit_xor(F.xxhash64(of)).alias("y"))
+    parts = F.greatest(F.ceil(F.col("docs") / block), F.ceil(F.col("n") / BLOCK_SHINGLES)).cast("int")
+    once = bands.groupBy("docs", "x", "y").agg(F.min("band").alias("band"), F.max(parts).alias("parts"))
+    rows = open_.join(once.select("band", "parts"), "band").withColumn("part", F.pmod(of, F.col("parts")).cast("int"))
+    pairs = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    pairs = pairs.select("band", F.least("part", "other").alias("a"), F.greatest("part", "other").alias("b"), "part", "id", "d", "root")
+    dealt = pairs.join(sets, ["id", "d"]).select("band", "a", "b", "part", "id", "root", "set").repartition("band", "a", "b").sortWithinPartitions("band", "a", "b", "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in _in_groups(batches, 2):
+        for t in _in_groups(batches, 3):
             own = [np.frombuffer(v, "<u8") for v in t.column("set").to_pylist()]
-            at = link_block(own, threshold, t.column("root").to_pylist(), t.column("block").to_pylist())
+            at = link_block(own, threshold, t.column("root").to_pylist(), t.column("part").to_pylist())
             ids = t.column("id").combine_chunks()
             linked = [x for x, y in enumerate(at) if x != y]
             yield pa.RecordBatch.from_arrays([ids.take(pa.array(linked, pa.int64())), ids.take(pa.array([at[x] for x in linked], pa.int64()))], ["u", "v"])
@@ -326,7 +348,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     d = F.conv(F.substring(F.hex("digest"), 1, 16), 16, -10).cast("bigint")
     entries = chosen.select("id", d.alias("d"), F.posexplode("sig").alias("place", "value")).select(F.xxhash64("place", "value").alias("band"), "id", "d")
     # Several sets of one id hang together as they are, so buckets of one id need no look.
-    shared = entries.groupBy("band").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.min_by("d", "id").alias("first_d")).where("first <> last").select("band", "first", "first_d")
+    shared = entries.groupBy("band").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.min_by("d", "id").alias("first_d"), F.count("*").alias("docs")).where("first <> last").select("band", "first", "first_d", "docs")
     members = stored(entries.join(shared, "band").distinct(), folder, "members")
     if members.isEmpty():
         joined = reps.select(F.col("rep").alias("id"), F.col("rep").alias("root")).limit(0)
@@ -335,15 +357,14 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         # Only rows that may be candidates are shuffled; the join decides.
         near, _ = split(docs, stored(bit_table(candidates, "id"), folder, "bits"), F.col("id"))
         sets = stored(full_sets(near.join(candidates, "id"), k).groupBy("id", "d").agg(F.first("set").alias("set")), folder, "sets")
-        ties = members.where("id <> first or d <> first_d").select("first", "first_d", "id", "d").distinct()
-        links = stored(first_links(ties, sets, threshold, id_type), folder, "links")
+        links = stored(first_links(members, sets, threshold, id_type), folder, "links")
         local = stored(components(links, f"{folder}/local"), folder, "local_roots")
         rooted = members.join(local.withColumnRenamed("root", "known"), "id", "left").select("band", "id", "d", F.coalesce("known", "id").alias("root"))
         unsettled = rooted.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("band")
         open_ = stored(rooted.join(unsettled, "band"), folder, "open")
         joined = local
         if not open_.isEmpty():
-            more = stored(further_links(open_, sets, threshold, id_type, block, folder), folder, "more_links")
+            more = stored(further_links(open_, sets, threshold, id_type, block), folder, "more_links")
             joined = components(links.union(more), f"{folder}/joined")
     # An id with several sets may stand in several rows here; the smallest root holds.
     roots = joined.select(F.col("id").alias("rep"), "root").groupBy("rep").agg(F.min("root").alias("root"))

@@ -250,7 +250,7 @@ def test_ids_of_any_type_and_with_several_texts(spark):
 
 
 def test_a_large_group_is_not_shipped_once_for_each_block(spark):
-    """The second pass reads only documents of open buckets, and pairs only blocks that share one."""
+    """The second pass reads only documents of open buckets."""
     base = [f"w{i}" for i in range(200)]
     rows = [(k, " ".join([*base[:198], f"x{k}", f"y{k}"])) for k in range(600)]
     import kinetrace.llm.neardup as module
@@ -265,14 +265,15 @@ def test_a_large_group_is_not_shipped_once_for_each_block(spark):
     assert got == 600 and not seen
 
 
-def test_common_elements_of_all_pairs(monkeypatch):
+@pytest.mark.parametrize("cells", [1, 7, 1 << 20])
+def test_common_elements_of_all_pairs(monkeypatch, cells):
     rng = np.random.default_rng(2)
-    sets = [np.unique(rng.integers(0, 60, n).astype(np.uint64)) for n in (1, 9, 40, 40, 7, 100)]
-    monkeypatch.setattr(neardup, "CELLS", 1)
-    for split in (6, 2):
-        others = sets if split == 6 else sets[split:]
-        got = [(i, j, c) for i, row in enumerate(neardup.in_common(sets, split).tolist()) for j, c in enumerate(row) if split < 6 or i != j]
-        assert got == [(i, j, len(np.intersect1d(a, b))) for i, a in enumerate(sets[:split]) for j, b in enumerate(others) if split < 6 or i != j]
+    sets = [np.unique(rng.integers(0, 60, n).astype(np.uint64)) for n in (1, 9, 40, 40, 7, 100)] + [np.unique(rng.integers(0, 3, 5).astype(np.uint64)) for _ in range(40)]
+    monkeypatch.setattr(neardup, "CELLS", cells)
+    for split in (len(sets), 2, 30):
+        others = sets if split == len(sets) else sets[split:]
+        got = [(i, j, c) for i, row in enumerate(neardup.in_common(sets, split).tolist()) for j, c in enumerate(row) if split < len(sets) or i != j]
+        assert got == [(i, j, len(np.intersect1d(a, b))) for i, a in enumerate(sets[:split]) for j, b in enumerate(others) if split < len(sets) or i != j]
 
 
 def test_signatures_estimate_likeness():
