@@ -43,7 +43,7 @@ BANDS, ROWS = 32, 4
 REGISTERS = BANDS * ROWS
 #: Documents and shingles of a block (about); documents that share a copy of their bucket's smallest one; cells of a
 #: table that tells which document has which shingle.
-BLOCK, BLOCK_SHINGLES, SPAN, CELLS = 2048, 1 << 20, 32, 1 << 22
+BLOCK, BLOCK_SHINGLES, SPAN, CELLS = 1024, 1 << 20, 32, 1 << 22
 #: Word bytes: all but blanks (0x20, 0x09-0x0D).
 WORD = byte_table(lambda b: not (b == 0x20 or 0x09 <= b <= 0x0D))
 
