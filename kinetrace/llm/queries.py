@@ -72,9 +72,14 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One version of each document, against a new ledger."""
-    docs = table(spark, sf_dir, "documents")
-    found = secrets.scan_history(docs, f"{shared_folder(spark)}/ledger")
+    """One version of each document, in two increments over one ledger: about half of the ids, then all.
+
+    The second scans what the first has not seen, and findings of both are
+    joined to every document. Null texts and ids are rows like others.
+    """
+    docs, ledger = table(spark, sf_dir, "documents"), f"{shared_folder(spark)}/ledger"
+    secrets.update(docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0), ledger)
+    found = secrets.scan_history(docs, ledger)
     base = F.filter("spans", lambda s: s["kind"].isin([r.kind for r in secrets.BASE]))
     kinds = F.transform("spans", lambda s: s["kind"])
     counts = [F.size(F.filter(kinds, lambda x: x == F.lit(kind))).cast("long").alias(f"n_{kind}") for kind in ("assign", "access", "hex")]  # noqa: B023

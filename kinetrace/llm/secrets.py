@@ -5,6 +5,9 @@ content. A ledger says which rules, at which version, have scanned which blob.
 A scan takes the pairs of blob and rule version that the ledger lacks, reads
 each such blob once, appends what it found and the pairs to the ledger, and
 joins the findings of all blobs back to every path and version that holds them.
+Hashes alone decide what is to be read: texts that occur once and are new are
+scanned where they lie, and only those that repeat, or that some rules have
+seen, are shuffled.
 
 A rule's matches come from its pattern's pieces: the text between matches and
 the matches themselves, whose lengths summed up give offsets in code points.
@@ -18,6 +21,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from kinetrace.llm.sieve import bit_table, split
+from kinetrace.sources.stage import shared_folder, stored
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -51,8 +57,10 @@ BASE, RULES = (ASSIGN, ACCESS, HEX), (ASSIGN, ACCESS, HEX, PEM, JWT)
 
 def _pieces(rule: Rule, order: int, text: Column, wanted: Column) -> Column:
     """Array of (rule, place, gap before, length of match or null at the end, length of the group)."""
-    parts = F.arrays_zip(F.regexp_extract_all(text, F.lit(rule.pattern), 0).alias("m"), F.regexp_extract_all(text, F.lit(rule.pattern), rule.group).alias("g"), F.split(text, rule.pattern, -1).alias("s"))
-    found = F.transform(parts, lambda x, i: F.struct(F.lit(order).alias("rule"), i.alias("place"), F.length(x["s"]).alias("gap"), F.length(x["m"]).alias("size"), F.length(x["g"]).alias("value")))
+    parts = F.arrays_zip(F.regexp_extract_all(text, F.lit(rule.pattern), 0).alias("m"), F.split(text, rule.pattern, -1).alias("s"))
+    # A match, matched again by itself, has the same groups: no pattern looks around.
+    value = lambda m: F.length(F.regexp_extract(m, rule.pattern, rule.group)) if rule.group else F.length(m)
+    found = F.transform(parts, lambda x, i: F.struct(F.lit(order).alias("rule"), i.alias("place"), F.length(x["s"]).alias("gap"), F.length(x["m"]).alias("size"), value(x["m"]).alias("value")))
     return F.when(wanted & text.rlike(rule.pattern), found)
 
 
@@ -73,46 +81,77 @@ def scan(blobs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     return spans.select("blob_id", F.get(kinds, F.col("rule")).alias("kind"), "rule", F.col("start").cast("long").alias("start"), (F.col("start") + F.col("size")).cast("long").alias("end"))
 
 
-def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
+SEEN, FOUND = "blob_id binary, rule string", "blob_id binary, kind string, rule string, start bigint, end bigint"
+
+
+def _batches(spark: SparkSession, ledger: str) -> list[str]:
+    """Names of the ledger's finished batches: those whose list of pairs was written to its end."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{ledger}/seen")
+    system = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(at):
+        return []
+    done = system.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{ledger}/seen/batch=*/_SUCCESS"))
+    return sorted(f.getPath().getParent().getName() for f in done)
+
+
+def _read(spark: SparkSession, ledger: str, name: str, schema: str) -> DataFrame:
     """A ledger table, empty where nothing was written yet."""
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    there = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
-    return spark.read.schema(schema).parquet(path) if there else spark.createDataFrame([], schema)
+    paths = [f"{ledger}/{name}/{b}" for b in _batches(spark, ledger)]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
-SEEN, FOUND = "blob_id binary, rule string, batch string", "blob_id binary, kind string, rule string, start bigint, end bigint, batch string"
+def compact(spark: SparkSession, ledger: str, into: str) -> None:
+    """Writes the ledger's batches as one batch of the new ledger ``into``."""
+    batch = f"batch={uuid.uuid4().hex}"
+    _read(spark, ledger, "found", FOUND).distinct().write.parquet(f"{into}/found/{batch}")
+    _read(spark, ledger, "seen", SEEN).distinct().write.parquet(f"{into}/seen/{batch}")
+
+
+def _named(versions: DataFrame, text_col: str) -> DataFrame:
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    return versions.select(F.unhex(F.sha2(text.cast("binary"), 256)).alias("blob_id"), text.alias("text"))
 
 
 def update(versions: DataFrame, ledger: str, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """Scans what the ledger at the folder ``ledger`` lacks, and returns each blob's findings under ``rules``.
+    """Scans what the ledger at the folder ``ledger`` lacks, and returns the findings of these versions' blobs under ``rules``.
 
     Returns (blob_id, spans: array of (start, rule, kind, end) in order); blobs
-    without a finding are left out. A batch's findings count once its pairs
-    are in the ledger, so a scan that broke off is simply repeated.
+    without a finding are left out. A batch counts once its list of pairs is
+    whole, so a scan that broke off is simply repeated.
     """
     spark = versions.sparkSession
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    named = versions.select(F.unhex(F.sha2(text.cast("binary"), 256)).alias("blob_id"), text.alias("text"))
+    folder = shared_folder(spark)
+    named = _named(versions, text_col)
     names = F.array(*[F.lit(r.name) for r in rules])
-    seen = _read(spark, f"{ledger}/seen", SEEN)
-    known = seen.groupBy("blob_id").agg(F.collect_set("rule").alias("known"))
-    once = named.groupBy("blob_id").agg(F.first("text").alias("text"))  # combined before the shuffle, so copies do not travel
-    todo = once.join(known, "blob_id", "left").withColumn("rules", F.array_except(names, F.coalesce("known", F.array().cast("array<string>"))))
-    todo = todo.where(F.size("rules") > 0).select("blob_id", "text", "rules")
-    batch = uuid.uuid4().hex
-    rule_names = F.array(*[F.lit(r.name) for r in rules])
-    scan(todo, rules).select("blob_id", "kind", F.get(rule_names, F.col("rule")).alias("rule"), "start", "end", F.lit(batch).alias("batch")).write.mode("append").parquet(f"{ledger}/found")
-    fresh = named.select("blob_id").distinct().join(known, "blob_id", "left").select("blob_id", F.explode(F.array_except(names, F.coalesce("known", F.array().cast("array<string>")))).alias("rule"), F.lit(batch).alias("batch"))
-    fresh.write.mode("append").parquet(f"{ledger}/seen")
-    return findings(spark, ledger, rules)
-
-
-def findings(spark: SparkSession, ledger: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """All findings in the ledger under these rules, an array for each blob that has some."""
-    seen, found = _read(spark, f"{ledger}/seen", SEEN), _read(spark, f"{ledger}/found", FOUND)
+    none = F.array().cast("array<string>")
+    own = stored(named.groupBy("blob_id").agg(F.count(F.lit(1)).alias("copies")), folder, "blobs")
+    # Of a long history only rows that may be of these blobs are shuffled.
+    past, _ = split(_read(spark, ledger, "seen", SEEN), stored(bit_table(own, "blob_id"), folder, "own_bits"), F.col("blob_id"))
+    known = past.join(own, "blob_id", "left_semi").groupBy("blob_id").agg(F.collect_set("rule").alias("known"))
+    todo = own.join(known, "blob_id", "left").withColumn("rules", F.array_except(names, F.coalesce("known", none)))
+    todo = stored(todo.where(F.size("rules") > 0).select("blob_id", "copies", "rules"), folder, "todo")
+    special = todo.where((F.col("copies") > 1) | (F.size("rules") < len(rules)))
+    fresh = todo.count() == own.count()
+    wanted = named if fresh else split(named, stored(bit_table(todo, "blob_id"), folder, "todo_bits"), F.col("blob_id"))[0]
+    # Blobs that need a look at the list: repeated, seen by some rules, or (where some blobs are known) not wanted at all.
+    apart = special if fresh else special.select("blob_id").union(own.join(todo, "blob_id", "left_anti").select("blob_id"))
+    maybe, plain = split(wanted, stored(bit_table(apart, "blob_id"), folder, "apart_bits"), F.col("blob_id"))
+    listed = maybe.join(todo, "blob_id")
+    once = listed.where("copies = 1").select("blob_id", "text", "rules")
+    repeated = listed.where("copies > 1").groupBy("blob_id").agg(F.first("text").alias("text"), F.first("rules").alias("rules"))  # combined before the shuffle, so copies do not travel
+    blobs = plain.select("blob_id", "text", names.alias("rules")).unionByName(once).unionByName(repeated)
+    batch = f"batch={uuid.uuid4().hex}"
+    scan(blobs, rules).select("blob_id", "kind", F.get(names, F.col("rule")).alias("rule"), "start", "end").write.parquet(f"{ledger}/found/{batch}")
+    todo.select("blob_id", F.explode("rules").alias("rule")).write.parquet(f"{ledger}/seen/{batch}")
+    return findings(spark, ledger, rules, own)
+
+
+def findings(spark: SparkSession, ledger: str, rules: tuple[Rule, ...] = RULES, blobs: DataFrame | None = None) -> DataFrame:
+    """All findings in the ledger under these rules, an array for each blob (of ``blobs``, if given) that has some."""
     order = F.array(*[F.lit(r.name) for r in rules])
-    valid = found.where(F.array_contains(order, F.col("rule"))).join(seen, ["blob_id", "rule", "batch"], "left_semi")
+    valid = _read(spark, ledger, "found", FOUND).where(F.array_contains(order, F.col("rule")))
+    if blobs is not None:
+        valid = valid.join(blobs, "blob_id", "left_semi")
     span = F.struct("start", (F.array_position(order, F.col("rule")) - 1).cast("int").alias("rule"), "kind", "end")
     return valid.groupBy("blob_id").agg(F.array_sort(F.collect_set(span)).alias("spans"))
 

@@ -27,6 +27,7 @@ def split(df: DataFrame, table: DataFrame, key: Column) -> tuple[DataFrame, Data
     h = F.xxhash64(_key(key))
     names = df.columns
     marked = df.withColumns({"_sieve_word": F.when(key.isNotNull(), F.pmod(h, F.lit(WORDS))), "_sieve_bit": F.shiftright(h, 20).bitwiseAND(F.lit(63))})
-    met = marked.join(F.broadcast(table), marked["_sieve_word"] == table["word"], "left")
-    maybe = F.coalesce(F.expr("shiftright(bits, cast(_sieve_bit as int)) & 1L") == 1, F.lit(False))
+    named = table.select(F.col("word").alias("_sieve_of"), F.col("bits").alias("_sieve_bits"))
+    met = marked.join(F.broadcast(named), F.col("_sieve_word") == F.col("_sieve_of"), "left")
+    maybe = F.coalesce(F.expr("shiftright(_sieve_bits, cast(_sieve_bit as int)) & 1L") == 1, F.lit(False))
     return met.where(maybe).select(*[F.col(f"`{c}`") for c in names]), met.where(~maybe).select(*[F.col(f"`{c}`") for c in names])

@@ -422,6 +422,39 @@ def test_ledger_scans_only_what_is_new(spark, tmp_path):
     assert secrets.scan_history(one.limit(0), f"file://{tmp_path}/e").count() == 0
 
 
+def test_scans_shuffle_only_texts_that_repeat(spark, tmp_path, monkeypatch):
+    read = []
+    scan = secrets.scan
+    monkeypatch.setattr(secrets, "scan", lambda blobs, rules: read.append(blobs) or scan(blobs, rules))
+    text = lambda k: f"{k} token = abcdefgh{k} " + "x" * 500_000
+    kind = "doc_id long, text string, spans string, blob_id string, copies long, rules string, known string, word long, bits long"
+    row = lambda i, t: (i, t, *"ab", 5, *"cd", 1, 2)
+    first = spark.createDataFrame([row(i, text(i % 4 if i < 8 else i)) for i in range(12)], kind)
+    ledger = f"file://{tmp_path}/ledger"
+    got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in secrets.scan_history(first, ledger, keep=("doc_id",)).collect()}
+    assert all(len(v) == 1 and v[0][0] == "assign" for v in got.values()) and len(got) == 12
+    assert sorted(r.text[:2] for r in read[0].collect()) == sorted(text(k)[:2] for k in (0, 1, 2, 3, 8, 9, 10, 11))
+    again = first.unionByName(spark.createDataFrame([row(50, text(50))], kind))
+    assert secrets.scan_history(again, ledger).count() == 13
+    assert [r.text[:2] for r in read[1].collect()] == ["50"]
+    secrets.compact(spark, ledger, f"file://{tmp_path}/small")
+    assert sorted(map(str, secrets.findings(spark, f"file://{tmp_path}/small").collect())) == sorted(map(str, secrets.findings(spark, ledger).collect()))
+
+
+def test_a_scan_that_broke_off_is_repeated(spark, tmp_path):
+    ledger = f"file://{tmp_path}/ledger"
+    df = spark.createDataFrame([(1, "token = abcdefgh")], "doc_id long, text string")
+    secrets.update(df, ledger)
+    import shutil
+
+    batch = next((tmp_path / "ledger" / "seen").iterdir())
+    (batch / "_SUCCESS").unlink()
+    assert secrets.findings(spark, ledger).count() == 0
+    assert [(s.start, s.end) for s in secrets.scan_history(df, ledger).first().spans] == [(0, 16)]
+    shutil.rmtree(batch)
+    assert secrets.findings(spark, ledger).count() == 1
+
+
 def test_redaction(spark):
     df = spark.createDataFrame([("é abc def ghi", [(2, 0, "k", 5), (4, 1, "k", 9)]), ("x", []), (None, [])], "t string, s array<struct<start:bigint,rule:int,kind:string,end:bigint>>")
     assert [r[0] for r in df.select(secrets.redacted(F.col("t"), F.col("s"))).collect()] == ["é [secret] ghi", "x", None]
