@@ -1,6 +1,6 @@
 """Preference formatting: a shared prompt and two masked completions for each pair of conversations.
 
-DataFrame functions only. A pair's turns meet in one small group; the longest
+DataFrame functions only. A pair's turns meet in one group; the longest
 common prefix of turns (equal role and text) is rendered once as the prompt,
 and what follows in each conversation becomes a completion whose mask lists the
 code points that count for the loss: the text and end mark of assistant turns.
@@ -41,27 +41,37 @@ def mask(turns: Column) -> Column:
     return F.aggregate(turns, empty, step, lambda acc: F.array_join(acc["out"], ","))
 
 
+def _turn(turn_col: str, role_col: str, text_col: str) -> Column:
+    return F.struct(F.col(turn_col).alias("turn"), F.col(role_col).cast("string").alias("role"), F.col(text_col).cast("string").alias("text"))
+
+
 def format_pairs(turns: DataFrame, pair_col: str = "pair_id", side_col: str = "side", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
-    """Formats pairs from turns whose ``side_col`` is ``chosen`` or ``rejected``.
+    """Formats pairs from turns whose ``side_col`` is ``chosen`` or ``rejected``; see :func:`formatted`.
 
-    Returns for each pair: ``pair_id``, ``n_prompt_turns``, ``n_chosen_turns``
-    and ``n_rejected_turns`` (after the prompt), ``prompt``, ``chosen``,
-    ``rejected``, their masks, and ``usable`` (both completions have a trained
-    turn). Turns stand in order of number, role and text, so repeated numbers
-    have a defined place; a null number comes first. Null roles and texts are
-    rendered as empty and equal each other. A pair that lacks a side has no
+    Turns stand in order of number, role and text, so repeated numbers have a
+    defined place; a null number comes first. A pair that lacks a side has no
     prompt and an empty completion there. Rows with a null pair or another side
     are left out. A group is one pair of conversations, never more.
     """
-    turn = F.struct(F.col(turn_col).alias("turn"), F.col(role_col).cast("string").alias("role"), F.col(text_col).cast("string").alias("text"))
-    rows = turns.where(F.col(pair_col).isNotNull() & F.col(side_col).isin("chosen", "rejected")).select(F.col(pair_col).alias("pair_id"), F.col(side_col).alias("side"), turn.alias("t"))
+    rows = turns.where(F.col(pair_col).isNotNull() & F.col(side_col).isin("chosen", "rejected")).select(F.col(pair_col).alias("pair_id"), F.col(side_col).alias("side"), _turn(turn_col, role_col, text_col).alias("t"))
     of = lambda side: F.array_sort(F.collect_list(F.when(F.col("side") == side, F.col("t"))))
-    pairs = rows.groupBy("pair_id").agg(of("chosen").alias("c"), of("rejected").alias("r"))
+    return formatted(rows.groupBy("pair_id").agg(of("chosen").alias("c"), of("rejected").alias("r")))
+
+
+def formatted(pairs: DataFrame) -> DataFrame:
+    """Formats pairs (pair_id, arrays of turns c and r: chosen and rejected).
+
+    Returns for each pair: ``pair_id``, ``n_prompt_turns``, ``n_chosen_turns``
+    and ``n_rejected_turns`` (after the prompt), ``prompt``, ``chosen``,
+    ``rejected``, their masks, and ``usable`` (both completions have a trained
+    turn). Null roles and texts are rendered as empty and equal each other.
+    """
     same = F.zip_with("c", "r", lambda a, b: F.coalesce(a["role"].eqNullSafe(b["role"]) & a["text"].eqNullSafe(b["text"]) & a.isNotNull() & b.isNotNull(), F.lit(False)))
     first_other = F.array_position(same, F.lit(False))
     pairs = pairs.withColumn("n", F.when(first_other > 0, first_other - 1).otherwise(F.size(same)).cast("int"))
     rest = lambda c: F.slice(F.col(c), F.col("n") + 1, F.greatest(F.size(c) - F.col("n"), F.lit(0)))
     pairs = pairs.select("pair_id", "n", F.slice("c", F.lit(1), F.col("n")).alias("p"), rest("c").alias("c"), rest("r").alias("r"))
+    trained = lambda c: F.exists(c, lambda t: F.coalesce(t["role"] == TRAINED, F.lit(False)))
     return pairs.select(
         "pair_id",
         F.col("n").cast("long").alias("n_prompt_turns"),
@@ -72,19 +82,34 @@ def format_pairs(turns: DataFrame, pair_col: str = "pair_id", side_col: str = "s
         mask(F.col("c")).alias("chosen_mask"),
         render(F.col("r")).alias("rejected"),
         mask(F.col("r")).alias("rejected_mask"),
-        (F.exists("c", lambda t: F.coalesce(t["role"] == TRAINED, F.lit(False))) & F.exists("r", lambda t: F.coalesce(t["role"] == TRAINED, F.lit(False)))).alias("usable"),
+        (trained("c") & trained("r")).alias("usable"),
     )
 
 
-def neighbours(conversations: DataFrame) -> DataFrame:
-    """Pairs for a table without preferences: conversation 2k counts as chosen against 2k + 1."""
-    return conversations.select(
-        F.floor(F.col("conv_id") / 2).cast("long").alias("pair_id"),
-        F.when(F.pmod("conv_id", F.lit(2)) == 0, "chosen").otherwise("rejected").alias("side"),
-        "turn",
-        "role",
-        "text",
-    )
+def shared_prompts(conversations: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
+    """Pairs (pair_id, c, r) for a table without preferences, one for each conversation.
+
+    Chosen is a conversation up to its last assistant turn. Rejected has the
+    same turns before that one, and then the last assistant turn of the
+    conversation beside it (2k and 2k + 1 are beside each other), or nothing
+    where there is none. A conversation without an assistant turn is all
+    prompt. Turns stand in order of number, role and text; rows with a null id
+    are left out. Both conversations meet in one shuffle.
+    """
+    number = F.col(id_col).cast("long")
+    rows = conversations.where(number.isNotNull()).select(F.shiftright(number, 1).alias("k"), number.bitwiseAND(F.lit(1)).alias("odd"), _turn(turn_col, role_col, text_col).alias("t"))
+    of = lambda odd: F.array_sort(F.collect_list(F.when(F.col("odd") == odd, F.col("t"))))
+    both = rows.groupBy("k").agg(of(0).alias("a"), of(1).alias("b"))
+    last = lambda c: F.size(c) + 1 - F.array_position(F.reverse(F.transform(c, lambda t: F.coalesce(t["role"] == TRAINED, F.lit(False)))), F.lit(True)).cast("int")
+    both = both.withColumns({"last_a": last("a"), "last_b": last("b")})  # one beyond the end where there is none
+
+    def side(odd: int, own: str, other: str) -> Column:
+        n, m = F.col(f"last_{own}"), F.col(f"last_{other}")
+        prompt = F.slice(own, F.lit(1), n - 1)
+        answer = F.when(m <= F.size(other), F.slice(other, m, F.lit(1))).otherwise(F.slice(other, F.lit(1), F.lit(0)))
+        return F.struct((F.shiftleft("k", 1) + odd).alias("pair_id"), F.slice(own, F.lit(1), F.least(n, F.size(own))).alias("c"), F.concat(prompt, answer).alias("r"), (F.size(own) > 0).alias("there"))
+
+    return both.select(F.explode(F.array(side(0, "a", "b"), side(1, "b", "a"))).alias("p")).select("p.*").where("there").drop("there")
 
 
 _TURN = "'<|' || coalesce(t.role, '') || '|>\n' || coalesce(t.text, '') || '<|end|>\n'"
@@ -99,13 +124,14 @@ def _sql_mask(turns: str) -> str:
     )
 
 
-#: DuckDB SQL for :func:`format_pairs` of :func:`neighbours` over ``conversations``.
+#: DuckDB SQL for :func:`formatted` of :func:`shared_prompts` over ``conversations``.
 ORACLE = f"""
-WITH sides AS (
-  SELECT conv_id // 2 AS pair_id, conv_id % 2 AS side, list({{'turn': turn, 'role': role, 'text': text}} ORDER BY turn, role, text) AS l
-  FROM conversations GROUP BY ALL
+WITH convs AS (
+  SELECT conv_id, list({{'turn': turn, 'role': role, 'text': text}} ORDER BY turn, role, text) AS l FROM conversations GROUP BY conv_id
+), ends AS (
+  SELECT conv_id, l, coalesce(list_max(list_filter(range(1, len(l) + 1), lambda i: l[i].role = 'assistant')), len(l) + 1) AS n FROM convs
 ), pairs AS (
-  SELECT pair_id, coalesce(any_value(l) FILTER (side = 0), []) AS c, coalesce(any_value(l) FILTER (side = 1), []) AS r FROM sides GROUP BY pair_id
+  SELECT x.conv_id AS pair_id, x.l[1:x.n] AS c, list_concat(x.l[1:x.n - 1], coalesce(y.l[y.n:y.n], [])) AS r FROM ends x LEFT JOIN ends y ON y.conv_id = xor(x.conv_id, 1)
 ), cut AS (
   SELECT pair_id, c, r, coalesce(list_min(list_filter(range(1, least(len(c), len(r)) + 1),
          lambda i: c[i].role IS DISTINCT FROM r[i].role OR c[i].text IS DISTINCT FROM r[i].text)) - 1, least(len(c), len(r))) AS n FROM pairs

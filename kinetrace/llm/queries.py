@@ -87,7 +87,8 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return preference.format_pairs(preference.neighbours(table(spark, sf_dir, "conversations")))
+    """A pair for each conversation: its last assistant turn against that of the one beside it, after the same prompt."""
+    return preference.formatted(preference.shared_prompts(table(spark, sf_dir, "conversations")))
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -476,6 +476,38 @@ def test_preferences(spark):
     assert preference.format_pairs(df.limit(0)).count() == 0
 
 
+def test_preferences_of_odd_turns(spark):
+    """Repeated numbers, ties, long conversations, and extra columns with the names of results."""
+    extra = ("prompt", "chosen", "rejected", "usable", "n", "c", "r", "p", "t")
+    rows = [(1, s, 0, "user", "same") for s in ("chosen", "rejected") for _ in range(2)]
+    rows += [(1, "chosen", 1, "assistant", "b"), (1, "chosen", 1, "assistant", "a"), (1, "rejected", 1, "assistant", "a")]
+    rows += [(2, s, k, "assistant" if k % 2 else "user", f"turn {k} " + "x" * 300) for s in ("chosen", "rejected") for k in range(400)]
+    df = spark.createDataFrame([(*r, *"abcdefghi") for r in rows], "pair_id long, side string, turn long, role string, text string, " + ", ".join(f"{n} string" for n in extra))
+    got = {r.pair_id: r for r in preference.format_pairs(df).collect()}
+    assert (got[1].n_prompt_turns, got[1].n_chosen_turns, got[1].n_rejected_turns) == (3, 1, 0) and got[1].chosen == "<|assistant|>\nb<|end|>\n"
+    assert (got[2].n_prompt_turns, got[2].chosen, got[2].usable) == (400, "", False) and len(got[2].prompt) > 120_000
+
+
+def test_conversations_share_their_prompts(spark):
+    big = (1 << 60) + 3
+    turns = [(0, 0, "user", "q"), (0, 1, "assistant", "a0"), (0, 2, "user", "q2"), (0, 3, "assistant", "a2"), (0, 4, "user", "left out"), (1, 0, "user", "z"), (1, 1, "assistant", "a1")]
+    turns += [(2, 0, "user", "only"), (3, 0, "assistant", "only"), (big, 0, "user", "u"), (big, 1, "assistant", "v"), (None, 0, "user", "x")]
+    got = {r.pair_id: r for r in preference.formatted(preference.shared_prompts(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"))).collect()}
+    turn = lambda role, text: f"<|{role}|>\n{text}<|end|>\n"
+    assert set(got) == {0, 1, 2, 3, big}
+    assert (got[0].n_prompt_turns, got[0].chosen, got[0].rejected, got[0].usable) == (3, turn("assistant", "a2"), turn("assistant", "a1"), True)
+    assert (got[1].prompt, got[1].chosen, got[1].rejected) == (turn("user", "z"), turn("assistant", "a1"), turn("assistant", "a2"))
+    assert (got[2].prompt, got[2].chosen, got[2].rejected, got[2].usable) == (turn("user", "only"), "", turn("assistant", "only"), False)
+    assert (got[3].prompt, got[3].chosen, got[3].rejected) == ("", turn("assistant", "only"), "") and got[big].n_prompt_turns == 1
+    empty = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    assert preference.shared_prompts(empty).count() == 0
+
+
+def test_most_conversations_have_a_prompt(spark):
+    got = queries.op8_preference_format(spark, SF).collect()
+    assert sum(r.n_prompt_turns > 0 for r in got) >= len(got) / 2
+
+
 # 9
 
 
@@ -621,6 +653,40 @@ def test_fingerprints_of_odd_rows(spark, odd):
     assert single.near_next == 1.0
 
 
+def test_fingerprints_of_ids_that_are_texts(spark):
+    """Also with more rows than bounds, clashing names, and a word pair that repeats more often than 16 bits count."""
+    texts = {f"k{k:03d}": f"text {k} " * (k % 7) for k in range(200)} | {"long": "a b " * 40_000, "longer": "a b " * 40_001}
+    df = spark.createDataFrame([(i, t, "x", 1, True, "y") for i, t in texts.items()], "doc_id string, text string, fingerprint string, run int, guest boolean, t string")
+    got = {r.doc_id: r for r in fingerprint.edited_fingerprints(df).collect()}
+    order = sorted(texts, reverse=True)
+    for k, i in enumerate(order):
+        t, after = texts[i], texts[order[(k + 1) % len(order)]]
+        assert got[i].edited_sha256 == sha(t[: len(t) - len(t) // 3] + after[: len(t) // 3])
+    assert got["longer"].near_next > 0.99
+
+
+def test_fingerprints_are_plain_sums(spark, docs):
+    """Lane by lane, from hashes of paragraphs and of word pairs taken one at a time."""
+    for _, t in docs[:20]:
+        lanes = [0] * (fingerprint.EQUAL + fingerprint.ALIKE)
+        for line in t.split("\n"):
+            if not line or line.encode().isspace():
+                continue
+            own = np.frombuffer(hashlib.shake_128(line.encode()).digest(4 * fingerprint.EQUAL), "<u4").tolist()
+            words = [w for w in brute.WORD_5.findall(line)]
+            pairs = list(zip(words, words[1:])) or [tuple(words)]
+            for k, v in enumerate(own):
+                lanes[k] += v
+            for p in pairs:
+                raw = np.frombuffer(" ".join(p).encode(), np.uint8)
+                _, _, counts, codes = textcore.hashed_words(raw, np.array([0, len(raw)]), fingerprint._WORD)
+                h = textcore.shingles(codes, counts, 2)[0]
+                bits = np.unpackbits(np.array([textcore.mix(h + textcore.salt(w + 1))[0] for w in range(fingerprint.ALIKE // 64)]).view(np.uint8))
+                for k, b in enumerate(bits.tolist()):
+                    lanes[fingerprint.EQUAL + k] += 2 * b - 1
+        assert fingerprint.vectors(pa.array([t]))[0].tolist() == [v % (1 << 32) for v in lanes]
+
+
 # Text kernels
 
 
