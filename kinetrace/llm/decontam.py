@@ -8,22 +8,32 @@ of every 16th symbol. All test phrases search the shard together, last word
 first, and drop out when their range is empty. What is found is located by
 walking to the next sampled position, compared with the phrase byte by byte,
 and merged into spans of words to remove.
+
+Test phrases are dealt into blocks of bounded size by executors and written to
+the shared folder. A worker holds one block at a time, as arrays; the driver
+sees only where blocks lie.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinetrace.llm.textcore import bounded, byte_table, hashed_words, lower_ascii, slices, trimmed, utf8
+from kinetrace.llm.textcore import bounded, byte_table, hashed_words, located, lower_ascii, slices, trimmed, utf8
+from kinetrace.sources.stage import shared_folder, stored
 
 #: Words in a window; bytes of a shard; bytes of test phrases held at once; distance of sampled suffix positions.
-WINDOW, SHARD_BYTES, BLOCK_BYTES, SAMPLE = 10, 3 << 20, 16 << 20, 16
+WINDOW, SHARD_BYTES, BLOCK_BYTES, SAMPLE = 10, 3 << 20, 4 << 20, 16
+#: Windows that search a shard together.
+SEARCHED = 1 << 16
 #: Word bytes once A-Z are lower-cased: 0-9, a-z, and all bytes of characters outside ASCII.
 WORD = byte_table(lambda b: 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80)
 
@@ -31,8 +41,8 @@ WORD = byte_table(lambda b: 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80)
 def suffix_order(seq: np.ndarray) -> np.ndarray:
     """Positions in the order of their suffixes; ``seq`` ends with a symbol that occurs once.
 
-    Sorts by three symbols, then doubles the compared length, each time only
-    where ties are left.
+    Sorts by up to four symbols, then doubles the compared length, each time
+    only where ties are left.
     """
     n = len(seq)
     width = max(1, int(seq.max()).bit_length())
@@ -152,32 +162,31 @@ class FMIndex:
 
 @dataclass
 class Phrases:
-    """Distinct windows: their words and hashes; the items of window w are ``items[at[w]:at[w + 1]]``."""
+    """A block of items: their lower-cased text, the words' hashes and places in it, and windows as a first word, a length and an item's number."""
 
-    texts: list[tuple[bytes, ...]]
+    raw: bytes
     codes: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+    first: np.ndarray
     lengths: np.ndarray
-    at: np.ndarray
-    items: list[str]
+    item: np.ndarray
+    names: list[str]
 
     @staticmethod
     def of(items: list[tuple[str, str | None]], window: int) -> Phrases:
-        owners: dict[tuple[bytes, ...], set[str]] = {}
-        codes: dict[tuple[bytes, ...], np.ndarray] = {}
-        for item, text in items:
-            raw, offsets = utf8(pa.array([text or ""]))
-            low = lower_ascii(raw)
-            starts, ends, _, hashed = hashed_words(low, offsets, WORD)
-            own = [low[s:e].tobytes() for s, e in zip(starts, ends, strict=True)]
-            for i in range(max(1, len(own) - window + 1) if own else 0):
-                key = tuple(own[i : i + window])
-                owners.setdefault(key, set()).add(item)
-                codes[key] = hashed[i : i + window]
-        texts = list(owners)
-        table = np.zeros((len(texts), window), np.uint64)
-        for i, t in enumerate(texts):
-            table[i, : len(t)] = codes[t]
-        return Phrases(texts, table, np.array([len(t) for t in texts], np.int64), np.concatenate([[0], np.cumsum([len(owners[t]) for t in texts])]).astype(np.int64), [x for t in texts for x in sorted(owners[t])])
+        data, offsets = utf8(pa.array([t or "" for _, t in items], pa.large_string()))
+        low = lower_ascii(data)
+        starts, ends, counts, codes = hashed_words(low, offsets, WORD)
+        windows = np.where(counts > 0, np.maximum(1, counts - window + 1), 0)
+        item = np.repeat(np.arange(len(items)), windows)
+        begin = np.cumsum(counts) - counts
+        first = begin[item] + np.arange(len(item)) - np.repeat(np.cumsum(windows) - windows, windows)
+        return Phrases(low.tobytes(), codes, starts.astype(np.int32), ends.astype(np.int32), first.astype(np.int32), np.minimum(counts[item], window), item.astype(np.int32), [i for i, _ in items])
+
+    def words(self, window: int) -> list[bytes]:
+        a, n = int(self.first[window]), int(self.lengths[window])
+        return [self.raw[s:e] for s, e in zip(self.starts[a : a + n].tolist(), self.ends[a : a + n].tolist(), strict=True)]
 
 
 def scan_shard(low: np.ndarray, offsets: np.ndarray, blocks: Iterator[Phrases]) -> tuple[np.ndarray, np.ndarray, dict[int, set[str]], np.ndarray, np.ndarray]:
@@ -200,39 +209,86 @@ def scan_shard(low: np.ndarray, offsets: np.ndarray, blocks: Iterator[Phrases])
     seq[np.cumsum(counts) + np.arange(docs)] = np.arange(docs)
     index = FMIndex(seq)
     blob = low.tobytes()
+    after = np.cumsum(counts + 1)
     for phrases in blocks:
-        if not phrases.texts:
-            continue
         near = np.minimum(np.searchsorted(vocabulary, phrases.codes), len(vocabulary) - 1)
-        lo, hi = index.search(np.where(vocabulary[near] == phrases.codes, near + docs, -1), phrases.lengths)
-        found = np.flatnonzero(lo < hi)
-        if not len(found):
-            continue
-        times = (hi - lo)[found]
-        phrase = np.repeat(found, times)
-        rows = np.arange(len(phrase)) - np.repeat(np.cumsum(times) - times, times) + np.repeat(lo[found], times)
-        position = index.locate(rows)
-        word = position - np.searchsorted(np.cumsum(counts + 1), position, "right")
-        for p, w in zip(phrase.tolist(), word.tolist(), strict=True):
-            text = phrases.texts[p]
-            if any(blob[starts[w + j] : ends[w + j]] != t for j, t in enumerate(text)):
-                continue  # another word with the same hash
-            hit[w] += 1
-            hit[w + len(text)] -= 1
-            items.setdefault(int(row[w]), set()).update(phrases.items[phrases.at[p] : phrases.at[p + 1]])
+        known = vocabulary[near] == phrases.codes
+        symbol = np.where(known, near + docs, -1)
+        missing = np.concatenate([[0], np.cumsum(~known)])
+        # Windows with a word that the shard lacks need no search.
+        live = np.flatnonzero(missing[phrases.first + phrases.lengths] == missing[phrases.first])
+        for low_at in range(0, len(live), SEARCHED):
+            own = live[low_at : low_at + SEARCHED]
+            size = phrases.lengths[own]
+            step = np.arange(int(size.max()))
+            table = np.where(step < size[:, None], symbol[np.minimum(phrases.first[own][:, None] + step, len(symbol) - 1)], -1)
+            lo, hi = index.search(table, size)
+            found = np.flatnonzero(lo < hi)
+            times = (hi - lo)[found]
+            window = np.repeat(own[found], times)
+            rows = np.arange(len(window)) - np.repeat(np.cumsum(times) - times, times) + np.repeat(lo[found], times)
+            position = index.locate(rows)
+            word = position - np.searchsorted(after, position, "right")
+            for p, w in zip(window.tolist(), word.tolist(), strict=True):
+                text = phrases.words(p)
+                if any(blob[starts[w + j] : ends[w + j]] != t for j, t in enumerate(text)):
+                    continue  # another word with the same hash
+                hit[w] += 1
+                hit[w + len(text)] -= 1
+                items.setdefault(int(row[w]), set()).add(phrases.names[phrases.item[p]])
     return counts, np.cumsum(hit[:-1]) > 0, items, starts, ends
 
 
-def phrase_blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int, block_bytes: int) -> list:
-    """The test phrases as broadcast blocks, each of about ``block_bytes`` of text: a sum over the table fixes their number."""
+def phrase_blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int, block_bytes: int) -> list[tuple[str, int]]:
+    """Writes the test phrases as blocks of about ``block_bytes`` of text; the files and numbers of the blocks.
+
+    A sum over the table fixes the blocks' number; an item goes to one by a
+    hash. An item is never cut, so a block is at least as large as its longest.
+    """
+    spark = benchmark.sparkSession
     rows = benchmark.select(F.col(item_col).cast("string").alias("i"), F.col(text_col).cast("string").alias("t")).where("i is not null and t is not null")
     size = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     parts = int(size // block_bytes) + 1
-    out = []
-    for k in range(parts):
-        part = rows if parts == 1 else rows.where(F.pmod(F.xxhash64("i", "t"), F.lit(parts)) == k)
-        out.append(benchmark.sparkSession.sparkContext.broadcast(Phrases.of([(r.i, r.t) for r in part.collect()], window)))
-    return out
+    dealt = rows.withColumn("part", F.pmod(F.xxhash64("i", "t"), F.lit(parts)).cast("int")).repartition(parts, "part").sortWithinPartitions("part", "i", "t")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def block(part: int, items: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([pickle.dumps(Phrases.of(items, window))], pa.binary())], ["part", "block"])
+
+        part, items = None, []
+        for batch in batches:
+            for i, t, p in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if p != part and items:
+                    yield block(part, items)
+                    items = []
+                part = p
+                items.append((i, t))
+        if items:
+            yield block(part, items)
+
+    made = stored(dealt.mapInArrow(trimmed(run), "part int, block binary"), shared_folder(spark), "phrases")
+    return [(r.file, r.part) for r in made.select(F.input_file_name().alias("file"), "part").orderBy("part").collect()]
+
+
+_held: list = [None, None]  # the block that this worker process read last, under its place
+
+
+def load(place: tuple[str, int]) -> Phrases:
+    """One block from the shared folder; the one before it goes."""
+    if _held[0] != place:
+        _held[:] = [None, None]
+        system, path = located(unquote(place[0]))
+        with system.open_input_file(path) as f:
+            table = pq.ParquetFile(f)
+            for k in range(table.num_row_groups):
+                group = table.read_row_group(k, columns=["part"]).column("part").to_pylist()
+                if place[1] in group:
+                    found = table.read_row_group(k, columns=["block"]).column("block")[group.index(place[1])]
+                    _held[:] = [place, pickle.loads(found.as_py())]
+                    break
+            else:
+                raise FileNotFoundError(f"no block {place[1]} in {place[0]}")
+    return _held[1]
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, keep: tuple[str, ...] = (), block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -249,7 +305,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     Null text: no words, and null ``clean_text``. Items with a null id or text
     are passed over. Ids may be null or repeat; each row is judged by itself.
     A document longer than a shard is a shard by itself, so memory follows the
-    longest document.
+    longest document. With several blocks of test phrases each shard reads them
+    one after the other.
     """
     bounded(docs.sparkSession)
     blocks = phrase_blocks(benchmark, item_col, item_text_col, window, block_bytes)
@@ -263,7 +320,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
             data, offsets = utf8(texts)
             for i, j in slices(offsets, SHARD_BYTES):
                 own, base = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
-                counts, hit, items, starts, ends = scan_shard(lower_ascii(own), base, (b.value for b in blocks))
+                counts, hit, items, starts, ends = scan_shard(lower_ascii(own), base, map(load, blocks))
                 first = np.cumsum(counts) - counts
                 hits = np.bincount(np.repeat(np.arange(len(counts)), counts)[hit], minlength=len(counts)) if len(hit) else np.zeros(len(counts), np.int64)
                 spans: list[list[dict]] = [[] for _ in counts]

@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import SparkSession
 
 from kinetrace.workers import reachable
@@ -37,6 +38,13 @@ def bounded(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_BYTES))
 
 
+def located(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system and plain path of a URI or local path, as workers open it."""
+    if "://" in path:
+        return fs.FileSystem.from_uri(path)
+    return fs.LocalFileSystem(), "/" + path[5:].lstrip("/") if path.startswith("file:") else path
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets (one more than rows) of a string column; null reads as empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, Filter, In, InputPartition, IsNotNull, StringStartsWith, WriterCommitMessage
 
 from kinetrace.llm.sieve import bit_table, split
+from kinetrace.llm.textcore import located
 from kinetrace.sources.stage import shared_folder, stored
 from kinetrace.workers import reachable
 
@@ -44,12 +45,6 @@ _LIST = ("record_id", "record_type", "target_uri", "date", "payload_digest")
 BATCH_BYTES = 8 << 20
 
 
-def _split_uri(path: str) -> tuple[fs.FileSystem, str]:
-    if "://" in path or path.startswith("file:"):
-        return fs.FileSystem.from_uri(path if "://" in path else "file://" + path[5:])
-    return fs.LocalFileSystem(), path
-
-
 def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, date: str) -> bytes:
     """One record as a gzip member: a response, or a revisit if ``refers_to`` is given."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
@@ -237,7 +232,7 @@ class WarcReader(DataSourceReader):
 
     def partitions(self) -> list[InputPartition]:
         """A partition for each file: those of the folder's lists, or all in a folder without one."""
-        system, path = _split_uri(self.path)
+        system, path = located(self.path)
         info = system.get_file_info(path)
         if info.type == fs.FileType.File:
             return [_File(path, info.size)]
@@ -251,7 +246,7 @@ class WarcReader(DataSourceReader):
         if not partition.path:
             return
         schema = pa.schema([("record_id", pa.string()), ("record_type", pa.string()), ("target_uri", pa.string()), ("date", pa.string()), ("page_id", pa.int64()), ("refers_to", pa.int64()), ("payload_digest", pa.string()), ("payload_bytes", pa.int64()), ("payload", pa.binary())])
-        system, _ = _split_uri(self.path)
+        system, _ = located(self.path)
         rows, held = [], 0
         with system.open_input_file(partition.path) as file:
             for row in records(file, partition.size, self.filters, self.payload):
@@ -288,7 +283,7 @@ class WarcWriter(DataSourceArrowWriter):
         self.path, self.overwrite = path, overwrite
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> _Written:
-        system, path = _split_uri(self.path)
+        system, path = located(self.path)
         name = f"{uuid.uuid4().hex}.warc.gz"
         total, out = 0, None
         for batch in iterator:
@@ -306,7 +301,7 @@ class WarcWriter(DataSourceArrowWriter):
     def commit(self, messages: list[_Written | None]) -> None:
         """Adds this write's list under a name of its own. An overwrite then drops the older lists, and their files last,
         so that the folder always reads as a whole, either old or new or, if it breaks off here, both."""
-        system, path = _split_uri(self.path)
+        system, path = located(self.path)
         system.create_dir(path, recursive=True)
         older = manifests(system, path) if self.overwrite else []
         name = uuid.uuid4().hex
@@ -321,7 +316,7 @@ class WarcWriter(DataSourceArrowWriter):
                 system.delete_file(f"{path}/{n}")
 
     def abort(self, messages: list[_Written | None]) -> None:
-        system, path = _split_uri(self.path)
+        system, path = located(self.path)
         for m in messages:
             for name, _ in m.files if m else []:
                 system.delete_file(f"{path}/{name}")

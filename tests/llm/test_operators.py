@@ -63,6 +63,29 @@ def test_spans_are_merged_and_cut(spark):
     assert small == {k: r.items for k, r in out.items()}
 
 
+def test_many_blocks_of_test_phrases(spark, docs):
+    """As with one block; a worker holds one at a time, and the driver collects places alone."""
+    documents, items = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/benchmark.parquet")
+    places = decontam.phrase_blocks(items, "item_id", "text", 10, 1000)
+    assert len(places) > 5 and all(isinstance(f, str) and isinstance(k, int) for f, k in places)
+    decontam.load(places[0])
+    before = decontam._held[1]
+    assert decontam.load(places[0]) is before and decontam.load(places[1]) is not before and decontam._held[0] == places[1]
+    rows = lambda size: sorted((r.doc_id, r.n_words, r.n_hit, tuple(r.items), tuple(r.spans)) for r in decontam.find_leaks(documents, items, block_bytes=size).collect())
+    assert rows(2000) == rows(1 << 20)
+
+
+def test_blocks_take_little_memory():
+    """Windows are numbers beside one text: about eight bytes a byte of text, not an object each."""
+    rng = random.Random(2)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(5000)]
+    items = [(str(k), " ".join(rng.choices(words, k=300))) for k in range(400)]
+    block = decontam.Phrases.of(items, 10)
+    own = len(block.raw) + sum(a.nbytes for a in (block.codes, block.starts, block.ends, block.first, block.lengths, block.item))
+    assert len(block.first) == 400 * 291 and own < 8 * len(block.raw)
+    assert [w.decode() for w in block.words(291 + 5)] == items[1][1].split()[5:15] and block.names[block.item[291 + 5]] == "1"
+
+
 def test_decontamination_of_odd_rows(spark, odd):
     b = spark.createDataFrame([(1, "tie tie")], "item_id long, text string")
     got = sorted((str(r.doc_id), r.n_hit) for r in decontam.find_leaks(odd, b).collect())
