@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from kinetrace.llm.graph import components
 from kinetrace.llm.sieve import bit_table, split
 from kinetrace.llm.textcore import bounded, byte_table, hashed_words, lower_ascii, mix, salt, shingles, slices, trimmed, utf8
-from kinetrace.sources.stage import shared_folder, stored
+from kinetrace.sources.stage import drop, shared_folder, stored
 
 BANDS, ROWS = 32, 4
 REGISTERS = BANDS * ROWS
@@ -369,6 +369,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # An id with several sets may stand in several rows here; the smallest root holds.
     roots = joined.select(F.col("id").alias("rep"), "root").groupBy("rep").agg(F.min("root").alias("root"))
     by_set = stored(reps.join(roots, "rep", "left").select("digest", F.coalesce("root", "rep").alias("component_id")), folder, "by_set")
+    for name in ("reps", "members", "candidates", "bits", "sets", "links", "local", "local_roots", "open", "more_links", "joined"):
+        drop(spark, f"{folder}/{name}")  # the result reads the sketch and by_set alone
     out = whole.select("id", "n_shingles", "digest").join(by_set, "digest", "left")
     component = F.when(F.col("n_shingles") > 0, F.when(F.col("id").isNotNull(), F.col("component_id"))).otherwise(F.col("id"))
     return out.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), (F.coalesce(F.col("id") == component, F.lit(True))).alias("kept"))

@@ -7,6 +7,7 @@ operator's whole result over the whole table.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,16 +28,19 @@ def tokenizer_path(name: str = "piece_bpe_32k.model") -> str:
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words, hit words and leaked items of each document; a null text has no words, and a repeated row is judged like its twin."""
     found = decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's URL, null ones too, judged by rules and then by a model of the built-in labelled table."""
     weights, bias = urlfilter.train(urlfilter.labelled())
     return urlfilter.judge(table(spark, sf_dir, "pages"), weights, bias)
 
 
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and decoded text of each whole document as digests; null counts as empty and has no ids."""
     return pieces.encode_texts(table(spark, sf_dir, "documents"), tokenizer_path(), digests=True)
 
 
@@ -51,6 +55,7 @@ def fit_langid(docs: DataFrame) -> langid.ByteCNN | None:
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of each whole document; ``und`` with score 0 where the text is null or has no letter. A null id is not held out."""
     docs = table(spark, sf_dir, "documents")
     out = langid.identify(docs, fit_langid(docs))
     return out.select("doc_id", F.coalesce(crc_part(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
@@ -101,6 +106,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of each document and its edited text; null counts as empty, and the last id is followed by the first."""
     return fingerprint.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
@@ -117,16 +123,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_fingerprints": op10_fingerprints,
 }
 
-ORACLES: dict[str, str] = {
-    "op1_decontamination": oracles.decontamination(),
-    "op2_url_filter": urlfilter.oracle(*urlfilter.train(urlfilter.labelled())),
-    "op5_near_duplicates": oracles.near_duplicates(),
-    "op6_warc": """
-WITH p AS (SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
-m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
-SELECT page_id, payload_bytes, payload_digest, CASE WHEN payload_bytes >= 1000 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
-  CASE WHEN payload_bytes >= 1000 AND page_id <> first THEN first END AS refers_to FROM m
-""",
-    "op7_secret_scan": secrets.oracle(),
-    "op8_preference_format": preference.ORACLE,
-}
+
+@cache
+def _oracles() -> dict[str, str]:
+    return {
+        "op1_decontamination": oracles.decontamination(),
+        "op2_url_filter": urlfilter.oracle(*urlfilter.train(urlfilter.labelled())),
+        "op5_near_duplicates": oracles.near_duplicates(),
+        "op6_warc": oracles.WARC,
+        "op7_secret_scan": secrets.oracle(),
+        "op8_preference_format": preference.ORACLE,
+    }
+
+
+def __getattr__(name: str):
+    """``ORACLES``, the queries' DuckDB SQL, is made when it is first asked for, since one query's holds trained weights."""
+    if name == "ORACLES":
+        return _oracles()
+    raise AttributeError(name)

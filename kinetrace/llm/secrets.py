@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kinetrace.llm.sieve import bit_table, split
-from kinetrace.sources.stage import shared_folder, stored
+from kinetrace.sources.stage import drop, shared_folder, stored
 
 
 @dataclass(frozen=True)
@@ -143,6 +143,8 @@ def update(versions: DataFrame, ledger: str, text_col: str = "text", rules: tupl
     batch = f"batch={uuid.uuid4().hex}"
     scan(blobs, rules).select("blob_id", "kind", F.get(names, F.col("rule")).alias("rule"), "start", "end").write.parquet(f"{ledger}/found/{batch}")
     todo.select("blob_id", F.explode("rules").alias("rule")).write.parquet(f"{ledger}/seen/{batch}")
+    for name in ("todo", "own_bits", "todo_bits", "apart_bits"):
+        drop(spark, f"{folder}/{name}")
     return findings(spark, ledger, rules, own)
 
 

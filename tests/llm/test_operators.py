@@ -126,6 +126,26 @@ def test_url_parts_and_rules(spark):
     assert urlfilter.judge(df.limit(0), weights, bias).count() == 0
 
 
+def test_url_model_on_held_out_words():
+    precision, recall = urlfilter.held_out_figures()
+    assert precision >= 0.6 and recall >= 0.6
+    rows = urlfilter.labelled()
+    assert len(rows) == len(set(rows)) == 720 and 0.3 < sum(y for _, y in rows) / len(rows) < 0.4
+
+
+def test_url_filter_of_odd_rows(spark):
+    names = ("host", "path", "rule", "verdict", "points", "said")
+    urls = ["https://a.example.com/" + "x" * 200_000, "https://h.com/en/1", "https://h.com/en/1", None, "", "://", "http://é.com/ü?ß"]
+    df = spark.createDataFrame([(None if k == 1 else k, u, *"abcdef") for k, u in enumerate(urls)], "page_id long, url string, " + ", ".join(f"{n} string" for n in names))
+    weights, bias = urlfilter.train(urlfilter.labelled())
+    got = urlfilter.judge(df, weights, bias).collect()
+    assert len(got) == len(urls) and sorted(str(r.rule) for r in got) == ["None"] * 5 + ["com/en/"] * 2
+    assert next(r for r in got if r.page_id == 0).path == "/" + "x" * 200_000 and all(r.verdict in ("allow", "block") for r in got)
+    tied = (("allow", "h.com/en/1"), ("block", "h.com/en/1"))
+    assert {r.verdict for r in urlfilter.judge(df, weights, bias, rules=tied).where("rule is not null").collect()} == {"allow"}
+    assert {r.verdict for r in urlfilter.judge(df, weights, bias, rules=tied[::-1]).where("rule is not null").collect()} == {"block"}
+
+
 def test_url_model_on_hosts_it_has_not_seen():
     weights, bias = urlfilter.train([r for r in urlfilter.labelled() if "casino-win" not in r[0] and "weather" not in r[0]])
     score = lambda u: bias + sum(weights[b] for b in urlfilter.buckets(*urlfilter.split_url(u)))
