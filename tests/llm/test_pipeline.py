@@ -63,6 +63,23 @@ def test_run(spark):
     assert corpus_pipeline.run(spark, SF).select("doc_id", "n_tokens").count() > 0
 
 
+def test_a_run_that_broke_off_goes_on(spark, tmp_path, monkeypatch):
+    """And a ledger that outlives it: the second run scans nothing again."""
+    folder, ledger = f"file://{tmp_path}/run", f"file://{tmp_path}/ledger"
+    whole = sorted(map(str, corpus_pipeline.run(spark, SF, folder, ledger).collect()))
+    called = []
+    watched = [(n, lambda *a, f=f, n=n, **k: called.append(n) or f(*a, **k)) for n, f in corpus_pipeline.STAGES]
+    monkeypatch.setattr(corpus_pipeline, "STAGES", watched)
+    (tmp_path / "run" / "stage2" / "_SUCCESS").unlink()
+    (tmp_path / "run" / "stage3" / "_SUCCESS").unlink()
+    assert sorted(map(str, corpus_pipeline.run(spark, SF, folder).collect())) == whole
+    assert called == [n for n, _ in watched[2:]]
+    monkeypatch.undo()
+    seen = spark.read.parquet(f"{ledger}/seen").count()
+    corpus_pipeline.secret_scan(spark, spark.read.parquet(f"{folder}/stage2"), SF, ledger)
+    assert spark.read.parquet(f"{ledger}/seen").count() == seen
+
+
 def test_near_dedup_of_ids_with_several_texts(spark):
     """Only the linked or exactly repeated text of an id goes, and an id's texts do not link others."""
     a, b, c, d = (" ".join(f"{w}{k}" for k in range(60)) for w in ("sun", "moon", "star", "rain"))
