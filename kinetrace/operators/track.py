@@ -120,15 +120,16 @@ class Track:
 
     # Filling
 
-    def filled(self, c: str, limit: int | None = None, both: bool = False) -> Column:
+    def filled(self, c: str, limit: int | None = None, both: bool = False, known: Column | None = None) -> Column:
         """Linear interpolation over missing values by frame number.
 
         At most ``limit`` frames after a known value are filled; after the last
         known value it is repeated. Frames before the first stay missing, or
-        take it if ``both``.
+        take it if ``both``. ``known`` says which values count; by default
+        those that are not null.
         """
-        known = F.struct(F.col(self.order).alias("t"), F.col(c).alias("v"))
-        at = F.when(F.col(c).isNotNull(), known)
+        known = F.col(c).isNotNull() if known is None else F.coalesce(known & F.col(c).isNotNull(), F.lit(False))
+        at = F.when(known, F.struct(F.col(self.order).alias("t"), F.col(c).alias("v")))
         left, right = F.last(at, True).over(self.before), self.ahead(at)
         here = F.col(self.order)
         line = left["v"] + (right["v"] - left["v"]) * (here - left["t"]) / (right["t"] - left["t"])
@@ -137,7 +138,11 @@ class Track:
             value = F.when(here - left["t"] <= limit, value)
         if both:
             value = F.when(left.isNull(), right["v"]).otherwise(value)
-        return F.coalesce(F.col(c), value)
+        return F.when(known, F.col(c)).otherwise(value)
+
+    def bridged(self, c: str, x: str, y: str) -> Column:
+        """A value of a point, where 0 in x or y means that it was not seen: a line over such frames, the nearest known value at both ends."""
+        return self.filled(c, both=True, known=(F.col(x) != 0) & (F.col(y) != 0))
 
 
 def in_stages(df: DataFrame, stages: Sequence[dict[str, Column]]) -> DataFrame:

@@ -98,7 +98,8 @@ def step_swaps(spark, sf_dir):
 # Features
 
 
-def _features_sql(animals: int) -> str:
+def _feature_steps(animals: int) -> tuple[str, str, list[str]]:
+    """The chain of steps, the last one's name, and the names of what they make."""
     every, pair = range(1, animals + 1), animals == 2
     pts = lambda i: [sql_point(f"{q}_{i}") for q in BODY_PARTS]
     at = lambda q, i: sql_point(f"{q}_{i}")
@@ -168,8 +169,13 @@ def _features_sql(animals: int) -> str:
         steps.append(f"f{k} AS (SELECT *, " + ", ".join(f'{e} AS "{n}"' for n, e in made.items()) + f" FROM {last} WINDOW w AS ({_W}), s AS (PARTITION BY session))")
         last = f"f{k}"
     names = [n for made in (one, two, three, four, five, six, seven, eight) for n in made if n not in ("d1", "d2")]
+    return ", ".join(steps), last, names
+
+
+def _features_sql(animals: int) -> str:
+    steps, last, names = _feature_steps(animals)
     shown = ", ".join(f'round("{n}", 3) AS "{n}"' if "low_prob" not in n else f'CAST("{n}" AS INT) AS "{n}"' for n in [*wide_columns(animals), *names])
-    return f"WITH {', '.join(steps)} SELECT session, frame_idx, {shown} FROM {last}"
+    return f"WITH {steps} SELECT session, frame_idx, {shown} FROM {last}"
 
 
 @query(_features_sql(2))
@@ -213,16 +219,16 @@ def zone_features(spark, sf_dir):
     return rounded(df.select("session", "frame_idx", *[c for c in df.columns if c.startswith(("Nest", "Loom"))]))
 
 
-def _approach_sql() -> str:
-    points = [(q, i) for i in (1, 2) for q in BODY_PARTS]
+def _away(q: str, i: int, nest=_NEST) -> str:
+    at = sql_point(f"{q}_{i}")
+    edges = ", ".join(sql_segment(at, a, b) for a, b in zip(nest, [*nest[1:], nest[0]], strict=True))
+    return f"CASE WHEN {sql_in_polygon(at, nest)} = 1 THEN 0.0 ELSE least({edges}) END AS d_{q}_{i}"
 
-    def away(q: str, i: int) -> str:
-        at = sql_point(f"{q}_{i}")
-        edges = ", ".join(sql_segment(at, a, b) for a, b in zip(_NEST, [*_NEST[1:], _NEST[0]], strict=True))
-        return f"CASE WHEN {sql_in_polygon(at, _NEST)} = 1 THEN 0.0 ELSE least({edges}) END AS d_{q}_{i}"
 
+def _approach_sql() -> str:
+    points = [(q, i) for i in (1, 2) for q in BODY_PARTS]
     made = ", ".join(f"{r(f'd_{q}_{i}', f'roi_distance_{q}_animal_{i}')}, {r(f'coalesce(d_{q}_{i} - lag(d_{q}_{i}) OVER w, lead(d_{q}_{i}) OVER w - d_{q}_{i})', f'roi_velocity_{q}_animal_{i}')}" for q, i in points)
-    return f"WITH {POSE}, d AS (SELECT session, frame_idx, {', '.join(away(q, i) for q, i in points)} FROM pose) SELECT session, frame_idx, {made} FROM d WINDOW w AS ({_W})"
+    return f"WITH {POSE}, d AS (SELECT session, frame_idx, {', '.join(_away(q, i) for q, i in points)} FROM pose) SELECT session, frame_idx, {made} FROM d WINDOW w AS ({_W})"
 
 
 @query(_approach_sql())
@@ -236,12 +242,17 @@ def nest_approach(spark, sf_dir):
 
 # Event metrics, over tracks of the event table: pairs of users are sessions, their frames the session's.
 
-_PAIR = f"""WITH {FRAMES}, p AS (SELECT track // 2 AS session, CAST(track % 2 + 1 AS INT) AS animal, frame_idx, kind, value,
-kind IN ('view', 'click') AS slow, kind <> 'error' AS calm, kind = 'view' AS inside, kind IN ('view', 'click', 'scroll') AS near FROM fr),
+_PAIR_FRAMES = f"""WITH {FRAMES}, p AS (SELECT track // 2 AS session, CAST(track % 2 + 1 AS INT) AS animal, frame_idx, kind, value,
+kind IN ('view', 'click') AS slow, kind <> 'error' AS calm, kind = 'view' AS inside, kind IN ('view', 'click', 'scroll') AS near FROM fr)"""
+
+
+def _with_points(head: str) -> str:
+    """Adds the events of all frames p and each animal's time points."""
+    return head + """,
 ends AS (SELECT session, max(frame_idx) + 1 AS e FROM p GROUP BY session),
 lo AS (SELECT session, CAST(row_number() OVER (PARTITION BY session ORDER BY frame_idx) AS INT) AS loom, frame_idx AS at_, lead(frame_idx) OVER (PARTITION BY session ORDER BY frame_idx) AS until FROM (SELECT DISTINCT session, frame_idx FROM p WHERE frame_idx % 25 = 5)),
 who AS (SELECT a.session, a.animal, loom, at_, until, ends.e, least(coalesce(until, ends.e), ends.e) AS nxt FROM (SELECT DISTINCT session, animal FROM p) a JOIN lo USING (session) JOIN ends USING (session)),
-m AS (SELECT who.*, frame_idx, frame_idx - at_ AS t, slow, calm, inside, near, value, p.kind FROM who JOIN p ON p.session = who.session AND p.animal = who.animal AND p.frame_idx >= at_),
+m AS (SELECT who.*, frame_idx, frame_idx - at_ AS t, slow, calm, inside, near FROM who JOIN p ON p.session = who.session AND p.animal = who.animal AND p.frame_idx >= at_),
 c AS (SELECT *, sum(inside::INT) OVER o AS n_in, sum(slow::INT) OVER o AS n_slow FROM m WINDOW o AS (PARTITION BY session, animal, loom ORDER BY frame_idx)),
 a AS (SELECT session, animal, loom, min(t) FILTER (n_in >= 5 AND frame_idx < nxt) - 4 AS latency, min(t) FILTER (n_slow >= 35) AS fz FROM c GROUP BY ALL),
 b AS (SELECT session, animal, loom, latency, CASE WHEN latency > 0 AND fz >= latency THEN NULL ELSE fz - 34 END AS freeze_start FROM a),
@@ -250,6 +261,9 @@ e AS (SELECT session, animal, loom, any_value(latency) AS latency, any_value(fre
 points AS (SELECT who.session, who.animal, who.loom, at_ AS loom_frame, until, latency, at_ + latency AS entry_frame, stay, freeze_start, CASE WHEN freeze_start IS NOT NULL THEN coalesce(len, rest - freeze_start) END AS freeze_length, who.e FROM who LEFT JOIN e USING (session, animal, loom))"""
 
 
+_PAIR = _with_points(_PAIR_FRAMES)
+
+
 def _pairs(spark, sf_dir):
     f = frames(spark, sf_dir)
     k = F.col("kind")
@@ -335,14 +349,109 @@ def loom_paths(spark, sf_dir):
     return rounded(metrics.path_distances(rows, points, ["session"], metrics.Span(end_offset=12), "body_center"))
 
 
-@query()
-def session_metrics(spark, sf_dir):
-    """The whole analysis from wide poses, zones and events to the metrics of each animal and event."""
+# The whole analysis at the default rate. The nest is so wide that animals enter it, and pixels so many a centimetre that they freeze.
+
+_FPS, _CM = 29.595, 1600.0
+WIDE = ((60.0, 70.0), (350.0, 50.0), (360.0, 340.0), (40.0, 350.0))
+_WIDE = [(repr(x), repr(y)) for x, y in WIDE]
+_DURING, _BLINK, _TWO, _TEN, _AROUND = 221, 5, 59, 295, 517  # 7.5, 0.2, 2, 10 and 17.5 seconds in frames
+_SHARED = ("relative_midline_angle", "nose_to_nose_distance", "nose_1_to_tail_2_distance", "nose_2_to_tail_1_distance")
+_LOOM_TURN = "degrees(atan2({y} - head_{i}_y, {x} - head_{i}_x) - atan2(nose_{i}_y - head_{i}_y, nose_{i}_x - head_{i}_x))"
+#: Names of the metrics; how each is taken: kind, column, begin, end, whether all animals' windows are intersected, and the factor of its unit.
+_METRIC_SQL = [
+    ("Freeze Percent (2s window starting at loom)", "percent", "calm", "loom_frame", f"loom_frame + {_TWO}", False, 1),
+    ("Freeze Percent (window over whole loom)", "percent", "calm", "loom_frame", f"loom_frame + {_DURING}", False, 1),
+    ("Angle to loom(during loom)", "mean", "angle_to_loom", "loom_frame", f"loom_frame + {_DURING}", False, 1),
+    ("Angle to loom(0.2 seconds after loom)", "mean", "angle_to_loom", "loom_frame", f"loom_frame + {_BLINK}", False, 1),
+    ("Angle to loom(10s before loom)", "mean", "angle_to_loom", f"loom_frame - {_TEN}", "loom_frame", False, 1),
+    ("Facing loom percent", "percent", "facing_loom", "loom_frame", f"loom_frame + {_DURING}", False, 1),
+    ("Max velocity(start loom - nest entry)", "most5", "speed", "loom_frame - 4", f"CASE WHEN entry_frame IS NOT NULL THEN least(entry_frame + 4, loom_frame - 4 + {_TEN}) END", False, _FPS / _CM),
+    ("Max velocity(10s before loom)", "most5", "speed", f"loom_frame - {_TEN} - 4", f"least(loom_frame + 4, loom_frame - {_TEN} - 4 + {_TEN})", False, _FPS / _CM),
+    ("Max velocity to nest(start loom - nest entry)", "most3", "nest_speed", "loom_frame - 4", f"CASE WHEN entry_frame IS NOT NULL THEN least(entry_frame + 4, loom_frame - 4 + {_TEN}) END", False, _FPS / _CM),
+    ("Max velocity to nest(10s before loom)", "most3", "nest_speed", f"loom_frame - {_TEN} - 4", f"least(loom_frame + 4, loom_frame - {_TEN} - 4 + {_TEN})", False, _FPS / _CM),
+    *[
+        (f"{title} ({where})", "mean", column, start, end, both, 1 if column == "relative_midline_angle" else 1 / _CM)
+        for title, column in zip(("Midline angle average", "Nose to nose average", "Nose1 to tail2 average", "Nose2 to tail1 average"), _SHARED, strict=True)
+        for where, start, end, both in (
+            ("during loom", "loom_frame", f"loom_frame + {_DURING}", True),
+            ("start loom - nest entry", "loom_frame", "entry_frame", True),
+            ("10s before loom", f"loom_frame - {_TEN}", "loom_frame", False),
+            ("10s after nest entry", "entry_frame", f"entry_frame + {_TEN}", False),
+        )
+    ],
+    ("Midline angle average (0.2 seconds after loom)", "mean", "relative_midline_angle", "loom_frame", f"loom_frame + {_BLINK}", True, 1),
+    *[(f"Missing {title} Frames", "sum", f"still_{q}", f"loom_frame - {_TEN}", f"loom_frame + {_AROUND}", False, 1) for q, title in (("body_center", "Body Center"), ("ear_left", "Left Ear"), ("ear_right", "Right Ear"), ("head", "Head"), ("nose", "Nose"), ("tail_base", "Tail Base"))],
+    ("Missing Identity Frames", "sum", "still_all", f"loom_frame - {_TEN}", f"loom_frame + {_AROUND}", False, 1),
+]
+
+
+def _session_sql() -> str:
+    steps, last, _ = _feature_steps(2)
+    points = [(q, i) for i in (1, 2) for q in BODY_PARTS]
+    zone = [f"{sql_in_polygon(sql_point(f'{q}_{i}'), _WIDE)} AS in_{q}_{i}" for q, i in points] + [_away(q, i, _WIDE) for q, i in points]
+    zone += [f"{sql_facing(sql_point(f'nose_{i}'), sql_point(f'body_center_{i}'), _LOOM)} AS facing_{i}" for i in (1, 2)]
+    moved = [f"coalesce(d_{q}_{i} - lag(d_{q}_{i}) OVER w, lead(d_{q}_{i}) OVER w - d_{q}_{i}) AS v_{q}_{i}" for q, i in points]
+    moved += [f"avg(movement_mouse_{i}_tail_base) OVER (w ROWS BETWEEN 5 PRECEDING AND CURRENT ROW) AS speed6_{i}" for i in (1, 2)]
+
+    def animal(i: int) -> str:
+        turn = _LOOM_TURN.format(i=i, x=_LOOM[0], y=_LOOM[1])
+        speed = " + ".join(f"movement_mouse_{i}_{q}" for q in ("nose", "tail_base", "ear_left", "ear_right"))
+        inside, near = (f"{f}({', '.join(f'in_{q}_{i}' for q in parts)}) = 1" for f, parts in (("least", BODY_PARTS), ("greatest", [q for q in BODY_PARTS if q != "tail_base"])))
+        own = ", ".join(f"{q}_{i}_x AS {q}_x" for q in BODY_PARTS)
+        return (
+            f"SELECT session, CAST({i} AS INT) AS animal, frame_idx, {inside} AS inside, {near} AS near, coalesce(speed6_{i} < 3.0 * {_CM} / {_FPS}, false) AS slow, coalesce(speed6_{i} < 4.0 * {_CM} / {_FPS}, false) AS calm, facing_{i} AS facing_loom, "
+            f"CASE WHEN {turn} > 180 THEN 360 - {turn} ELSE {turn} END AS angle_to_loom, ({speed}) / 4 AS speed, ({' + '.join(f'v_{q}_{i}' for q in BODY_PARTS)}) / 6 AS nest_speed, {', '.join(_SHARED)}, {own} FROM v"
+        )
+
+    each = "PARTITION BY session, animal ORDER BY frame_idx"
+    flat = ", ".join(f"coalesce(abs({q}_x - 2 * lag({q}_x, 1) OVER o + lag({q}_x, 2) OVER o) < 0.02, false) AS flat_{q}" for q in BODY_PARTS)
+    runs = ", ".join(f"frame_idx - row_number() OVER (PARTITION BY session, animal, flat_{q} ORDER BY frame_idx) AS k_{q}" for q in BODY_PARTS)
+    still = ", ".join(f"CASE WHEN flat_{q} AND count(*) OVER (PARTITION BY session, animal, flat_{q}, k_{q}) >= 8 THEN 1 ELSE 0 END AS still_{q}" for q in BODY_PARTS)
+    smooth = ", ".join(f"avg({c}) OVER (o ROWS BETWEEN CURRENT ROW AND {n - 1} FOLLOWING) AS s{n}, count(*) OVER (o ROWS BETWEEN CURRENT ROW AND {n - 1} FOLLOWING) AS n{n}" for c, n in (("speed", 5), ("nest_speed", 3)))
+    head = f"""WITH {steps}, z AS (SELECT *, {', '.join(zone)} FROM {last}), v AS (SELECT *, {', '.join(moved)} FROM z WINDOW w AS ({_W})),
+p AS MATERIALIZED ({animal(1)} UNION ALL {animal(2)})"""
+    spans = list(dict.fromkeys((s, e, both) for _, _, _, s, e, both, _ in _METRIC_SQL))
+    raw = " UNION ALL ".join(f"SELECT session, animal, loom, {k} AS k, CASE WHEN ({e}) IS NOT NULL THEN {s} END AS s, CASE WHEN ({s}) IS NOT NULL THEN least({e}, e) END AS f, {str(both).lower()} AS both_ FROM points" for k, (s, e, both) in enumerate(spans))
+
+    def measure(name: str, kind: str, column: str, s: str, e: str, both: bool, unit: float) -> str:
+        here = f"FILTER (k = {spans.index((s, e, both))})"
+        if kind.startswith("most"):
+            n = int(kind[4:])
+            value = f"max(s{n}) FILTER (k = {spans.index((s, e, both))} AND n{n} = {n} AND frame_idx + {n} <= f)"
+        else:
+            value = {"percent": f"100 * avg({column}::INT) {here}", "mean": f"avg({column}) {here}", "sum": f"CAST(sum({column}) {here} AS DOUBLE)"}[kind]
+        return f'round(CASE WHEN {value} >= 0 THEN {value} * {unit!r} ELSE {value} END, 7) AS "{name}"'
+
+    measured = ", ".join(measure(*m) for m in _METRIC_SQL)
+    seconds = ", ".join(f'round({c} / {_FPS}, 7) AS "{n}"' for n, c in (("Freeze start", "freeze_start"), ("Freeze length", "freeze_length"), ("Latency to nest", "latency"), ("Time in nest", "stay")))
+    return f"""{_with_points(head)}, fl AS (SELECT *, {flat} FROM p WINDOW o AS ({each})), rn AS (SELECT *, {runs} FROM fl), sl AS (SELECT *, {still} FROM rn),
+fr2 AS (SELECT *, least({', '.join(f'still_{q}' for q in BODY_PARTS)}) AS still_all, {smooth} FROM sl WINDOW o AS ({each})),
+w0 AS ({raw}), sh AS (SELECT session, loom, k, max(s) AS s, min(f) AS f FROM w0 WHERE both_ GROUP BY ALL HAVING count(s) = count(*) AND max(s) < min(f)),
+w1 AS (SELECT session, animal, loom, k, s, f FROM w0 WHERE NOT both_ UNION ALL SELECT w0.session, w0.animal, w0.loom, w0.k, sh.s, sh.f FROM w0 JOIN sh ON sh.session = w0.session AND sh.loom = w0.loom AND sh.k = w0.k WHERE both_),
+g AS (SELECT w1.session, w1.animal, w1.loom, {measured} FROM w1 JOIN fr2 ON fr2.session = w1.session AND fr2.animal = w1.animal AND frame_idx >= w1.s AND frame_idx < w1.f GROUP BY ALL)
+SELECT points.session, points.animal, points.loom, {seconds}, {', '.join(f'"{m[0]}"' for m in _METRIC_SQL)} FROM points LEFT JOIN g ON g.session = points.session AND g.animal = points.animal AND g.loom = points.loom"""
+
+
+def _analysis(spark, sf_dir):
     from kinetrace.plans.session import analyse
 
     wide = pose(spark, sf_dir)
     looms = wide.where("frame_idx % 25 = 5").select("session", F.lit("loom").alias("event_type"), F.col("frame_idx").cast("double").alias("time_start"), F.col("frame_idx").alias("frame_start"))
-    return analyse(wide, looms, zones.Zones(NEST, LOOM, RADIUS), ["session"], 2)
+    return analyse(wide, looms, zones.Zones(WIDE, LOOM, RADIUS), ["session"], 2, px_per_cm=_CM)
+
+
+@query(_session_sql())
+def session_metrics(spark, sf_dir):
+    """The whole analysis from wide poses, zones and events to the metrics of each animal and event; paths are shown apart."""
+    out = _analysis(spark, sf_dir)
+    return rounded(out.select(*[F.col(f"`{c}`") for c in out.columns if not c.startswith("Frechet")]), 7)
+
+
+@query()
+def session_paths(spark, sf_dir):
+    """The analysis' path distances, which SQL does not express for paths of any length."""
+    out = _analysis(spark, sf_dir)
+    return out.select("session", "animal", "loom", *[F.col(f"`{c}`") for c in out.columns if c.startswith("Frechet")])
 
 
 # Correction

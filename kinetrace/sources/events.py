@@ -67,22 +67,22 @@ def _number(cell: int):
     return F.try_element_at("cells", F.lit(cell)).try_cast("double")
 
 
-def sheet_events(rows: DataFrame, sheet: str, animals: Sequence[str], most: int = 6) -> DataFrame:
+def sheet_events(rows: DataFrame, sheet: str, animals: Sequence[str], most: int = 6, keys: Sequence[str] = ()) -> DataFrame:
     """Looms of a session's sheet: times above 0 in the ``most`` rows after the first that names an animal.
 
     The first row of a sheet is its header. A row without a number ends the
-    list; a blank counts as 0.
+    list; a blank counts as 0. Each file (``source``) is taken by itself; name
+    it in ``keys`` to keep it.
     """
     named = F.lit(False)
     for a in animals:
         named = named | F.contains(F.coalesce(F.try_element_at("cells", F.lit(0)), F.lit("")), F.lit(str(a)))
     body = rows.where((F.col("sheet") == sheet) & (F.col("row") > 0))
-    first = body.where(named).agg(F.min("row").alias("_first"))
     time = F.when(F.try_element_at("cells", F.lit(4)).isNull(), F.lit(0.0)).otherwise(_number(4))
-    near = body.join(first, (F.col("row") > F.col("_first")) & (F.col("row") <= F.col("_first") + most)).withColumn("_t", time)
-    order = Window.orderBy("row")  # at most ``most`` rows
+    whole, order = Window.partitionBy("source"), Window.partitionBy("source").orderBy("row")
+    near = body.withColumns({"_first": F.min(F.when(named, F.col("row"))).over(whole), "_t": time}).where((F.col("row") > F.col("_first")) & (F.col("row") <= F.col("_first") + most))
     near = near.withColumn("_ended", F.max(F.col("_t").isNull().cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0))).where("_ended = 0 and _t > 0")
-    return near.select(F.concat(F.lit("loom_"), F.row_number().over(order)).alias("event_id"), F.lit("loom").alias("event_type"), F.col("_t").alias("time_start"), F.lit(None).cast("double").alias("time_end"))
+    return near.select(*keys, F.concat(F.lit("loom_"), F.row_number().over(order)).alias("event_id"), F.lit("loom").alias("event_type"), F.col("_t").alias("time_start"), F.lit(None).cast("double").alias("time_end"))
 
 
 def sheet_scores(rows: DataFrame, sheet: str, animal: str) -> DataFrame:
@@ -139,6 +139,17 @@ def collect(spark: SparkSession, sources: Sequence[dict], **context) -> DataFram
     return out
 
 
+def configured(config: dict) -> list[dict]:
+    """The event sources of a configuration; a ``path_key`` stands for one of its paths."""
+    out = []
+    for source in (config.get("events") or {}).get("sources") or []:
+        made = {k: v for k, v in source.items() if k != "path_key"}
+        if source.get("path_key"):
+            made["path"] = config["paths"][source["path_key"]]
+        out.append(made)
+    return out
+
+
 def with_frames(events: DataFrame, pts: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Nearest frames and errors of begin and end of each event."""
     keys = list(keys) or ["_all"]
