@@ -6,7 +6,7 @@ struct Column, null where the region is not there.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from itertools import combinations
 
 from pyspark.sql import Column
@@ -25,6 +25,11 @@ def _struct(x: Column, y: Column) -> Column:
     return F.struct(col(x).cast("double").alias("x"), col(y).cast("double").alias("y"))
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def points_of(corners: Column, n: int = 4) -> list[Point]:
     """The points of an array of (x, y) structs."""
     return [(F.get(corners, F.lit(k))["x"], F.get(corners, F.lit(k))["y"]) for k in range(n)]
@@ -61,17 +66,25 @@ def perspective(points: Sequence[Point], width, height) -> Column:
 
     The map of the unit square onto the corners in closed form, inverted and scaled.
     """
-    (x0, y0), (x1, y1), (x2, y2), (x3, y3) = points_of(ordered_corners(points))
-    w, h = col(width), col(height)
-    dx1, dy1, dx2, dy2 = x1 - x2, y1 - y2, x3 - x2, y3 - y2
-    sx, sy = x0 - x1 + x2 - x3, y0 - y1 + y2 - y3
-    scale = dx1 * dy2 - dx2 * dy1
-    g, k = F.try_divide(sx * dy2 - dx2 * sy, scale), F.try_divide(dx1 * sy - sx * dy1, scale)
-    a, b, d, e = x1 - x0 + g * x1, x3 - x0 + k * x3, y1 - y0 + g * y1, y3 - y0 + k * y3
-    rows = [[e - y0 * k, x0 * k - b, b * y0 - x0 * e], [y0 * g - d, a - x0 * g, x0 * d - a * y0], [d * k - e * g, b * g - a * k, a * e - b * d]]
-    last = rows[2][2]
-    out = F.array(*[F.try_divide(v * s, last) for r, s in zip(rows, (w, h, F.lit(1.0)), strict=True) for v in r])
-    return F.when(~F.exists(out, lambda v: v.isNull()), out)
+    sizes = (col(width), col(height), F.lit(1.0))
+
+    def inverted(c: Column) -> Column:
+        (x0, y0), (x1, y1), (x2, y2), (x3, y3) = points_of(c)
+        dx1, dy1, dx2, dy2 = x1 - x2, y1 - y2, x3 - x2, y3 - y2
+        sx, sy = x0 - x1 + x2 - x3, y0 - y1 + y2 - y3
+        scale = dx1 * dy2 - dx2 * dy1
+        skew = F.struct(F.try_divide(sx * dy2 - dx2 * sy, scale).alias("g"), F.try_divide(dx1 * sy - sx * dy1, scale).alias("k"))
+
+        def cofactors(v: Column) -> Column:
+            g, k = v["g"], v["k"]
+            a, b, d, e = x1 - x0 + g * x1, x3 - x0 + k * x3, y1 - y0 + g * y1, y3 - y0 + k * y3
+            return F.array(e - y0 * k, x0 * k - b, b * y0 - x0 * e, y0 * g - d, a - x0 * g, x0 * d - a * y0, d * k - e * g, b * g - a * k, a * e - b * d)
+
+        return bound(skew, cofactors)
+
+    at = lambda m, n: F.get(m, F.lit(n))
+    made = bound(bound(ordered_corners(points), inverted), lambda m: F.array(*[F.try_divide(at(m, n) * sizes[n // 3], at(m, 8)) for n in range(9)]))
+    return bound(made, lambda m: F.when(~F.exists(m, lambda v: v.isNull()), m))
 
 
 def mapped(matrix: Column, p: Point) -> Point:
@@ -125,7 +138,6 @@ def checked(corners: Sequence[Point], width, height, ratio=None, least: float =
     square the corners are.
     """
     share = shoelace(corners) / (col(width) * col(height))
-    box = enclosing(corners)
     turns = []
     for i in range(4):
         p, q, r = corners[i], corners[(i + 1) % 4], corners[(i + 2) % 4]
@@ -133,13 +145,17 @@ def checked(corners: Sequence[Point], width, height, ratio=None, least: float =
         cosine = (ux * vx + uy * vy) / (F.sqrt(ux * ux + uy * uy) * F.sqrt(vx * vx + vy * vy) + _TINY)
         turns.append(F.abs(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cosine))) - F.pi() / 2))
     error = sum_of(turns) / 4
-    valid, aspect = share.between(least, most), F.lit(1.0)
-    if ratio is not None:
-        off = aspect_error(box["width"], box["height"], ratio)
-        valid, aspect = valid & (off < tolerance), 1 - off
     area = F.least(F.lit(1.0), (share - least) / (0.5 - least + _TINY))
-    confidence = WEIGHTS[0] * area + WEIGHTS[1] * aspect + WEIGHTS[2] * F.exp(-2 * error)
-    return F.struct(valid.alias("valid"), F.when(valid, F.greatest(F.lit(0.0), F.least(F.lit(1.0), confidence))).otherwise(0.0).alias("confidence"), share.alias("area_ratio"), F.degrees(error).alias("angle_error"), box.alias("box"))
+
+    def judged(box: Column) -> Column:
+        valid, aspect = share.between(least, most), F.lit(1.0)
+        if ratio is not None:
+            off = aspect_error(box["width"], box["height"], ratio)
+            valid, aspect = valid & (off < tolerance), 1 - off
+        confidence = WEIGHTS[0] * area + WEIGHTS[1] * aspect + WEIGHTS[2] * F.exp(-2 * error)
+        return F.struct(valid.alias("valid"), F.when(valid, F.greatest(F.lit(0.0), F.least(F.lit(1.0), confidence))).otherwise(0.0).alias("confidence"), share.alias("area_ratio"), F.degrees(error).alias("angle_error"), box.alias("box"))
+
+    return bound(enclosing(corners), judged)
 
 
 def box_from_lines(across: Sequence[tuple[Point, Point]], down: Sequence[tuple[Point, Point]], width, height, margin: float = 0.1) -> Column:

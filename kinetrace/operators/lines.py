@@ -46,29 +46,29 @@ def directions(lines: DataFrame, keys: Sequence[str]) -> DataFrame:
     sums = lines.where(F.col("angle").between(0, 180)).groupBy(*keys, slot.alias("_bin")).agg(F.sum(weight).alias("_w"), F.count(F.lit(1)).alias("_n"))
     found = sums.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_bin", "_w"))).alias("_h"), F.sum("_w").alias("_all"), F.sum("_n").alias("_n")).where("_n >= 4")
     share = F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda b: F.coalesce(F.try_element_at(F.col("_h"), b), F.lit(0.0)) / F.col("_all"))
-    found = found.withColumn("_share", share)
+    bins = F.sequence(F.lit(0), F.lit(BINS - 1))
     at = lambda c, b: F.get(c, F.pmod(b, F.lit(BINS)))
 
-    def smooth(b: Column) -> Column:
-        total = F.lit(0.0)
-        for k, w in zip(range(-REACH, REACH + 1), smoothing(), strict=True):
-            total = total + at(F.col("_share"), b + k) * w
-        return F.round(total, 9)
+    def smooth(shares: Column) -> Column:
+        return F.transform(bins, lambda b: F.round(sum((at(shares, b + k) * w for k, w in zip(range(-REACH, REACH + 1), smoothing(), strict=True)), F.lit(0.0)), 9))
 
-    found = found.withColumn("_smooth", F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), smooth))
-    rows = F.transform("_smooth", lambda v, b: F.struct((-v).alias("v"), (-(b + 0.5) * (180.0 / BINS)).alias("a"), ((v > at(F.col("_smooth"), b - 1)) & (v > at(F.col("_smooth"), b + 1)) & (v > LEAST_PEAK)).alias("peak")))
-    found = found.withColumn("_peaks", F.slice(F.array_sort(F.filter(rows, lambda p: p["peak"])), 1, PEAKS))
+    def peaks(s: Column) -> Column:
+        rows = F.transform(s, lambda v, b: F.struct((-v).alias("v"), (-(b + 0.5) * (180.0 / BINS)).alias("a"), ((v > at(s, b - 1)) & (v > at(s, b + 1)) & (v > LEAST_PEAK)).alias("peak")))
+        return F.slice(F.array_sort(F.filter(rows, lambda p: p["peak"])), 1, PEAKS)
 
-    def paired(p: Column, i: Column) -> Column:
-        def pair(q: Column, j: Column) -> Column:
-            gap = apart(-p["a"], -q["a"])
-            score = F.when((i < j) & (gap >= 90 - OFF), (-p["v"] - q["v"]) * (1 - (90 - gap) / OFF))
-            return F.struct((-score).alias("score"), i.alias("i"), j.alias("j"), (-p["a"]).alias("a"), (-q["a"]).alias("b"))
+    def best(ps: Column) -> Column:
+        def paired(p: Column, i: Column) -> Column:
+            def pair(q: Column, j: Column) -> Column:
+                gap = apart(-p["a"], -q["a"])
+                score = F.when((i < j) & (gap >= 90 - OFF), (-p["v"] - q["v"]) * (1 - (90 - gap) / OFF))
+                return F.struct((-score).alias("score"), i.alias("i"), j.alias("j"), (-p["a"]).alias("a"), (-q["a"]).alias("b"))
 
-        return F.transform("_peaks", pair)
+            return F.transform(ps, pair)
 
-    pairs = F.filter(F.flatten(F.transform("_peaks", paired)), lambda p: p["score"] < 0)
-    return found.withColumn("_best", F.array_min(pairs)).where("_best is not null").select(*keys, F.col("_best.a").alias("angle_1"), F.col("_best.b").alias("angle_2"))
+        return F.array_min(F.filter(F.flatten(F.transform(ps, paired)), lambda p: p["score"] < 0))
+
+    chosen = R.bound(R.bound(R.bound(share, smooth), peaks), best)
+    return found.select(*keys, chosen.alias("_best")).where("_best is not null").select(*keys, F.col("_best.a").alias("angle_1"), F.col("_best.b").alias("angle_2"))
 
 
 def clustered(lines: DataFrame, keys: Sequence[str], near: float = NEAR, least: int = LEAST_LINES) -> DataFrame:
@@ -139,9 +139,9 @@ def box_of_lines(lines: DataFrame, keys: Sequence[str], width: float, height: fl
     of = lambda k, c: F.max(F.when(F.col("cluster") == k, F.col(c))).alias(f"_{c}{k}")
     sides = outermost(met, keys).groupBy(*keys).agg(*[of(k, c) for k in (1, 2) for c in ("low", "high")]).join(square, list(keys))
     ends = lambda c: ((F.col(c)["x1"], F.col(c)["y1"]), (F.col(c)["x2"], F.col(c)["y2"]))
-    out = sides.withColumn("corners", R.box_from_lines([ends("_low1"), ends("_high1")], [ends("_low2"), ends("_high2")], width, height)).where("corners is not null")
-    out = out.withColumn("checked", R.checked(R.points_of(F.col("corners")), width, height, ratio)).where("checked.valid")
-    return out.select(*keys, "corners", "checked")
+    made = R.box_from_lines([ends("_low1"), ends("_high1")], [ends("_low2"), ends("_high2")], width, height)
+    judged = R.bound(made, lambda c: F.when(c.isNotNull(), F.struct(c.alias("corners"), R.checked(R.points_of(c), width, height, ratio).alias("checked"))))
+    return sides.select(*keys, judged.alias("_box")).where("_box.checked.valid").select(*keys, "_box.corners", "_box.checked")
 
 
 def merged_regions(boxes: DataFrame, keys: Sequence[str], width: float, height: float, ratio: float, gap: float = R.GAP, most: int = LARGEST) -> DataFrame:
@@ -156,9 +156,9 @@ def merged_regions(boxes: DataFrame, keys: Sequence[str], width: float, height:
     a, b = [top.select(*keys, F.col("_k").alias(f"_k{n}"), F.col("corners").alias(f"_c{n}")) for n in "ab"]
     pairs = a.join(b, list(keys)).where("_ka < _kb")
     p, q = R.points_of(F.col("_ca")), R.points_of(F.col("_cb"))
-    pairs = pairs.where(R.adjacent(p, q, gap) != "").withColumn("_box", R.enclosing([*p, *q]))
-    pairs = pairs.withColumn("_checked", R.checked(R.points_of(F.col("_box.corners")), width, height, ratio)).where("_checked.valid and _checked.confidence > 0")
-    return pairs.groupBy(*keys).agg(F.max_by(F.struct(F.col("_box.corners").alias("corners"), F.col("_checked.confidence").alias("confidence")), F.struct("_checked.confidence", -F.col("_ka"), -F.col("_kb"))).alias("_b")).select(*keys, "_b.*")
+    judged = R.bound(R.enclosing([*p, *q]), lambda b: F.struct(b["corners"].alias("corners"), R.checked(R.points_of(b["corners"]), width, height, ratio).alias("checked")))
+    pairs = pairs.where(R.adjacent(p, q, gap) != "").select(*keys, "_ka", "_kb", judged.alias("_box")).where("_box.checked.valid and _box.checked.confidence > 0")
+    return pairs.groupBy(*keys).agg(F.max_by(F.struct(F.col("_box.corners").alias("corners"), F.col("_box.checked.confidence").alias("confidence")), F.struct("_box.checked.confidence", -F.col("_ka"), -F.col("_kb"))).alias("_b")).select(*keys, "_b.*")
 
 
 def pixel_background(frames: DataFrame, keys: Sequence[str], pixels: str = "pixels", median: bool = True) -> DataFrame:
