@@ -1,4 +1,4 @@
 """All queries of the library's own operators, and their SQL."""
 
-from kinetrace.plans import geometry_queries, session_queries, track_queries  # noqa: F401
+from kinetrace.plans import geometry_queries, region_queries, session_queries, track_queries  # noqa: F401
 from kinetrace.plans.base import ORACLES, QUERIES  # noqa: F401
