@@ -12,7 +12,7 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinetrace.llm import decontam, fingerprint, langid, neardup, oracles, pieces, preference, secrets, toxicity, urlfilter, warc
+from kinetrace.llm import decontam, fingerprint, langid, licenses, neardup, oracles, partcodes, pieces, preference, secrets, toxicity, urlfilter, warc
 from kinetrace.sources.stage import shared_folder
 
 
@@ -110,6 +110,20 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices of each whole document; a null text has no words, and null ids and repeated rows are judged like others."""
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    names = lambda matches: F.concat_ws(",", F.array_sort(F.array_distinct(F.transform(matches, lambda m: m["label"]))))
+    base = F.filter("matches", lambda m: m["label"].isin([t.label for t in licenses.BASE]))
+    starts = F.transform(base, lambda m: m["start"])
+    return found.select("doc_id", "n_words", F.size(base).cast("long").alias("n_base"), F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"), names(base).alias("base_labels"), names("matches").alias("labels"), "score")
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes, errors and the codebooks' digest of all vectors that are whole; null labels are one label."""
+    return partcodes.compress(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_url_filter": op2_url_filter,
@@ -121,6 +135,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_preference_format": op8_preference_format,
     "op9_toxicity": op9_toxicity,
     "op10_fingerprints": op10_fingerprints,
+    "op11_license_scan": op11_license_scan,
+    "op12_vector_codes": op12_vector_codes,
 }
 
 
@@ -133,6 +149,8 @@ def _oracles() -> dict[str, str]:
         "op6_warc": oracles.WARC,
         "op7_secret_scan": secrets.oracle(),
         "op8_preference_format": preference.ORACLE,
+        "op11_license_scan": licenses.oracle(),
+        "op12_vector_codes": partcodes.oracle(),
     }
 
 
