@@ -114,14 +114,17 @@ def enclosing(points: Sequence[Point]) -> Column:
     def measured(r: Column) -> Column:
         w, h = r["b"] - r["a"], r["d"] - r["c"]
         turn = F.degrees(F.atan2(r["u"]["y"], r["u"]["x"]))
-        angle = F.round(F.pmod(F.when(w < h, turn + 90).otherwise(turn), F.lit(180.0)), 6)
+        angle = F.pmod(F.when(w < h, turn + 90).otherwise(turn), F.lit(180.0))
+        angle = F.when(F.round(angle, 6) >= 180, 0.0).otherwise(angle)
+        rank = F.struct(F.round(w * h, 6).alias("area"), F.round(angle, 6).alias("angle"))  # rounded to tell which rectangle is the least, not in the result
         at = lambda s, t: _struct(s * r["u"]["x"] - t * r["u"]["y"], s * r["u"]["y"] + t * r["u"]["x"])
         center = at((r["a"] + r["b"]) / 2, (r["c"] + r["d"]) / 2)
         corners = F.array(at(r["a"], r["c"]), at(r["b"], r["c"]), at(r["b"], r["d"]), at(r["a"], r["d"]))
-        return F.struct(F.round(w * h, 6).alias("area"), F.when(angle >= 180, 0.0).otherwise(angle).alias("angle"), F.greatest(w, h).alias("width"), F.least(w, h).alias("height"), center.alias("center"), corners.alias("corners"))
+        return F.struct(rank.alias("rank"), (w * h).alias("area"), angle.alias("angle"), F.greatest(w, h).alias("width"), F.least(w, h).alias("height"), center.alias("center"), corners.alias("corners"))
 
     known = F.filter(F.array(*directions), lambda u: u["x"].isNotNull())
-    return F.array_min(F.transform(F.transform(known, box), measured))
+    least = F.array_min(F.transform(F.transform(known, box), measured))
+    return F.struct(*[least[n].alias(n) for n in ("area", "angle", "width", "height", "center", "corners")])
 
 
 def aspect_error(width, height, ratio) -> Column:

@@ -85,10 +85,10 @@ def _enclosing_sql() -> str:
     across = ", ".join(f"{y} * v.x - {x} * v.y" for x, y in _FLOOR)
     return f"""t AS (SELECT *, unnest([{units}]) AS v FROM pose),
 s AS (SELECT *, least({along}) AS a0, greatest({along}) AS a1, least({across}) AS c0, greatest({across}) AS c1 FROM t WHERE v.x IS NOT NULL),
-m AS (SELECT *, round((a1 - a0) * (c1 - c0), 6) AS area, degrees(atan2(v.y, v.x)) + CASE WHEN a1 - a0 < c1 - c0 THEN 90 ELSE 0 END AS turn FROM s),
-n AS (SELECT *, round(CASE WHEN turn < 0 THEN turn + 180 WHEN turn >= 180 THEN turn - 180 ELSE turn END, 6) AS raw FROM m),
-e AS (SELECT * EXCLUDE (raw), CASE WHEN raw >= 180 THEN 0.0 ELSE raw END AS angle, greatest(a1 - a0, c1 - c0) AS width, least(a1 - a0, c1 - c0) AS height FROM n
-QUALIFY row_number() OVER (PARTITION BY session, frame_idx ORDER BY area, CASE WHEN raw >= 180 THEN 0.0 ELSE raw END) = 1)"""
+m AS (SELECT *, (a1 - a0) * (c1 - c0) AS area, degrees(atan2(v.y, v.x)) + CASE WHEN a1 - a0 < c1 - c0 THEN 90 ELSE 0 END AS turn FROM s),
+n AS (SELECT *, CASE WHEN turn < 0 THEN turn + 180 WHEN turn >= 180 THEN turn - 180 ELSE turn END AS raw FROM m),
+e AS (SELECT * EXCLUDE (raw), CASE WHEN round(raw, 6) >= 180 THEN 0.0 ELSE raw END AS angle, greatest(a1 - a0, c1 - c0) AS width, least(a1 - a0, c1 - c0) AS height FROM n
+QUALIFY row_number() OVER (PARTITION BY session, frame_idx ORDER BY round(area, 6), round(CASE WHEN round(raw, 6) >= 180 THEN 0.0 ELSE raw END, 6)) = 1)"""
 
 
 @query(
