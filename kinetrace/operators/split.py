@@ -148,19 +148,18 @@ class SplitTrack:
         """Whether ``flag`` has held an odd number of times so far."""
         return self.times(df, flag, into).withColumn(into, F.col(into) % 2 == 1)
 
-    def islands(self, df: DataFrame, flag: Column, into: str) -> DataFrame:
-        """A number shared by neighbouring rows with the same ``flag``, of the session's turns so far.
+    def islands(self, df: DataFrame, state: Column, into: str) -> DataFrame:
+        """A number shared by neighbouring rows with the same ``state``, from 0: how often it has turned in its session. Null is a state.
 
         A turn at a range's border shows when its summary meets that of the range before.
         """
-        state = F.coalesce(flag, F.lit(False))
-        marked = df.withColumn("_flag", state)
-        cut = marked.withColumn(_PART, self.part)
-        turned = F.coalesce((F.col("_flag") != F.lag("_flag", 1).over(self.window)).cast("int"), F.lit(0))
-        inner = cut.withColumn("_turn", turned)
-        one = inner.groupBy(_PART).agg(F.sum("_turn").alias("_n"), F.min_by("_flag", self.place).alias("_first"), F.max_by("_flag", self.place).alias("_last"))
+        cut = df.withColumn("_state", state).withColumn(_PART, self.part)
+        turned = (~F.col("_state").eqNullSafe(F.lag("_state", 1).over(self.window))).cast("int")
+        inner = cut.withColumn("_turn", F.when(F.row_number().over(self.window) == 1, 0).otherwise(turned))
+        one = inner.groupBy(_PART).agg(F.sum("_turn").alias("_n"), F.min_by(F.struct("_state"), self.place).alias("_first"), F.max_by(F.struct("_state"), self.place).alias("_last"))
         order = Window.partitionBy(*[F.col(_PART)[f"k{i}"] for i in range(len(self.keys))]).orderBy(F.col(_PART)["range"])
-        border = F.coalesce((F.col("_first") != F.lag("_last", 1).over(order)).cast("int"), F.lit(0))
+        back = F.lag("_last", 1).over(order)
+        border = F.when(back.isNull(), 0).otherwise((~F.col("_first._state").eqNullSafe(back["_state"])).cast("int"))
         scanned = one.withColumn("_border", border).select(_PART, (F.sum(F.col("_n") + F.col("_border")).over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")).alias("_before"))
         met = inner.join(scanned, _PART)
         return self.done(met.withColumn(into, F.sum("_turn").over(self.so_far) + F.col("_before")))

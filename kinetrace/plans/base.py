@@ -61,7 +61,12 @@ _P = {(p, i): 24 + 6 * (i - 1) + k for i in (1, 2) for k, p in enumerate(BODY_PA
 
 def pose(spark: SparkSession, sf_dir: str, animals: int = 2) -> DataFrame:
     """session, frame_idx (from 0) and wide pose of one or two animals."""
-    e = table(spark, sf_dir, "embeddings").withColumn("frame_idx", (F.row_number().over(Window.partitionBy("label").orderBy("vec_id")) - 1).cast("long"))
+    return pose_of(table(spark, sf_dir, "embeddings"), animals)
+
+
+def pose_of(vectors: DataFrame, animals: int = 2) -> DataFrame:
+    """Wide poses from rows of ``embeddings``."""
+    e = vectors.withColumn("frame_idx", (F.row_number().over(Window.partitionBy("label").orderBy("vec_id")) - 1).cast("long"))
     v = lambda k: F.get("embedding", F.lit(k)).cast("double")
     columns = []
     for i in range(1, animals + 1):

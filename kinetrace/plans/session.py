@@ -49,15 +49,20 @@ def analyse(pose: DataFrame, events: DataFrame, area: zones.Zones, keys: Sequenc
     seconds. Features, frames by animal and time points are written to the
     shared folder, since several steps read each.
     """
-    folder = shared_folder(pose.sparkSession)
-    table = stored(features.extract(pose, keys, animals), folder, "features")
+    table = stored(features.extract(pose, keys, animals), shared_folder(pose.sparkSession), "features")
+    return measured(table, events, area, keys, animals, fps, px_per_cm)
+
+
+def measured(table: DataFrame, events: DataFrame, area: zones.Zones, keys: Sequence[str], animals: int, fps: float = DEFAULT_FPS, px_per_cm: float = 1.0, paths: bool = True) -> DataFrame:
+    """The metrics of :func:`analyse` from a written feature table; without ``paths`` the distances between the animals' paths are left out."""
+    folder = shared_folder(table.sparkSession)
     rows = stored(animal_frames(table, area, keys, animals, fps, px_per_cm), folder, "frames")
     points = stored(metrics.time_points(rows, metrics.loom_events(events, keys), keys), folder, "points")
     wanted = [metrics.Metric(m.name, m.kind, "calm_flag" if m.column == "calm" else m.column, m.span, m.smooth, m.post) for m in metrics.catalogue(fps, px_per_cm, animals == 2)]
-    measured = metrics.measure(rows, points, keys, wanted)
+    found = metrics.measure(rows, points, keys, wanted)
     who = [*keys, "animal", "loom"]
-    out = points.select(*who, (F.col("freeze_start") / fps).alias("Freeze start"), (F.col("freeze_length") / fps).alias("Freeze length"), (F.col("latency") / fps).alias("Latency to nest"), (F.col("stay") / fps).alias("Time in nest")).join(measured, who)
-    if animals == 2:
+    out = points.select(*who, (F.col("freeze_start") / fps).alias("Freeze start"), (F.col("freeze_length") / fps).alias("Freeze length"), (F.col("latency") / fps).alias("Latency to nest"), (F.col("stay") / fps).alias("Time in nest")).join(found, who)
+    if animals == 2 and paths:
         for part in ("body_center", "head"):
             for where, span in (("start loom - nest entry", metrics.Span(end="latency")), ("10s before loom - loom", metrics.Span(start_offset=-int(10 * fps)))):
                 d = metrics.path_distances(rows, points, keys, span, part).withColumnRenamed("frechet", f"Frechet Distance {part} ({where})")

@@ -10,7 +10,9 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 SCRIPT = """
 import __spark_entry__ as e
+from jobs.registered import QUERIES as JOBS
 from kinetrace.plans.queries import QUERIES
+QUERIES = QUERIES | JOBS
 assert set(e.queries()) == set(QUERIES) and set(e.oracle_sql()) <= set(QUERIES)
 """
 
