@@ -14,6 +14,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 Point = tuple[Column, Column]
+#: A point as the names of its columns (or numbers): expressions of many points are made as one SQL text,
+#: since each operation on a Column is a call of its own into the JVM.
+Names = tuple[str | float, str | float]
 
 
 def col(value) -> Column:
@@ -25,6 +28,26 @@ def point(prefix: str) -> Point:
     return F.col(f"{prefix}_x"), F.col(f"{prefix}_y")
 
 
+def names(prefix: str) -> Names:
+    return f"{prefix}_x", f"{prefix}_y"
+
+
+def _text(value: str | float) -> str:
+    return f"`{value}`" if isinstance(value, str) else f"{float(value)!r}D"
+
+
+def _as_text(*points: Names) -> list[tuple[str, str]] | None:
+    """The points' coordinates in SQL; None if one of them is a Column."""
+    if any(isinstance(v, Column) for p in points for v in p):
+        return None
+    return [(_text(x), _text(y)) for x, y in points]
+
+
+def _distance_text(a: tuple[str, str], b: tuple[str, str]) -> str:
+    dx, dy = f"({a[0]} - {b[0]})", f"({a[1]} - {b[1]})"
+    return f"sqrt({dx} * {dx} + {dy} * {dy})"
+
+
 def sum_of(parts: Sequence[Column]) -> Column:
     total = parts[0]
     for p in parts[1:]:
@@ -32,18 +55,33 @@ def sum_of(parts: Sequence[Column]) -> Column:
     return total
 
 
-def distance(a: Point, b: Point) -> Column:
+def distance(a: Point | Names, b: Point | Names) -> Column:
+    if known := _as_text(a, b):
+        return F.expr(_distance_text(*known))
     dx, dy = col(a[0]) - col(b[0]), col(a[1]) - col(b[1])
     return F.sqrt(dx * dx + dy * dy)
 
 
-def squared(a: Point, b: Point) -> Column:
+def squared(a: Point | Names, b: Point | Names) -> Column:
+    if known := _as_text(a, b):
+        (ax, ay), (bx, by) = known
+        return F.expr(f"({ax} - {bx}) * ({ax} - {bx}) + ({ay} - {by}) * ({ay} - {by})")
     dx, dy = col(a[0]) - col(b[0]), col(a[1]) - col(b[1])
     return dx * dx + dy * dy
 
 
+def frame_cost(a: Sequence[Point | Names], b: Sequence[Point | Names]) -> Column:
+    """Sum of the squared distances of points and their counterparts, those missing on either side left out; null without any."""
+    costs = [squared(p, q) for p, q in zip(a, b, strict=True)]
+    return F.when(F.coalesce(*costs).isNotNull(), sum_of([F.coalesce(c, F.lit(0.0)) for c in costs]))
+
+
 def angle_at(a: Point, vertex: Point, c: Point) -> Column:
     """Turn from ``a`` to ``c`` about ``vertex``, in [0, 360)."""
+    if known := _as_text(a, vertex, c):
+        p, v, q = known
+        turn = f"degrees(atan2({q[1]} - {v[1]}, {q[0]} - {v[0]}) - atan2({p[1]} - {v[1]}, {p[0]} - {v[0]}))"
+        return F.expr(f"if({turn} < 0, {turn} + 360, {turn})")
     turn = F.degrees(F.atan2(col(c[1]) - col(vertex[1]), col(c[0]) - col(vertex[0])) - F.atan2(col(a[1]) - col(vertex[1]), col(a[0]) - col(vertex[0])))
     return F.when(turn < 0, turn + 360).otherwise(turn)
 
@@ -55,6 +93,11 @@ def wrapped(angle: Column) -> Column:
 
 def angle_between(p: Point, q: Point, r: Point, s: Point) -> Column:
     """Angle between the vectors p to q and r to s; 0 if one of them has no length."""
+    if known := _as_text(p, q, r, s):
+        (px, py), (qx, qy), (rx, ry), (sx, sy) = known
+        ux, uy, vx, vy = f"({qx} - {px})", f"({qy} - {py})", f"({sx} - {rx})", f"({sy} - {ry})"
+        lengths = f"sqrt({ux} * {ux} + {uy} * {uy}) * sqrt({vx} * {vx} + {vy} * {vy})"
+        return F.expr(f"coalesce(degrees(acos(greatest(-1D, least(1D, try_divide({ux} * {vx} + {uy} * {vy}, {lengths}))))), 0D)")
     ux, uy, vx, vy = col(q[0]) - col(p[0]), col(q[1]) - col(p[1]), col(s[0]) - col(r[0]), col(s[1]) - col(r[1])
     cosine = F.try_divide(ux * vx + uy * vy, F.sqrt(ux * ux + uy * uy) * F.sqrt(vx * vx + vy * vy))
     return F.coalesce(F.degrees(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cosine)))), F.lit(0.0))
@@ -105,55 +148,67 @@ def polygon_distance(p: Point, corners: Sequence[Point]) -> Column:
     return F.when(in_polygon(p, corners) == 1, F.lit(0.0)).otherwise(F.least(*edges))
 
 
-def hull_edges(points: Sequence[Point]) -> list[tuple[Column, Point, Point]]:
+def _turns(points: Sequence[tuple[str, str]]) -> dict[tuple[int, int, int], str]:
+    """For each three points in order, on which side of the first two the third lies; the same text wherever it is used, so it is worked out once a row."""
+    out = {}
+    for i, j, k in combinations(range(len(points)), 3):
+        (ax, ay), (bx, by), (cx, cy) = points[i], points[j], points[k]
+        out[i, j, k] = f"(({bx} - {ax}) * ({cy} - {ay}) - ({by} - {ay}) * ({cx} - {ax}))"
+    return out
+
+
+def _hull_edges(points: Sequence[tuple[str, str]]) -> list[tuple[str, tuple[str, str], tuple[str, str]]]:
     """All pairs of points with the condition that their segment is a whole edge of the convex hull.
 
     A pair is an edge if all points lie on one side of its line and, where
     others lie on the line itself, if they lie between the two. Of points in one
     place only the first counts.
     """
-    out = []
+    turns, out = _turns(points), []
     for i, j in combinations(range(len(points)), 2):
         (ax, ay), (bx, by) = points[i], points[j]
-        dx, dy = bx - ax, by - ay
-        length = dx * dx + dy * dy
-        left, right, within = F.lit(True), F.lit(True), F.lit(True)
+        dx, dy = f"({bx} - {ax})", f"({by} - {ay})"
+        length = f"({dx} * {dx} + {dy} * {dy})"
+        left, right, within = [], [], []
         for k, (x, y) in enumerate(points):
             if k in (i, j):
                 continue
-            cross = dx * (y - ay) - dy * (x - ax)
-            along = dx * (x - ax) + dy * (y - ay)
-            left, right = left & (cross >= 0), right & (cross <= 0)
-            within = within & ((cross != 0) | ((along >= 0) & (along <= length)))
-        fresh = length > 0
+            turn, flipped = turns[tuple(sorted((i, j, k)))], i < k < j
+            left.append(f"{turn} {'<=' if flipped else '>='} 0")
+            right.append(f"{turn} {'>=' if flipped else '<='} 0")
+            within.append(f"({turn} <> 0 OR ({dx} * ({x} - {ax}) + {dy} * ({y} - {ay})) BETWEEN 0 AND {length})")
+        fresh = [f"{length} > 0"]
         for k in range(j):
             if k != i:
                 x, y = points[k]
-                fresh = fresh & ~((x == bx) & (y == by))
+                fresh.append(f"NOT ({x} = {bx} AND {y} = {by})")
                 if k < i:
-                    fresh = fresh & ~((x == ax) & (y == ay))
-        out.append(((left | right) & within & fresh, points[i], points[j]))
+                    fresh.append(f"NOT ({x} = {ax} AND {y} = {ay})")
+        out.append((f"(({' AND '.join(left)}) OR ({' AND '.join(right)})) AND {' AND '.join([*within, *fresh])}", points[i], points[j]))
     return out
 
 
-def hull_perimeter(points: Sequence[Point]) -> Column:
-    """Perimeter of the convex hull of a few points; points on one line have twice its length, one place has 0."""
-    edges = hull_edges(points)
-    total = sum_of([F.when(edge, distance(a, b)).otherwise(F.lit(0.0)) for edge, a, b in edges])
-    ax, ay = points[0]
+def _required(points: Sequence[Names]) -> list[tuple[str, str]]:
+    known = _as_text(*points)
+    if known is None:
+        raise TypeError("give the points' coordinates as names of columns or numbers")
+    return known
+
+
+def hull_perimeter(points: Sequence[Names]) -> Column:
+    """Perimeter of the convex hull of a few points, given by names; points on one line have twice its length, one place has 0."""
+    known = _required(points)
+    total = " + ".join(f"if({edge}, {_distance_text(a, b)}, 0D)" for edge, a, b in _hull_edges(known))
     # All on one line: one edge, which the perimeter follows there and back.
-    flat = F.lit(True)
-    for i, j in combinations(range(1, len(points)), 2):
-        (bx, by), (cx, cy) = points[i], points[j]
-        flat = flat & ((bx - ax) * (cy - ay) - (by - ay) * (cx - ax) == 0)
-    return F.when(flat, 2 * total).otherwise(total)
+    flat = " AND ".join(f"{turn} = 0" for (i, _, _), turn in _turns(known).items() if i == 0) or "true"
+    return F.expr(f"if({flat}, 2D, 1D) * ({total})")
 
 
-def hull_area(points: Sequence[Point]) -> Column:
-    """Area of the convex hull: its edges' triangles with the points' mean."""
-    mx, my = centroid(points)
-    parts = [F.when(edge, F.abs((a[0] - mx) * (b[1] - my) - (b[0] - mx) * (a[1] - my)) / 2).otherwise(F.lit(0.0)) for edge, a, b in hull_edges(points)]
-    return sum_of(parts)
+def hull_area(points: Sequence[Names]) -> Column:
+    """Area of the convex hull of points given by names: its edges' triangles with the points' mean."""
+    known = _required(points)
+    mx, my = (f"(({' + '.join(p[k] for p in known)}) / {len(known)}D)" for k in (0, 1))
+    return F.expr(" + ".join(f"if({edge}, abs(({a[0]} - {mx}) * ({b[1]} - {my}) - ({b[0]} - {mx}) * ({a[1]} - {my})) / 2D, 0D)" for edge, a, b in _hull_edges(known)))
 
 
 def shoelace(corners: Sequence[Point]) -> Column:
@@ -166,10 +221,10 @@ def centroid(points: Sequence[Point]) -> Point:
     return sum_of([col(p[0]) for p in points]) / len(points), sum_of([col(p[1]) for p in points]) / len(points)
 
 
-def pair_distances(points: Sequence[Point]) -> Column:
-    """Array of the distances of all pairs of points that are not in one place."""
-    every = F.array(*[distance(a, b) for a, b in combinations(points, 2)])
-    return F.filter(every, lambda d: d != 0)
+def pair_distances(points: Sequence[Names]) -> Column:
+    """Array of the distances of all pairs of points, given by names, that are not in one place."""
+    every = ", ".join(_distance_text(a, b) for a, b in combinations(_required(points), 2))
+    return F.expr(f"filter(array({every}), d -> d <> 0)")
 
 
 def rotation_angle(top_left: Point, bottom_left: Point, least: float = 0.0) -> Column:

@@ -57,7 +57,7 @@ RANK_NAMED = {
 def shapes(animals: int) -> dict[str, Column]:
     """Hull, distances and angles of each frame."""
     out: dict[str, Column] = {}
-    at = lambda part, i: G.point(f"{part}_{i}")
+    at = lambda part, i: G.names(f"{part}_{i}")
     for i in range(1, animals + 1):
         out[f"poly_area_{i}"] = G.hull_perimeter([at(p, i) for p in BODY_PARTS])
         out[f"nose_to_tail_{i}"] = G.distance(at("nose", i), at("tail_base", i))
@@ -142,10 +142,10 @@ def ranks(track: Track, animals: int) -> dict[str, Column]:
 
 def probabilities(animals: int) -> dict[str, Column]:
     """Sum of a frame's probabilities, and how many are at most a bound (and at least 0)."""
-    p = [F.col(f"{bp}_{i}_p") for i in range(animals, 0, -1) for bp in BODY_PARTS]
-    out = {"sum_probabilities": G.sum_of(p)}
+    p = [f"`{bp}_{i}_p`" for i in range(animals, 0, -1) for bp in BODY_PARTS]
+    out = {"sum_probabilities": F.expr(" + ".join(p))}
     for bound in LOW_P:
-        out[f"low_prob_detections_{bound}"] = G.sum_of([F.when((c >= 0) & (c <= float(bound)), 1).otherwise(0) for c in p])
+        out[f"low_prob_detections_{bound}"] = F.expr(" + ".join(f"if({c} BETWEEN 0 AND {float(bound)!r}D, 1, 0)" for c in p))
     return out
 
 
@@ -157,7 +157,7 @@ def extract(df: DataFrame, keys: Sequence[str], animals: int, frame: str = "fram
     """
     track = Track(tuple(keys), frame)
     pose = wide_columns(animals)
-    df = df.select(*keys, frame, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in pose])
+    df = df.select(*keys, frame, *[F.expr(f"coalesce(CAST(`{c}` AS DOUBLE), 0D)").alias(c) for c in pose])
     stages = [
         shapes(animals) | probabilities(animals),
         spreads(animals),
@@ -170,7 +170,7 @@ def extract(df: DataFrame, keys: Sequence[str], animals: int, frame: str = "fram
     ]
     out = in_stages(df, stages)
     made = [c for stage in stages for c in stage if not c.startswith("_")]
-    return out.select(*keys, frame, *pose, *[F.coalesce(F.col(f"`{c}`"), F.lit(0)).alias(c) for c in made])
+    return out.select(*keys, frame, *pose, *[F.expr(f"coalesce(`{c}`, 0)").alias(c) for c in made])
 
 
 def narrowed(df: DataFrame, keep: Sequence[str]) -> DataFrame:

@@ -43,6 +43,11 @@ class Track:
         """The first known value from ``since`` rows back on."""
         return F.last(c, True).over(self.backward.rowsBetween(Window.unboundedPreceding, since))
 
+    def over(self, frame: str = "", ordered: bool = True) -> str:
+        """The track's window in SQL: operators that make hundreds of columns write each as one text, as every operation on a Column is a call into the JVM."""
+        keys = ", ".join(f"`{k}`" for k in self.keys)
+        return f"OVER (PARTITION BY {keys}{f' ORDER BY `{self.order}`' if ordered else ''} {frame})"
+
     # Neighbours
 
     def previous(self, c: str, by: int = 1, known: bool = False) -> Column:
@@ -57,11 +62,19 @@ class Track:
 
     def change(self, c: str, known: bool = False) -> Column:
         """Previous value minus this one; 0 in the first row."""
-        return self.previous(c, 1, known) - F.col(c)
+        if known:
+            return F.expr(self._change(c))
+        return self.previous(c, 1) - F.col(c)
+
+    def _change(self, c: str) -> str:
+        return f"(coalesce(lag(`{c}`, 1) {self.over()}, `{c}`) - `{c}`)"
 
     def step(self, x: str, y: str, known: bool = False) -> Column:
         """Distance from the previous position; 0 in the first row."""
-        dx, dy = self.change(x, known), self.change(y, known)
+        if known:
+            dx, dy = self._change(x), self._change(y)
+            return F.expr(f"sqrt({dx} * {dx} + {dy} * {dy})")
+        dx, dy = self.change(x), self.change(y)
         return F.sqrt(dx * dx + dy * dy)
 
     def difference(self, c: str) -> Column:
@@ -77,10 +90,8 @@ class Track:
 
     def rolling(self, c: str, n: int, how: str = "mean") -> Column:
         """Mean, median, sum, min or max over this row and the n - 1 before it; nulls are passed over."""
-        frame = self.window.rowsBetween(1 - n, 0)
-        if how == "median":
-            return F.percentile(c, F.lit(0.5)).over(frame)
-        return {"mean": F.avg, "sum": F.sum, "min": F.min, "max": F.max}[how](c).over(frame)
+        value = f"percentile(`{c}`, 0.5D)" if how == "median" else f"{ {'mean': 'avg', 'sum': 'sum', 'min': 'min', 'max': 'max'}[how]}(`{c}`)"
+        return F.expr(f"{value} {self.over(f'ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW')}")
 
     def smoothed(self, c: str, n: int) -> Column:
         """Mean of this row and the n - 1 after it; null where fewer are left."""
@@ -91,13 +102,14 @@ class Track:
 
     def deviation(self, c: str) -> Column:
         """The track's mean minus the value."""
-        return F.avg(c).over(self.whole) - F.col(c)
+        return F.expr(f"avg(`{c}`) {self.over(ordered=False)} - `{c}`")
 
     def percentile_rank(self, c: str) -> Column:
         """Rank over count, ties sharing their mean rank; nulls have none."""
         ordered = Window.partitionBy(*self.keys).orderBy(F.col(c).asc_nulls_last())
-        tied = F.count(F.lit(1)).over(Window.partitionBy(*self.keys, c))
-        return F.when(F.col(c).isNotNull(), (F.rank().over(ordered) + (tied - 1) / 2) / F.count(c).over(self.whole))
+        # Rows up to and with the ties, over the same order: no sort of its own.
+        with_ties = F.count(F.lit(1)).over(ordered.rangeBetween(Window.unboundedPreceding, 0))
+        return F.when(F.col(c).isNotNull(), (F.rank().over(ordered) + with_ties) / 2 / F.count(c).over(self.whole))
 
     # Running states
 

@@ -63,11 +63,21 @@ _MEAN = f"SELECT *, ({' + '.join(p[0] for p in _POINTS)}) / 6 AS mx, ({' + '.joi
 
 @query(f"{WITH}, m AS ({_MEAN}) SELECT session, frame_idx, {r(_hull_sql(_POINTS, 'perimeter'), 'perimeter')}, {r(_hull_sql(_POINTS, 'area'), 'area', 2)} FROM m")
 def hull(spark, sf_dir):
-    points = [_point(f"{p}_1") for p in BODY_PARTS]
+    points = [G.names(f"{p}_1") for p in BODY_PARTS]
     out = pose(spark, sf_dir).select("session", "frame_idx", G.hull_perimeter(points).alias("perimeter"), F.round(G.hull_area(points), 2).alias("area"))
     return rounded(out)
 
 
+_COST = " + ".join(f"({p}_1_x - {p}_2_x) * ({p}_1_x - {p}_2_x) + ({p}_1_y - {p}_2_y) * ({p}_1_y - {p}_2_y)" for p in BODY_PARTS)
+
+
+@query(f"{WITH} SELECT session, frame_idx, {r(_COST, 'cost')} FROM pose")
+def frame_cost(spark, sf_dir):
+    """How far the two animals' points lie apart, squared and summed."""
+    sides = [[G.names(f"{p}_{i}") for p in BODY_PARTS] for i in (1, 2)]
+    return rounded(pose(spark, sf_dir).select("session", "frame_idx", G.frame_cost(*sides).alias("cost")))
+
+
 _SHOE = " + ".join(f"{a[0]} * {b[1]} - {b[0]} * {a[1]}" for a, b in zip(_POINTS[:4], [*_POINTS[1:4], _POINTS[0]], strict=True))
 
 
@@ -87,7 +97,7 @@ _PAIRS = "[" + ", ".join(sql_distance(a, b) for a, b in combinations(_POINTS, 2)
 def pairwise_stats(spark, sf_dir):
     from kinetrace.operators.features import spreads
 
-    p = pose(spark, sf_dir).withColumn("_pairs_1", G.pair_distances([_point(f"{x}_1") for x in BODY_PARTS]))
+    p = pose(spark, sf_dir).withColumn("_pairs_1", G.pair_distances([G.names(f"{x}_1") for x in BODY_PARTS]))
     made = spreads(1)
     return rounded(p.select("session", "frame_idx", *[made[f"m1_hull_{k}_euclidean"].alias(n) for k, n in (("large", "large"), ("small", "small"), ("mean", "mean"), ("sum", "total"))]))
 

@@ -64,12 +64,25 @@ def test_hull_equals_a_monotone_chain_also_in_degenerate_cases(spark):
     cases += [[(0, 0)] * 6, [(0, 0), (1, 1), (2, 2), (3, 3), (4, 4), (4, 4)], [(0, 0), (1, 0), (1, 1), (0, 1), (0.5, 0.5), (0.2, 0.7)]]
     rows = [[i, *[float(v) for p in c for v in p]] for i, c in enumerate(cases)]
     df = spark.createDataFrame(rows, ["i", *[f"{a}{k}" for k in range(6) for a in "xy"]])
-    points = [(F.col(f"x{k}"), F.col(f"y{k}")) for k in range(6)]
+    points = [(f"x{k}", f"y{k}") for k in range(6)]
     got = {r.i: r.p for r in df.select("i", G.hull_perimeter(points).alias("p")).collect()}
     for i, c in enumerate(cases):
         assert got[i] == pytest.approx(hull_length([tuple(map(float, p)) for p in c])), c
 
 
+def test_names_numbers_and_columns_give_the_same(spark):
+    points = [(1.0, 2.0), (4.0, -6.0), (0.5, 0.25), (3.0, 3.0)]
+    df = spark.createDataFrame([[v for p in points for v in p]], [f"{a}{k}" for k in range(4) for a in "xy"])
+    forms = [[(f"x{k}", f"y{k}") for k in range(4)], points, [(F.col(f"x{k}"), F.col(f"y{k}")) for k in range(4)]]
+    got = [df.select(G.distance(p, q), G.squared(p, q), G.angle_at(p, q, r), G.angle_between(p, q, r, s), G.frame_cost([p, q], [r, s])).first() for p, q, r, s in forms]
+    assert got[0] == pytest.approx(got[1]) and got[0] == pytest.approx(got[2])
+    gone = df.withColumn("x0", F.lit(None).cast("double"))
+    p, q, r, s = forms[0]
+    assert gone.select(G.frame_cost([p, q], [r, s]), G.frame_cost([p], [r])).first() == (1 + 81, None)
+    with pytest.raises(TypeError, match="names"):
+        G.hull_perimeter(forms[2])
+
+
 def test_zones_from_a_floor(spark):
     nest = [v for p in G.nest_corners(FLOOR, 0.2, 1) for v in p]
     loom = G.loom_center(FLOOR, 0.1506)

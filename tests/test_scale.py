@@ -59,3 +59,16 @@ def test_the_pattern_finds_such_a_frame(spark):
 
     ahead = Window.partitionBy("session").orderBy("frame_idx").rowsBetween(0, Window.unboundedFollowing)
     assert LOOKS_AHEAD.search(session(spark, 3).select(F.first("x").over(ahead))._jdf.queryExecution().optimizedPlan().toString())
+
+
+@pytest.mark.parametrize("name", ["features_paired", "features_single", "hull", "pairwise_stats"])
+def test_wide_plans_are_compiled(spark, name):
+    """No stage falls back from generated code: with the fallback off, one that does not compile fails."""
+    key = "spark.sql.codegen.fallback"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        assert QUERIES[name](spark, f"{DATA}/sf0.001").count() > 0
+        QUERIES[name](spark, f"{DATA}/sf0.001").write.format("noop").mode("overwrite").save()
+    finally:
+        spark.conf.set(key, before)
