@@ -32,8 +32,8 @@ from kinetrace.sources.stage import shared_folder, stored
 
 #: Words in a window; bytes of a shard; bytes of test phrases held at once; distance of sampled suffix positions.
 WINDOW, SHARD_BYTES, BLOCK_BYTES, SAMPLE = 10, 3 << 20, 4 << 20, 16
-#: Windows that search a shard together.
-SEARCHED = 1 << 16
+#: Windows that search a shard together, and occurrences (or bytes of them) that are located and compared together.
+SEARCHED, PIECE = 1 << 16, 1 << 19
 #: Word bytes once A-Z are lower-cased: 0-9, a-z, and all bytes of characters outside ASCII.
 WORD = byte_table(lambda b: 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80)
 
@@ -162,7 +162,12 @@ class FMIndex:
 
 @dataclass
 class Phrases:
-    """A block of items: their lower-cased text, the words' hashes and places in it, and windows as a first word, a length and an item's number."""
+    """A block of items: their lower-cased text, the words' hashes and places in it, and the distinct windows.
+
+    A window is a first word and a length; windows of equal words are one, with
+    the items that hold it in ``owners[owned[w] : owned[w + 1]]``. ``alike``
+    says that two different words of the block have one hash.
+    """
 
     raw: bytes
     codes: np.ndarray
@@ -170,8 +175,10 @@ class Phrases:
     ends: np.ndarray
     first: np.ndarray
     lengths: np.ndarray
-    item: np.ndarray
+    owned: np.ndarray
+    owners: np.ndarray
     names: list[str]
+    alike: bool
 
     @staticmethod
     def of(items: list[tuple[str, str | None]], window: int) -> Phrases:
@@ -182,25 +189,63 @@ class Phrases:
         item = np.repeat(np.arange(len(items)), windows)
         begin = np.cumsum(counts) - counts
         first = begin[item] + np.arange(len(item)) - np.repeat(np.cumsum(windows) - windows, windows)
-        return Phrases(low.tobytes(), codes, starts.astype(np.int32), ends.astype(np.int32), first.astype(np.int32), np.minimum(counts[item], window), item.astype(np.int32), [i for i, _ in items])
+        lengths = np.minimum(counts[item], window)
+        raw = low.tobytes()
+        numbers: dict[bytes, int] = {}
+        word = np.array([numbers.setdefault(raw[s:e], len(numbers)) for s, e in zip(starts.tolist(), ends.tolist(), strict=True)], np.int32)
+        step = np.arange(window)
+        table = np.where(step < lengths[:, None], word[np.minimum(first[:, None] + step, max(0, len(word) - 1))] if len(word) else 0, -1).astype(np.int32)
+        if len(table):
+            keys = np.ascontiguousarray(table).view(np.dtype((np.void, table.dtype.itemsize * window))).ravel()
+            _, at, group = np.unique(keys, return_index=True, return_inverse=True)
+        else:
+            at, group = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        pairs = np.unique(group.astype(np.int64) * max(1, len(items)) + item)
+        owners = pairs % max(1, len(items))
+        owned = np.searchsorted(pairs, np.arange(len(at) + 1) * max(1, len(items)))
+        return Phrases(raw, codes, starts.astype(np.int32), ends.astype(np.int32), first[at].astype(np.int32), lengths[at].astype(np.int32), owned.astype(np.int32), owners.astype(np.int32), [i for i, _ in items], len(np.unique(codes)) < len(numbers))
 
     def words(self, window: int) -> list[bytes]:
         a, n = int(self.first[window]), int(self.lengths[window])
         return [self.raw[s:e] for s, e in zip(self.starts[a : a + n].tolist(), self.ends[a : a + n].tolist(), strict=True)]
 
-
-def scan_shard(low: np.ndarray, offsets: np.ndarray, blocks: Iterator[Phrases]) -> tuple[np.ndarray, np.ndarray, dict[int, set[str]], np.ndarray, np.ndarray]:
+    def items(self, window: int) -> tuple[str, ...]:
+        """Names of the items that hold a window."""
+        return tuple(self.names[k] for k in self.owners[self.owned[window] : self.owned[window + 1]].tolist())
+
+
+def _unlike(low: np.ndarray, starts: np.ndarray, ends: np.ndarray, symbols: np.ndarray, known: dict[int, bytes]) -> np.ndarray:
+    """Flags of a shard's words whose symbol is that of a test word, but not the bytes: another word with the same hash."""
+    wrong = np.zeros(len(symbols), bool)
+    at = np.flatnonzero(np.isin(symbols, np.fromiter(known, np.int64, len(known))))
+    at = at[np.argsort(symbols[at], kind="stable")]
+    edges = np.flatnonzero(np.diff(symbols[at], prepend=-1))
+    for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(at)], strict=True):
+        word = np.frombuffer(known[int(symbols[at[a]])], np.uint8)
+        own = at[a:b]
+        same = ends[own] - starts[own] == len(word)
+        for c in range(0, len(own), PIECE // (len(word) + 1) + 1):
+            part = own[c : c + PIECE // (len(word) + 1) + 1]
+            read = low[np.minimum(starts[part][:, None] + np.arange(len(word)), len(low) - 1)]
+            same[c : c + len(part)] &= (read == word).all(axis=1)
+        wrong[own[~same]] = True
+    return wrong
+
+
+def scan_shard(low: np.ndarray, offsets: np.ndarray, blocks: Iterator[Phrases]) -> tuple[np.ndarray, np.ndarray, dict[int, list[str]], np.ndarray, np.ndarray]:
     """Searches one shard of lower-cased documents.
 
     Returns the words of each document, a flag for each word that an occurrence
-    covers, the items found in each document, and the words' start and end bytes.
+    covers, the items found in each document, and the words' start and end
+    bytes. Each distinct window is searched once; its occurrences are located,
+    confirmed and marked together, a bounded number at a time.
     """
     starts, ends, counts, codes = hashed_words(low, offsets, WORD)
     docs, n = len(counts), len(codes)
     hit = np.zeros(n + 1, np.int64)
-    items: dict[int, set[str]] = {}
+    found_in: dict[int, list[tuple[str, ...]]] = {}
     if n == 0:
-        return counts, hit[:0].astype(bool), items, starts, ends
+        return counts, hit[:0].astype(bool), {}, starts, ends
     vocabulary, symbols = np.unique(codes, return_inverse=True)
     row = np.repeat(np.arange(docs), counts)
     place = np.arange(n) + row  # a separator stands after each document
@@ -208,7 +253,6 @@ def scan_shard(low: np.ndarray, offsets: np.ndarray, blocks: Iterator[Phrases])
     seq[place] = symbols + docs
     seq[np.cumsum(counts) + np.arange(docs)] = np.arange(docs)
     index = FMIndex(seq)
-    blob = low.tobytes()
     after = np.cumsum(counts + 1)
     for phrases in blocks:
         near = np.minimum(np.searchsorted(vocabulary, phrases.codes), len(vocabulary) - 1)
@@ -224,18 +268,44 @@ def scan_shard(low: np.ndarray, offsets: np.ndarray, blocks: Iterator[Phrases])
             table = np.where(step < size[:, None], symbol[np.minimum(phrases.first[own][:, None] + step, len(symbol) - 1)], -1)
             lo, hi = index.search(table, size)
             found = np.flatnonzero(lo < hi)
+            if not len(found):
+                continue
+            taken = np.unique(np.concatenate([np.arange(a, a + k) for a, k in zip(phrases.first[own[found]].tolist(), size[found].tolist(), strict=True)]))
+            test_words = {int(near[w]): phrases.raw[phrases.starts[w] : phrases.ends[w]] for w in taken.tolist()}
+            wrong = np.concatenate([[0], np.cumsum(_unlike(low, starts, ends, symbols, test_words))])
             times = (hi - lo)[found]
-            window = np.repeat(own[found], times)
-            rows = np.arange(len(window)) - np.repeat(np.cumsum(times) - times, times) + np.repeat(lo[found], times)
-            position = index.locate(rows)
-            word = position - np.searchsorted(after, position, "right")
-            for p, w in zip(window.tolist(), word.tolist(), strict=True):
-                text = phrases.words(p)
-                if any(blob[starts[w + j] : ends[w + j]] != t for j, t in enumerate(text)):
-                    continue  # another word with the same hash
-                hit[w] += 1
-                hit[w + len(text)] -= 1
-                items.setdefault(int(row[w]), set()).add(phrases.names[phrases.item[p]])
+            total = np.cumsum(times)
+            begin = 0
+            while begin < len(found):
+                # Windows of together a bounded number of occurrences; one with more is a piece by itself.
+                end = max(begin + 1, int(np.searchsorted(total, (total[begin - 1] if begin else 0) + PIECE, "right")))
+                part, k = found[begin:end], times[begin:end]
+                window = np.repeat(own[part], k)
+                rows = np.arange(len(window)) - np.repeat(np.cumsum(k) - k, k) + np.repeat(lo[part], k)
+                position = index.locate(rows)
+                word = position - np.searchsorted(after, position, "right")
+                length = phrases.lengths[window].astype(np.int64)
+                if not phrases.alike:
+                    right = wrong[word + length] == wrong[word]
+                else:  # two test words share a hash, so each occurrence is compared by itself
+                    right = np.array([[low[starts[w + j] : ends[w + j]].tobytes() for j in range(m)] == phrases.words(p) for p, w, m in zip(window.tolist(), word.tolist(), length.tolist(), strict=True)], bool)
+                window, word, length = window[right], word[right], length[right]
+                hit[: n + 1] += np.bincount(word, minlength=n + 1) - np.bincount(word + length, minlength=n + 1)
+                met = np.unique(row[word] * np.int64(len(phrases.first)) + window)
+                names: dict[int, tuple[str, ...]] = {}
+                for r, w in zip((met // len(phrases.first)).tolist(), (met % len(phrases.first)).tolist(), strict=True):
+                    if w not in names:
+                        names[w] = phrases.items(w)
+                    found_in.setdefault(r, []).append(names[w])
+                begin = end
+    # Documents with the same windows share one list.
+    shared: dict[tuple[int, ...], list[str]] = {}
+    items = {}
+    for r, lists in found_in.items():
+        key = tuple(map(id, lists))
+        if key not in shared:
+            shared[key] = sorted(set().union(*lists))
+        items[r] = shared[key]
     return counts, np.cumsum(hit[:-1]) > 0, items, starts, ends
 
 
@@ -243,10 +313,10 @@ def phrase_blocks(benchmark: DataFrame, item_col: str, text_col: str, window: in
     """Writes the test phrases as blocks of about ``block_bytes`` of text; the files and numbers of the blocks.
 
     A sum over the table fixes the blocks' number; an item goes to one by a
-    hash. An item is never cut, so a block is at least as large as its longest.
+    hash, repeated rows once. An item is never cut, so a block is at least as large as its longest.
     """
     spark = benchmark.sparkSession
-    rows = benchmark.select(F.col(item_col).cast("string").alias("i"), F.col(text_col).cast("string").alias("t")).where("i is not null and t is not null")
+    rows = benchmark.select(F.col(item_col).cast("string").alias("i"), F.col(text_col).cast("string").alias("t")).where("i is not null and t is not null").distinct()
     size = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     parts = int(size // block_bytes) + 1
     dealt = rows.withColumn("part", F.pmod(F.xxhash64("i", "t"), F.lit(parts)).cast("int")).repartition(parts, "part").sortWithinPartitions("part", "i", "t")
@@ -340,7 +410,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
                         *[c.slice(i, j - i) for c in batch.columns[:-1]],
                         pa.array(counts, pa.int64()),
                         pa.array(hits, pa.int64()),
-                        pa.array([sorted(items.get(r, ())) for r in range(j - i)], pa.list_(pa.string())),
+                        pa.array([items.get(r, ()) for r in range(j - i)], pa.list_(pa.string())),
                         pa.array(spans, pa.list_(span)),
                         pa.array(clean, pa.string()) if clean is not None else texts.slice(i, j - i),
                     ],

@@ -4,6 +4,7 @@ import dataclasses
 import hashlib
 import io
 import random
+import time
 import zlib
 
 import numpy as np
@@ -81,9 +82,53 @@ def test_blocks_take_little_memory():
     words = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(5000)]
     items = [(str(k), " ".join(rng.choices(words, k=300))) for k in range(400)]
     block = decontam.Phrases.of(items, 10)
-    own = len(block.raw) + sum(a.nbytes for a in (block.codes, block.starts, block.ends, block.first, block.lengths, block.item))
+    own = len(block.raw) + sum(a.nbytes for a in (block.codes, block.starts, block.ends, block.first, block.lengths, block.owned, block.owners))
     assert len(block.first) == 400 * 291 and own < 8 * len(block.raw)
-    assert [w.decode() for w in block.words(291 + 5)] == items[1][1].split()[5:15] and block.names[block.item[291 + 5]] == "1"
+    words = items[1][1].split()
+    assert sum([w.decode() for w in block.words(k)] == words[5:15] and block.items(k) == ("1",) for k in range(len(block.first))) == 1
+
+
+def test_equal_windows_are_searched_once():
+    """10,000 items of one frequent word, and as many occurrences, are a few vector steps."""
+    items = [(str(k), "yes") for k in range(10_000)] + [("a", "no yes no"), ("b", "NO, yes no")]
+    block = decontam.Phrases.of(items, 10)
+    assert sorted((b" ".join(block.words(k)), len(block.items(k))) for k in range(len(block.first))) == [(b"no yes no", 2), (b"yes", 10_000)]
+    rng = random.Random(3)
+    text = " ".join(rng.choice(["yes", "no", f"w{rng.randrange(5000)}"]) for _ in range(500_000))
+    low, offsets = textcore.utf8(pa.array([text, "yes", "none"]))
+    began, before = time.perf_counter(), time.process_time()
+    counts, hit, found, starts, _ = decontam.scan_shard(textcore.lower_ascii(low), offsets, iter([block]))
+    took = time.process_time() - before
+    words = text.split()
+    want = np.array([w == "yes" for w in words])
+    near = np.flatnonzero(want[1:-1] & (np.array(words[:-2]) == "no") & (np.array(words[2:]) == "no"))
+    for k in range(3):
+        want[near + k] = True
+    assert (hit[: len(words)] == want).all() and hit[len(words)] and not hit[-1]
+    assert len(found[0]) == 10_002 and len(found[1]) == 10_000 and 2 not in found
+    assert took < 20, (took, time.perf_counter() - began)
+
+
+def test_words_with_one_hash_are_told_apart(monkeypatch):
+    """With a hash that knows lengths alone, every comparison has to come from the bytes."""
+    coarse = lambda data, starts, ends: (ends - starts).astype(np.uint64)
+    monkeypatch.setattr(textcore, "hashes", coarse)
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice(["ab", "cd", "a", "b", "abc"]) for _ in range(60)) for _ in range(40)]
+    for items in ([("1", "ab a abc")], [("1", "ab cd a")], [("1", "ab cd a"), ("2", "cd ab b"), ("3", "abc")]):
+        low, offsets = textcore.utf8(pa.array(texts))
+        counts, hit, found, _, _ = decontam.scan_shard(low, offsets, iter([decontam.Phrases.of(items, 10)]))
+        at = 0
+        for r, t in enumerate(texts):
+            words, want, leaked = brute.leaks(t, items)
+            assert list(hit[at : at + len(words)]) == want and list(found.get(r, [])) == leaked
+            at += len(words)
+
+
+def test_repeated_test_rows_count_once(spark):
+    d = spark.createDataFrame([(1, "say yes now"), (2, "no")], "doc_id long, text string")
+    b = spark.range(10_000).select(F.lit("q").alias("item_id"), F.lit("Yes").alias("text"))
+    assert [(r.n_hit, r.items) for r in decontam.find_leaks(d, b).orderBy("doc_id").collect()] == [(1, ["q"]), (0, [])]
 
 
 def test_decontamination_of_odd_rows(spark, odd):
