@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Marks around a turn, and the role that is trained.
 HEAD, MID, END, TRAINED = "<|", "|>\n", "<|end|>\n", "assistant"
@@ -94,8 +95,12 @@ def shared_prompts(conversations: DataFrame, id_col: str = "conv_id", turn_col:
     conversation beside it (2k and 2k + 1 are beside each other), or nothing
     where there is none. A conversation without an assistant turn is all
     prompt. Turns stand in order of number, role and text; rows with a null id
-    are left out. Both conversations meet in one shuffle.
+    are left out. Both conversations meet in one shuffle. Ids have to be whole
+    numbers, which tell which conversations are beside each other; others raise
+    a TypeError.
     """
+    if not isinstance(conversations.schema[id_col].dataType, (T.IntegralType, T.NullType)):
+        raise TypeError(f"{id_col} has to hold whole numbers, not {conversations.schema[id_col].dataType.simpleString()}")
     number = F.col(id_col).cast("long")
     rows = conversations.where(number.isNotNull()).select(F.shiftright(number, 1).alias("k"), number.bitwiseAND(F.lit(1)).alias("odd"), _turn(turn_col, role_col, text_col).alias("t"))
     of = lambda odd: F.array_sort(F.collect_list(F.when(F.col("odd") == odd, F.col("t"))))

@@ -12,7 +12,8 @@ Each write is committed by a list of its finished files, and a folder's records
 are those of all its lists: an append adds a list, an overwrite puts one in
 place of the others. So files of tasks that were lost or ran twice, and of
 writes that broke off, are never read. An archive file is read by one task;
-the writer makes one for each of its own tasks.
+the writer's are of about 1 GB at most. A file that is cut short or damaged
+fails the read with its name and the place, as rows would be lost otherwise.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, Filter, In, InputPartition, IsNotNull, StringStartsWith, WriterCommitMessage
 
 from kinetrace.llm.sieve import bit_table, split
@@ -43,6 +45,8 @@ MANIFEST = "_files-"
 _GZIP = struct.Struct("<2sBBIBBHccHII")  # magic, method, flags, time, two bytes, extra length, "sl", its length, record's and header's length
 _LIST = ("record_id", "record_type", "target_uri", "date", "payload_digest")
 BATCH_BYTES = 8 << 20
+#: Bytes after which the writer begins another file (option ``fileBytes``).
+FILE_BYTES = 1 << 30
 
 
 def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, date: str) -> bytes:
@@ -128,6 +132,10 @@ def fits(row: dict, filters: list[Filter]) -> bool:
     return True
 
 
+class DamagedArchive(ValueError):
+    """An archive file ends within a record, or holds something that is no record."""
+
+
 class _Input:
     """A window on a file that grows as needed."""
 
@@ -148,20 +156,28 @@ def _inflate(source: _Input, start: int, whole: bool) -> tuple[bytes, int | None
     while not inflate.eof:
         part = source.at(at, 1 << 14)
         if not part:
-            return bytes(out), source.size
+            raise DamagedArchive(f"the file ends within the compressed record at {start}")
         at += len(part)
-        out += inflate.decompress(part, 0 if whole else 1 << 12)
-        while not whole and inflate.unconsumed_tail and b"\r\n\r\n" not in out:
-            out += inflate.decompress(inflate.unconsumed_tail, 1 << 12)
+        try:
+            out += inflate.decompress(part, 0 if whole else 1 << 12)
+            while not whole and inflate.unconsumed_tail and b"\r\n\r\n" not in out:
+                out += inflate.decompress(inflate.unconsumed_tail, 1 << 12)
+        except zlib.error as e:
+            raise DamagedArchive(f"the compressed record at {start} cannot be read: {e}") from e
         if not whole and b"\r\n\r\n" in out:
             return bytes(out), None
     return bytes(out), at - len(inflate.unused_data)
 
 
 def records(file, size: int, filters: list[Filter], want_payload: bool) -> Iterator[dict]:
-    """Rows of one archive file that hold ``filters``."""
+    """Rows of one archive file that hold ``filters``.
+
+    A file that ends within a record, or holds bytes that begin none, raises
+    :class:`DamagedArchive` with the place; blank lines may follow a record.
+    """
     source, at = _Input(file, size), 0
     while at < size:
+        began = at
         head = source.at(at, _GZIP.size)
         if head[:2] == b"\x1f\x8b":
             known = None
@@ -171,8 +187,8 @@ def records(file, size: int, filters: list[Filter], want_payload: bool) -> Itera
                     known = at + parts[10]
             text, end = _inflate(source, at, False)
             cut = text.find(b"\r\n\r\n")
-            if cut < 0:
-                return
+            if cut < 0 or not text.startswith(b"WARC/"):
+                raise DamagedArchive(f"the compressed record at {began} has no whole header")
             fields = parse_header(text[:cut])
             row = columns_of(fields)
             good = fits(row, filters)
@@ -180,14 +196,21 @@ def records(file, size: int, filters: list[Filter], want_payload: bool) -> Itera
             if good and (want_payload or revisit) or end is None and known is None:
                 text, seen = _inflate(source, at, True)
                 end = seen
-            at = known or end
-            block = text[cut + 4 : cut + 4 + int(fields.get("content-length", 0))]
+            size_of = int(fields.get("content-length", 0))
+            at, block = known or end, text[cut + 4 : cut + 4 + size_of]
+            if at > size or (good and want_payload and len(block) < size_of):
+                raise DamagedArchive(f"the file ends within the record at {began}")
         else:
             length, text = 1 << 12, b""
-            while (cut := text.find(b"\r\n\r\n")) < 0:
+            while (cut := text.find(b"\r\n\r\n", len(text) - len(text.lstrip(b"\r\n")))) < 0:
                 longer = source.at(at, length)
-                if len(longer) == len(text):
+                start = longer.lstrip(b"\r\n")
+                if not start and at + len(longer) == size:
                     return  # blank lines after the last record
+                if not b"WARC/".startswith(start[:5]):
+                    raise DamagedArchive(f"no record begins at {began}")
+                if len(longer) == len(text):
+                    raise DamagedArchive(f"the file ends within the header of the record at {began}")
                 text, length = longer, 2 * length
             fields = parse_header(text[:cut].lstrip(b"\r\n"))
             row = columns_of(fields)
@@ -195,6 +218,8 @@ def records(file, size: int, filters: list[Filter], want_payload: bool) -> Itera
             good = fits(row, filters)
             block = source.at(at + cut + 4, size_of) if good and (want_payload or row["record_type"] == "revisit") else b""
             at += cut + 4 + size_of
+            if at > size:
+                raise DamagedArchive(f"the file ends within the record at {began}")
             while source.at(at, 2) == b"\r\n":
                 at += 2
         if not good:
@@ -249,12 +274,15 @@ class WarcReader(DataSourceReader):
         system, _ = located(self.path)
         rows, held = [], 0
         with system.open_input_file(partition.path) as file:
-            for row in records(file, partition.size, self.filters, self.payload):
-                rows.append(row)
-                held += 500 + len(row["payload"] or b"")
-                if held > BATCH_BYTES:
-                    yield pa.RecordBatch.from_pylist(rows, schema)
-                    rows, held = [], 0
+            try:
+                for row in records(file, partition.size, self.filters, self.payload):
+                    rows.append(row)
+                    held += 500 + len(row["payload"] or b"")
+                    if held > BATCH_BYTES:
+                        yield pa.RecordBatch.from_pylist(rows, schema)
+                        rows, held = [], 0
+            except DamagedArchive as e:
+                raise DamagedArchive(f"{partition.path}: {e}") from e
         if rows:
             yield pa.RecordBatch.from_pylist(rows, schema)
 
@@ -279,24 +307,30 @@ class _Written(WriterCommitMessage):
 class WarcWriter(DataSourceArrowWriter):
     """Rows need page_id, url, payload (binary), payload_digest (hexadecimal SHA-1), refers_to and date."""
 
-    def __init__(self, path: str, overwrite: bool = False):
-        self.path, self.overwrite = path, overwrite
+    def __init__(self, path: str, overwrite: bool = False, file_bytes: int = FILE_BYTES):
+        self.path, self.overwrite, self.file_bytes = path, overwrite, file_bytes
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> _Written:
+        """Files of about ``FILE_BYTES``, as a file is read in one task; a record is never cut."""
         system, path = located(self.path)
-        name = f"{uuid.uuid4().hex}.warc.gz"
-        total, out = 0, None
+        files, out = [], None
         for batch in iterator:
             for r in batch.to_pylist():
                 if out is None:
                     system.create_dir(path, recursive=True)
+                    name, total = f"{uuid.uuid4().hex}.warc.gz", 0
                     out = system.open_output_stream(f"{path}/{name}", compression=None)
                 data = record(r["page_id"], r["url"], r["payload"] or b"", r["payload_digest"], r["refers_to"], r["date"])
                 out.write(data)
                 total += len(data)
+                if total >= self.file_bytes:
+                    out.close()
+                    files.append((name, total))
+                    out = None
         if out is not None:
             out.close()
-        return _Written([(name, total)] if total else [])
+            files.append((name, total))
+        return _Written(files)
 
     def commit(self, messages: list[_Written | None]) -> None:
         """Adds this write's list under a name of its own. An overwrite then drops the older lists, and their files last,
@@ -334,7 +368,7 @@ class WarcDataSource(DataSource):
         return WarcReader(self.options["path"], self.options.get("payload", "true").lower() != "false")
 
     def writer(self, schema, overwrite: bool) -> WarcWriter:
-        return WarcWriter(self.options["path"], overwrite)
+        return WarcWriter(self.options["path"], overwrite, int(self.options.get("fileBytes", FILE_BYTES)))
 
 
 def register(spark: SparkSession) -> None:
@@ -350,8 +384,10 @@ def to_records(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
     That one is the record with the largest id; rows that repeat it are
     responses too. Null html is an empty payload; a null id never gets a
     reference and never is one. Only rows whose digest may occur twice are
-    shuffled.
+    shuffled. Ids have to be whole numbers; others raise a TypeError.
     """
+    if not isinstance(pages.schema[id_col].dataType, (T.IntegralType, T.NullType)):
+        raise TypeError(f"{id_col} has to hold whole numbers, not {pages.schema[id_col].dataType.simpleString()}")
     payload = F.coalesce(F.col(html_col).cast("string"), F.lit("")).cast("binary")
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), payload.alias("payload")).withColumn("payload_digest", F.sha1("payload"))
     counted = rows.where((F.octet_length("payload") >= least) & F.col("page_id").isNotNull()).groupBy("payload_digest").agg(F.max("page_id").alias("first"), F.min("page_id").alias("last"))

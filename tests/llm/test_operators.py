@@ -462,6 +462,70 @@ def test_large_payloads_and_clashing_names(spark, tmp_path):
     assert got[3].target_uri == "u" * 5000
 
 
+def _archive(kind):
+    import gzip
+
+    rows = [(k, f"http://h/{k}", (f"page {k} " * (40 * k)).encode()) for k in range(1, 5)]
+    own = [warc.record(k, u, b, hashlib.sha1(b).hexdigest(), None, "2024-01-01T00:00:00Z") for k, u, b in rows]
+    return own if kind == "own" else [gzip.compress(gzip.decompress(r)) for r in own] if kind == "gzip" else [gzip.decompress(r) for r in own]
+
+
+@pytest.mark.parametrize("payload", [True, False])
+@pytest.mark.parametrize("kind", ["own", "gzip", "plain"])
+def test_a_cut_archive_raises_wherever_it_is_cut(kind, payload):
+    """Only a cut between records, or within the blank lines after one, leaves a whole archive."""
+    parts = _archive(kind)
+    data = b"".join(parts)
+    ends = [0, *np.cumsum([len(p) for p in parts]).tolist()]
+    whole = {e - k for e in ends for k in range(5 if kind == "plain" and e else 1)}
+    for cut in sorted({*range(0, 700), *range(len(data) - 400, len(data) + 1), *whole, *(e + k for e in ends for k in (1, 3, 11, 40))}):
+        if not 0 <= cut <= len(data):
+            continue
+        read = lambda: list(warc.records(io.BytesIO(data[:cut]), cut, [], payload))  # noqa: B023, E731
+        if cut in whole:
+            assert len(read()) == sum(e <= cut + (4 if kind == "plain" else 0) for e in ends[1:])
+        else:
+            with pytest.raises(warc.DamagedArchive):
+                read()
+
+
+@pytest.mark.parametrize("kind", ["own", "gzip", "plain"])
+def test_damaged_bytes_raise(kind):
+    parts = _archive(kind)
+    for k in range(4):
+        data = b"".join([*parts[:k], b"xx" + parts[k][2:], *parts[k + 1 :]])
+        with pytest.raises(warc.DamagedArchive, match=f"at {sum(map(len, parts[:k]))}"):
+            list(warc.records(io.BytesIO(data), len(data), [], True))
+
+
+def test_a_damaged_file_fails_the_read(spark, tmp_path):
+    parts = _archive("own")
+    (tmp_path / "a.warc.gz").write_bytes(b"".join(parts))
+    assert warc.read(spark, f"file://{tmp_path}").count() == 4
+    (tmp_path / "b.warc.gz").write_bytes(b"".join(parts)[:-9])
+    with pytest.raises(Exception, match="b.warc.gz: the file ends within"):
+        warc.read(spark, f"file://{tmp_path}").count()
+
+
+def test_files_of_the_writer_are_bounded_and_payloads_may_cross_the_window(spark, tmp_path):
+    """Payloads larger than the window that is read at once, in files of a few records."""
+    pages = spark.createDataFrame([(k, "u", "".join(chr(97 + (k * j) % 26) for j in range(90_000 + 7 * k))) for k in range(1, 9)], "page_id long, url string, html string").coalesce(1)
+    at = f"file://{tmp_path}/w"
+    warc.register(spark)
+    warc.to_records(pages, f"file://{tmp_path}/s").write.format("warc").option("fileBytes", 2000).mode("append").save(at)
+    assert len(list((tmp_path / "w").glob("*.warc.gz"))) > 1
+    got = {r.page_id: bytes(r.payload).decode() for r in warc.read(spark, at).collect()}
+    assert got == {r.page_id: r.html for r in pages.collect()}
+
+
+def test_ids_that_are_no_numbers_raise(spark):
+    named = spark.createDataFrame([("a", 0, "user", "t", "u", "h")], "id string, turn long, role string, text string, url string, html string")
+    with pytest.raises(TypeError, match="whole numbers"):
+        preference.shared_prompts(named, id_col="id")
+    with pytest.raises(TypeError, match="whole numbers"):
+        warc.to_records(named, "unused", id_col="id")
+
+
 def test_reading_other_archives():
     import gzip
 

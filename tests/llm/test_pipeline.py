@@ -87,3 +87,12 @@ def test_near_dedup_of_ids_with_several_texts(spark):
     docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     got = [(r.doc_id, r.text) for r in corpus_pipeline.near_dedup(spark, docs, SF).collect()]
     assert sorted(got, key=str) == sorted([(-3, d), (1, a), (5, b), (7, c), (7, ""), (None, a)], key=str)
+
+
+def test_near_dedup_takes_ids_that_are_texts(spark):
+    """Also where an id has several texts: a document is an id and a text."""
+    long = " ".join(f"w{k}" for k in range(60))
+    rows = [("b", long), ("a", long + " more"), ("a", "another text of its own that is long enough"), (None, long), ("c", "short"), ("c", "short")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id string, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.near_dedup(spark, docs, "unused").collect()
+    assert sorted((r.doc_id or "", r.text) for r in kept) == sorted([("", long), ("a", long + " more"), ("a", "another text of its own that is long enough"), ("c", "short")])
