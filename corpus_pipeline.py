@@ -30,13 +30,12 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _row_key(docs: DataFrame) -> Column:
-    """What tells documents apart: the id, or where an id has several texts, the id and the text's hash, sorted as the ids are."""
+    """What tells documents apart: the id, or where an id has several texts, the id and the text's hash, sorted by id first; ids may be of any type."""
     text = F.xxhash64("text")
     several = docs.where("doc_id is not null").groupBy("doc_id").agg(F.min(text).alias("a"), F.max(text).alias("b")).where("a <> b")
     if several.isEmpty():
         return F.col("doc_id")
-    digits = F.hex(F.col("doc_id").cast("long").bitwiseXOR(F.lit(-(1 << 63))))  # negative ids first
-    return F.concat(F.lpad(digits, 16, "0"), F.lpad(F.hex(text), 16, "0"))
+    return F.when(F.col("doc_id").isNotNull(), F.struct(F.col("doc_id").alias("i"), text.alias("t")))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
