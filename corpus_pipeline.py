@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kinetrace.llm import decontam, langid, neardup, pieces, queries, secrets
 from kinetrace.llm.sieve import bit_table, split
@@ -30,12 +31,16 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _row_key(docs: DataFrame) -> Column:
-    """What tells documents apart: the id, or where an id has several texts, the id and the text's hash, sorted by id first; ids may be of any type."""
+    """What tells documents apart: the id, or where an id has several texts, the id and the text's hash, sorted by id first. Ids may be numbers or texts."""
     text = F.xxhash64("text")
     several = docs.where("doc_id is not null").groupBy("doc_id").agg(F.min(text).alias("a"), F.max(text).alias("b")).where("a <> b")
     if several.isEmpty():
         return F.col("doc_id")
-    return F.when(F.col("doc_id").isNotNull(), F.struct(F.col("doc_id").alias("i"), text.alias("t")))
+    if isinstance(docs.schema["doc_id"].dataType, T.IntegralType):
+        name = F.lpad(F.hex(F.col("doc_id").cast("long").bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")  # negative ids first
+    else:
+        name = F.hex(F.col("doc_id").cast("string").cast("binary"))
+    return F.concat(name, F.lit("-"), F.lpad(F.hex(text), 16, "0"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
