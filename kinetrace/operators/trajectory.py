@@ -35,24 +35,39 @@ def frechet(p: Column, q: Column) -> Column:
     return F.when((F.size(p) > 0) & (F.size(q) > 0), F.element_at(F.aggregate(p, none, row), -1))
 
 
-def coupled(px, py, qx, qy) -> float:
-    """Discrete Frechet distance by antidiagonals of the table, which depend only on the two before."""
+def coupled(px, py, qx, qy, above: float = float("inf")) -> float:
+    """Discrete Frechet distance by antidiagonals of the table of coupled distances, of which three are held.
+
+    Every coupling passes one of two neighbouring antidiagonals, so once both
+    exceed ``above`` the distance does too, and infinity is returned.
+    """
     import numpy as np
 
+    px, py, qx, qy = (np.asarray(v, float) for v in (px, py, qx, qy))
     n, m = len(px), len(qx)
-    d = np.hypot(np.subtract.outer(px, qx), np.subtract.outer(py, qy))
-    table = np.full((n + 1, m + 1), np.inf)
-    table[0, 0] = -np.inf
+    # Cell (i, s - i) of an antidiagonal stands at i + 1; all else is infinite.
+    two, one, made = (np.full(n + 1, np.inf) for _ in range(3))
     for s in range(n + m - 1):
-        i = np.arange(max(0, s - m + 1), min(n, s + 1))
-        j = s - i
-        past = np.minimum(np.minimum(table[i, j + 1], table[i + 1, j]), table[i, j])
-        table[i + 1, j + 1] = np.maximum(past, d[i, j])
-    return float(table[n, m])
-
-
-def frechet_groups(df: DataFrame, p: str, q: str, into: str = "frechet") -> DataFrame:
-    """Adds the distance of two array columns by an Arrow batch function, for long windows."""
+        low, high = max(0, s - m + 1), min(n, s + 1)
+        j = slice(s - high + 1, s - low + 1)
+        gap = np.hypot(px[low:high] - qx[j][::-1], py[low:high] - qy[j][::-1])
+        made.fill(np.inf)
+        if s == 0:
+            made[1] = gap[0]
+        else:
+            past = np.minimum(np.minimum(one[low:high], one[low + 1 : high + 1]), two[low:high])
+            np.maximum(past, gap, out=made[low + 1 : high + 1])
+        two, one, made = one, made, two
+        if above < np.inf and one.min() > above and (two.min() > above or s == 0):
+            return float("inf")
+    return float(one[n])
+
+
+def frechet_groups(df: DataFrame, p: str, q: str, into: str = "frechet", above: float = float("inf")) -> DataFrame:
+    """Adds the distance of two array columns by an Arrow batch function, for long windows; infinity where it exceeds ``above``.
+
+    A pair's memory follows the length of its paths, not of their product.
+    """
     reachable(df.sparkSession)
 
     @F.pandas_udf("double")
@@ -63,7 +78,7 @@ def frechet_groups(df: DataFrame, p: str, q: str, into: str = "frechet") -> Data
                 if u is None or v is None or not len(u) or not len(v):
                     out.append(None)
                 else:
-                    out.append(coupled([w["x"] for w in u], [w["y"] for w in u], [w["x"] for w in v], [w["y"] for w in v]))
+                    out.append(coupled([w["x"] for w in u], [w["y"] for w in u], [w["x"] for w in v], [w["y"] for w in v], above))
             yield pd.Series(out, dtype="float64")
 
     return df.withColumn(into, measure(p, q))

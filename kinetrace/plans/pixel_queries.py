@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinetrace.functions import geometry as G
-from kinetrace.operators import pixels
+from kinetrace.operators import pixels, voting
 from kinetrace.plans.base import POSE, pose, query, sql_in_polygon, table
 
 #: Rows of a tile: several for each image of the smallest tables.
@@ -121,3 +121,29 @@ def polygon_mask(spark, sf_dir):
     corners = [tuple(c / 16 for c in G.point(p)) for p in _QUAD]
     found = pixels.cells(pixels.mask_runs(pose(spark, sf_dir), ["session", "frame_idx"], corners), ["session", "frame_idx"])
     return found.groupBy("session", "frame_idx").agg(F.count(F.lit(1)).alias("cells"), F.sum("x").alias("sum_x"), F.sum("y").alias("sum_y"))
+
+
+_ANGLES, _VOTES, _LENGTH, _GAP = 60, 10, 6, 5
+_TURNS = ", ".join(f"({k}, {c}, {s})" for k, (c, s) in enumerate(voting.turns(_ANGLES)))
+_LINES = f"""{_EDGES}, tr(angle, c, s) AS (VALUES {_TURNS}),
+vo AS MATERIALIZED (SELECT image, y, x, angle, CAST(x * c + y * s + {1 << 13} AS BIGINT) >> 14 AS off, y * c - x * s AS along FROM (SELECT image, CAST(y AS BIGINT) AS y, CAST(x AS BIGINT) AS x FROM edge), tr),
+ac AS MATERIALIZED (SELECT image, angle, off, count(*) AS votes FROM vo GROUP BY ALL HAVING count(*) >= {_VOTES}),
+li AS MATERIALIZED (SELECT * FROM ac a WHERE NOT EXISTS (SELECT 1 FROM ac b, (SELECT unnest([-1, 0, 1]) AS da) WHERE b.image = a.image AND b.angle = (a.angle + da + {_ANGLES}) % {_ANGLES}
+  AND abs(CASE WHEN a.angle + da BETWEEN 0 AND {_ANGLES - 1} THEN b.off - a.off ELSE b.off + a.off END) <= 1 AND (b.votes, -b.angle, -b.off) > (a.votes, -a.angle, -a.off)))"""
+
+
+@query(f"{_LINES} SELECT image, CAST(angle AS INT) AS angle, off AS offset_, votes FROM li")
+def pixel_lines(spark, sf_dir):
+    cells = pixels.cells(pixels.edges(image(spark, sf_dir), _LOW, _HIGH, tile=TILE), ["image"])
+    return voting.lines(cells, _VOTES, _ANGLES).withColumnRenamed("offset", "offset_")
+
+
+@query(
+    f"""{_LINES}, pl AS (SELECT vo.*, votes, CASE WHEN along - lag(along) OVER w > {_GAP << 14} THEN 1 ELSE 0 END AS cut FROM vo JOIN li USING (image, angle, off) WINDOW w AS (PARTITION BY image, angle, off ORDER BY along, y, x)),
+pn AS (SELECT *, sum(cut) OVER (PARTITION BY image, angle, off ORDER BY along, y, x) AS part FROM pl)
+SELECT image, CAST(angle AS INT) AS angle, off AS offset_, votes, (min((along, y, x)))[3] AS x1, (min((along, y, x)))[2] AS y1, (max((along, y, x)))[3] AS x2, (max((along, y, x)))[2] AS y2, count(*) AS pixels
+FROM pn GROUP BY image, angle, off, votes, part HAVING max(along) - min(along) >= {_LENGTH << 14}"""
+)
+def pixel_segments(spark, sf_dir):
+    cells = pixels.cells(pixels.edges(image(spark, sf_dir), _LOW, _HIGH, tile=TILE), ["image"])
+    return voting.segments(cells, _VOTES, _LENGTH, _GAP, _ANGLES).withColumnRenamed("offset", "offset_")

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kinetrace.functions import geometry as G
-from kinetrace.operators import pixels
+from kinetrace.operators import pixels, voting
 from kinetrace.plans import pixel_queries
 from tests.compare import DATA, rows_of
 
@@ -200,3 +200,26 @@ def test_images_that_are_empty_null_or_ragged(spark):
     odd = spark.createDataFrame([(None, 0, [1, None, 1]), (None, 1, None), (None, 2, [0, 0, 0, 5]), ("e", 0, [])], KIND)
     got = sorted(tuple(r)[:4] for r in pixels.regions(odd, tile=1).collect())
     assert got == [(None, 0, 0, 1), (None, 0, 2, 1), (None, 2, 3, 1)]
+
+
+def test_lines_are_found_among_noise(spark):
+    """Three drawn segments, two of them on one line with a gap, and stray pixels."""
+    rng = random.Random(2)
+    drawn_ = [((5, 10), (60, 10)), ((80, 10), (110, 10)), ((10, 20), (60, 95))]
+    cells = {(round(a[0] + (b[0] - a[0]) * k / 200), round(a[1] + (b[1] - a[1]) * k / 200)) for a, b in drawn_ for k in range(201)} | {(rng.randrange(120), rng.randrange(120)) for _ in range(60)}
+    df = spark.createDataFrame([("i", y, x) for x, y in cells], "image string, y long, x long")
+    found = voting.segments(df, 28, 20, 6).collect()
+    flat = [r for r in found if r.angle == 90]
+    assert sorted((r.x1, r.x2) if r.x1 < r.x2 else (r.x2, r.x1) for r in flat if r.offset == 10) == [(5, 60), (80, 110)]
+    assert any(abs(math.dist((r.x1, r.y1), (r.x2, r.y2)) - math.dist(*drawn_[2])) < 6 and abs(r.angle - 144) <= 3 for r in found)
+    table_ = voting.turns(180)
+    counted = {}
+    for x, y in cells:
+        for a, (c, s) in enumerate(table_):
+            counted[a, (x * c + y * s + (1 << 13)) >> 14] = counted.get((a, (x * c + y * s + (1 << 13)) >> 14), 0) + 1
+    best = {(r.angle, r.offset): r.votes for r in voting.lines(df, 28).collect()}
+    assert best and all(counted[k] == v for k, v in best.items())
+    for (a, o), n in counted.items():
+        near = [((a + da) % 180, (-1 if not 0 <= a + da < 180 else 1) * (o + db)) for da in (-1, 0, 1) for db in (-1, 0, 1)]
+        assert ((a, o) in best) == (n >= 28 and all((counted.get(k, 0), -k[0], -k[1]) <= (n, -a, -o) for k in near))
+    assert voting.segments(df.where("false"), 1, 1, 1).collect() == []

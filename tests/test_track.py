@@ -127,3 +127,35 @@ def test_widen_and_lengthen(spark):
     assert sorted(map(tuple, wide.collect())) == [("s", 0, 1.0, 2.0), ("s", 1, None, 3.0)]
     assert sorted(map(str, map(tuple, reshape.lengthen(wide, ["k"], ["x"], 2).collect()))) == ["('s', 0, 0, 1.0)", "('s', 0, 1, 2.0)", "('s', 1, 0, None)", "('s', 1, 1, 3.0)"]
     assert reshape.parts_of(["nose_1_x", "tail_base_2_x", "foo_1_x", "nose_1_y"]) == {1: ["nose"], 2: ["tail_base"]}
+
+
+def test_long_paths_take_memory_by_their_length():
+    """Three antidiagonals of a table of 400 million cells."""
+    import tracemalloc
+
+    import numpy as np
+
+    t = np.linspace(0, 50, 20_000)
+    tracemalloc.start()
+    try:
+        d = trajectory.coupled(np.cos(t), np.sin(t), np.cos(t) + 0.25, np.sin(t), above=10.0)
+        assert tracemalloc.get_traced_memory()[1] < 20 << 20
+    finally:
+        tracemalloc.stop()
+    assert 0.2 < d <= 0.25 + 1e-9
+
+
+def test_a_distance_above_the_bound_is_infinite():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    for n, m in ((1, 1), (1, 7), (30, 30), (40, 11)):
+        p, q = rng.normal(size=(2, n)), rng.normal(size=(2, m))
+        table = np.full((n + 1, m + 1), np.inf)
+        table[0, 0] = 0
+        for i in range(n):
+            for j in range(m):
+                table[i + 1, j + 1] = max(min(table[i, j + 1], table[i + 1, j], table[i, j]), float(np.hypot(*(p[:, i] - q[:, j]))))
+        d = table[n, m]
+        assert trajectory.coupled(*p, *q) == d and trajectory.coupled(*p, *q, above=d) == d
+        assert trajectory.coupled(*p, *q, above=d - 1e-9) in (d, np.inf) and trajectory.coupled(*p, *q + 100, above=1.0) == np.inf
