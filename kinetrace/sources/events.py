@@ -85,8 +85,8 @@ def sheet_events(rows: DataFrame, sheet: str, animals: Sequence[str], most: int
     return near.select(*keys, F.concat(F.lit("loom_"), F.row_number().over(order)).alias("event_id"), F.lit("loom").alias("event_type"), F.col("_t").alias("time_start"), F.lit(None).cast("double").alias("time_end"))
 
 
-def sheet_scores(rows: DataFrame, sheet: str, animal: str) -> DataFrame:
-    """Manual latency and time in nest of an animal's section: loom, latency, time_in_nest.
+def sheet_scores(rows: DataFrame, sheet: str, animal: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Manual latency and time in nest of an animal's section: loom, latency, time_in_nest, for each value of ``keys`` (such as ``source``).
 
     A section begins where column 0 has a text that names the animal and ends
     at the next text that does not; the last row of a loom holds.
@@ -96,7 +96,7 @@ def sheet_scores(rows: DataFrame, sheet: str, animal: str) -> DataFrame:
     marked = rows.where(F.col("sheet") == sheet).withColumn("_section", F.last(head, True).over(order))
     loom = _number(1)
     own = marked.where(F.contains("_section", F.lit(str(animal))) & loom.isNotNull() & ~F.isnan(loom) & (loom < 100))
-    return own.groupBy(loom.cast("int").alias("loom")).agg(F.max_by(F.struct(_number(17).alias("latency"), _number(26).alias("time_in_nest")), "row").alias("v")).select("loom", "v.*")
+    return own.groupBy(*keys, loom.cast("int").alias("loom")).agg(F.max_by(F.struct(_number(17).alias("latency"), _number(26).alias("time_in_nest")), "row").alias("v")).select(*keys, "loom", "v.*")
 
 
 def read_sheet(spark: SparkSession, path: str, loom_session: str = "L1", animal_ids: Sequence[str] = ()) -> DataFrame:

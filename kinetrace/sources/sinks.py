@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinetrace.schema import DEFAULT_FPS, EVENTS
+from kinetrace.schema import DEFAULT_FPS, EVENTS, POSE
 
 
 def event_rows(events: DataFrame) -> DataFrame:
@@ -25,6 +25,28 @@ def write_poses(df: DataFrame, path: str, keys: Sequence[str]) -> None:
     df.repartition(*keys).sortWithinPartitions(*keys, "frame_idx", "track").write.partitionBy(*keys).parquet(path)
 
 
+def write_pose_csv(df: DataFrame, path: str, keys: Sequence[str]) -> None:
+    """Poses as CSV with dotted names and ``track_N``, a folder for each session, rows in order of frame and track."""
+    parts = [f.name for f in POSE if f.name not in ("track", "frame_idx", "instance_score")]
+    dotted = lambda c: c[: c.rindex("_")] + "." + c[c.rindex("_") + 1 :]
+    track = F.when(F.col("track").isNotNull(), F.concat(F.lit("track_"), F.col("track").cast("string")))
+    out = df.select(*keys, track.alias("track"), "frame_idx", *[F.col(c).alias(dotted(c)) for c in parts if c in df.columns], F.col("track").alias("_order"))
+    out.repartition(*keys).sortWithinPartitions(*keys, "frame_idx", "_order").drop("_order").write.partitionBy(*keys).option("header", "true").csv(path)
+
+
+def write_frame_times(df: DataFrame, path: str, keys: Sequence[str]) -> None:
+    """Frame numbers and seconds (six decimals) as CSV, a folder for each session."""
+    out = df.select(*keys, "frame_idx", F.format_string("%.6f", F.col("pts_seconds")).alias("pts_seconds"))
+    out.repartition(*keys).sortWithinPartitions(*keys, "frame_idx").write.partitionBy(*keys).option("header", "true").csv(path)
+
+
+def zone_record(floor: Column, nest: Column, center: Column, radius: Column) -> Column:
+    """The text of a zone file: corners (arrays of pairs) of floor and nest, and the circle; a missing zone is left out."""
+    text = lambda c: F.to_json(c)
+    parts = [F.concat(F.lit('{"floor":'), text(floor), F.lit("}")), F.concat(F.lit('{"nest":'), text(nest), F.lit("}")), F.concat(F.lit('{"loom":['), text(center), F.lit(","), radius.cast("double").cast("string"), F.lit("]}"))]
+    return F.concat(F.lit('{"regions":['), F.concat_ws(",", *parts), F.lit("]}"))
+
+
 def write_features(df: DataFrame, path: str, keys: Sequence[str], csv: bool = False) -> None:
     """Features as floats, a folder for each session, rows in order of frame."""
     kept = [*keys, "frame_idx"]
