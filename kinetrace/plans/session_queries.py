@@ -385,7 +385,8 @@ _METRIC_SQL = [
 ]
 
 
-def _session_sql() -> str:
+def _session_head() -> str:
+    """CTEs up to p: each animal's frames with the columns that the metrics name."""
     steps, last, _ = _feature_steps(2)
     points = [(q, i) for i in (1, 2) for q in BODY_PARTS]
     zone = [f"{sql_in_polygon(sql_point(f'{q}_{i}'), _WIDE)} AS in_{q}_{i}" for q, i in points] + [_away(q, i, _WIDE) for q, i in points]
@@ -403,13 +404,17 @@ def _session_sql() -> str:
             f"CASE WHEN {turn} > 180 THEN 360 - {turn} ELSE {turn} END AS angle_to_loom, ({speed}) / 4 AS speed, ({' + '.join(f'v_{q}_{i}' for q in BODY_PARTS)}) / 6 AS nest_speed, {', '.join(_SHARED)}, {own} FROM v"
         )
 
+    return f"""WITH {steps}, z AS (SELECT *, {', '.join(zone)} FROM {last}), v AS (SELECT *, {', '.join(moved)} FROM z WINDOW w AS ({_W})),
+p AS MATERIALIZED ({animal(1)} UNION ALL {animal(2)})"""
+
+
+def _session_sql() -> str:
+    head = _session_head()
     each = "PARTITION BY session, animal ORDER BY frame_idx"
     flat = ", ".join(f"coalesce(abs({q}_x - 2 * lag({q}_x, 1) OVER o + lag({q}_x, 2) OVER o) < 0.02, false) AS flat_{q}" for q in BODY_PARTS)
     runs = ", ".join(f"frame_idx - row_number() OVER (PARTITION BY session, animal, flat_{q} ORDER BY frame_idx) AS k_{q}" for q in BODY_PARTS)
     still = ", ".join(f"CASE WHEN flat_{q} AND count(*) OVER (PARTITION BY session, animal, flat_{q}, k_{q}) >= 8 THEN 1 ELSE 0 END AS still_{q}" for q in BODY_PARTS)
     smooth = ", ".join(f"avg({c}) OVER (o ROWS BETWEEN CURRENT ROW AND {n - 1} FOLLOWING) AS s{n}, count(*) OVER (o ROWS BETWEEN CURRENT ROW AND {n - 1} FOLLOWING) AS n{n}" for c, n in (("speed", 5), ("nest_speed", 3)))
-    head = f"""WITH {steps}, z AS (SELECT *, {', '.join(zone)} FROM {last}), v AS (SELECT *, {', '.join(moved)} FROM z WINDOW w AS ({_W})),
-p AS MATERIALIZED ({animal(1)} UNION ALL {animal(2)})"""
     spans = list(dict.fromkeys((s, e, both) for _, _, _, s, e, both, _ in _METRIC_SQL))
     raw = " UNION ALL ".join(f"SELECT session, animal, loom, {k} AS k, CASE WHEN ({e}) IS NOT NULL THEN {s} END AS s, CASE WHEN ({s}) IS NOT NULL THEN least({e}, e) END AS f, {str(both).lower()} AS both_ FROM points" for k, (s, e, both) in enumerate(spans))
 
@@ -447,11 +452,35 @@ def session_metrics(spark, sf_dir):
     return rounded(out.select(*[F.col(f"`{c}`") for c in out.columns if not c.startswith("Frechet")]), 7)
 
 
-@query()
+def _paths_sql() -> str:
+    """Coupled distances by antidiagonals: a step of the recursion takes each pair's lists of the two before to the next."""
+    here = "sqrt((p[i + 1].x - q[{j} + 1].x) * (p[i + 1].x - q[{j} + 1].x) + (p[i + 1].y - q[{j} + 1].y) * (p[i + 1].y - q[{j} + 1].y))"
+    kinds = [(part, k) for part in ("body_center", "head") for k in (0, 1)]
+    titles = ("start loom - nest entry", "10s before loom - loom")
+    pair = " UNION ALL ".join(
+        f"SELECT sh.session, sh.loom, {n} AS kind, list({{'x': {part}_1_x, 'y': {part}_1_y}} ORDER BY frame_idx) AS p, list({{'x': {part}_2_x, 'y': {part}_2_y}} ORDER BY frame_idx) AS q "
+        f"FROM sh JOIN pose ON pose.session = sh.session AND frame_idx >= sh.s AND frame_idx < sh.f WHERE sh.k = {k} GROUP BY sh.session, sh.loom HAVING count(*) > 1"
+        for n, (part, k) in enumerate(kinds)
+    )
+    shown = ", ".join(f'round(max(d) FILTER (kind = {n}), 7) AS "Frechet Distance {part} ({titles[k]})"' for n, (part, k) in enumerate(kinds))
+    return f"""{_with_points(_session_head()).replace("WITH ", "WITH RECURSIVE ", 1)},
+w0 AS (SELECT session, animal, loom, 0 AS k, CASE WHEN entry_frame IS NOT NULL THEN loom_frame END AS s, least(entry_frame, ends.e) AS f FROM points JOIN ends USING (session)
+  UNION ALL SELECT session, animal, loom, 1, loom_frame - {_TEN}, least(loom_frame, ends.e) FROM points JOIN ends USING (session)),
+sh AS (SELECT session, loom, k, max(s) AS s, min(f) AS f FROM w0 GROUP BY ALL HAVING count(s) = count(*) AND max(s) < min(f)),
+pr AS MATERIALIZED (SELECT *, len(p) AS n, len(q) AS m FROM ({pair})),
+fr(session, loom, kind, p, q, n, m, step, one, two) AS (
+  SELECT session, loom, kind, p, q, n, m, 0, list_transform(range(-1, n), lambda i: CASE WHEN i = 0 THEN {here.format(j='0')} ELSE 'inf'::DOUBLE END), list_transform(range(-1, n), lambda i: 'inf'::DOUBLE) FROM pr
+  UNION ALL SELECT session, loom, kind, p, q, n, m, step + 1, list_transform(range(-1, n), lambda i: CASE WHEN i >= 0 AND step + 1 - i BETWEEN 0 AND m - 1
+    THEN greatest(least(one[i + 1], one[i + 2], two[i + 1]), {here.format(j='(step + 1 - i)')}) ELSE 'inf'::DOUBLE END), one FROM fr WHERE step < n + m - 2),
+dist AS (SELECT session, loom, kind, one[n + 1] AS d FROM fr WHERE step = n + m - 2)
+SELECT points.session, points.animal, points.loom, {shown} FROM points LEFT JOIN dist ON dist.session = points.session AND dist.loom = points.loom GROUP BY points.session, points.animal, points.loom"""
+
+
+@query(_paths_sql())
 def session_paths(spark, sf_dir):
-    """The analysis' path distances, which SQL does not express for paths of any length."""
+    """The analysis' path distances between the two animals over windows that they share."""
     out = _analysis(spark, sf_dir)
-    return out.select("session", "animal", "loom", *[F.col(f"`{c}`") for c in out.columns if c.startswith("Frechet")])
+    return rounded(out.select("session", "animal", "loom", *[F.col(f"`{c}`") for c in out.columns if c.startswith("Frechet")]), 7)
 
 
 # Correction
