@@ -105,20 +105,39 @@ def angle_between(p: Point, q: Point, r: Point, s: Point) -> Column:
 
 def heading_to(head: Point, nose: Point, target: Point) -> Column:
     """Angle from the direction head to nose to the direction head to target; over 180 it counts from 360 back, negative ones stay."""
+    if known := _as_text(head, nose, target):
+        (hx, hy), (nx, ny), (tx, ty) = known
+        a = f"degrees(atan2({ty} - {hy}, {tx} - {hx}) - atan2({ny} - {hy}, {nx} - {hx}))"
+        return F.expr(f"if({a} > 180, 360 - {a}, {a})")
     a = F.degrees(F.atan2(col(target[1]) - col(head[1]), col(target[0]) - col(head[0])) - F.atan2(col(nose[1]) - col(head[1]), col(nose[0]) - col(head[0])))
     return F.when(a > 180, 360 - a).otherwise(a)
 
 
 def facing(nose: Point, body: Point, target: Point, limit: float = 45.0) -> Column:
     """1 if the direction body to nose points at the target within ``limit`` degrees; 0 otherwise, also where a vector has no length."""
+    if known := _as_text(nose, body, target):
+        (nx, ny), (bx, by), (tx, ty) = known
+        ux, uy, vx, vy = f"({nx} - {bx})", f"({ny} - {by})", f"({tx} - {nx})", f"({ty} - {ny})"
+        cosine = f"try_divide({ux} * {vx} + {uy} * {vy}, sqrt({ux} * {ux} + {uy} * {uy}) * sqrt({vx} * {vx} + {vy} * {vy}))"
+        return F.expr(f"if({cosine} IS NOT NULL AND degrees(acos(greatest(-1D, least(1D, {cosine})))) <= {float(limit)!r}D, 1, 0)")
     ux, uy, vx, vy = col(nose[0]) - col(body[0]), col(nose[1]) - col(body[1]), col(target[0]) - col(nose[0]), col(target[1]) - col(nose[1])
     cosine = F.try_divide(ux * vx + uy * vy, F.sqrt(ux * ux + uy * uy) * F.sqrt(vx * vx + vy * vy))
     angle = F.degrees(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cosine))))
     return F.when(cosine.isNotNull() & (angle <= limit), 1).otherwise(0)  # bounds pass over a null cosine
 
 
+def _in_polygon_text(p: tuple[str, str], corners: Sequence[tuple[str, str]]) -> str:
+    (x, y), parts = p, []
+    for (ax, ay), (bx, by) in zip(corners, [*corners[1:], corners[0]], strict=True):
+        meets = f"{y} > least({ay}, {by}) AND {y} <= greatest({ay}, {by}) AND {x} <= greatest({ax}, {bx})"
+        parts.append(f"if({meets} AND ({ax} = {bx} OR {x} <= try_divide(({y} - {ay}) * ({bx} - {ax}), {by} - {ay}) + {ax}), 1, 0)")
+    return f"(({' + '.join(parts)}) % 2)"
+
+
 def in_polygon(p: Point, corners: Sequence[Point]) -> Column:
     """1 inside the polygon by ray casting: edges take their upper end, points on a right or upper border count."""
+    if known := _as_text(p, *corners):
+        return F.expr(_in_polygon_text(known[0], known[1:]))
     x, y = col(p[0]), col(p[1])
     crossings = []
     for (ax, ay), (bx, by) in zip(corners, [*corners[1:], corners[0]], strict=True):
@@ -133,6 +152,13 @@ def in_circle(p: Point, center: Point, radius) -> Column:
     return F.coalesce((distance(p, center) <= col(radius)).cast("int"), F.lit(0))
 
 
+def _segment_text(p: tuple[str, str], a: tuple[str, str], b: tuple[str, str]) -> str:
+    (x, y), (ax, ay), (bx, by) = p, a, b
+    dx, dy = f"({bx} - {ax})", f"({by} - {ay})"
+    t = f"greatest(0D, least(1D, coalesce(try_divide(({x} - {ax}) * {dx} + ({y} - {ay}) * {dy}, {dx} * {dx} + {dy} * {dy}), 0D)))"
+    return _distance_text(p, (f"({ax} + {t} * {dx})", f"({ay} + {t} * {dy})"))
+
+
 def segment_distance(p: Point, a: Point, b: Point) -> Column:
     """Distance from a point to a segment, which may have no length."""
     x, y, ax, ay, bx, by = (col(v) for v in (*p, *a, *b))
@@ -144,6 +170,10 @@ def segment_distance(p: Point, a: Point, b: Point) -> Column:
 
 def polygon_distance(p: Point, corners: Sequence[Point]) -> Column:
     """0 inside, else the distance to the nearest edge."""
+    if known := _as_text(p, *corners):
+        q, ring = known[0], known[1:]
+        near = ", ".join(_segment_text(q, a, b) for a, b in zip(ring, [*ring[1:], ring[0]], strict=True))
+        return F.expr(f"if({_in_polygon_text(q, ring)} = 1, 0D, least({near}))")
     edges = [segment_distance(p, a, b) for a, b in zip(corners, [*corners[1:], corners[0]], strict=True)]
     return F.when(in_polygon(p, corners) == 1, F.lit(0.0)).otherwise(F.least(*edges))
 
@@ -217,7 +247,10 @@ def shoelace(corners: Sequence[Point]) -> Column:
     return F.abs(sum_of(parts)) / 2
 
 
-def centroid(points: Sequence[Point]) -> Point:
+def centroid(points: Sequence[Point | Names]) -> Point | Names:
+    """Mean of points; numbers where all are."""
+    if all(isinstance(v, (int, float)) for p in points for v in p):
+        return sum(float(p[0]) for p in points) / len(points), sum(float(p[1]) for p in points) / len(points)
     return sum_of([col(p[0]) for p in points]) / len(points), sum_of([col(p[1]) for p in points]) / len(points)
 
 

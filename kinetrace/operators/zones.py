@@ -16,7 +16,7 @@ from kinetrace.schema import BODY_PARTS
 
 @dataclass(frozen=True)
 class Zones:
-    """Columns (or numbers) of a session's zones: four corners of the nest, center and radius of the circle."""
+    """Columns (by name) or numbers of a session's zones: four corners of the nest, center and radius of the circle."""
 
     nest: tuple | None
     loom: tuple | None = None
@@ -25,7 +25,7 @@ class Zones:
     @staticmethod
     def columns(prefix: str = "") -> Zones:
         """Zones held in columns ``nest_x1 .. nest_y4``, ``loom_x``, ``loom_y``, ``loom_radius``."""
-        return Zones(tuple((F.col(f"{prefix}nest_x{k}"), F.col(f"{prefix}nest_y{k}")) for k in range(1, 5)), (F.col(f"{prefix}loom_x"), F.col(f"{prefix}loom_y")), F.col(f"{prefix}loom_radius"))
+        return Zones(tuple((f"{prefix}nest_x{k}", f"{prefix}nest_y{k}") for k in range(1, 5)), (f"{prefix}loom_x", f"{prefix}loom_y"), f"{prefix}loom_radius")
 
 
 def name(zone: str, animal: int, part: str | None, what: str) -> str:
@@ -38,7 +38,7 @@ def features(zones: Zones, animals: dict[int, Sequence[str]], limit: float = 45.
     out: dict[str, Column] = {}
     for i, parts in animals.items():
         for p in parts:
-            at = G.point(f"{p}_{i}")
+            at = G.names(f"{p}_{i}")
             if zones.nest is not None:
                 out[name("Nest", i, p, "distance")] = G.distance(at, G.centroid(zones.nest))
                 out[name("Nest", i, p, "in zone")] = G.in_polygon(at, zones.nest)
@@ -48,7 +48,7 @@ def features(zones: Zones, animals: dict[int, Sequence[str]], limit: float = 45.
         if {"nose", "body_center"} <= set(parts):
             for zone, center in (("Nest", G.centroid(zones.nest) if zones.nest is not None else None), ("Loom", zones.loom)):
                 if center is not None:
-                    out[name(zone, i, None, "facing")] = G.facing(G.point(f"nose_{i}"), G.point(f"body_center_{i}"), center, limit)
+                    out[name(zone, i, None, "facing")] = G.facing(G.names(f"nose_{i}"), G.names(f"body_center_{i}"), center, limit)
     return out
 
 
@@ -69,6 +69,6 @@ def any_inside(animal: int, zone: str = "Nest") -> Column:
 
 def approach(df: DataFrame, track: Track, zones: Zones, animal: int) -> DataFrame:
     """Distance of each part to the nest's border, and its change from frame to frame (positive: away)."""
-    d = {f"roi_distance_{p}_animal_{animal}": G.polygon_distance(G.point(f"{p}_{animal}"), zones.nest) for p in BODY_PARTS}
+    d = {f"roi_distance_{p}_animal_{animal}": G.polygon_distance(G.names(f"{p}_{animal}"), zones.nest) for p in BODY_PARTS}
     df = df.withColumns(d)
     return df.withColumns({f"roi_velocity_{p}_animal_{animal}": track.difference(f"roi_distance_{p}_animal_{animal}") for p in BODY_PARTS})

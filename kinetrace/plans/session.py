@@ -29,7 +29,7 @@ def animal_frames(table: DataFrame, area: zones.Zones, keys: Sequence[str], anim
         "near": zones.any_inside,
         "slow": lambda i: F.col(f"_speed6_{i}") < limit(SLOW),
         "calm": lambda i: F.col(f"_speed6_{i}") < limit(FAST),
-        "angle_to_loom": lambda i: G.heading_to(G.point(f"head_{i}"), G.point(f"nose_{i}"), area.loom),
+        "angle_to_loom": lambda i: G.heading_to(G.names(f"head_{i}"), G.names(f"nose_{i}"), area.loom),
         "facing_loom": lambda i: F.col(f"`{zones.name('Loom', i, None, 'facing')}`"),
         "speed": lambda i: mean([f"movement_mouse_{i}_{p}" for p in ("nose", "tail_base", "ear_left", "ear_right")]),
         "nest_speed": lambda i: mean([f"roi_velocity_{p}_animal_{i}" for p in BODY_PARTS]),

@@ -74,7 +74,7 @@ def test_names_numbers_and_columns_give_the_same(spark):
     points = [(1.0, 2.0), (4.0, -6.0), (0.5, 0.25), (3.0, 3.0)]
     df = spark.createDataFrame([[v for p in points for v in p]], [f"{a}{k}" for k in range(4) for a in "xy"])
     forms = [[(f"x{k}", f"y{k}") for k in range(4)], points, [(F.col(f"x{k}"), F.col(f"y{k}")) for k in range(4)]]
-    got = [df.select(G.distance(p, q), G.squared(p, q), G.angle_at(p, q, r), G.angle_between(p, q, r, s), G.frame_cost([p, q], [r, s])).first() for p, q, r, s in forms]
+    got = [df.select(G.distance(p, q), G.squared(p, q), G.angle_at(p, q, r), G.angle_between(p, q, r, s), G.frame_cost([p, q], [r, s]), G.heading_to(p, q, r), G.facing(p, q, r, 90.0), G.in_polygon(s, [p, q, r]), G.in_circle(p, q, 9.0), G.polygon_distance(s, [p, q, r]), G.segment_distance(p, q, s)).first() for p, q, r, s in forms]
     assert got[0] == pytest.approx(got[1]) and got[0] == pytest.approx(got[2])
     gone = df.withColumn("x0", F.lit(None).cast("double"))
     p, q, r, s = forms[0]
