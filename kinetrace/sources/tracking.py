@@ -15,6 +15,16 @@ from kinetrace.schema import BODY_PARTS, DEFAULT_FPS, PTS
 VIDEO_ENDINGS = ("mp4", "avi", "mov", "mkv")
 
 
+def matching_files(spark: SparkSession, base: str, pattern: str, names: Sequence[str] = ()) -> DataFrame:
+    """Files anywhere below ``base`` whose path from there fits ``pattern`` (to its end): path, and a column for each of its groups.
+
+    Names alone are listed, no file is opened. The pattern begins at the start of a name.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base).select("path")
+    whole = f"/({pattern})$"
+    return files.where(F.col("path").rlike(whole)).select("path", *[F.regexp_extract("path", whole, k).alias(n) for k, n in enumerate(names, 2)])
+
+
 def samples(spark: SparkSession, base: str, endings: Sequence[str] = VIDEO_ENDINGS) -> DataFrame:
     """Sessions found as ``base/{identity}/{day}/raw_data/{video}``: identity, day, video_stem, video_path.
 

@@ -307,14 +307,14 @@ def probe(runs: DataFrame) -> DataFrame:
 
 
 def write_files(df: DataFrame, folder: str, name: str, content: str) -> None:
-    """Writes each row's bytes as a file of ``folder`` by its name; a task that runs again writes the same files."""
+    """Writes each row's bytes as a file below ``folder`` by its name, which may hold folders; a task that runs again writes the same files."""
     reachable(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, base = _located(folder)
-        system.create_dir(base, recursive=True)
         for batch in batches:
             for n, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                system.create_dir(f"{base}/{n}".rpartition("/")[0], recursive=True)
                 with system.open_output_stream(f"{base}/{n}", compression=None) as out:
                     out.write(data.as_buffer())
             yield pa.RecordBatch.from_arrays([batch.column(0)], names=["name"])
