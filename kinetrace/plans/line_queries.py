@@ -103,3 +103,27 @@ def result_files(spark, sf_dir):
     made = _pairs(spark, sf_dir).groupBy("session", "animal").agg(F.sum(F.col("slow").cast("int")).alias("slow"), F.sum("value").alias("total"))
     sinks.write_results(made, path)
     return spark.read.schema("session bigint, slow bigint, total double, animal int").option("header", "true").csv(path)
+
+
+def _outermost_sql() -> str:
+    a, b = _apart("angle", "angle_1"), _apart("angle", "angle_2")
+    of = lambda most: f"CASE WHEN {a} < {b} AND {a} < {most} THEN 1 WHEN {b} <= {a} AND {b} < {most} THEN 2 END"
+    share, over = {"low": "high - pos", "high": "pos - low"}, "PARTITION BY session, picture, cluster"
+    edge = {"low": f"pos <= low + (high - low) * {L.OUTER}", "high": f"pos >= low + (high - low) * {1 - L.OUTER}"}
+    ends = ", ".join(f"max({c}) FILTER ({s}_k = 1) AS {s}_{c}" for s in share for c in ("x1", "y1", "x2", "y2"))
+    rank = ", ".join(f"row_number() OVER ({over} ORDER BY CASE WHEN {edge[s]} THEN 0 ELSE 1 END, length * (0.7 + 0.3 * ({share[s]}) / (high - low + 1)) DESC, pos) AS {s}_k" for s in share)
+    return f"""{_DIRECTIONS}, ne AS (SELECT seg.*, {of(L.NEAR)} AS near, {of(1.5 * L.NEAR)} AS wide FROM seg JOIN dirs USING (session, picture)),
+cl AS (SELECT * EXCLUDE (near, wide), CASE WHEN least(count(*) FILTER (near = 1) OVER k, count(*) FILTER (near = 2) OVER k) < {L.LEAST_LINES} THEN wide ELSE near END AS cluster FROM ne WINDOW k AS (PARTITION BY session, picture)),
+o1 AS (SELECT *, CASE WHEN max(angle) OVER k - min(angle) OVER k > 90 AND angle > 90 THEN angle - 180 ELSE angle END AS turned, length >= max(length) OVER k * {L.LEAST_LENGTH} AS long_ FROM cl WHERE cluster IS NOT NULL WINDOW k AS ({over})),
+o2 AS (SELECT *, avg(turned) OVER k + CASE WHEN avg(turned) OVER k < 0 THEN 180 ELSE 0 END AS mean, count(*) OVER k AS n, count(*) FILTER (long_) OVER k AS n_long FROM o1 WINDOW k AS ({over})),
+o3 AS (SELECT *, CASE WHEN mean < 45 OR mean > 135 THEN y1 + y2 ELSE x1 + x2 END / 2 AS pos FROM o2 WHERE n >= 2 AND (long_ OR n_long < 2)),
+o4 AS (SELECT *, min(pos) OVER k AS low, max(pos) OVER k AS high FROM o3 WINDOW k AS ({over})),
+o5 AS (SELECT *, {rank} FROM o4)
+SELECT session, picture, cluster, {ends} FROM o5 GROUP BY session, picture, cluster"""
+
+
+@query(_outermost_sql())
+def outermost_lines(spark, sf_dir):
+    """The outermost lines of each direction of each picture."""
+    found = L.outermost(L.clustered(segments(spark, sf_dir), _KEYS), _KEYS)
+    return found.select(*_KEYS, "cluster", *[F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in ("low", "high") for c in ("x1", "y1", "x2", "y2")])
