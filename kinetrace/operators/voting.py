@@ -62,7 +62,8 @@ def segments(cells: DataFrame, least: int, length: float, gap: float, angles: in
     unit = 1 << PLACES
     found = lines(cells, least, angles).select(F.col("image").alias("i"), F.col("angle").alias("a"), F.col("offset").alias("o"), "votes")
     held = F.col("image").eqNullSafe(F.col("i")) & (F.col("angle") == F.col("a")) & (F.col("offset") == F.col("o"))
-    own = votes(cells, angles).join(found, held).drop("i", "a", "o")
+    # Each pixel becomes a row for every angle, which Spark's estimate of a size leaves out: votes must not be taken for a small side.
+    own = votes(cells, angles).join(found.hint("merge"), held).drop("i", "a", "o")
     order = Window.partitionBy("image", "angle", "offset").orderBy("along", "y", "x")
     cut = F.coalesce((F.col("along") - F.lag("along").over(order) > gap * unit).cast("int"), F.lit(0))
     numbered = own.withColumn("_cut", cut).withColumn("_part", F.sum("_cut").over(order.rowsBetween(Window.unboundedPreceding, 0)))

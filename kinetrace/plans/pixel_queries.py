@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from kinetrace.functions import geometry as G
 from kinetrace.operators import pixels, voting
 from kinetrace.plans.base import POSE, pose, query, sql_in_polygon, table
+from kinetrace.sources.stage import shared_folder, stored
 
 #: Rows of a tile: several for each image of the smallest tables.
 TILE = 16
@@ -145,5 +146,6 @@ SELECT image, CAST(angle AS INT) AS angle, off AS offset_, votes, (min((along, y
 FROM pn GROUP BY image, angle, off, votes, part HAVING max(along) - min(along) >= {_LENGTH << 14}"""
 )
 def pixel_segments(spark, sf_dir):
-    cells = pixels.cells(pixels.edges(image(spark, sf_dir), _LOW, _HIGH, tile=TILE), ["image"])
-    return voting.segments(cells, _VOTES, _LENGTH, _GAP, _ANGLES).withColumnRenamed("offset", "offset_")
+    # Lines and their pixels both read the edges.
+    edges = stored(pixels.edges(image(spark, sf_dir), _LOW, _HIGH, tile=TILE), shared_folder(spark), "edges")
+    return voting.segments(pixels.cells(edges, ["image"]), _VOTES, _LENGTH, _GAP, _ANGLES).withColumnRenamed("offset", "offset_")

@@ -223,3 +223,10 @@ def test_lines_are_found_among_noise(spark):
         near = [((a + da) % 180, (-1 if not 0 <= a + da < 180 else 1) * (o + db)) for da in (-1, 0, 1) for db in (-1, 0, 1)]
         assert ((a, o) in best) == (n >= 28 and all((counted.get(k, 0), -k[0], -k[1]) <= (n, -a, -o) for k in near))
     assert voting.segments(df.where("false"), 1, 1, 1).collect() == []
+
+
+def test_votes_are_never_broadcast(spark):
+    """Their size is estimated as that of the pixels, so even the least estimate must not send them through the driver."""
+    df = spark.range(9).select(F.lit("i").alias("image"), F.floor(F.col("id") / 3).alias("y"), (F.col("id") % 3).alias("x"))
+    plan = voting.segments(df, 1, 1, 1)._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
