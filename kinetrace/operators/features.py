@@ -2,19 +2,25 @@
 
 Input is wide pose, one row per frame: ``{part}_{animal}_{x,y,p}``, missing
 values 0 or null. Features come in a few stages of generated columns, each a
-single projection; all ordered stages share one shuffle and sort by session.
+single projection; all ordered stages share one shuffle and sort by ranges of a
+session. What needs the whole session, its means and ranks, is made of a few
+columns first and joined with the pose, so no task sorts or holds the wide rows
+of a session.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinetrace.functions import geometry as G
+from kinetrace.operators.split import ROWS, SplitTrack, dealt, own
 from kinetrace.operators.track import Track, in_stages
 from kinetrace.schema import BODY_PARTS, ROLLING, wide_columns
+from kinetrace.sources.stage import shared_folder, stored
 
 #: Names of features that get movements, rolling windows and deviations.
 CHANGES = ("poly_area", "nose_to_tail", "ear_distance", "body_center_angle", "nose_angle")
@@ -122,22 +128,24 @@ def rolled(track: Track, animals: int, sizes: Sequence[int] = ROLLING) -> dict[s
     return {f"{c}_{how}_{n}": track.rolling(c, n, how) for c in ROLLED[animals] for n in sizes for how in ("median", "mean")}
 
 
-def deviations(track: Track, animals: int, sizes: Sequence[int] = ROLLING) -> dict[str, Column]:
-    out = {f"{c}_deviation": track.deviation(c) for c in DEVIATIONS[animals]}
-    out |= {f"{c}_mean_deviation_{n}": track.deviation(f"{c}_mean_{n}") for c in ROLLED_DEVIATIONS[animals] for n in sizes}
-    out |= {f"{c}_mean_{n}_percentile_rank": track.deviation(f"{c}_mean_{n}") for c in RANK_NAMED[animals] for n in sizes}
-    return out | {"sum_probabilities_deviation": track.deviation("sum_probabilities")}
+def deviations(animals: int, sizes: Sequence[int] = ROLLING) -> dict[str, str]:
+    """Features that are the session's mean minus a value, and the value's name."""
+    out = {f"{c}_deviation": c for c in DEVIATIONS[animals]}
+    out |= {f"{c}_mean_deviation_{n}": f"{c}_mean_{n}" for c in ROLLED_DEVIATIONS[animals] for n in sizes}
+    out |= {f"{c}_mean_{n}_percentile_rank": f"{c}_mean_{n}" for c in RANK_NAMED[animals] for n in sizes}
+    return out | {"sum_probabilities_deviation": "sum_probabilities"}
 
 
-def ranks(track: Track, animals: int) -> dict[str, Column]:
+def ranks(animals: int) -> dict[str, str]:
+    """Features that are a value's percentile rank in the session, and the value's name."""
     out = {}
     for i in range(1, animals + 1):
-        out[f"movement_mouse_{i}_percentile_rank"] = track.percentile_rank(f"movement_mouse_{i}_nose")
-        out[f"movement_mouse_{i}_deviation_percentile_rank"] = track.percentile_rank(f"movement_mouse_{i}_nose_deviation")
+        out[f"movement_mouse_{i}_percentile_rank"] = f"movement_mouse_{i}_nose"
+        out[f"movement_mouse_{i}_deviation_percentile_rank"] = f"movement_mouse_{i}_nose_deviation"
     if animals == 2:
-        out["movement_percentile_rank"] = track.percentile_rank("total_movement_nose")
-        out["distance_percentile_rank"] = track.percentile_rank("nose_to_nose_distance")
-    return out | {"sum_probabilities_deviation_percentile_rank": track.percentile_rank("sum_probabilities_deviation")}
+        out["movement_percentile_rank"] = "total_movement_nose"
+        out["distance_percentile_rank"] = "nose_to_nose_distance"
+    return out | {"sum_probabilities_deviation_percentile_rank": "sum_probabilities_deviation"}
 
 
 def probabilities(animals: int) -> dict[str, Column]:
@@ -149,27 +157,42 @@ def probabilities(animals: int) -> dict[str, Column]:
     return out
 
 
-def extract(df: DataFrame, keys: Sequence[str], animals: int, frame: str = "frame_idx") -> DataFrame:
+def _joined(rows: DataFrame, found: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Rows with what was found for them; a null key is a key."""
+    named = found.withColumnsRenamed({c: f"on__{c}" for c in on})
+    same = [F.col(f"`{c}`").eqNullSafe(F.col(f"`on__{c}`")) for c in on]
+    return rows.join(named, reduce(lambda a, b: a & b, same, F.lit(True))).drop(*[f"on__{c}" for c in on])
+
+
+def extract(df: DataFrame, keys: Sequence[str], animals: int, frame: str = "frame_idx", size: int = ROWS) -> DataFrame:
     """All features of every frame; missing values are 0, as in the input.
 
     Columns: keys, frame, the pose, then the features (299 with two animals,
-    117 with one, the pose included).
+    117 with one, the pose included). The numbered pose is written to the shared
+    folder, since means, ranks and features read it; a task holds ranges of
+    ``size`` frames.
     """
-    track = Track(tuple(keys), frame)
     pose = wide_columns(animals)
     df = df.select(*keys, frame, *[F.expr(f"coalesce(CAST(`{c}` AS DOUBLE), 0D)").alias(c) for c in pose])
-    stages = [
-        shapes(animals) | probabilities(animals),
-        spreads(animals),
-        movements(track, animals),
-        totals(animals),
-        rolled(track, animals),
-        deviations(track, animals),
-        ranks(track, animals),
-        {"sum_probabilities_percentile_rank": track.percentile_rank("sum_probabilities_deviation_percentile_rank")},
-    ]
-    out = in_stages(df, stages)
-    made = [c for stage in stages for c in stage if not c.startswith("_")]
+    rows = stored(SplitTrack(tuple(keys), frame).numbered(df, "row__"), shared_folder(df.sparkSession), "pose")
+    track = Track((*keys, "range__"), "row__")
+    stages = [shapes(animals) | probabilities(animals), spreads(animals), movements(track, animals), totals(animals), rolled(track, animals)]
+    # A rolling window reads steps, and a step the row before it.
+    moved = lambda given: in_stages(dealt(given, max(ROLLING), 0, size), stages).where(own(size))
+    apart, ranked = deviations(animals), ranks(animals)
+    from_mean = {n: F.expr(f"`mean__{c}` - `{c}`") for n, c in apart.items()}
+    means = moved(rows).groupBy(*keys).agg(*[F.expr(f"avg(`{c}`)").alias(f"mean__{c}") for c in dict.fromkeys(apart.values())])
+    met = _joined(rows, means, keys)
+    # Values to be ranked one below the other: a few numbers a row, and a task for each session and feature.
+    used = {c: from_mean[c] for c in ranked.values() if c in from_mean}
+    values = F.array(*[F.struct(F.lit(n).alias("n"), F.col(f"`{c}`").alias("v")) for n, c in ranked.items()])
+    long = moved(met).withColumns(used).select(*keys, "row__", F.explode(values).alias("_v")).select(*keys, "row__", F.col("_v.n").alias("name__"), F.col("_v.v").alias("value__"))
+    placed = long.withColumn("rank__", Track((*keys, "name__")).percentile_rank("value__"))
+    placed = placed.groupBy(*keys, "row__").agg(*[F.max(F.when(F.col("name__") == n, F.col("rank__"))).alias(n) for n in ranked])
+    # A value's rank among ranks is its rank.
+    last = {"sum_probabilities_percentile_rank": F.col("sum_probabilities_deviation_percentile_rank")}
+    out = moved(_joined(met, placed.hint("merge"), [*keys, "row__"])).withColumns(from_mean).withColumns(last)
+    made = [c for stage in [*stages, apart, ranked, last] for c in stage if not c.startswith("_")]
     return out.select(*keys, frame, *pose, *[F.expr(f"coalesce(`{c}`, 0)").alias(c) for c in made])
 
 

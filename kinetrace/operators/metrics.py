@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from kinetrace.operators import trajectory
 from kinetrace.operators.align import in_windows
-from kinetrace.operators.track import Track
+from kinetrace.operators.track import Track, in_stages
 from kinetrace.schema import BODY_PARTS, DEFAULT_FPS, FREEZE_OFF, FREEZE_ON, NEST_FRAMES, STILL, STILL_RUN
 
 
@@ -87,33 +87,37 @@ def time_points(frames: DataFrame, looms: DataFrame, keys: Sequence[str], frame:
     until the fifth fast frame after it, minus 5, or the rest of the session).
     Counts never start anew. Null is missing.
     """
-    who = [*keys, "animal", "loom"]
-    last = frames.groupBy(*keys).agg((F.max(frame) + 1).alias("_end"))
-    animals = frames.select(*keys, "animal").distinct()
-    base = animals.join(looms, list(keys)).join(last, list(keys)).withColumn("_next", F.least(F.coalesce("until", "_end"), F.col("_end")))
-    windows = base.select(*who, "at", "_next", F.col("at").alias("start"), F.col("_end").alias("end"))
-    met = in_windows(frames, windows, [*keys, "animal"], frame)
-    over = Window.partitionBy(*who).orderBy(frame).rowsBetween(Window.unboundedPreceding, 0)
-    count = lambda c: F.sum(F.coalesce(F.col(c).cast("int"), F.lit(0))).over(over)
-    met = met.withColumns({"_in": count(inside), "_slow": count(slow)})
-    t = F.col(frame) - F.col("at")
-    first = met.groupBy(*who).agg(
-        F.min(F.when((F.col("_in") >= NEST_FRAMES) & (F.col(frame) < F.col("_next")), t - (NEST_FRAMES - 1))).alias("latency"),
-        F.min(F.when(F.col("_slow") >= FREEZE_ON, t)).alias("_frozen"),
-    )
+    each, who = [*keys, "animal"], [*keys, "animal", "loom"]
+    end = frames.groupBy(*keys).agg((F.max(frame) + 1).alias("_end"))
+    animals = frames.groupBy(*each).agg((F.max(frame) + 1).alias("_own"))
+    base = animals.join(looms, list(keys)).join(end, list(keys)).withColumn("_next", F.least(F.coalesce("until", "_end"), F.col("_end")))
+    flags = {"inside": F.col(inside), "slow": F.col(slow), "fast": ~F.coalesce(F.col(calm), F.lit(False)), "far": ~F.col(near)}
+    seen = frames.where(F.col(frame).isNotNull()).select(*each, F.col(frame).alias("_frame"), *[F.coalesce(c.cast("int"), F.lit(0)).alias(n) for n, c in flags.items()])
+
+    def nth(given: DataFrame, since: dict[str, tuple[Column, int]]) -> DataFrame:
+        """Adds ``_{flag}``: the frame where the flag holds for the n-th time, counted from a place on.
+
+        A place takes the count of the frames before it, and the frame that has n more is the one sought: no event meets all later frames.
+        """
+        held = seen.select(*each, "_frame", F.explode(F.array_compact(F.array(*[F.when(F.col(f) == 1, F.lit(f)) for f in since]))).alias("_flag"), F.lit(1).alias("_kind"), F.lit(0).alias("_more"), F.lit(None).cast("int").alias("loom"))
+        places = F.array(*[F.struct(place.alias("at"), F.lit(f).alias("flag"), F.lit(n).alias("n")) for f, (place, n) in since.items()])
+        asked = given.select(*each, "loom", F.explode(places).alias("_p")).where("_p.at IS NOT NULL")
+        asked = asked.select(*each, F.col("_p.at").alias("_frame"), F.col("_p.flag").alias("_flag"), F.lit(0).alias("_kind"), F.col("_p.n").alias("_more"), "loom")
+        so_far = Window.partitionBy(*each, "_flag").orderBy("_frame", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+        counted = held.unionByName(asked).withColumn("_count", F.sum("_kind").over(so_far) + F.col("_more"))
+        met = counted.withColumn("_met", F.max(F.when(F.col("_kind") == 1, F.col("_frame"))).over(Window.partitionBy(*each, "_flag", "_count")))
+        found = met.where("_kind = 0").groupBy(*who).agg(*[F.max(F.when(F.col("_flag") == f, F.col("_met"))).alias(f"_{f}") for f in since])
+        return given.join(found, who, "left")
+
+    at = F.col("at")
+    first = nth(base, {"inside": (at, NEST_FRAMES), "slow": (at, FREEZE_ON)})
+    first = first.withColumns({"latency": F.when(F.col("_inside") < F.col("_next"), F.col("_inside") - at - (NEST_FRAMES - 1)), "_frozen": F.col("_slow") - at})
     entered = F.col("latency").isNotNull() & (F.col("latency") > 0) & (F.col("_frozen") >= F.col("latency"))
     first = first.withColumn("freeze_start", F.when(~entered, F.col("_frozen") - (FREEZE_ON - 1)))
-    again = met.join(first.select(*who, "latency", "freeze_start"), who)
-    from_freeze = F.col("freeze_start").isNotNull() & (t >= F.col("freeze_start"))
-    again = again.withColumn("_fast", F.sum((from_freeze & ~F.coalesce(F.col(calm), F.lit(False))).cast("int")).over(over))
-    later = again.groupBy(*who).agg(
-        F.min(F.when(F.col("latency").isNotNull() & (t >= F.col("latency")) & ~F.col(near), t - F.col("latency"))).alias("stay"),
-        F.min(F.when(F.col("_fast") >= FREEZE_OFF, t - F.col("freeze_start") - FREEZE_OFF)).alias("_length"),
-        F.max(t + 1).alias("_rest"),
-    )
-    out = base.select(*who, F.col("at").alias("loom_frame"), "until").join(first.drop("_frozen"), who, "left").join(later, who, "left")
-    length = F.when(F.col("freeze_start").isNotNull(), F.coalesce("_length", F.col("_rest") - F.col("freeze_start")))
-    return out.select(*who, "loom_frame", "until", "latency", (F.col("loom_frame") + F.col("latency")).alias("entry_frame"), "stay", "freeze_start", length.alias("freeze_length"))
+    later = nth(first, {"far": (at + F.greatest("latency", F.when(F.col("latency").isNotNull(), 0)), 1), "fast": (at + F.greatest("freeze_start", F.when(F.col("freeze_start").isNotNull(), 0)), FREEZE_OFF)})
+    start = F.col("freeze_start")
+    length = F.when(start.isNotNull(), F.coalesce(F.col("_fast") - at - start - FREEZE_OFF, F.col("_own") - at - start))
+    return later.select(*who, at.alias("loom_frame"), "until", "latency", (at + F.col("latency")).alias("entry_frame"), (F.col("_far") - at - F.col("latency")).alias("stay"), "freeze_start", length.alias("freeze_length"))
 
 
 def windows_of(points: DataFrame, keys: Sequence[str], spans: Sequence[Span], end_of: DataFrame) -> DataFrame:
@@ -165,12 +169,23 @@ def measure(frames: DataFrame, points: DataFrame, keys: Sequence[str], metrics:
     return points.select(*who).join(out, who, "left")
 
 
+def still_stages(track: Track, columns: dict[str, str], tolerance: float = STILL, least: int = STILL_RUN) -> list[dict[str, Column]]:
+    """Stages that add, by new names, 1 in runs of ``least`` frames or more of nearly constant speed along a column.
+
+    A frame lies in such a run where one of the ``least`` rows from it on ends as many flat ones, so windows stay short.
+    """
+    ends, begins = track.window.rowsBetween(1 - least, 0), track.window.rowsBetween(0, least - 1)
+    return [
+        {f"_flat_{n}": F.coalesce(F.abs(track.second_difference(c)) < tolerance, F.lit(False)).cast("int") for n, c in columns.items()},
+        {f"_full_{n}": (F.sum(f"_flat_{n}").over(ends) == least).cast("int") for n in columns},
+        {n: F.max(f"_full_{n}").over(begins) for n in columns},
+    ]
+
+
 def still_runs(df: DataFrame, track: Track, part: str, tolerance: float = STILL, least: int = STILL_RUN) -> DataFrame:
     """Adds ``still_{part}``: 1 in runs of ``least`` frames or more of nearly constant speed along x, which interpolation leaves."""
-    df = df.withColumn("_flat", F.coalesce(F.abs(track.second_difference(f"{part}_x")) < tolerance, F.lit(False)))
-    df = df.withColumn("_run", track.island(F.col("_flat")))
-    length = F.count(F.lit(1)).over(Window.partitionBy(*track.keys, "_run"))
-    return df.withColumn(f"still_{part}", (F.col("_flat") & (length >= least)).cast("int")).drop("_flat", "_run")
+    name = f"still_{part}"
+    return in_stages(df, still_stages(track, {name: f"{part}_x"}, tolerance, least)).drop(f"_flat_{name}", f"_full_{name}")
 
 
 def still_everywhere(parts: Sequence[str] = BODY_PARTS) -> Column:

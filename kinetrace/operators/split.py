@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 
 #: Numbers of the ordering column in a range, where nothing else is said.
 RANGE = 1 << 16
+#: Rows of a range that also gets rows around it: a window holds them without its spilling buffer.
+ROWS = 4000
 _PART = "_part"
 
 
@@ -88,7 +90,7 @@ class SplitTrack:
     def numbered(self, df: DataFrame, into: str = "frame_idx") -> DataFrame:
         """Each row's place in its session, from 0."""
         met = self.carried(df, {"_n": Carry(F.count(F.lit(1)), "sum")})
-        return self.done(met.withColumn(into, (F.row_number().over(self.window) - 1 + F.col("_n")).cast("long")))
+        return met.withColumn(into, (F.row_number().over(self.window) - 1 + F.col("_n")).cast("long")).drop(_PART, "_n")
 
     def previous(self, df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
         """Values of the row before, by their new names; a missing one is the next known value, so the first row takes its own."""
@@ -174,6 +176,20 @@ class SplitTrack:
         return found.drop("run__")
 
 
+def dealt(rows: DataFrame, before: int, after: int = 0, size: int = ROWS) -> DataFrame:
+    """Numbered rows (``row__``, of :meth:`SplitTrack.numbered`) by ranges of ``size``, each with the rows around it that windows of its own rows reach: adds ``range__``.
+
+    Windows are then partitioned by key and ``range__`` and ordered by ``row__``; rows where :func:`own` holds stay.
+    """
+    low, high = (F.floor((F.col("row__") + k) / size) for k in (-after, before))
+    return rows.withColumn("range__", F.explode(F.sequence(F.greatest(low, F.lit(0)), high)))
+
+
+def own(size: int = ROWS) -> Column:
+    """Whether a row of :func:`dealt` lies in its range itself."""
+    return F.col("range__") == F.floor(F.col("row__") / size)
+
+
 def nearest(events: DataFrame, frames: DataFrame, keys: Sequence[str], time: str, pts: str, frame: str, into: str = "frame", error: str = "frame_error", size: float = 3600.0) -> DataFrame:
     """:func:`kinetrace.operators.align.nearest` over ranges of ``size`` seconds.
 

@@ -9,19 +9,22 @@ from pyspark.sql import functions as F
 
 from kinetrace.functions import geometry as G
 from kinetrace.operators import features, metrics, zones
-from kinetrace.operators.track import Track
-from kinetrace.schema import BODY_PARTS, DEFAULT_FPS, FAST, SLOW
+from kinetrace.operators.split import SplitTrack, dealt, own
+from kinetrace.operators.track import Track, in_stages
+from kinetrace.schema import BODY_PARTS, DEFAULT_FPS, FAST, SLOW, STILL_RUN
 from kinetrace.sources.stage import shared_folder, stored
 
 
 def animal_frames(table: DataFrame, area: zones.Zones, keys: Sequence[str], animals: int, fps: float = DEFAULT_FPS, px_per_cm: float = 1.0) -> DataFrame:
-    """One row for each animal and frame with the columns that the metrics name."""
-    track = Track(tuple(keys))
-    table = zones.add(table, area)
+    """One row for each animal and frame with the columns that the metrics name, worked out by ranges of a session."""
+    track = Track((*keys, "range__"), "row__")
+    table = SplitTrack(tuple(keys)).numbered(table, "row__")
+    # A still run's rows lie up to STILL_RUN - 1 before and after, and each reads two rows back.
+    table = zones.add(dealt(table, STILL_RUN + 1, STILL_RUN - 1), area)
     for i in range(1, animals + 1):
         table = zones.approach(table, track, area, i)
     speed = {f"_speed6_{i}": track.rolling(f"movement_mouse_{i}_tail_base", 6) for i in range(1, animals + 1)}
-    table = table.withColumns(speed)
+    table = in_stages(table.withColumns(speed), metrics.still_stages(track, {f"_still_{p}_{i}": f"{p}_{i}_x" for i in range(1, animals + 1) for p in BODY_PARTS})).where(own())
     limit = lambda v: v * px_per_cm / fps
     mean = lambda names: G.sum_of([F.col(n) for n in names]) / len(names)
     per = {
@@ -34,11 +37,9 @@ def animal_frames(table: DataFrame, area: zones.Zones, keys: Sequence[str], anim
         "speed": lambda i: mean([f"movement_mouse_{i}_{p}" for p in ("nose", "tail_base", "ear_left", "ear_right")]),
         "nest_speed": lambda i: mean([f"roi_velocity_{p}_animal_{i}" for p in BODY_PARTS]),
     } | {f"{p}_{a}": (lambda i, p=p, a=a: F.col(f"{p}_{i}_{a}")) for p in BODY_PARTS for a in ("x", "y")}
+    per |= {f"still_{p}": (lambda i, p=p: F.col(f"_still_{p}_{i}")) for p in BODY_PARTS}
     shared = [c for c in ("relative_midline_angle", "nose_to_nose_distance", "nose_1_to_tail_2_distance", "nose_2_to_tail_1_distance") if animals == 2]
     rows = metrics.stacked(table, keys, per, animals, shared)
-    own = Track((*keys, "animal"))
-    for p in BODY_PARTS:
-        rows = metrics.still_runs(rows, own, p)
     return rows.withColumn("still_all", metrics.still_everywhere()).withColumn("calm_flag", F.col("calm").cast("int"))
 
 

@@ -147,3 +147,19 @@ def test_swap_with_one_side_missing(spark):
     assert decide((1, 2, None, None), (3, 4, -1, -1)) is False
     assert decide((None, 0, 5, 1), (5, 1, -1, -1)) is True
     assert decide((None, None, None, None), (1, 1, 2, 2)) is False
+
+
+def test_features_do_not_depend_on_ranges(spark):
+    """Rolling windows, means and ranks across ranges of 7 frames, of sessions of unlike length, one of them null and frames missing."""
+    df = wide(spark, 40, 1).unionByName(wide(spark, 9, 1).withColumn("session", F.lit(None).cast(wide(spark, 1, 1).schema["session"].dataType))).where("frame_idx % 11 <> 5")
+    shown = lambda out: sorted(([round(v, 9) if isinstance(v, float) else v for v in r] for r in out.collect()), key=repr)
+    cut = shown(features.extract(df, S, 1, size=7))
+    assert cut == shown(features.extract(df, S, 1)) and len(cut) == df.count()
+
+
+def test_no_event_meets_all_later_frames(spark):
+    """Time points look frames up by their count: a session of n frames makes no n * n rows."""
+    frames = spark.range(20).selectExpr("1L AS session", "1 AS animal", "id AS frame_idx", *[f"id % 3 = 0 AS {c}" for c in ("inside", "near", "slow", "calm")])
+    looms = frames.selectExpr("session", "CAST(frame_idx + 1 AS INT) AS loom", "frame_idx AS at", "frame_idx + 1 AS until")
+    plan = metrics.time_points(frames, looms, ["session"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "_bucket" not in plan
