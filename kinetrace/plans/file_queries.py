@@ -12,6 +12,8 @@ from kinetrace.schema import BODY_PARTS
 from kinetrace.sources import events, sinks, tracking, video
 from kinetrace.sources.stage import shared_folder
 
+#: Folders of frame times: tracks are short and many.
+FOLDERS = 64
 _VALUES = [(f"{p}_{a}", f"{p}_{{i}}_{'p' if a == 'score' else a}") for p in BODY_PARTS for a in ("x", "y", "score")]
 _POSES = " UNION ALL ".join(f"SELECT session, frame_idx, {i - 1} AS track, {', '.join(f'{c.format(i=i)} AS {n}' for n, c in _VALUES)} FROM pose" for i in (1, 2))
 
@@ -30,7 +32,7 @@ def pose_files(spark, sf_dir):
 def frame_time_files(spark, sf_dir):
     """Frame times of all tracks, written as CSV and read back."""
     path = f"{shared_folder(spark)}/times"
-    sinks.write_frame_times(frames(spark, sf_dir).withColumnRenamed("pts", "pts_seconds"), path, ["track"])
+    sinks.write_frame_times(frames(spark, sf_dir).withColumnRenamed("pts", "pts_seconds"), path, ["track"], FOLDERS)
     read = spark.read.option("header", "true").csv(path)
     return read.select(F.col("track").cast("long").alias("track"), F.col("frame_idx").cast("long").alias("frame_idx"), F.col("pts_seconds").cast("double").alias("pts_seconds"))
 

@@ -34,10 +34,17 @@ def write_pose_csv(df: DataFrame, path: str, keys: Sequence[str]) -> None:
     out.repartition(*keys).sortWithinPartitions(*keys, "frame_idx", "_order").drop("_order").write.partitionBy(*keys).option("header", "true").csv(path)
 
 
-def write_frame_times(df: DataFrame, path: str, keys: Sequence[str]) -> None:
-    """Frame numbers and seconds (six decimals) as CSV, a folder for each session."""
+def write_frame_times(df: DataFrame, path: str, keys: Sequence[str], folders: int | None = None) -> None:
+    """Frame numbers and seconds (six decimals) as CSV, a folder for each session.
+
+    Many short sessions cost more by their files than by their rows: with ``folders``
+    they lie in so many, whole and in order, and their keys are columns.
+    """
     out = df.select(*keys, "frame_idx", F.format_string("%.6f", F.col("pts_seconds")).alias("pts_seconds"))
-    out.repartition(*keys).sortWithinPartitions(*keys, "frame_idx").write.partitionBy(*keys).option("header", "true").csv(path)
+    dealt = list(keys)
+    if folders is not None:
+        out, dealt = out.withColumn("folder", F.pmod(F.hash(*keys), F.lit(folders))), ["folder"]
+    out.repartition(*dealt).sortWithinPartitions(*dict.fromkeys([*dealt, *keys]), "frame_idx").write.partitionBy(*dealt).option("header", "true").csv(path)
 
 
 def zone_record(floor: Column, nest: Column, center: Column, radius: Column) -> Column:

@@ -133,3 +133,11 @@ def test_feature_scan(spark, tmp_path):
 def test_quote_option(spark, tmp_path):
     path = write(tmp_path / "q.csv", HEADER + "\n" + "|track_2|,3,0.9," + ",".join(["1,2,3"] * 6))
     assert tracking.poses(spark, path, quote="|").select(F.max("track")).first()[0] == 2
+
+
+def test_files_of_frame_times_do_not_grow_with_tracks(spark):
+    from kinetrace.plans import file_queries
+
+    read = file_queries.frame_time_files(spark, "/root/testdata/sf0.01")
+    found = read.agg(F.count_distinct(F.input_file_name()).alias("files"), F.count_distinct("track").alias("tracks")).first()
+    assert found.files <= file_queries.FOLDERS < found.tracks
