@@ -11,6 +11,8 @@ from kinetrace.streaming import points
 
 #: Sets of files that arrive one after another, and how many frames late a row may be.
 SETS, LATE = 6, 20
+#: Files of a set: one micro-batch takes them, so batches do not grow with the rows, and a batch touches each animal once.
+FILES = 8
 #: Seconds without a row that end a session.
 GAP = 600
 
@@ -34,11 +36,11 @@ def loom_time_points_streamed(spark, sf_dir):
     size, into = -(-frames // SETS), f"{folder}/arrived"
     behind = F.pmod(F.hash("session", "animal", "frame_idx"), F.lit(LATE))
     for part in range(SETS):
-        rows.where(F.floor((F.col("frame_idx") + behind) / size) == part).write.mode("append").parquet(into)
+        rows.where(F.floor((F.col("frame_idx") + behind) / size) == part).repartition(FILES).write.mode("append").parquet(into)
     # A row of no session, much later, moves the watermark past the end of all sessions.
     after = {"session": F.lit(-1).cast("bigint"), "time": F.timestamp_seconds(F.lit(4 * frames + 2 * GAP))}
     rows.limit(1).withColumns(after).write.mode("append").parquet(into)
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 8).parquet(into)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", FILES).parquet(into)
     found = points.time_points(stream, ["session"], f"{size + LATE} seconds", GAP)
     done = found.writeStream.format("parquet").option("checkpointLocation", f"{folder}/marks").option("path", f"{folder}/points").trigger(availableNow=True).start()
     done.awaitTermination()
